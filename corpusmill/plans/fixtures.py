@@ -55,6 +55,13 @@ FROM {events}""",
 SELECT path, CAST(900000 + (event_id % 5) * 50000 AS BIGINT) AS length
 FROM {fx_shards}
 WHERE event_id % 3 = 0""",
+    # Recorded outcome of fetching each listed shard (path, outcome, error):
+    # the listing's event failed → the fetch failed.
+    "fx_fetch_log": """
+SELECT s.path,
+       CASE WHEN e.event_type = 'error' THEN 'fail' ELSE 'success' END AS outcome,
+       CASE WHEN e.event_type = 'error' THEN concat('fetch failed: event ', e.event_id) END AS error
+FROM {fx_shards} s JOIN {events} e ON s.event_id = e.event_id""",
     # Finished outputs (path).
     "fx_outputs": """
 SELECT path FROM {fx_manifest} WHERE doc_id IN (SELECT doc_id FROM {labels} WHERE quality = 1)""",
@@ -99,6 +106,7 @@ FX_DEPS: dict[str, tuple[str, ...]] = {
     "fx_manifest": ("documents",),
     "fx_shards": ("events",),
     "fx_present": ("fx_shards",),
+    "fx_fetch_log": ("fx_shards", "events"),
     "fx_outputs": ("fx_manifest", "labels"),
     "fx_catalogue": ("documents",),
     "fx_noisy_text": ("documents",),

@@ -108,3 +108,122 @@ SELECT path, row_number() OVER (ORDER BY """ + _TREE_KEY + """) AS pos FROM img"
 
 ORACLE["order_parts"] = _with("fx_manifest") + """
 SELECT path, row_number() OVER (ORDER BY string_split(path, '/')) AS pos FROM fx_manifest"""
+
+
+# ----------------------------------------------------------- scans/plans --
+
+ORACLE["scan_pdf_strict"] = _with("fx_manifest") + """
+SELECT path FROM fx_manifest WHERE suffix(path, '.pdf')"""
+
+ORACLE["scan_pdf_pruned"] = _with("fx_manifest") + _FILES + """
+SELECT path FROM f WHERE suffix(lower(fname), '.pdf') AND NOT list_contains(dirs, 'Converted')"""
+
+ORACLE["shards_by_prefix"] = _with("fx_shards") + """
+SELECT path FROM fx_shards WHERE starts_with(path, 'data/python/') AND suffix(path, '.parquet')"""
+
+ORACLE["shards_by_suffix"] = _with("fx_shards") + """
+SELECT path FROM fx_shards
+WHERE (suffix(path, '.parquet') OR suffix(path, '.arrow') OR suffix(path, '.json')
+       OR suffix(path, '.jsonl') OR suffix(path, '.csv'))
+  AND NOT starts_with(path, '.') AND strpos(path, 'README') = 0"""
+
+# python str.strip() over the 29 blank characters; the nine characters \ / : * ? " < > |
+_PYSTRIP = ("regexp_replace({x}, '^[\\x{{0009}}-\\x{{000d}}\\x{{001c}}-\\x{{0020}}\\x{{0085}}\\x{{00a0}}\\x{{1680}}"
+            "\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]+|[\\x{{0009}}-\\x{{000d}}"
+            "\\x{{001c}}-\\x{{0020}}\\x{{0085}}\\x{{00a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}"
+            "\\x{{202f}}\\x{{205f}}\\x{{3000}}]+$', '', 'g')")
+
+
+def pystrip(x: str) -> str:
+    return _PYSTRIP.format(x=x)
+
+
+def _sanitize(x: str) -> str:
+    return pystrip("regexp_replace(" + x + ", '[\\\\/:*?\"<>|]', '', 'g')")
+
+
+_CAT = """,
+cat AS (SELECT category, pos, url, """ + _sanitize("category") + """ AS folder,
+               printf('%02d', pos) || '. ' || """ + _sanitize(pystrip("substring(title, 4)")) + """ || '.pdf' AS filename
+        FROM fx_catalogue),
+catp AS (SELECT *, folder || '/' || filename AS target_path FROM cat)
+"""
+
+ORACLE["catalogue_rows"] = _with("fx_catalogue") + _CAT + """
+SELECT category, pos, url, filename, target_path FROM catp"""
+
+ORACLE["acquisition_plan"] = _with("fx_catalogue") + _CAT + """,
+present AS (SELECT DISTINCT target_path FROM catp
+            WHERE TRY_CAST(regexp_extract(url, '/([0-9]+)\\.pdf$', 1) AS BIGINT) IN (SELECT doc_id FROM labels WHERE quality = 1))
+SELECT category, pos, target_path AS path,
+       CASE WHEN url IS NULL OR """ + pystrip("url") + """ = '' THEN 'unavailable'
+            WHEN target_path IN (SELECT target_path FROM present) THEN 'skip'
+            ELSE 'fetch' END AS status
+FROM catp"""
+
+_SHARD_PLAN = """,
+wanted AS (SELECT path FROM fx_shards WHERE starts_with(path, 'data/python/') AND suffix(path, '.parquet')),
+plan AS (SELECT path, CASE WHEN EXISTS (SELECT 1 FROM fx_present p WHERE p.path = w.path AND p.length > 1000000)
+                           THEN 'skip' ELSE 'fetch' END AS status FROM wanted w)
+"""
+
+ORACLE["skip_by_size"] = _with("fx_shards", "fx_present") + _SHARD_PLAN + """
+SELECT path, status FROM plan"""
+
+ORACLE["pending_anti"] = _with("fx_manifest", "fx_outputs") + """
+SELECT path FROM fx_manifest WHERE path NOT IN (SELECT path FROM fx_outputs)"""
+
+ORACLE["done_semi"] = _with("fx_manifest", "fx_outputs") + """
+SELECT path FROM fx_manifest WHERE path IN (SELECT path FROM fx_outputs)"""
+
+# Path.with_suffix('.md') on the last component; Path.stem
+_STEM = ("CASE WHEN contains(ltrim({n}, '.'), '.') THEN regexp_extract({n}, '^(.*)\\.[^.]*$', 1) ELSE {n} END")
+
+ORACLE["target_mirrored"] = _with("fx_manifest") + _FILES + """
+SELECT path, CASE WHEN len(dirs) > 0 THEN array_to_string(dirs, '/') || '/' ELSE '' END
+             || """ + _STEM.format(n="fname") + """ || '.md' AS target_path
+FROM f WHERE suffix(path, '.pdf')"""
+
+_NESTED = """,
+nested AS (SELECT path, array_to_string(list_append(dirs, 'Converted'), '/') || '/' || """ + _STEM.format(n="fname") + """ || '.md' AS target_path
+           FROM f WHERE suffix(lower(fname), '.pdf') AND NOT list_contains(dirs, 'Converted'))
+"""
+
+ORACLE["target_nested"] = _with("fx_manifest") + _FILES + _NESTED + """
+SELECT path, target_path FROM nested"""
+
+ORACLE["target_collisions"] = _with("fx_manifest") + _FILES + _NESTED + """
+SELECT target_path, count(*) AS n_sources, min(path) AS first_source, max(path) AS last_source
+FROM nested GROUP BY target_path HAVING count(*) > 1"""
+
+_SHARD_RUN = _SHARD_PLAN + """,
+run AS (SELECT p.path,
+               CASE WHEN p.status = 'skip' THEN 'skip' ELSE coalesce(l.outcome, 'fail') END AS status
+        FROM plan p LEFT JOIN fx_fetch_log l ON l.path = p.path)
+"""
+
+ORACLE["run_report"] = _with("fx_shards", "fx_present", "fx_fetch_log") + _SHARD_RUN + """
+SELECT count(*) AS n_total, count(*) FILTER (WHERE status = 'success') AS n_success,
+       count(*) FILTER (WHERE status = 'skip') AS n_skip, count(*) FILTER (WHERE status = 'fail') AS n_fail,
+       count(*) FILTER (WHERE status IN ('success', 'fail')) AS n_attempted
+FROM run"""
+
+ORACLE["status_details"] = _with("fx_shards", "fx_present", "fx_fetch_log") + _SHARD_RUN + """
+SELECT path, upper(status) || ': ' || CASE WHEN status = 'fail' THEN path ELSE string_split(path, '/')[-1] END AS detail
+FROM run"""
+
+ORACLE["progress_every_10"] = _with("fx_shards", "fx_present", "fx_fetch_log") + _SHARD_RUN + """
+SELECT pos, success, skip, fail FROM (
+  SELECT row_number() OVER w AS pos,
+         sum(CASE WHEN status = 'success' THEN 1 ELSE 0 END) OVER w AS success,
+         sum(CASE WHEN status = 'skip' THEN 1 ELSE 0 END) OVER w AS skip,
+         sum(CASE WHEN status = 'fail' THEN 1 ELSE 0 END) OVER w AS fail
+  FROM run
+  WINDOW w AS (ORDER BY string_split(path, '/') ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+WHERE pos % 10 = 0"""
+
+ORACLE["shard_preview"] = _with("fx_shards") + """,
+s AS (SELECT path FROM fx_shards WHERE starts_with(path, 'data/python/') AND suffix(path, '.parquet'))
+SELECT * FROM (SELECT 'first' AS part, path FROM s ORDER BY string_split(path, '/') LIMIT 3)
+UNION ALL
+SELECT * FROM (SELECT 'last' AS part, path FROM s ORDER BY string_split(path, '/') DESC LIMIT 3)"""

@@ -135,3 +135,141 @@ def order_parts(spark, sf_dir):
     """SRT-02, SRT-03: order by path components, as positions."""
     m = fixture(spark, sf_dir, "fx_manifest").select("path")
     return O.with_position(m, [P.component_order_key(F.col("path"))])
+
+
+# ----------------------------------------------------------- scans/plans --
+
+from corpusmill.operators import planning as PL  # noqa: E402
+from corpusmill.operators import report as R  # noqa: E402
+from corpusmill.sources import catalogue as C  # noqa: E402
+from corpusmill.sources import manifest as M  # noqa: E402
+from corpusmill.sources import select as S  # noqa: E402
+
+
+@query
+def file_manifest(spark, sf_dir):
+    """SRC-01, FLT-03: list the table folder itself (every file kept)."""
+    return M.list_files(spark, sf_dir).select("path", "length")
+
+
+@query
+def scan_pdf_strict(spark, sf_dir):
+    """SRC-04."""
+    return S.pdf_files_strict(fixture(spark, sf_dir, "fx_manifest")).select("path")
+
+
+@query
+def scan_pdf_pruned(spark, sf_dir):
+    """SRC-05, FLT-04."""
+    return S.pdf_files_pruned(fixture(spark, sf_dir, "fx_manifest")).select("path")
+
+
+@query
+def shards_by_prefix(spark, sf_dir):
+    """SRC-06."""
+    return S.shards_by_prefix(fixture(spark, sf_dir, "fx_shards"), "data/python").select("path")
+
+
+@query
+def shards_by_suffix(spark, sf_dir):
+    """SRC-07, FLT-05."""
+    return S.shards_by_suffix(fixture(spark, sf_dir, "fx_shards")).select("path")
+
+
+@query
+def catalogue_rows(spark, sf_dir):
+    """SRC-08, PRJ-07, STR-09..11, WIN-01."""
+    return C.target_paths(fixture(spark, sf_dir, "fx_catalogue")).select(
+        "category", "pos", "url", "filename", "target_path")
+
+
+def _catalogue_present(spark, sf_dir):
+    # downloaded by an earlier run: the entries whose document was labelled
+    # good (the URL carries the document id)
+    rows = C.target_paths(fixture(spark, sf_dir, "fx_catalogue"))
+    doc = F.regexp_extract("url", r"/([0-9]+)\.pdf$", 1)
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet").where("quality = 1")
+    hit = rows.withColumn("doc_id", F.when(doc != "", doc.cast("bigint"))) \
+              .join(labels.select("doc_id"), "doc_id", "left_semi")
+    return hit.select(F.col("target_path").alias("path"))
+
+
+@query
+def acquisition_plan(spark, sf_dir):
+    """JOB-04, FLT-06: unavailable / skip / fetch per catalogue entry."""
+    wanted = C.target_paths(fixture(spark, sf_dir, "fx_catalogue")).select(
+        "category", "pos", "url", F.col("target_path").alias("path"))
+    plan = PL.plan_acquisition(wanted, _catalogue_present(spark, sf_dir), url_col="url")
+    return plan.select("category", "pos", "path", "status")
+
+
+@query
+def skip_by_size(spark, sf_dir):
+    """JON-02, FLT-07: present and strictly larger than 1,000,000 bytes."""
+    wanted = S.shards_by_prefix(fixture(spark, sf_dir, "fx_shards"), "data/python").select("path")
+    plan = PL.plan_acquisition(wanted, fixture(spark, sf_dir, "fx_present"), min_bytes=PL.SHARD_MIN_BYTES)
+    return plan
+
+
+@query
+def pending_anti(spark, sf_dir):
+    """JON-01: not yet done."""
+    return PL.pending(fixture(spark, sf_dir, "fx_manifest").select("path"), fixture(spark, sf_dir, "fx_outputs"))
+
+
+@query
+def done_semi(spark, sf_dir):
+    """JON-04: already done."""
+    return PL.already_done(fixture(spark, sf_dir, "fx_manifest").select("path"), fixture(spark, sf_dir, "fx_outputs"))
+
+
+@query
+def target_mirrored(spark, sf_dir):
+    """PRJ-08, STR-12: mirrored tree, suffix → .md."""
+    return PL.mirrored_target(S.pdf_files_strict(fixture(spark, sf_dir, "fx_manifest")).select("path"))
+
+
+@query
+def target_nested(spark, sf_dir):
+    """PRJ-09: Converted/ next to the source."""
+    return PL.nested_target(S.pdf_files_pruned(fixture(spark, sf_dir, "fx_manifest")).select("path"))
+
+
+@query
+def target_collisions(spark, sf_dir):
+    """Two sources, one target (edge rule d), on the case-insensitive scan."""
+    t = PL.nested_target(S.pdf_files_pruned(fixture(spark, sf_dir, "fx_manifest")).select("path"))
+    return PL.target_collisions(t).select("target_path", F.col("n_sources").cast("bigint").alias("n_sources"),
+                                          "first_source", "last_source")
+
+
+def _shard_run(spark, sf_dir):
+    wanted = S.shards_by_prefix(fixture(spark, sf_dir, "fx_shards"), "data/python").select("path")
+    plan = PL.plan_acquisition(wanted, fixture(spark, sf_dir, "fx_present"), min_bytes=PL.SHARD_MIN_BYTES)
+    return PL.apply_outcomes(plan, fixture(spark, sf_dir, "fx_fetch_log"))
+
+
+@query
+def run_report(spark, sf_dir):
+    """JON-03, AGG-03, AGG-07, SNK-06: tally of a fetch run."""
+    return R.tally(_shard_run(spark, sf_dir))
+
+
+@query
+def status_details(spark, sf_dir):
+    """PRJ-10, STR-13, STR-15: one detail line per item."""
+    return R.detail_lines(_shard_run(spark, sf_dir))
+
+
+@query
+def progress_every_10(spark, sf_dir):
+    """WIN-03: running counts after every 10th item, in path order."""
+    return R.progress(_shard_run(spark, sf_dir), [P.component_order_key(F.col("path"))])
+
+
+@query
+def shard_preview(spark, sf_dir):
+    """SRT-05: first three and last three shards."""
+    s = S.shards_by_prefix(fixture(spark, sf_dir, "fx_shards"), "data/python").select("path")
+    key = P.component_order_key(F.col("path"))
+    return O.first_and_last(s, [key], 3, desc_by=[key.desc()]).select("part", "path")
