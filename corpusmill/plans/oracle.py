@@ -227,3 +227,150 @@ s AS (SELECT path FROM fx_shards WHERE starts_with(path, 'data/python/') AND suf
 SELECT * FROM (SELECT 'first' AS part, path FROM s ORDER BY string_split(path, '/') LIMIT 3)
 UNION ALL
 SELECT * FROM (SELECT 'last' AS part, path FROM s ORDER BY string_split(path, '/') DESC LIMIT 3)"""
+
+
+# ------------------------------------------------------ text / citations --
+
+WS = ("[\\x{0009}-\\x{000d}\\x{001c}-\\x{0020}\\x{0085}\\x{00a0}\\x{1680}\\x{2000}-\\x{200a}"
+      "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")
+SEP = "\\r\\n|[\\x{000a}-\\x{000d}\\x{001c}-\\x{001e}\\x{0085}\\x{2028}\\x{2029}]"
+
+# clean_markdown from its statement: split lines, rstrip each, drop a blank
+# line that follows a blank line, join, strip, one final line break
+_CLEAN = """,
+lines AS (SELECT doc_id, list_transform(string_split_regex(text, '""" + SEP + """'),
+                                        lambda l: regexp_replace(l, '""" + WS + """+$', '')) AS ls
+          FROM fx_noisy_text),
+cm AS (SELECT doc_id, """ + pystrip("array_to_string(list_filter(ls, lambda x, i: x <> '' OR i = 1 OR ls[i - 1] <> ''), chr(10))") + """ || chr(10) AS md
+       FROM lines)
+"""
+_REFS = ("regexp_extract(md, '(?im)^#{1,3}" + WS + "*(?:references|bibliography|works cited)" + WS
+         + "*$(?s:.*)', 0)")
+
+ORACLE["file_extension"] = _with("fx_manifest") + _FILES + """
+SELECT path, lower(ext) AS ext FROM fe"""
+
+ORACLE["strip_text"] = _with("fx_noisy_text") + """
+SELECT doc_id, """ + pystrip("text") + """ AS text FROM fx_noisy_text"""
+
+ORACLE["clean_markdown"] = _with("fx_noisy_text") + _CLEAN + """
+SELECT doc_id, md FROM cm"""
+
+ORACLE["references_section"] = _with("fx_noisy_text") + _CLEAN + """
+SELECT doc_id, """ + _REFS + """ AS "references" FROM cm"""
+
+ORACLE["references_truncated"] = _with("fx_noisy_text") + _CLEAN + """
+SELECT doc_id, substring(""" + _REFS + """, 1, 8000) AS "references", substring(md, 1, 8000) AS md_head,
+       CAST(length(md) AS BIGINT) AS n_chars FROM cm"""
+
+# fence: strip; if it starts with ``` keep the text between the first two
+# fences; drop a leading 'json'
+_FENCE = """,
+st AS (SELECT conv_id, turn, """ + pystrip("response") + """ AS s FROM fx_responses),
+fenced AS (SELECT conv_id, turn,
+                  CASE WHEN starts_with(s, '```') THEN
+                       CASE WHEN starts_with(coalesce(string_split(s, '```')[2], ''), 'json')
+                            THEN substring(string_split(s, '```')[2], 5)
+                            ELSE coalesce(string_split(s, '```')[2], '') END
+                  ELSE s END AS raw
+           FROM st)
+"""
+
+_PARSED = _FENCE + """,
+parsed AS (SELECT conv_id, turn, raw,
+                  (regexp_matches(raw, '(?s)^""" + WS + """*\\[.*\\]""" + WS + """*$') AND json_valid(raw)) AS ok
+           FROM fenced),
+items AS (SELECT conv_id, turn, unnest(json_extract(raw, '$[*]')) AS item,
+                 generate_subscripts(json_extract(raw, '$[*]'), 1) AS pos
+          FROM parsed WHERE ok)
+"""
+
+ORACLE["strip_fence"] = _with("fx_responses") + _FENCE + """
+SELECT conv_id, turn, raw FROM fenced"""
+
+ORACLE["citations_from_json"] = _with("fx_responses") + _PARSED + """
+SELECT conv_id, turn, CAST(pos AS INTEGER) AS pos,
+       json_extract_string(item, '$.id') AS id,
+       array_to_string(CAST(json_extract(item, '$.authors') AS VARCHAR[]), '; ') AS authors,
+       CAST(len(CAST(json_extract(item, '$.authors') AS VARCHAR[])) AS INTEGER) AS n_authors,
+       json_extract_string(item, '$.year') AS year, json_extract_string(item, '$.title') AS title,
+       json_extract_string(item, '$.venue') AS venue, json_extract_string(item, '$.doi') AS doi
+FROM items"""
+
+ORACLE["citation_counts"] = _with("fx_responses") + _PARSED + """
+SELECT conv_id, turn, CAST(json_array_length(CASE WHEN ok THEN raw ELSE '[]' END) AS INTEGER) AS n_citations,
+       NOT ok AS parse_error
+FROM parsed"""
+
+ORACLE["citations_nonempty"] = _with("fx_responses") + _PARSED + """
+SELECT conv_id, turn, n AS n_citations FROM (
+  SELECT conv_id, turn, CAST(json_array_length(CASE WHEN ok THEN raw ELSE '[]' END) AS INTEGER) AS n FROM parsed)
+WHERE n > 0"""
+
+ORACLE["citations_rules"] = _with("fx_noisy_text") + _CLEAN + """,
+refs AS (SELECT doc_id, """ + _REFS + """ AS r FROM cm),
+ent AS (SELECT doc_id, unnest(regexp_extract_all(r, '(?m)^\\[[^\\]\\n]*\\][^\\n]*(?:\\n[^\\[#\\n][^\\n]*)*', 0)) AS e,
+               generate_subscripts(regexp_extract_all(r, '(?m)^\\[[^\\]\\n]*\\][^\\n]*(?:\\n[^\\[#\\n][^\\n]*)*', 0), 1) AS pos
+        FROM refs),
+k AS (SELECT doc_id, pos, e, regexp_extract(e, '^(\\[[^\\]\\n]*\\])', 1) AS id FROM ent),
+b AS (SELECT doc_id, pos, id, """ + pystrip("regexp_replace(substring(e, length(id) + 1), '" + WS + "+', ' ', 'g')") + """ AS body FROM k),
+d AS (SELECT doc_id, pos, id, regexp_extract(body, '10\\.[0-9]{4,9}/[^ ]*[^ .,;]', 0) AS doi,
+             """ + pystrip("regexp_replace(body, '10\\.[0-9]{4,9}/[^ ]*[^ .,;]', '', 'g')") + """ AS rest FROM b),
+s AS (SELECT doc_id, pos, id, doi, regexp_extract(rest, '(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)', 1) AS year,
+             list_transform(regexp_extract_all(rest, '(?:\\p{Lu}\\. |[^.])+', 0), lambda x: """ + pystrip("x") + """) AS sent
+      FROM d),
+a AS (SELECT *, list_filter(string_split_regex(coalesce(sent[1], ''), ' *, *| +and +'), lambda x: x <> '') AS au FROM s)
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, id, array_to_string(au, '; ') AS authors, CAST(len(au) AS INTEGER) AS n_authors,
+       year, coalesce(sent[2], '') AS title,
+       """ + pystrip("regexp_replace(regexp_replace(coalesce(sent[3], ''), '(?:19|20)[0-9]{2}', '', 'g'), '[ ,;:]+$', '')") + """ AS venue,
+       doi
+FROM a"""
+
+# HTML → Markdown, rule by rule
+_HTML_RULES = [
+    ("(?s)<!--.*?-->", ""),
+    ("(?is)<head(?:\\s[^>]*)?>.*?</head\\s*>", ""),
+    ("(?is)<script(?:\\s[^>]*)?>.*?</script\\s*>", ""),
+    ("(?is)<style(?:\\s[^>]*)?>.*?</style\\s*>", ""),
+    ("(?is)<nav(?:\\s[^>]*)?>.*?</nav\\s*>", ""),
+    ("(?is)<footer(?:\\s[^>]*)?>.*?</footer\\s*>", ""),
+] + [(f"(?i)<h{n}(?:\\s[^>]*)?>", "\n\n" + "#" * n + " ") for n in range(1, 7)] + [
+    ("(?i)</h[1-6]\\s*>", "\n\n"),
+    ("(?i)<li(?:\\s[^>]*)?>", "\n- "), ("(?i)</li\\s*>", ""),
+    ("(?i)<br\\s*/?>", "\n"),
+    ("(?i)<p(?:\\s[^>]*)?>", "\n\n"), ("(?i)</p\\s*>", "\n\n"),
+    ("(?i)<tr(?:\\s[^>]*)?>", "\n|"), ("(?i)</tr\\s*>", ""),
+    ("(?i)<t[dh](?:\\s[^>]*)?>", " "), ("(?i)</t[dh]\\s*>", " |"),
+    ("(?s)<[^>]*>", ""),
+]
+_ENTS = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
+         ("&copy;", "©"), ("&middot;", "·"), ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&")]
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+def _html_expr(col: str) -> str:
+    e = col
+    for p, r in _HTML_RULES:
+        e = f"regexp_replace({e}, {_sql_str(p)}, {_sql_str(r)}, 'g')"
+    for a, b in _ENTS:
+        e = f"replace({e}, {_sql_str(a)}, {_sql_str(b)})"
+    return e
+
+
+_CONVERTED = """
+conv AS (SELECT page_id, NOT regexp_matches(html, '(?i)</html\\s*>') AS bad, """ + _html_expr("html") + """ AS text
+         FROM pages),
+lines AS (SELECT page_id, bad, list_transform(string_split_regex(text, '""" + SEP + """'),
+                                              lambda l: regexp_replace(l, '""" + WS + """+$', '')) AS ls FROM conv),
+res AS (SELECT page_id, CASE WHEN bad THEN 'error' ELSE 'ok' END AS status,
+               CASE WHEN bad THEN NULL ELSE """ + pystrip("array_to_string(list_filter(ls, lambda x, i: x <> '' OR i = 1 OR ls[i - 1] <> ''), chr(10))") + """ || chr(10) END AS md,
+               CASE WHEN bad THEN 'incomplete document: no closing </html>' END AS error
+        FROM lines)
+"""
+
+ORACLE["convert_documents"] = "WITH" + _CONVERTED + "SELECT page_id, status, md, error FROM res"
+
+ORACLE["failures"] = "WITH" + _CONVERTED + "SELECT page_id, error FROM res WHERE status = 'error'"

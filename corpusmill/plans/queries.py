@@ -273,3 +273,111 @@ def shard_preview(spark, sf_dir):
     s = S.shards_by_prefix(fixture(spark, sf_dir, "fx_shards"), "data/python").select("path")
     key = P.component_order_key(F.col("path"))
     return O.first_and_last(s, [key], 3, desc_by=[key.desc()]).select("part", "path")
+
+
+# ------------------------------------------------------ text / citations --
+
+from corpusmill.functions import text as T  # noqa: E402
+from corpusmill.operators import citations as CI  # noqa: E402
+from corpusmill.operators import convert as CV  # noqa: E402
+
+
+@query
+def file_extension(spark, sf_dir):
+    """STR-01: os.path.splitext(name)[1].lower()."""
+    m = fixture(spark, sf_dir, "fx_manifest")
+    return m.select("path", P.lower_extension(P.file_name(F.col("path"))).alias("ext"))
+
+
+@query
+def strip_text(spark, sf_dir):
+    """STR-02: str.strip() over all 29 blank characters."""
+    t = fixture(spark, sf_dir, "fx_noisy_text")
+    return t.select("doc_id", T.py_strip("text").alias("text"))
+
+
+@query
+def clean_markdown(spark, sf_dir):
+    """STR-03, STR-04."""
+    t = fixture(spark, sf_dir, "fx_noisy_text")
+    return t.select("doc_id", T.clean_markdown("text").alias("md"))
+
+
+@query
+def references_section(spark, sf_dir):
+    """STR-05, JOB-06: section after clean-up ('' when none)."""
+    t = CI.references(fixture(spark, sf_dir, "fx_noisy_text"), "text")
+    return t.select("doc_id", "references")
+
+
+@query
+def references_truncated(spark, sf_dir):
+    """STR-06: first 8,000 characters (code points) of the section and of
+    the whole cleaned text."""
+    t = fixture(spark, sf_dir, "fx_noisy_text").select("doc_id", T.clean_markdown("text").alias("md"))
+    return t.select("doc_id", T.truncate_chars(T.references_section("md")).alias("references"),
+                    T.truncate_chars("md").alias("md_head"),
+                    F.char_length("md").cast("bigint").alias("n_chars"))
+
+
+@query
+def strip_fence(spark, sf_dir):
+    """STR-07."""
+    r = fixture(spark, sf_dir, "fx_responses")
+    return r.select("conv_id", "turn", T.strip_fence("response").alias("raw"))
+
+
+def _flat_citations(df, keys):
+    return df.select(*keys, "pos", "id", F.array_join("authors", "; ").alias("authors"),
+                     F.size("authors").cast("int").alias("n_authors"), "year", "title", "venue", "doi")
+
+
+@query
+def citations_from_json(spark, sf_dir):
+    """STR-08, JOB-08: one row per parsed citation."""
+    r = CI.parse_citation_responses(fixture(spark, sf_dir, "fx_responses"), "response", ["conv_id", "turn"])
+    return _flat_citations(r, ["conv_id", "turn"])
+
+
+@query
+def citation_counts(spark, sf_dir):
+    """AGG-05: citations per answer, with the parse flag."""
+    return CI.citation_counts(fixture(spark, sf_dir, "fx_responses"), "response", ["conv_id", "turn"])
+
+
+@query
+def citations_nonempty(spark, sf_dir):
+    """SNK-04: the answers whose citation file is written (at least one)."""
+    c = CI.citation_counts(fixture(spark, sf_dir, "fx_responses"), "response", ["conv_id", "turn"])
+    return c.where(F.col("n_citations") > 0).select("conv_id", "turn", "n_citations")
+
+
+@query
+def citations_rules(spark, sf_dir):
+    """JOB-07: rule-based citations from the references sections."""
+    t = CI.references(fixture(spark, sf_dir, "fx_noisy_text"), "text").select("doc_id", "references")
+    return _flat_citations(CI.extract_citations(t, "references", ["doc_id"]), ["doc_id"])
+
+
+def _pages(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+
+
+@query
+def convert_documents(spark, sf_dir):
+    """JOB-05, SNK-03: native HTML → Markdown with per-page status."""
+    return CV.convert_html(_pages(spark, sf_dir).select("page_id", "html"), "html", ["page_id"])
+
+
+@query
+def failures(spark, sf_dir):
+    """FLT-08: the failed conversions and their error text."""
+    res = CV.convert_html(_pages(spark, sf_dir).select("page_id", "html"), "html", ["page_id"])
+    return R.failures(res).select("page_id", "error")
+
+
+@query
+def convert_with_errors(spark, sf_dir):
+    """UDF-01: a Python converter per page through mapInPandas; a page that
+    raises becomes an error row."""
+    return CV.convert_with(_pages(spark, sf_dir), CV.stdlib_html_converter, "page_id", "html")
