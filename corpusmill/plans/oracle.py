@@ -374,3 +374,9 @@ res AS (SELECT page_id, CASE WHEN bad THEN 'error' ELSE 'ok' END AS status,
 ORACLE["convert_documents"] = "WITH" + _CONVERTED + "SELECT page_id, status, md, error FROM res"
 
 ORACLE["failures"] = "WITH" + _CONVERTED + "SELECT page_id, error FROM res WHERE status = 'error'"
+
+
+# ------------------------------------------------------- sinks / streams --
+
+ORACLE["csv_round_trip"] = ORACLE["rows_images"]
+ORACLE["incremental_run"] = ORACLE["convert_documents"]

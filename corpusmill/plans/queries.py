@@ -381,3 +381,40 @@ def convert_with_errors(spark, sf_dir):
     """UDF-01: a Python converter per page through mapInPandas; a page that
     raises becomes an error row."""
     return CV.convert_with(_pages(spark, sf_dir), CV.stdlib_html_converter, "page_id", "html")
+
+
+# ------------------------------------------------------- sinks / streams --
+
+from corpusmill.session import work_path  # noqa: E402
+from corpusmill.sources import sinks as SK  # noqa: E402
+from corpusmill.streaming import incremental as INC  # noqa: E402
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """SNK-01: labelled rows written as CSV (Python csv conventions) and read
+    back unchanged."""
+    spec = L.LabelSpec.default(3)
+    rows = L.label_rows(fixture(spark, sf_dir, "fx_manifest"), spec, order=True)
+    path = work_path(spark, "csv")
+    SK.write_csv(rows, path, spec.active_headers())
+    return SK.read_csv(spark, path, spec.active_headers())
+
+
+PAGES_SCHEMA = "page_id BIGINT, url STRING, html STRING"
+
+
+def _convert_pages(df):
+    return CV.convert_html(df.select("page_id", "html"), "html", ["page_id"])
+
+
+@query
+def incremental_run(spark, sf_dir):
+    """STM-01: two runs of the streaming conversion over the pages table;
+    the second finds nothing new and retries the failures. The end state
+    per page equals a one-shot conversion."""
+    state = work_path(spark, "incremental")
+    for _ in range(2):
+        INC.stream_convert(spark, sf_dir, PAGES_SCHEMA, _convert_pages, "page_id",
+                           state_dir=state, glob="pages.parquet")
+    return INC.latest_status(spark, f"{state}/results", "page_id").select("page_id", "status", "md", "error")
