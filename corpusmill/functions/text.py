@@ -20,6 +20,12 @@ SEP = r"\r\n|[\x{000a}-\x{000d}\x{001c}-\x{001e}\x{0085}\x{2028}\x{2029}]"
 # Blanks that are not line boundaries (WS minus the SEP characters).
 HS = (r"[\x{0009}\x{001f}\x{0020}\x{00a0}\x{1680}\x{2000}-\x{200a}"
       r"\x{202f}\x{205f}\x{3000}]")
+# The same two sets as plain characters, for the non-regex trim functions.
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200b))
+            + "\u2028\u2029\u202f\u205f\u3000")
+HS_CHARS = ("\t\x1f \xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200b)) + "\u202f\u205f\u3000")
+# Line boundaries other than \n and \r\n.
+OTHER_LINE_ENDS = r"[\r\x{000b}\x{000c}\x{001c}-\x{001e}\x{0085}\x{2028}\x{2029}]"
 # Characters removed from file names: \ / : * ? " < > |
 BAD_FILENAME_CHARS = '\\/:*?"<>|'
 # Headings that open a references section (levels 1 to 3, any case).
@@ -37,18 +43,19 @@ def _c(col: Column | str) -> Column:
 
 
 def py_strip(col: Column | str) -> Column:
-    """``str.strip()``: remove all 29 Unicode blanks at both ends."""
-    return F.regexp_replace(_c(col), r"\A" + WS + "+|" + WS + r"+\z", "")
+    """``str.strip()``: remove all 29 Unicode blanks at both ends. ``btrim``
+    with an explicit character set touches only the ends (no regex scan)."""
+    return F.btrim(_c(col), F.lit(WS_CHARS))
 
 
-def py_rstrip(col: Column | str) -> Column:
-    """``str.rstrip()``."""
-    return F.regexp_replace(_c(col), WS + r"+\z", "")
+def py_rstrip(col: Column | str, chars: str = WS_CHARS) -> Column:
+    """``str.rstrip()`` (``rtrim(trimStr, str)``)."""
+    return F.call_function("rtrim", F.lit(chars), _c(col))
 
 
-def py_lstrip(col: Column | str) -> Column:
-    """``str.lstrip()``."""
-    return F.regexp_replace(_c(col), r"\A" + WS + "+", "")
+def py_lstrip(col: Column | str, chars: str = WS_CHARS) -> Column:
+    """``str.lstrip()`` (``ltrim(trimStr, str)``)."""
+    return F.call_function("ltrim", F.lit(chars), _c(col))
 
 
 def split_lines(col: Column | str) -> Column:
@@ -67,13 +74,16 @@ def clean_markdown(col: Column | str) -> Column:
     Rule: split into lines at every Python line end, strip the right end of
     each line, keep only the first of several consecutive blank lines, join
     with ``\\n``, strip the whole text and end it with exactly one ``\\n``.
-    Expressed as four regex passes over the whole string (no array round trip):
-    normalise line ends, drop trailing blanks before each line end, collapse
-    three or more line ends to two, strip.
+
+    Cost-driven form: line ends are unified by a literal replace and one
+    character-class pass; the split on ``\\n`` takes Java's single-character
+    fast path; ``rtrim`` per line touches only line ends; the blank-run
+    collapse is a pattern that starts with a literal. (A regex that must be
+    tried at every blank, such as ``\\s+$``, was four times slower.)
     """
-    c = F.regexp_replace(_c(col), SEP, "\n")
-    c = F.regexp_replace(c, HS + r"+(\n|\z)", "$1")
-    c = F.regexp_replace(c, r"\n{3,}", "\n\n")
+    c = F.regexp_replace(F.replace(_c(col), F.lit("\r\n"), F.lit("\n")), OTHER_LINE_ENDS, "\n")
+    lines = F.transform(F.split(c, "\n", -1), lambda x: py_rstrip(x, HS_CHARS))
+    c = F.regexp_replace(F.array_join(lines, "\n"), r"\n{3,}", "\n\n")
     return F.concat(py_strip(c), F.lit("\n"))
 
 

@@ -328,12 +328,8 @@ FROM a"""
 
 # HTML → Markdown, rule by rule
 _HTML_RULES = [
-    ("(?s)<!--.*?-->", ""),
-    ("(?is)<head(?:\\s[^>]*)?>.*?</head\\s*>", ""),
-    ("(?is)<script(?:\\s[^>]*)?>.*?</script\\s*>", ""),
-    ("(?is)<style(?:\\s[^>]*)?>.*?</style\\s*>", ""),
-    ("(?is)<nav(?:\\s[^>]*)?>.*?</nav\\s*>", ""),
-    ("(?is)<footer(?:\\s[^>]*)?>.*?</footer\\s*>", ""),
+    ("(?is)<!--.*?-->|<head(?:\\s[^>]*)?>.*?</head\\s*>|<script(?:\\s[^>]*)?>.*?</script\\s*>"
+     "|<style(?:\\s[^>]*)?>.*?</style\\s*>|<nav(?:\\s[^>]*)?>.*?</nav\\s*>|<footer(?:\\s[^>]*)?>.*?</footer\\s*>", ""),
 ] + [(f"(?i)<h{n}(?:\\s[^>]*)?>", "\n\n" + "#" * n + " ") for n in range(1, 7)] + [
     ("(?i)</h[1-6]\\s*>", "\n\n"),
     ("(?i)<li(?:\\s[^>]*)?>", "\n- "), ("(?i)</li\\s*>", ""),
