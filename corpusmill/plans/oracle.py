@@ -376,3 +376,16 @@ ORACLE["failures"] = "WITH" + _CONVERTED + "SELECT page_id, error FROM res WHERE
 
 ORACLE["csv_round_trip"] = ORACLE["rows_images"]
 ORACLE["incremental_run"] = ORACLE["convert_documents"]
+
+ORACLE["conversion_report"] = """
+SELECT count(*) AS n_total, CAST(0 AS BIGINT) AS n_ok,
+       count(*) FILTER (WHERE regexp_matches(html, '(?i)</html\\s*>')) AS n_skipped,
+       count(*) FILTER (WHERE NOT regexp_matches(html, '(?i)</html\\s*>')) AS n_error,
+       count(*) FILTER (WHERE NOT regexp_matches(html, '(?i)</html\\s*>')) AS n_attempted
+FROM pages"""
+
+ORACLE["spec_json"] = _with("fx_manifest") + _FILES + """,
+d AS (SELECT CAST(coalesce(max(len(dirs)), 0) AS INTEGER) AS m FROM img),
+slots AS (SELECT 'filename' AS slot UNION ALL SELECT 'path'
+          UNION ALL SELECT 'level_' || i FROM (SELECT unnest(range(1, m + 1)) AS i FROM d))
+SELECT slot, slot AS header, true AS enabled, (SELECT m FROM d) AS max_depth FROM slots"""

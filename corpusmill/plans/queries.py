@@ -418,3 +418,28 @@ def incremental_run(spark, sf_dir):
         INC.stream_convert(spark, sf_dir, PAGES_SCHEMA, _convert_pages, "page_id",
                            state_dir=state, glob="pages.parquet")
     return INC.latest_status(spark, f"{state}/results", "page_id").select("page_id", "status", "md", "error")
+
+
+@query
+def conversion_report(spark, sf_dir):
+    """JOB-09 over an incremental batch run: the second run of the page
+    conversion skips what the first finished and retries the failures."""
+    state = work_path(spark, "convert-runs")
+    pages = _pages(spark, sf_dir).select("page_id", "html")
+    INC.convert_run(spark, pages, _convert_pages, "page_id", state)
+    second = INC.convert_run(spark, pages, _convert_pages, "page_id", state)
+    return R.tally(second, R.CONVERT_STATUSES, ok="ok", fail="error")
+
+
+@query
+def spec_json(spark, sf_dir):
+    """SNK-05, SRC-09: the discovered spec written as JSON and read back as
+    the column spec of the next run."""
+    spec, _ = L.discover_structure(fixture(spark, sf_dir, "fx_manifest"))
+    path = work_path(spark, "spec") + "/dataset_config.json"
+    SK.write_text_file(spark, path, spec.to_json())
+    raw = spark.read.option("multiLine", "true").json(path)
+    cols = raw.select("max_depth", F.posexplode(F.map_entries(F.from_json(
+        F.to_json("columns"), "map<string, struct<header: string, enabled: boolean>>"))).alias("i", "e"))
+    return cols.select(F.col("e.key").alias("slot"), F.col("e.value.header").alias("header"),
+                       F.col("e.value.enabled").alias("enabled"), F.col("max_depth").cast("int").alias("max_depth"))

@@ -120,3 +120,22 @@ def _next_batch(spark: SparkSession, results_path: str) -> int:
         return 1
     m = res.agg(F.max("batch")).first()[0]
     return (m + 1) if m is not None else 1
+
+
+def convert_run(spark: SparkSession, inputs: DataFrame, convert: Converter, key: str,
+                state_dir: str) -> DataFrame:
+    """Batch form of one incremental run (JON-01, JOB-09): converts the
+    inputs not finished before, and returns this run's status per input —
+    ``skipped`` for work finished earlier, else the conversion result. The
+    returned rows are read back from the written batch, so later actions do
+    not convert again."""
+    results, retry = f"{state_dir}/results", f"{state_dir}/retry"
+    before = finished_keys(spark, results, key)
+    seq = _next_batch(spark, results)
+    run_batch(spark, inputs, convert, key, results, retry, seq)
+    this = spark.read.parquet(f"{results}/batch={seq}")
+    skipped = (inputs.select(key).join(before, key, "left_semi") if before is not None
+               else inputs.select(key).limit(0))
+    skipped = skipped.select(key, F.lit("skipped").alias("status"),
+                             F.lit(None).cast("string").alias("md"), F.lit(None).cast("string").alias("error"))
+    return this.select(key, "status", "md", "error").unionByName(skipped)
