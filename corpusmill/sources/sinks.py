@@ -70,5 +70,5 @@ def read_text_file(spark: SparkSession, path: str) -> str | None:
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(hpath):
         return None
-    rows = spark.read.option("wholetext", "true").text(path).collect()
+    rows = spark.read.text(path, wholetext=True).collect()
     return rows[0][0] if rows else ""

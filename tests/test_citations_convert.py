@@ -97,3 +97,25 @@ def test_write_citations_only_nonempty(spark, tmp_path):
     CI.write_citations(df.select("d", cits.alias("citations")), "citations", out, ["d"])
     assert [r.d for r in spark.read.json(out).collect()] == [1]
     assert F is not None
+
+
+def test_jobs_end_to_end(spark, tmp_path, tree):
+    from corpusmill.plans import jobs
+    from corpusmill.sources import manifest as M
+    root, _ = tree
+    m = M.list_files(spark, str(root))
+    out = str(tmp_path / "labels")
+    first = jobs.label_job(spark, m, out)
+    assert first.rows is None and first.spec.max_depth == 3   # config written, stop
+    second = jobs.label_job(spark, m, out)
+    assert second.rows is not None
+    back = spark.read.option("header", True).csv(f"{out}/dataset_summary")
+    assert back.where("breakdown = 'Total images'").first()["n"] == str(second.rows.count())
+    pages = spark.createDataFrame([(1, "<html><h1>References</h1><p>[1] A. B. T. V, 2001.</p></html>"),
+                                   (2, "<p>cut")], "id BIGINT, html STRING")
+    state = str(tmp_path / "conv")
+    r1 = jobs.convert_job(spark, pages, "id", state, with_citations=True)
+    assert r1["report"].first()["n_ok"] == 1 and r1["citations"].count() == 1
+    r2 = jobs.convert_job(spark, pages, "id", state)
+    t = r2["report"].first()
+    assert (t.n_ok, t.n_skipped, t.n_error) == (0, 1, 1)
