@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusmill.sources.tables import read_table
+
 TABLES = ("documents", "pages", "labels", "events", "conversations")
 
 FX_SQL: dict[str, str] = {
@@ -114,16 +116,22 @@ FX_DEPS: dict[str, tuple[str, ...]] = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# Views whose rows feed CPU-heavy text rules: their tables are spread over
+# all cores when the scan is narrow (see sources.tables).
+TEXT_HEAVY = frozenset({"fx_noisy_text", "fx_responses"})
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
     """One of the given parquet tables."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, sf_dir, name, balance=balance)
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived view as a DataFrame (Spark SQL with DataFrame parameters)."""
     args = {}
     for dep in FX_DEPS[name]:
-        args[dep] = fixture(spark, sf_dir, dep) if dep in FX_SQL else table(spark, sf_dir, dep)
+        args[dep] = (fixture(spark, sf_dir, dep) if dep in FX_SQL
+                     else table(spark, sf_dir, dep, balance=name in TEXT_HEAVY))
     return spark.sql(FX_SQL[name], **args)
 
 

@@ -16,6 +16,7 @@ from corpusmill.functions import paths as P
 from corpusmill.operators import labels as L
 from corpusmill.operators import ordering as O
 from corpusmill.plans.fixtures import fixture
+from corpusmill.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -188,7 +189,7 @@ def _catalogue_present(spark, sf_dir):
     # good (the URL carries the document id)
     rows = C.target_paths(fixture(spark, sf_dir, "fx_catalogue"))
     doc = F.regexp_extract("url", r"/([0-9]+)\.pdf$", 1)
-    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet").where("quality = 1")
+    labels = read_table(spark, sf_dir, "labels", balance=False).where("quality = 1")
     hit = rows.withColumn("doc_id", F.when(doc != "", doc.cast("bigint"))) \
               .join(labels.select("doc_id"), "doc_id", "left_semi")
     return hit.select(F.col("target_path").alias("path"))
@@ -360,7 +361,7 @@ def citations_rules(spark, sf_dir):
 
 
 def _pages(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    return read_table(spark, sf_dir, "pages")
 
 
 @query
