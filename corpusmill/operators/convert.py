@@ -23,13 +23,13 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from corpusmill.functions import html as H
 from corpusmill.functions import text as T
 
 # --- Fixed values -------------------------------------------------------------
 INCOMPLETE_ERROR = "incomplete document: no closing </html>"
-RESULT_SCHEMA = "key STRING, status STRING, md STRING, error STRING"
 # --- end of fixed values --------------------------------------------------------
 
 
@@ -47,7 +47,7 @@ def convert_html(df: DataFrame, html_col: str = "html", key_cols: list[str] | No
     return df.select(*keys, status.alias("status"), md.alias("md"), error.alias("error"))
 
 
-def _run_converter(make: Callable[[], Callable], key_col: str, content_col: str, finish: str):
+def _run_converter(make: Callable[[], Callable], key_col: str, content_col: str):
     def run(batches):
         fn = make()  # once per Python worker, outside the batch loop
         for pdf in batches:
@@ -55,7 +55,8 @@ def _run_converter(make: Callable[[], Callable], key_col: str, content_col: str,
             for content in pdf[content_col]:
                 try:
                     md = fn(content)
-                    md = md.strip() + ("\n" if finish == "clean" and md.strip() else "")
+                    if not isinstance(md, str):
+                        raise TypeError(f"converter returned {type(md).__name__}, not str")
                     status.append("ok")
                     mds.append(md)
                     errors.append(None)
@@ -63,21 +64,23 @@ def _run_converter(make: Callable[[], Callable], key_col: str, content_col: str,
                     status.append("error")
                     mds.append(None)
                     errors.append(f"{type(exc).__name__}: {exc}")
-            yield pd.DataFrame({"key": pdf[key_col].astype(str), "status": status, "md": mds, "error": errors})
+            yield pd.DataFrame({key_col: pdf[key_col], "status": status, "md": mds, "error": errors})
     return run
 
 
 def convert_with(df: DataFrame, make_converter: Callable[[], Callable], key_col: str,
                  content_col: str, finish: str = "clean") -> DataFrame:
     """Pluggable converter (UDF-01): one output row per input row, errors
-    captured per row. ``make_converter`` returns the per-document function
-    (built once per worker, so heavy models load once). Native clean-up is
-    applied afterwards in the JVM when ``finish='clean'``."""
-    slim = df.select(F.col(key_col).cast("string").alias(key_col), content_col)
-    out = slim.mapInPandas(_run_converter(make_converter, key_col, content_col, "strip"), RESULT_SCHEMA)
-    if finish == "clean":
-        out = out.withColumn("md", F.when(F.col("status") == "ok", T.clean_markdown("md")))
-    return out.withColumnRenamed("key", key_col)
+    captured per row, the key keeps its type. ``make_converter`` returns the
+    per-document function (built once per worker, so heavy models load
+    once). The finish (``clean`` or ``strip``) runs afterwards in the JVM."""
+    slim = df.select(key_col, content_col)
+    schema = StructType([slim.schema[key_col], StructField("status", StringType()),
+                         StructField("md", StringType()), StructField("error", StringType())])
+    out = slim.mapInPandas(_run_converter(make_converter, key_col, content_col), schema)
+    ok = F.col("status") == "ok"
+    finished = T.clean_markdown("md") if finish == "clean" else T.strip_only("md")
+    return out.withColumn("md", F.when(ok, finished))
 
 
 def stdlib_html_converter() -> Callable[[str], str]:

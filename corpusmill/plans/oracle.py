@@ -389,3 +389,18 @@ d AS (SELECT CAST(coalesce(max(len(dirs)), 0) AS INTEGER) AS m FROM img),
 slots AS (SELECT 'filename' AS slot UNION ALL SELECT 'path'
           UNION ALL SELECT 'level_' || i FROM (SELECT unnest(range(1, m + 1)) AS i FROM d))
 SELECT slot, slot AS header, true AS enabled, (SELECT m FROM d) AS max_depth FROM slots"""
+
+ORACLE["data_files_plan"] = _with("fx_shards", "fx_present") + """
+SELECT w.path, CASE WHEN EXISTS (SELECT 1 FROM fx_present p WHERE p.path = w.path AND p.length > 100000)
+                    THEN 'skip' ELSE 'fetch' END AS status
+FROM fx_shards w
+WHERE (suffix(w.path, '.parquet') OR suffix(w.path, '.arrow') OR suffix(w.path, '.json')
+       OR suffix(w.path, '.jsonl') OR suffix(w.path, '.csv'))
+  AND NOT starts_with(w.path, '.') AND strpos(w.path, 'README') = 0"""
+
+ORACLE["convert_with_status"] = """
+SELECT page_id,
+       CASE WHEN regexp_matches(html, '(?i)</html\\s*>') THEN 'ok' ELSE 'error' END AS status,
+       CASE WHEN regexp_matches(html, '(?i)</html\\s*>') THEN NULL
+            ELSE 'ValueError: incomplete document: no closing </html>' END AS error
+FROM pages"""

@@ -13,10 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import paths as P
+from corpusmill.functions import text as T
+from corpusmill.operators import citations as CI
+from corpusmill.operators import convert as CV
 from corpusmill.operators import labels as L
 from corpusmill.operators import ordering as O
+from corpusmill.operators import planning as PL
+from corpusmill.operators import report as R
 from corpusmill.plans.fixtures import fixture
+from corpusmill.session import work_path
+from corpusmill.sources import catalogue as C
+from corpusmill.sources import manifest as M
+from corpusmill.sources import select as S
+from corpusmill.sources import sinks as SK
 from corpusmill.sources.tables import read_table
+from corpusmill.streaming import incremental as INC
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -140,12 +151,6 @@ def order_parts(spark, sf_dir):
 
 # ----------------------------------------------------------- scans/plans --
 
-from corpusmill.operators import planning as PL  # noqa: E402
-from corpusmill.operators import report as R  # noqa: E402
-from corpusmill.sources import catalogue as C  # noqa: E402
-from corpusmill.sources import manifest as M  # noqa: E402
-from corpusmill.sources import select as S  # noqa: E402
-
 
 @query
 def file_manifest(spark, sf_dir):
@@ -278,10 +283,6 @@ def shard_preview(spark, sf_dir):
 
 # ------------------------------------------------------ text / citations --
 
-from corpusmill.functions import text as T  # noqa: E402
-from corpusmill.operators import citations as CI  # noqa: E402
-from corpusmill.operators import convert as CV  # noqa: E402
-
 
 @query
 def file_extension(spark, sf_dir):
@@ -386,10 +387,6 @@ def convert_with_errors(spark, sf_dir):
 
 # ------------------------------------------------------- sinks / streams --
 
-from corpusmill.session import work_path  # noqa: E402
-from corpusmill.sources import sinks as SK  # noqa: E402
-from corpusmill.streaming import incremental as INC  # noqa: E402
-
 
 @query
 def csv_round_trip(spark, sf_dir):
@@ -444,3 +441,20 @@ def spec_json(spark, sf_dir):
         F.to_json("columns"), "map<string, struct<header: string, enabled: boolean>>"))).alias("i", "e"))
     return cols.select(F.col("e.key").alias("slot"), F.col("e.value.header").alias("header"),
                        F.col("e.value.enabled").alias("enabled"), F.col("max_depth").cast("int").alias("max_depth"))
+
+
+@query
+def data_files_plan(spark, sf_dir):
+    """SRC-07 + FLT-07 with the data-file threshold: data shards by suffix,
+    skipped when present and larger than 100,000 bytes."""
+    wanted = S.shards_by_suffix(fixture(spark, sf_dir, "fx_shards")).select("path")
+    return PL.plan_acquisition(wanted, fixture(spark, sf_dir, "fx_present"), min_bytes=PL.DATA_FILE_MIN_BYTES)
+
+
+@query
+def convert_with_status(spark, sf_dir):
+    """UDF-01: status and error text per page from the Python converter
+    path (the Markdown differs by converter; the per-row error capture does
+    not)."""
+    res = CV.convert_with(_pages(spark, sf_dir), CV.stdlib_html_converter, "page_id", "html")
+    return res.select("page_id", "status", "error")

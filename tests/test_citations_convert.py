@@ -60,7 +60,7 @@ def test_python_converter_isolates_errors(spark):
     assert len(res) == 50
     errs = [r for r in res if r.status == "error"]
     assert len(errs) == 10 and all("bad document" in r.error for r in errs)
-    assert {r.md for r in res if r.id == "1"} == {"DOC 1\n"}
+    assert {r.md for r in res if r.id == 1} == {"DOC 1\n"}
 
 
 def _convert(df):
