@@ -2,10 +2,13 @@
 
 ``binaryFile`` and the file sources hide names starting with '.' or '_' and
 zero-byte files; the labelers and converters must see all of them. The
-listing is therefore its own distributed job: folders are expanded level by
-level for ``split_levels`` levels (each level is one ``mapInPandas`` over
-the folders found so far, spread over tasks), then every remaining folder is
-listed recursively by one task. The driver never holds the file list; each
+listing is therefore its own distributed job, breadth first: each level is
+one ``mapInPandas`` over the folders found so far, spread round-robin over
+tasks, each folder listed without recursion. A subtree holding a third of all
+files is thus listed by many tasks, level by level; only one single folder's
+direct entries are one call. With ``split_levels=k`` the remaining subtrees
+are listed recursively after ``k`` levels (fewer jobs for very deep trees).
+The driver never holds the file list, only the size of each frontier; each
 level is checkpointed to the shared folder so that the files and the next
 frontier come from one listing.
 """
@@ -64,7 +67,7 @@ def _entries(root: str, recursive: bool, prune: frozenset[str], prune_dot: bool)
 
 
 def list_files(spark: SparkSession, root: str, prune_dirs=(), prune_dot_dirs: bool = False,
-               split_levels: int = 2, tasks: int | None = None) -> DataFrame:
+               split_levels: int | None = None, tasks: int | None = None) -> DataFrame:
     """Every regular file below ``root``: ``path`` relative to the root
     ('/'-separated), ``length``, ``modification_time``. Dot files, '_' names
     and empty files are kept. Folders named in ``prune_dirs`` (and dot
@@ -75,13 +78,18 @@ def list_files(spark: SparkSession, root: str, prune_dirs=(), prune_dot_dirs: bo
     n = tasks or spark.sparkContext.defaultParallelism
     frontier = spark.range(1).select(F.lit("").alias("dir"))
     pieces = []
-    for _ in range(split_levels):
+    level = 0
+    while split_levels is None or level < split_levels:
         listed = frontier.repartition(n).mapInPandas(
             _entries(root, False, prune, prune_dot_dirs), _ENTRY_SCHEMA).checkpoint(eager=True)
         pieces.append(listed.where(F.col("kind") == "file"))
         frontier = listed.where(F.col("kind") == "dir").select(F.col("path").alias("dir"))
-    pieces.append(frontier.repartition(n).mapInPandas(
-        _entries(root, True, prune, prune_dot_dirs), _ENTRY_SCHEMA))
+        level += 1
+        if frontier.isEmpty():
+            break
+    else:
+        pieces.append(frontier.repartition(n).mapInPandas(
+            _entries(root, True, prune, prune_dot_dirs), _ENTRY_SCHEMA))
     out = pieces[0]
     for p in pieces[1:]:
         out = out.unionByName(p)
