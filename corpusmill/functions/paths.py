@@ -80,8 +80,11 @@ def is_image(name: Column | str) -> Column:
 
 
 def has_dot_folder(path: Column | str) -> Column:
-    """Some folder above the file starts with '.' (FLT-02)."""
-    return F.exists(folders(path), lambda x: F.startswith(x, F.lit(".")))
+    """Some folder above the file starts with '.' (FLT-02): a component that
+    starts with '.' and is followed by '/'. A regex rather than
+    ``exists(folders, ...)``: higher-order functions fall back to interpreted
+    evaluation and take the whole filter out of whole-stage codegen."""
+    return F.regexp_like(_c(path), F.lit(r"(?:^|/)\.[^/]*/"))
 
 
 def level(path: Column | str, i: int) -> Column:
@@ -91,10 +94,18 @@ def level(path: Column | str, i: int) -> Column:
 
 def tree_order_key(path: Column | str) -> Column:
     """Pre-order of a folder walk: a folder's own files first, then its
-    subfolders, each by name (SRT-01). Arrays of structs order element-wise."""
-    p = parts(path)
-    n = F.size(p)
-    return F.transform(p, lambda x, i: F.struct((i < n - 1).alias("d"), x.alias("n")))
+    subfolders, each by name (SRT-01).
+
+    As a string: every folder component prefixed with '1', the file name
+    with '0', joined by U+0000 (below every character of a name, so a name
+    sorts before its own extensions, as component order requires). String
+    keys stay in whole-stage codegen and sort on an 8-byte prefix.
+    """
+    p = _c(path)
+    folder_part = F.regexp_replace(folder_path(p), "/", "\u00001")
+    return F.when(F.size(parts(p)) > 1,
+                  F.concat(F.lit("1"), folder_part, F.lit("\u00000"), file_name(p))
+                  ).otherwise(F.concat(F.lit("0"), file_name(p)))
 
 
 def component_order_key(path: Column | str) -> Column:
