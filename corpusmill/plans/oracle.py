@@ -404,3 +404,11 @@ SELECT page_id,
        CASE WHEN regexp_matches(html, '(?i)</html\\s*>') THEN NULL
             ELSE 'ValueError: incomplete document: no closing </html>' END AS error
 FROM pages"""
+
+ORACLE["conversion_plan"] = _with("fx_manifest", "fx_outputs") + _FILES + """,
+tgt AS (SELECT path, CASE WHEN len(dirs) > 0 THEN array_to_string(dirs, '/') || '/' ELSE '' END
+                     || """ + _STEM.format(n="fname") + """ || '.md' AS target_path FROM f),
+done AS (SELECT t.target_path FROM tgt t JOIN fx_outputs o ON o.path = t.path)
+SELECT path, target_path,
+       CASE WHEN target_path IN (SELECT target_path FROM done) THEN 'skipped' ELSE 'convert' END AS status
+FROM tgt WHERE suffix(path, '.pdf')"""

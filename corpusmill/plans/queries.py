@@ -458,3 +458,17 @@ def convert_with_status(spark, sf_dir):
     not)."""
     res = CV.convert_with(_pages(spark, sf_dir), CV.stdlib_html_converter, "page_id", "html")
     return res.select("page_id", "status", "error")
+
+
+@query
+def conversion_plan(spark, sf_dir):
+    """Dry run of the mirrored-tree converter (PRJ-08 + JON-01/04): every
+    PDF of the strict scan with its target; ``skipped`` when the target
+    exists already (targets of the sources finished earlier), else
+    ``convert``. The skip test precedes the dry-run stop, as in the source."""
+    pdfs = S.pdf_files_strict(fixture(spark, sf_dir, "fx_manifest")).select(
+        F.col("path").alias("source"), P.with_suffix("path", ".md").alias("path"))
+    existing = PL.mirrored_target(fixture(spark, sf_dir, "fx_outputs")).select(F.col("target_path").alias("path"))
+    plan = PL.plan_acquisition(pdfs, existing)
+    return plan.select(F.col("source").alias("path"), F.col("path").alias("target_path"),
+                       F.when(F.col("status") == "skip", "skipped").otherwise("convert").alias("status"))
