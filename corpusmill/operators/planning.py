@@ -10,7 +10,7 @@ skew handling covers duplicated listings.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import paths as P
@@ -44,10 +44,8 @@ def mark_present(wanted: DataFrame, present: DataFrame, key: str = "path",
     not a match. ``present`` is de-duplicated on the key first, so a listing
     that repeats a path cannot multiply wanted rows.
     """
-    right = present.select(F.col(key).alias("__k"), *( [F.col(length_col).alias("__len")] if min_bytes is not None else []))
-    if min_bytes is not None:
-        right = right.where(F.col("__len") > min_bytes)
-    right = right.select("__k").distinct().withColumn("__hit", F.lit(True))
+    right = present if min_bytes is None else present.where(F.col(length_col) > min_bytes)
+    right = right.select(F.col(key).alias("__k")).distinct().withColumn("__hit", F.lit(True))
     joined = wanted.join(right, wanted[key] == right["__k"], "left")
     return joined.select(*[wanted[c] for c in wanted.columns],
                          F.coalesce(F.col("__hit"), F.lit(False)).alias("present"))
@@ -77,8 +75,8 @@ def apply_outcomes(plan: DataFrame, outcomes: DataFrame, key: str = "path",
     log = outcomes.select(*cols)
     j = plan.join(log, plan[key] == log["__k"], "left")
     status = F.when(F.col("status") == "fetch", F.coalesce(F.col("__o"), F.lit("fail"))).otherwise(F.col("status"))
-    err = F.when(status == "fail", F.coalesce(F.col("__e") if error_col else F.lit(None), F.lit("no outcome recorded"))) \
-        if error_col else F.lit(None).cast("string")
+    recorded = F.col("__e") if error_col else F.lit(None).cast("string")
+    err = F.when(status == "fail", F.coalesce(recorded, F.lit("no outcome recorded")))
     return j.select(*[plan[c] for c in plan.columns if c != "status"], status.alias("status"), err.alias("error"))
 
 
@@ -105,7 +103,3 @@ def target_collisions(df: DataFrame, target_col: str = "target_path", source_col
             .agg(F.count(F.lit(1)).alias("n_sources"),
                  F.min(source_col).alias("first_source"), F.max(source_col).alias("last_source"))
             .where(F.col("n_sources") > 1))
-
-
-def blank(col: Column | str) -> Column:
-    return T.is_blank(col)

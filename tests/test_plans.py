@@ -45,3 +45,29 @@ def test_converter_input_is_pruned(spark):
     p = plan(QUERIES["convert_with_errors"](spark, SF_SMALL))
     assert "MapInPandas" in p
     assert "ReadSchema: struct<page_id:bigint,html:string>" in p
+
+
+def test_skip_join_sits_below_python_converter(spark):
+    from corpusmill.operators import convert as CV
+    from corpusmill.operators import planning as PL
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "html")
+    done = pages.select("page_id").where("page_id % 2 = 0")
+    p = plan(CV.convert_with(PL.pending(pages, done, "page_id"), CV.stdlib_html_converter, "page_id", "html"))
+    assert p.index("MapInPandas") < p.index("LeftAnti")  # the join runs first, inside the converter's input
+
+
+def test_spread_only_narrow_scans(spark):
+    from corpusmill.sources.tables import spread
+    narrow = spark.range(100).coalesce(1)
+    assert spread(narrow, "id", 4).rdd.getNumPartitions() == 4
+    wide = spark.range(100).repartition(6)
+    assert spread(wide, "id", 4) is wide
+
+
+def test_first_and_last_overlap(spark):
+    from pyspark.sql import functions as F
+    from corpusmill.operators import ordering as O
+    df = spark.createDataFrame([(p,) for p in ["a", "b", "c", "d"]], "path STRING")
+    rows = O.first_and_last(df, [F.col("path")], 3, desc_by=[F.col("path").desc()]).collect()
+    assert sorted((r.part, r.path) for r in rows) == [("first", "a"), ("first", "b"), ("first", "c"),
+                                                        ("last", "b"), ("last", "c"), ("last", "d")]
