@@ -27,6 +27,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from corpusmill.functions import html as H
 from corpusmill.functions import text as T
+from corpusmill.session import ship_package
 
 # --- Fixed values -------------------------------------------------------------
 INCOMPLETE_ERROR = "incomplete document: no closing </html>"
@@ -74,6 +75,7 @@ def convert_with(df: DataFrame, make_converter: Callable[[], Callable], key_col:
     captured per row, the key keeps its type. ``make_converter`` returns the
     per-document function (built once per worker, so heavy models load
     once). The finish (``clean`` or ``strip``) runs afterwards in the JVM."""
+    ship_package(df.sparkSession)
     slim = df.select(key_col, content_col)
     schema = StructType([slim.schema[key_col], StructField("status", StringType()),
                          StructField("md", StringType()), StructField("error", StringType())])

@@ -65,3 +65,27 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a work table below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/work/{name}-{uuid.uuid4().hex}"
+
+
+_SHIPPED_APPS: set[str] = set()
+_PACKAGE_ZIP: str | None = None
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpusmill`` importable in the Python workers of this
+    application (``addPyFile`` of a zip of the package, once per
+    application). Operators that run Python inside tasks (listing, content
+    reading, pluggable converters) call it, so they work however the session
+    was started; on a cluster ``--py-files`` does the same up front."""
+    global _PACKAGE_ZIP
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED_APPS:
+        return
+    if _PACKAGE_ZIP is None:
+        import shutil
+        pkg_dir = os.path.dirname(os.path.abspath(__file__))
+        out = tempfile.mkdtemp(prefix="corpusmill-pkg-")
+        _PACKAGE_ZIP = shutil.make_archive(os.path.join(out, "corpusmill"), "zip",
+                                           root_dir=os.path.dirname(pkg_dir), base_dir="corpusmill")
+    sc.addPyFile(_PACKAGE_ZIP)
+    _SHIPPED_APPS.add(sc.applicationId)

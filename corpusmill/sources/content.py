@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
+from corpusmill.session import ship_package
 from corpusmill.sources.manifest import _filesystem
 
 
@@ -20,6 +21,7 @@ def with_content(manifest: DataFrame, root: str, path_col: str = "path") -> Data
     """Adds ``content`` (the file bytes) and ``read_error`` (``None`` when
     the file was read) to every manifest row; a missing or unreadable file is
     a row with an error, not a failed task."""
+    ship_package(manifest.sparkSession)
     schema = StructType(list(manifest.schema.fields) + [StructField("content", BinaryType()),
                                                          StructField("read_error", StringType())])
 

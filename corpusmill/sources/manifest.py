@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.session import checkpoint_dir
+from corpusmill.session import checkpoint_dir, ship_package
 
 MANIFEST_SCHEMA = "path STRING, length BIGINT, modification_time TIMESTAMP"
 _ENTRY_SCHEMA = "kind STRING, path STRING, length BIGINT, mtime_us BIGINT"
@@ -74,6 +74,7 @@ def list_files(spark: SparkSession, root: str, prune_dirs=(), prune_dot_dirs: bo
     folders when ``prune_dot_dirs``) are not entered. Symbolic links to
     folders are not followed."""
     checkpoint_dir(spark)
+    ship_package(spark)
     prune = frozenset(prune_dirs)
     n = tasks or spark.sparkContext.defaultParallelism
     frontier = spark.range(1).select(F.lit("").alias("dir"))

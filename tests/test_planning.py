@@ -77,3 +77,24 @@ def test_nested_target_and_collisions(spark):
     assert t == {"A/x.pdf": "A/Converted/x.md", "A/x.PDF": "A/Converted/x.md", "y.pdf": "Converted/y.md"}
     c = PL.target_collisions(PL.nested_target(df)).collect()
     assert [(r.target_path, r.n_sources) for r in c] == [("A/Converted/x.md", 2)]
+
+
+def test_csv_matches_python_csv_module(spark, tmp_path):
+    import csv
+    import glob
+    import io
+
+    from corpusmill.sources import sinks as SK
+    rows = [("a.jpg", 'x "quoted"', "", " lead", "trail "), ("b,c.png", "line\nbreak", "ü", "", "back\\slash")]
+    headers = ["filename", "path", "level_1", "level_2", "level_3"]
+    df = spark.createDataFrame(rows, ", ".join(f"{h} STRING" for h in headers)).coalesce(1)
+    out = str(tmp_path / "csv")
+    SK.write_csv(df, out, headers)
+    text = "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(f"{out}/part-*.csv")))
+    buf = io.StringIO()
+    w = csv.DictWriter(buf, fieldnames=headers, lineterminator="\n")
+    w.writeheader()
+    w.writerows(dict(zip(headers, r)) for r in rows)
+    assert text == buf.getvalue()
+    back = [tuple(r) for r in SK.read_csv(spark, out, headers).collect()]
+    assert sorted(back) == sorted(rows)
