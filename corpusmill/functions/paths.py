@@ -17,7 +17,9 @@ IMAGE_EXTENSIONS = (".jpg", ".jpeg", ".png", ".bmp", ".tiff", ".tif",
 
 # os.path.splitext: leading dots never start an extension.
 _EXT = r"(?s)\A\.*[^.].*(\.[^.]*)\z"
-_STEM = r"(?s)\A(\.*[^.].*)\.[^.]*\z"
+# pathlib: the suffix starts at the last '.', which must be neither the first
+# nor the last character of the name.
+_PATHLIB_STEM = r"(?s)\A(.+)\.[^.]+\z"
 
 
 def _c(col: Column | str) -> Column:
@@ -61,9 +63,10 @@ def lower_extension(name: Column | str) -> Column:
 
 
 def stem(name: Column | str) -> Column:
-    """``Path(name).stem``: the name without its last suffix (STR-12)."""
+    """``Path(name).stem``: the name without its last suffix (STR-12).
+    pathlib, not ``splitext``: ``..pdf`` → ``.``, ``a.`` → ``a.``."""
     n = _c(name)
-    return F.when(extension(n) == "", n).otherwise(F.regexp_extract(n, _STEM, 1))
+    return F.when(F.regexp_like(n, F.lit(_PATHLIB_STEM)), F.regexp_extract(n, _PATHLIB_STEM, 1)).otherwise(n)
 
 
 def with_suffix(path: Column | str, suffix: str) -> Column:

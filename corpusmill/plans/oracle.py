@@ -176,8 +176,12 @@ SELECT path FROM fx_manifest WHERE path NOT IN (SELECT path FROM fx_outputs)"""
 ORACLE["done_semi"] = _with("fx_manifest", "fx_outputs") + """
 SELECT path FROM fx_manifest WHERE path IN (SELECT path FROM fx_outputs)"""
 
-# Path.with_suffix('.md') on the last component; Path.stem
-_STEM = ("CASE WHEN contains(ltrim({n}, '.'), '.') THEN regexp_extract({n}, '^(.*)\\.[^.]*$', 1) ELSE {n} END")
+# Path.stem: cut at the last '.' when it is neither the first nor the last
+# character of the name (1-based position of the last '.': len - strpos(reverse) + 1)
+_STEM = ("CASE WHEN strpos(reverse({n}), '.') > 0"
+         " AND length({n}) - strpos(reverse({n}), '.') + 1 > 1"
+         " AND length({n}) - strpos(reverse({n}), '.') + 1 < length({n})"
+         " THEN substring({n}, 1, length({n}) - strpos(reverse({n}), '.')) ELSE {n} END")
 
 ORACLE["target_mirrored"] = _with("fx_manifest") + _FILES + """
 SELECT path, CASE WHEN len(dirs) > 0 THEN array_to_string(dirs, '/') || '/' ELSE '' END
