@@ -217,7 +217,7 @@ SELECT path, upper(status) || ': ' || CASE WHEN status = 'fail' THEN path ELSE s
 FROM run"""
 
 ORACLE["progress_every_10"] = _with("fx_shards", "fx_present", "fx_fetch_log") + _SHARD_RUN + """
-SELECT pos, success, skip, fail FROM (
+SELECT pos, CAST(success AS BIGINT) AS success, CAST(skip AS BIGINT) AS skip, CAST(fail AS BIGINT) AS fail FROM (
   SELECT row_number() OVER w AS pos,
          sum(CASE WHEN status = 'success' THEN 1 ELSE 0 END) OVER w AS success,
          sum(CASE WHEN status = 'skip' THEN 1 ELSE 0 END) OVER w AS skip,
