@@ -59,8 +59,10 @@ def run_batch(spark: SparkSession, inputs: DataFrame, convert: Converter, key: s
     """One incremental step: (new inputs ∪ open retries) minus finished keys
     → convert → write this batch's results and retry rows."""
     retries = open_retries(spark, results_path, retry_path, key)
-    todo = inputs if retries is None else inputs.unionByName(retries.select(*inputs.columns))
-    todo = todo.dropDuplicates([key])
+    todo = inputs.dropDuplicates([key])
+    if retries is not None:
+        # a failed input offered again in new data: the new version wins
+        todo = todo.unionByName(retries.select(*inputs.columns).join(todo.select(key), key, "left_anti"))
     done = finished_keys(spark, results_path, key)
     if done is not None:
         todo = todo.join(done, key, "left_anti")  # skip before converting

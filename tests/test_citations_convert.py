@@ -119,3 +119,12 @@ def test_jobs_end_to_end(spark, tmp_path, tree):
     r2 = jobs.convert_job(spark, pages, "id", state)
     t = r2["report"].first()
     assert (t.n_ok, t.n_skipped, t.n_error) == (0, 1, 1)
+
+
+def test_new_version_of_failed_input_wins(spark, tmp_path):
+    state = str(tmp_path / "state")
+    bad = spark.createDataFrame([(7, "<p>cut")], "page_id BIGINT, html STRING")
+    INC.convert_run(spark, bad, _convert, "page_id", state)
+    fixed = spark.createDataFrame([(7, "<html><p>whole</p></html>")], "page_id BIGINT, html STRING")
+    run = {r.page_id: (r.status, r.md) for r in INC.convert_run(spark, fixed, _convert, "page_id", state).collect()}
+    assert run == {7: ("ok", "whole\n")}
