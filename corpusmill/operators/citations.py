@@ -22,13 +22,21 @@ CITATION_TYPE = ("array<struct<id:string,authors:array<string>,year:string,"
 
 # --- Fixed values (the extraction rules) --------------------------------------
 # An entry: a line starting with "[key]" plus the lines after it that do not
-# start with "[", "#" or a line break.
-ENTRY = r"(?md)^\[[^\]\n]*\][^\n]*(?:\n[^\[#\n][^\n]*)*"
+# start with "[", "#" or a line break. (As one regex:
+# (?md)^\[[^\]\n]*\][^\n]*(?:\n[^\[#\n][^\n]*)* ; applied below as a split
+# at every line that starts with "[", a head test and a cut, because Java
+# evaluates a repeated group recursively and overflows the stack on long
+# texts.)
+ENTRY_SPLIT = r"\n(?=\[)"
+ENTRY_HEAD = r"\A\[[^\]\n]*\]"
+ENTRY_CUT = r"\n(?:[#\n]|\z)(?s:.*)"
 ENTRY_KEY = r"^(\[[^\]\n]*\])"
 DOI = r"10\.[0-9]{4,9}/[^ ]*[^ .,;]"
 YEAR = r"(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)"
-# A sentence: characters up to a period; "X. " (a capital initial) does not end it.
-SENTENCE = r"(?:\p{Lu}\. |[^.])+"
+# A sentence: the maximal runs of (?:\p{Lu}\. |[^.])+ , i.e. text between
+# periods, where "X. " (a capital initial and a blank) does not end it.
+# Applied as a split at the periods that do end a sentence.
+SENTENCE_END = r"(?<!\p{Lu})\.|(?<=\p{Lu})\.(?! )"
 AUTHOR_SPLIT = r" *, *| +and +"
 VENUE_TRIM = r"[ ,;:]+$"
 # --- end of fixed values --------------------------------------------------------
@@ -51,7 +59,8 @@ def _fields(entry: Column) -> Column:
     doi = F.regexp_extract(body, DOI, 0)
     rest = T.py_strip(F.regexp_replace(body, DOI, ""))
     year = F.regexp_extract(rest, YEAR, 1)
-    sentences = F.transform(F.regexp_extract_all(rest, F.lit(SENTENCE), 0), lambda s: T.py_strip(s))
+    pieces = F.filter(F.split(rest, SENTENCE_END, -1), lambda x: x != "")
+    sentences = F.transform(pieces, lambda x: T.py_strip(x))
     first = F.coalesce(F.try_element_at(sentences, F.lit(1)), F.lit(""))
     authors = F.filter(F.split(first, AUTHOR_SPLIT, -1), lambda a: a != "")
     title = F.coalesce(F.try_element_at(sentences, F.lit(2)), F.lit(""))
@@ -64,7 +73,8 @@ def _fields(entry: Column) -> Column:
 def citation_array(refs_col: Column | str) -> Column:
     """All citations of a references text, in order, as an array of structs."""
     refs = F.col(refs_col) if isinstance(refs_col, str) else refs_col
-    return F.transform(F.regexp_extract_all(refs, F.lit(ENTRY), 0), _fields)
+    pieces = F.filter(F.split(refs, ENTRY_SPLIT, -1), lambda x: F.regexp_like(x, F.lit(ENTRY_HEAD)))
+    return F.transform(pieces, lambda x: _fields(F.regexp_replace(x, ENTRY_CUT, "")))
 
 
 def extract_citations(df: DataFrame, refs_col: str = "references", key_cols: list[str] | None = None) -> DataFrame:
