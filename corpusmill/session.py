@@ -87,5 +87,13 @@ def ship_package(spark: SparkSession) -> None:
         out = tempfile.mkdtemp(prefix="corpusmill-pkg-")
         _PACKAGE_ZIP = shutil.make_archive(os.path.join(out, "corpusmill"), "zip",
                                            root_dir=os.path.dirname(pkg_dir), base_dir="corpusmill")
-    sc.addPyFile(_PACKAGE_ZIP)
+    source = _PACKAGE_ZIP
+    if not sc.master.startswith("local"):
+        # executors fetch the zip from the shared folder, not from a path on the driver
+        jvm = sc._jvm
+        target = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/pkg/corpusmill.zip")
+        fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.copyFromLocalFile(False, True, jvm.org.apache.hadoop.fs.Path(_PACKAGE_ZIP), target)
+        source = target.toString()
+    sc.addPyFile(source)
     _SHIPPED_APPS.add(sc.applicationId)
