@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as T
 
-# --- Fixed values -------------------------------------------------------------
+# --- Rules of this converter -------------------------------------------------------------
 DROP_BLOCKS = ("head", "script", "style", "nav", "footer")
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
             ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&mdash;", "—"),
             ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&"))
-# --- end of fixed values --------------------------------------------------------
+# --- end of converter rules --------------------------------------------------------
 
 
 _LEVEL_MARK = "\ue000\ue001"  # private-use pair marking a heading level

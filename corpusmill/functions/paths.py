@@ -8,12 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from corpusmill.fixed import IMAGE_EXTENSIONS  # noqa: F401
 
-# --- Fixed values -------------------------------------------------------------
-# Image extensions accepted by the any-depth labeler (lower case).
-IMAGE_EXTENSIONS = (".jpg", ".jpeg", ".png", ".bmp", ".tiff", ".tif",
-                    ".webp", ".gif", ".heic", ".heif", ".svg")
-# --- end of fixed values --------------------------------------------------------
 
 # os.path.splitext: leading dots never start an extension.
 _EXT = r"(?s)\A\.*[^.].*(\.[^.]*)\z"

@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# --- Fixed values (must equal the behaviour being matched) -----------------
+from corpusmill.fixed import BAD_FILENAME_CHARS, REFERENCE_HEADINGS, REFERENCE_TEXT_LIMIT  # noqa: F401
+
+# --- Python string behaviour (what str.isspace / str.splitlines accept) -------
 # Every character for which Python's str.isspace() is true (29 characters).
 WS = (r"[\x{0009}-\x{000d}\x{001c}-\x{0020}\x{0085}\x{00a0}\x{1680}"
       r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
@@ -26,13 +28,7 @@ WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for
 HS_CHARS = ("\t\x1f \xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200b)) + "\u202f\u205f\u3000")
 # Line boundaries other than \n and \r\n.
 OTHER_LINE_ENDS = r"[\r\x{000b}\x{000c}\x{001c}-\x{001e}\x{0085}\x{2028}\x{2029}]"
-# Characters removed from file names: \ / : * ? " < > |
-BAD_FILENAME_CHARS = '\\/:*?"<>|'
-# Headings that open a references section (levels 1 to 3, any case).
-REFERENCE_HEADINGS = ("references", "bibliography", "works cited")
-# Characters handed to the citation extractor.
-REFERENCE_TEXT_LIMIT = 8000
-# --- end of fixed values -----------------------------------------------------
+# --- end of Python string behaviour -------------------------------------------
 
 REFS = (r"(?imdu)^#{1,3}" + WS + "*(?:" + "|".join(REFERENCE_HEADINGS) + ")"
         + WS + r"*$(?s:.*)")

@@ -20,7 +20,7 @@ from corpusmill.functions import text as T
 CITATION_TYPE = ("array<struct<id:string,authors:array<string>,year:string,"
                  "title:string,venue:string,doi:string>>")
 
-# --- Fixed values (the extraction rules) --------------------------------------
+# --- Extraction rules (this library's own, replacing a model call) --------------------------------------
 # An entry: a line starting with "[key]" plus the lines after it that do not
 # start with "[", "#" or a line break. (As one regex:
 # (?md)^\[[^\]\n]*\][^\n]*(?:\n[^\[#\n][^\n]*)* ; applied below as a split
@@ -39,7 +39,7 @@ YEAR = r"(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)"
 SENTENCE_END = r"(?<!\p{Lu})\.|(?<=\p{Lu})\.(?! )"
 AUTHOR_SPLIT = r" *, *| +and +"
 VENUE_TRIM = r"[ ,;:]+$"
-# --- end of fixed values --------------------------------------------------------
+# --- end of extraction rules --------------------------------------------------------
 
 
 def references(df: DataFrame, md_col: str = "md", clean: bool = True,

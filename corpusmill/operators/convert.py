@@ -29,9 +29,9 @@ from corpusmill.functions import html as H
 from corpusmill.functions import text as T
 from corpusmill.session import ship_package
 
-# --- Fixed values -------------------------------------------------------------
+# --- Converter messages -------------------------------------------------------------
 INCOMPLETE_ERROR = "incomplete document: no closing </html>"
-# --- end of fixed values --------------------------------------------------------
+# --- end of converter messages --------------------------------------------------------
 
 
 def convert_html(df: DataFrame, html_col: str = "html", key_cols: list[str] | None = None,

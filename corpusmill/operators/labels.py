@@ -15,22 +15,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.fixed import (DEFAULT_OUTPUT_STEM, FIXED_HEADERS, NONE_VALUE, SAMPLE_IMAGES_PER_FOLDER,
+                              SEP_FIXED, SEP_SPEC, TOTAL_LABEL, WIDTH_MAX, WIDTH_PADDING, WIDTH_SAMPLE_ROWS)
 from corpusmill.functions import paths as P
 from corpusmill.functions import text as T
 
-# --- Fixed values -------------------------------------------------------------
-TOTAL_LABEL = "Total images"
-SEP_FIXED = " = "          # "header = value" of the fixed-depth labeler
-SEP_SPEC = "  =  "         # "header  =  value" of the any-depth labeler
-NONE_VALUE = "(none)"
-FIXED_HEADERS = ("image_name", "relative_path", "license_type", "crop_type", "quality")
-WIDTH_SAMPLE_ROWS = 500
-WIDTH_PADDING = 4
-WIDTH_MAX = 60
-SAMPLE_IMAGES_PER_FOLDER = 3
-DEFAULT_OUTPUT_STEM = "dataset"
-# --- end of fixed values --------------------------------------------------------
-
 
 @dataclass
 class LabelSpec:

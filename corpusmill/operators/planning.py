@@ -13,15 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.fixed import (CONVERTED_DIR, DATA_FILE_MIN_BYTES, MARKDOWN_SUFFIX,  # noqa: F401
+                              SHARD_MIN_BYTES, TARGET_ROOT_SIBLING)
 from corpusmill.functions import paths as P
 from corpusmill.functions import text as T
 
-# --- Fixed values -------------------------------------------------------------
-SHARD_MIN_BYTES = 1_000_000      # shard present and larger: skip
-DATA_FILE_MIN_BYTES = 100_000    # data file present and larger: skip
-TARGET_ROOT_SIBLING = "Papers_Converted"
-# --- end of fixed values --------------------------------------------------------
-
 
 def pending(plan: DataFrame, done: DataFrame, on: str | list[str] = "path") -> DataFrame:
     """Rows of ``plan`` with no match in ``done`` (JON-01, left anti)."""
@@ -80,15 +76,15 @@ def apply_outcomes(plan: DataFrame, outcomes: DataFrame, key: str = "path",
     return j.select(*[plan[c] for c in plan.columns if c != "status"], status.alias("status"), err.alias("error"))
 
 
-def mirrored_target(df: DataFrame, path_col: str = "path", suffix: str = ".md") -> DataFrame:
+def mirrored_target(df: DataFrame, path_col: str = "path", suffix: str = MARKDOWN_SUFFIX) -> DataFrame:
     """Target under a sibling root that mirrors the source folders, last
     suffix replaced (PRJ-08, STR-12): ``a/b/x.pdf`` → ``a/b/x.md``; a file
     named ``.pdf`` becomes ``.pdf.md``."""
     return df.withColumn("target_path", P.with_suffix(F.col(path_col), suffix))
 
 
-def nested_target(df: DataFrame, path_col: str = "path", folder: str = "Converted",
-                  suffix: str = ".md") -> DataFrame:
+def nested_target(df: DataFrame, path_col: str = "path", folder: str = CONVERTED_DIR,
+                  suffix: str = MARKDOWN_SUFFIX) -> DataFrame:
     """Target in a ``Converted/`` folder next to the source (PRJ-09)."""
     p = F.col(path_col)
     name = F.concat(P.stem(P.file_name(p)), F.lit(suffix))

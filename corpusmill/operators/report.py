@@ -8,16 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.fixed import CONVERT_STATUSES, DOWNLOAD_STATUSES, FETCH_STATUSES, PROGRESS_EVERY  # noqa: F401
 from corpusmill.functions import paths as P
 from corpusmill.operators import ordering as O
 
-# --- Fixed values -------------------------------------------------------------
-FETCH_STATUSES = ("success", "skip", "fail")
-DOWNLOAD_STATUSES = ("success", "skip", "unavailable", "fail")
-CONVERT_STATUSES = ("ok", "skipped", "error")
-PROGRESS_EVERY = 10
-# --- end of fixed values --------------------------------------------------------
-
 
 def tally(results: DataFrame, statuses=FETCH_STATUSES, status_col: str = "status",
           ok: str = "success", fail: str = "fail") -> DataFrame:

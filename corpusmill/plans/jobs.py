@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusmill.fixed import SPEC_FILE
 from corpusmill.operators import citations as CI
 from corpusmill.operators import convert as CV
 from corpusmill.operators import labels as L
@@ -19,8 +20,6 @@ from corpusmill.operators import report as R
 from corpusmill.sources import sinks as SK
 from corpusmill.streaming import incremental as INC
 
-SPEC_FILE = "dataset_config.json"
-
 
 @dataclass
 class LabelOutputs:

@@ -8,14 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.fixed import CONVERTED_DIR, DATA_SUFFIXES, README_MARK  # noqa: F401
 from corpusmill.functions import paths as P
 
-# --- Fixed values -------------------------------------------------------------
-CONVERTED_DIR = "Converted"
-DATA_SUFFIXES = (".parquet", ".arrow", ".json", ".jsonl", ".csv")
-README_MARK = "README"
-# --- end of fixed values --------------------------------------------------------
-
 
 def pdf_files_strict(manifest: DataFrame, path_col: str = "path") -> DataFrame:
     """``rglob("*.pdf")`` on a POSIX file system: case-sensitive suffix, dot
