@@ -31,17 +31,19 @@ class LabelOutputs:
 def label_job(spark: SparkSession, manifest: DataFrame, out_dir: str,
               spec: L.LabelSpec | None = None) -> LabelOutputs:
     """Any-depth labelling (JOB-01/02). Without a spec: discover one, write
-    it as ``dataset_config.json`` for the user to edit, stop. With a spec
-    (or the edited file): write ``<stem>_rows`` (CSV, tree order) and
-    ``<stem>_summary`` (CSV and parquet)."""
+    it as ``dataset_config.json`` for the user to edit plus the per-folder
+    sample as the table ``sample_tree``, stop. With a spec (or the edited
+    file): write ``<stem>_rows`` (CSV, tree order) and ``<stem>_summary``
+    (CSV and parquet)."""
     out_dir = out_dir.rstrip("/")
     if spec is None:
         text = SK.read_text_file(spark, f"{out_dir}/{SPEC_FILE}")
         if text is None:
-            spec, _ = L.discover_structure(manifest)
+            spec, sample = L.discover_structure(manifest)
             if spec.max_depth == 0:
                 return LabelOutputs(spec)  # no images in any subfolder
             SK.write_text_file(spark, f"{out_dir}/{SPEC_FILE}", spec.to_json())
+            SK.write_table(sample, f"{out_dir}/sample_tree")
             return LabelOutputs(spec)
         spec = L.LabelSpec.from_json(text)
     rows, summary = L.label_dataset(manifest, spec)

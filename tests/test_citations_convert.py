@@ -107,6 +107,7 @@ def test_jobs_end_to_end(spark, tmp_path, tree):
     out = str(tmp_path / "labels")
     first = jobs.label_job(spark, m, out)
     assert first.rows is None and first.spec.max_depth == 3   # config written, stop
+    assert spark.read.parquet(f"{out}/sample_tree").where("folder = 'A'").first().images == [".h.jpg", "_u.jpg", "a1.png"]
     second = jobs.label_job(spark, m, out)
     assert second.rows is not None
     back = spark.read.option("header", True).csv(f"{out}/dataset_summary")
