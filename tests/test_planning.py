@@ -98,3 +98,29 @@ def test_csv_matches_python_csv_module(spark, tmp_path):
     assert text == buf.getvalue()
     back = [tuple(r) for r in SK.read_csv(spark, out, headers).collect()]
     assert sorted(back) == sorted(rows)
+
+
+def test_apply_outcomes_and_jobs(spark, tmp_path):
+    from corpusmill.plans import jobs
+    wanted = spark.createDataFrame([(f"d/s{i}.parquet",) for i in range(6)], "path STRING")
+    present = spark.createDataFrame([("d/s0.parquet", 2_000_000)], "path STRING, length BIGINT")
+    log = spark.createDataFrame([("d/s1.parquet", "success", None), ("d/s2.parquet", "fail", "timeout")],
+                                "path STRING, outcome STRING, error STRING")
+    plan = PL.plan_acquisition(wanted, present, min_bytes=1_000_000)
+    res = {r.path: (r.status, r.error) for r in PL.apply_outcomes(plan, log).collect()}
+    assert res["d/s0.parquet"] == ("skip", None)
+    assert res["d/s1.parquet"] == ("success", None)
+    assert res["d/s2.parquet"] == ("fail", "timeout")
+    assert res["d/s3.parquet"] == ("fail", "no outcome recorded")
+    written, counts = jobs.acquisition_job(spark, wanted, present, str(tmp_path / "acq"), min_bytes=1_000_000)
+    assert {r.status: r["count"] for r in counts.collect()} == {"skip": 1, "fetch": 5}
+
+
+def test_label_job_fixed(spark, tmp_path):
+    from corpusmill.plans import jobs
+    m = spark.createDataFrame([(p,) for p in ["A/a/1.jpg", "A/b/2.jpg", "B/a/3.txt", "top.jpg", "A/a/x/4.jpg"]],
+                              "path STRING")
+    out = jobs.label_job_fixed(spark, m, str(tmp_path / "fx"), ("image_name", "relative_path", "l1", "l2"))
+    assert [r.image_name for r in out.rows.collect()] == ["1.jpg", "2.jpg", "3.txt"]
+    s = {r.breakdown: r.n for r in out.summary.collect()}
+    assert s == {"Total images": 3, "l1 = A": 2, "l1 = B": 1, "l2 = a": 2, "l2 = b": 1}
