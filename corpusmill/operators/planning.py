@@ -76,10 +76,17 @@ def apply_outcomes(plan: DataFrame, outcomes: DataFrame, key: str = "path",
     return j.select(*[plan[c] for c in plan.columns if c != "status"], status.alias("status"), err.alias("error"))
 
 
+def sibling_target_root(source_root: str) -> str:
+    """The mirrored tree's root: a folder next to the source root."""
+    parent = source_root.rstrip("/").rpartition("/")[0]
+    return f"{parent}/{TARGET_ROOT_SIBLING}" if parent else TARGET_ROOT_SIBLING
+
+
 def mirrored_target(df: DataFrame, path_col: str = "path", suffix: str = MARKDOWN_SUFFIX) -> DataFrame:
-    """Target under a sibling root that mirrors the source folders, last
-    suffix replaced (PRJ-08, STR-12): ``a/b/x.pdf`` → ``a/b/x.md``; a file
-    named ``.pdf`` becomes ``.pdf.md``."""
+    """Target under the sibling root (``sibling_target_root``) that mirrors
+    the source folders, last suffix replaced (PRJ-08, STR-12):
+    ``a/b/x.pdf`` → ``a/b/x.md``; a file named ``.pdf`` becomes ``.pdf.md``.
+    Paths stay relative to their roots."""
     return df.withColumn("target_path", P.with_suffix(F.col(path_col), suffix))
 
 
