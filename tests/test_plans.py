@@ -71,3 +71,14 @@ def test_first_and_last_overlap(spark):
     rows = O.first_and_last(df, [F.col("path")], 3, desc_by=[F.col("path").desc()]).collect()
     assert sorted((r.part, r.path) for r in rows) == [("first", "a"), ("first", "b"), ("first", "c"),
                                                         ("last", "b"), ("last", "c"), ("last", "d")]
+
+
+def test_selection_predicates_reach_the_parquet_scan(spark, tmp_path):
+    from corpusmill.sources import select as S
+    path = str(tmp_path / "manifest")
+    spark.createDataFrame([("data/python/a.parquet", 10), ("docs/README.md", 5)],
+                          "path STRING, length BIGINT").write.parquet(path)
+    m = spark.read.parquet(path)
+    p = plan(S.shards_by_prefix(m, "data/python").select("path"))
+    assert "PushedFilters: [IsNotNull(path), StringStartsWith(path,data/python/), StringEndsWith(path,.parquet)]" in p
+    assert "ReadSchema: struct<path:string>" in p
