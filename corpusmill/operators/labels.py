@@ -162,6 +162,24 @@ def label_summary(rows: DataFrame, label_headers: list[str], separator: str = SE
          else F.coalesce(F.col(h), F.lit(""))).alias(f"__l{i}")
         for i, h in enumerate(label_headers)])
     keys = [f"__l{i}" for i in range(len(keyed.columns))]
+    if len(keys) <= MAX_GROUPING_SET_LEVELS:
+        out = _summary_grouping_sets(keyed, keys, label_headers)
+    else:
+        out = _summary_exploded(keyed, keys, label_headers)
+    out = out.select("pos", "header", "value",
+                     F.when(F.col("pos") == 0, F.lit(TOTAL_LABEL))
+                     .otherwise(F.concat(F.col("header"), F.lit(separator), F.col("value")))
+                     .alias("breakdown"), "n")
+    # GROUPING SETS over no rows gives no total row; the source writes nothing then
+    return out.orderBy("pos", "value") if order else out
+
+
+# grouping_id() is a 64-bit mask: one bit per grouping column
+MAX_GROUPING_SET_LEVELS = 62
+
+
+def _summary_grouping_sets(keyed: DataFrame, keys: list[str], label_headers: list[str]) -> DataFrame:
+    """One Expand → partial aggregate → exchange → final aggregate."""
     sets = [[]] + [[k] for k in keys]
     agg = keyed.groupingSets(sets, *keys).agg(
         F.count(F.lit(1)).alias("n"), F.grouping_id().alias("__gid"))
@@ -171,18 +189,23 @@ def label_summary(rows: DataFrame, label_headers: list[str], separator: str = SE
     header = F.lit(None).cast("string")
     value = F.lit(None).cast("string")
     for i, h in enumerate(label_headers):
-        mask = full ^ (1 << (len(keys) - 1 - i))
-        hit = F.col("__gid") == mask
+        hit = F.col("__gid") == (full ^ (1 << (len(keys) - 1 - i)))
         pos = F.when(hit, F.lit(i + 1)).otherwise(pos)
         header = F.when(hit, F.lit(h)).otherwise(header)
         value = F.when(hit, F.col(keys[i])).otherwise(value)
-    out = agg.select(pos.alias("pos"), header.alias("header"), value.alias("value"), "n")
-    out = out.select("pos", "header", "value",
-                     F.when(F.col("pos") == 0, F.lit(TOTAL_LABEL))
-                     .otherwise(F.concat(F.col("header"), F.lit(separator), F.col("value")))
-                     .alias("breakdown"), "n")
-    # GROUPING SETS over no rows gives no total row; the source writes nothing then
-    return out.orderBy("pos", "value") if order else out
+    return agg.select(pos.alias("pos"), header.alias("header"), value.alias("value"), "n")
+
+
+def _summary_exploded(keyed: DataFrame, keys: list[str], label_headers: list[str]) -> DataFrame:
+    """Same result for very deep trees: every row becomes (0, total) plus one
+    (level, value) pair per label, then one partial/final aggregation."""
+    pairs = [F.struct(F.lit(0).alias("pos"), F.lit(None).cast("string").alias("value"))]
+    pairs += [F.struct(F.lit(i + 1).alias("pos"), F.col(k).alias("value")) for i, k in enumerate(keys)]
+    stacked = keyed.select(F.explode(F.array(*pairs)).alias("p")).select("p.pos", "p.value")
+    agg = stacked.groupBy("pos", "value").agg(F.count(F.lit(1)).alias("n"))
+    names = F.element_at(F.array(*[F.lit(h) for h in label_headers]), F.greatest(F.col("pos"), F.lit(1)))
+    header = F.when(F.col("pos") == 0, F.lit(None).cast("string")).otherwise(names)
+    return agg.select("pos", header.alias("header"), "value", "n")
 
 
 def max_depth(manifest: DataFrame, path_col: str = "path") -> DataFrame:
