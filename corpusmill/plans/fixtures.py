@@ -153,3 +153,33 @@ def duckdb_ctes(*names: str) -> str:
         body = FX_SQL[n].format(**{d: d for d in FX_DEPS[n]})
         parts.append(f"{n} AS ({body}\n)")
     return "WITH " + ",\n".join(parts) + "\n"
+
+
+def fixture_tree(spark: SparkSession, sf_dir: str) -> str:
+    """A real folder tree derived from the tables: every ``fx_manifest`` path
+    as a file holding its document's text, written by the tasks that hold the
+    rows, below a fresh folder of the shared checkpoint folder. Returns the
+    root. (Test input for the listing and content readers; the library's own
+    outputs go to tables, never one file per row.)"""
+    import pandas as pd
+
+    from corpusmill.session import ship_package, work_path
+    from corpusmill.sources.manifest import _filesystem
+
+    root = work_path(spark, "tree")
+    ship_package(spark)
+    docs = fixture(spark, sf_dir, "fx_manifest").join(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("path", "text")
+
+    def write(batches):
+        filesystem, base = _filesystem(root)
+        for batch in batches:
+            for rel, text in zip(batch["path"], batch["text"]):
+                full = f"{base}/{rel}"
+                filesystem.create_dir(full.rpartition("/")[0], recursive=True)
+                with filesystem.open_output_stream(full) as out:
+                    out.write(text.encode("utf-8"))
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    docs.mapInPandas(write, "n long").agg({"n": "sum"}).collect()
+    return root

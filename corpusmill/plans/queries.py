@@ -20,9 +20,10 @@ from corpusmill.operators import labels as L
 from corpusmill.operators import ordering as O
 from corpusmill.operators import planning as PL
 from corpusmill.operators import report as R
-from corpusmill.plans.fixtures import fixture
+from corpusmill.plans.fixtures import fixture, fixture_tree
 from corpusmill.session import work_path
 from corpusmill.sources import catalogue as C
+from corpusmill.sources import content as CT
 from corpusmill.sources import manifest as M
 from corpusmill.sources import select as S
 from corpusmill.sources import sinks as SK
@@ -154,8 +155,19 @@ def order_parts(spark, sf_dir):
 
 @query
 def file_manifest(spark, sf_dir):
-    """SRC-01, FLT-03: list the table folder itself (every file kept)."""
-    return M.list_files(spark, sf_dir).select("path", "length")
+    """SRC-01, FLT-03: list a folder tree derived from the tables (dot and
+    underscore names, Converted folders, ...); every file with its size."""
+    return M.list_files(spark, fixture_tree(spark, sf_dir)).select("path", "length")
+
+
+@query
+def file_contents(spark, sf_dir):
+    """SRC-10: the bytes of every listed file, read by the tasks that hold
+    the manifest rows (digest and size per file)."""
+    root = fixture_tree(spark, sf_dir)
+    c = CT.with_content(M.list_files(spark, root), root)
+    return c.select("path", F.octet_length("content").cast("bigint").alias("n_bytes"),
+                    F.md5("content").alias("md5"), "read_error")
 
 
 @query

@@ -16,6 +16,7 @@ frontier come from one listing.
 from __future__ import annotations
 
 import os
+from urllib.parse import urlparse
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,8 @@ _ENTRY_SCHEMA = "kind STRING, path STRING, length BIGINT, mtime_us BIGINT"
 
 def _filesystem(root: str):
     from pyarrow import fs as pafs
+    if root.startswith("file:"):
+        root = urlparse(root).path          # file:/x and file:///x are local paths
     if "://" in root:
         filesystem, base = pafs.FileSystem.from_uri(root)
     else:
