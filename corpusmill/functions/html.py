@@ -11,7 +11,8 @@ order (later rules assume the earlier ones ran):
 3. list items → ``- `` lines; ``br`` → line break; ``p`` → blank line;
 4. table rows → Markdown pipe rows (tables are kept);
 5. every other tag is removed, its text kept (images vanish: no graphics);
-6. the named entities below are decoded, ``&amp;`` last;
+6. the entities below are decoded, ``&amp;`` last; those HTML5 accepts
+   without the final ``;`` are decoded in that form too;
 7. the finish: ``clean`` (line clean-up) or ``strip``.
 """
 
@@ -25,8 +26,10 @@ from corpusmill.functions import text as T
 # --- Rules of this converter -------------------------------------------------------------
 DROP_BLOCKS = ("head", "script", "style", "nav", "footer")
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&mdash;", "—"),
+            ("&nbsp;", "\xa0"), ("&copy;", "©"), ("&middot;", "·"), ("&mdash;", "—"),
             ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&"))
+# HTML5 also decodes these without the final ';' (legacy references).
+NO_SEMICOLON_OK = frozenset({"&lt;", "&gt;", "&quot;", "&#39;", "&nbsp;", "&copy;", "&middot;", "&amp;"})
 # --- end of converter rules --------------------------------------------------------
 
 
@@ -62,7 +65,11 @@ def html_to_markdown(col: Column | str, finish: str = "clean") -> Column:
     for level in range(1, 7):
         c = F.replace(c, F.lit(f"{_LEVEL_MARK}{level}"), F.lit("#" * level))
     for entity, char in ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
+        if entity in NO_SEMICOLON_OK:
+            # one pass per entity, so "&amp;amp" still decodes only once
+            c = F.regexp_replace(c, entity[:-1] + ";?", char)
+        else:
+            c = F.replace(c, F.lit(entity), F.lit(char))
     if finish == "clean":
         return T.clean_markdown(c)
     if finish == "strip":

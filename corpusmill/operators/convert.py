@@ -101,6 +101,8 @@ def stdlib_html_converter() -> Callable[[str], str]:
         def handle_starttag(self, tag, attrs):
             if tag in self.skip_tags:
                 self.skip += 1
+            elif self.skip:
+                return  # nothing of a dropped block reaches the text
             elif tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
                 self.out.append("\n\n" + "#" * int(tag[1]) + " ")
             elif tag == "li":
@@ -115,6 +117,10 @@ def stdlib_html_converter() -> Callable[[str], str]:
                 self.skip = max(0, self.skip - 1)
             elif tag == "html":
                 self.closed = True
+            elif self.skip:
+                return
+            elif tag == "html":
+                self.closed = True
             elif tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
                 self.out.append("\n\n")
 

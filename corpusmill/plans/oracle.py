@@ -343,8 +343,10 @@ _HTML_RULES = [
     ("(?i)<t[dh](?:\\s[^>]*)?>", " "), ("(?i)</t[dh]\\s*>", " |"),
     ("(?s)<[^>]*>", ""),
 ]
-_ENTS = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
-         ("&copy;", "©"), ("&middot;", "·"), ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&")]
+# (entity, character, may the final ';' be missing)
+_ENTS = [("&lt;", "<", True), ("&gt;", ">", True), ("&quot;", '"', True), ("&#39;", "'", True),
+         ("&apos;", "'", False), ("&nbsp;", chr(160), True), ("&copy;", "©", True), ("&middot;", "·", True),
+         ("&mdash;", "—", False), ("&ndash;", "–", False), ("&hellip;", "…", False), ("&amp;", "&", True)]
 
 
 def _sql_str(s: str) -> str:
@@ -355,8 +357,11 @@ def _html_expr(col: str) -> str:
     e = col
     for p, r in _HTML_RULES:
         e = f"regexp_replace({e}, {_sql_str(p)}, {_sql_str(r)}, 'g')"
-    for a, b in _ENTS:
-        e = f"replace({e}, {_sql_str(a)}, {_sql_str(b)})"
+    for a, b, optional in _ENTS:
+        if optional:
+            e = f"regexp_replace({e}, {_sql_str(a[:-1] + ';?')}, {_sql_str(b)}, 'g')"
+        else:
+            e = f"replace({e}, {_sql_str(a)}, {_sql_str(b)})"
     return e
 
 
@@ -426,3 +431,9 @@ FROM fx_manifest m JOIN documents d ON d.doc_id = m.doc_id"""
 ORACLE["file_contents"] = _with("fx_manifest") + """
 SELECT m.path, CAST(strlen(d.text) AS BIGINT) AS n_bytes, md5(d.text) AS md5, CAST(NULL AS VARCHAR) AS read_error
 FROM fx_manifest m JOIN documents d ON d.doc_id = m.doc_id"""
+
+
+# the Python converter path: same Markdown as the native rules on these pages,
+# the error text carries the exception type
+ORACLE["convert_with_errors"] = "WITH" + _CONVERTED + """SELECT page_id, status, md,
+       CASE WHEN status = 'error' THEN 'ValueError: ' || error END AS error FROM res"""

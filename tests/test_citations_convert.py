@@ -39,11 +39,14 @@ def test_html_rules(spark):
     html = ("<html><head><title>T</title></head><body><nav>menu</nav><!-- c --><script>x='</p>'</script>"
             "<h2 class='a'>Head &amp; more</h2><p>One<br>two</p><ul><li>i1</li><li>i2</li></ul>"
             "<table><tr><td>a</td><td>b</td></tr></table><img src=x><footer>f</footer></body></html>")
-    df = spark.createDataFrame([(1, html), (2, "<html><p>cut")], "id INT, html STRING")
+    df = spark.createDataFrame([(1, html), (2, "<html><p>cut"), (3, "<html><p>a &amp b &ampamp; &amp;lt; &lt c</p></html>")],
+                               "id INT, html STRING")
     out = {r.id: r for r in CV.convert_html(df, "html", ["id"]).collect()}
     assert out[1].status == "ok"
     assert out[1].md == "## Head & more\n\nOne\ntwo\n\n- i1\n- i2\n| a | b |\n"
     assert out[2].status == "error" and out[2].md is None and "incomplete" in out[2].error
+    import html as pyhtml
+    assert out[3].md == pyhtml.unescape("a &amp b &ampamp; &amp;lt; &lt c") + "\n"   # HTML5 entity rules
 
 
 def test_python_converter_isolates_errors(spark):
