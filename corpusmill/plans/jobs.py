@@ -78,14 +78,25 @@ def acquisition_job(spark: SparkSession, wanted: DataFrame, present: DataFrame,
 
 
 def convert_job(spark: SparkSession, docs: DataFrame, key: str, state_dir: str,
-                html_col: str = "html", with_citations: bool = False) -> dict[str, DataFrame]:
+                html_col: str = "html", with_citations: bool = False,
+                target: str | None = None) -> dict[str, DataFrame]:
     """Incremental document conversion (JOB-05/06/07/09): convert what is not
     finished, report this run, list failures; optionally references and
-    rule-based citations of the converted documents."""
+    rule-based citations of the converted documents. When ``key`` is a
+    source path, ``target='nested'`` (``Converted/`` next to the source) or
+    ``'mirrored'`` (same folders under the sibling root) adds the Markdown
+    file's ``target_path`` to the run table (SNK-03: the path is data, the
+    Markdown stays in the table)."""
     def convert(df: DataFrame) -> DataFrame:
         return CV.convert_html(df.select(key, html_col), html_col, [key])
 
     run = INC.convert_run(spark, docs.select(key, html_col), convert, key, state_dir)
+    if target == "nested":
+        run = PL.nested_target(run, key)
+    elif target == "mirrored":
+        run = PL.mirrored_target(run, key)
+    elif target is not None:
+        raise ValueError("target must be 'nested', 'mirrored' or None")
     out = {"run": run,
            "report": R.tally(run, R.CONVERT_STATUSES, ok="ok", fail="error"),
            "failures": R.failures(run).select(key, "error")}

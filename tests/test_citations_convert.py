@@ -121,6 +121,9 @@ def test_jobs_end_to_end(spark, tmp_path, tree):
     r2 = jobs.convert_job(spark, pages, "id", state)
     t = r2["report"].first()
     assert (t.n_ok, t.n_skipped, t.n_error) == (0, 1, 1)
+    docs = spark.createDataFrame([("A/p.pdf", "<html><p>x</p></html>")], "path STRING, html STRING")
+    r3 = jobs.convert_job(spark, docs, "path", str(tmp_path / "conv2"), target="nested")
+    assert [(r.path, r.target_path, r.status) for r in r3["run"].collect()] == [("A/p.pdf", "A/Converted/p.md", "ok")]
 
 
 def test_new_version_of_failed_input_wins(spark, tmp_path):
