@@ -57,19 +57,18 @@ def rules() -> list[tuple[str, str]]:
     ]
 
 
-def html_to_markdown(col: Column | str, finish: str = "clean") -> Column:
-    """Markdown text of an HTML column (JOB-05)."""
+def tags_to_text(col: Column | str) -> Column:
+    """Rules 1–5: the tag rewrites (entities still encoded)."""
     c = F.col(col) if isinstance(col, str) else col
     for pattern, repl in rules():
         c = F.regexp_replace(c, pattern, repl)
     for level in range(1, 7):
         c = F.replace(c, F.lit(f"{_LEVEL_MARK}{level}"), F.lit("#" * level))
-    for entity, char in ENTITIES:
-        if entity in NO_SEMICOLON_OK:
-            # one pass per entity, so "&amp;amp" still decodes only once
-            c = F.regexp_replace(c, entity[:-1] + ";?", char)
-        else:
-            c = F.replace(c, F.lit(entity), F.lit(char))
+    return c
+
+
+def finish_text(c: Column, finish: str = "clean") -> Column:
+    """Rule 7."""
     if finish == "clean":
         return T.clean_markdown(c)
     if finish == "strip":
@@ -77,6 +76,27 @@ def html_to_markdown(col: Column | str, finish: str = "clean") -> Column:
     raise ValueError("finish must be 'clean' or 'strip'")
 
 
+def html_to_markdown(col: Column | str, finish: str = "clean") -> Column:
+    """Markdown text of an HTML column (JOB-05) as one expression. Inside a
+    DataFrame job prefer ``convert.convert_html``, which evaluates the tag
+    rules once per row before decoding entities."""
+    return finish_text(decode_entities(tags_to_text(col)), finish)
+
+
+def decode_entities(c: Column) -> Column:
+    """Entities in order, ``&amp;`` last. Pages with a legacy reference (no
+    final ';') take one regex pass per entity; the others — nearly all —
+    only literal replaces. One pass per entity keeps ``&amp;lt;`` → ``&lt;``."""
+    literal, legacy = c, c
+    for entity, char in ENTITIES:
+        literal = F.replace(literal, F.lit(entity), F.lit(char))
+        legacy = (F.regexp_replace(legacy, entity[:-1] + ";?", char) if entity in NO_SEMICOLON_OK
+                  else F.replace(legacy, F.lit(entity), F.lit(char)))
+    names = "|".join(e[1:-1] for e, _ in ENTITIES if e in NO_SEMICOLON_OK)
+    has_legacy = F.regexp_like(c, F.lit("&(?:" + names + ")(?!;)"))
+    return F.when(has_legacy, legacy).otherwise(literal)
+
+
 def is_complete(col: Column | str) -> Column:
     """The document closes its ``html`` element (not cut off in transfer)."""
     c = F.col(col) if isinstance(col, str) else col

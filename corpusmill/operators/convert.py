@@ -44,8 +44,12 @@ def convert_html(df: DataFrame, html_col: str = "html", key_cols: list[str] | No
     status = F.when(h.isNull(), "error").when(bad, "error").otherwise("ok")
     error = (F.when(h.isNull(), F.lit("no content"))
              .when(bad, F.lit(INCOMPLETE_ERROR)))
-    md = F.when(status == "ok", H.html_to_markdown(h, finish))
-    return df.select(*keys, status.alias("status"), md.alias("md"), error.alias("error"))
+    # the tag rules once per row, in their own projection: entity decoding
+    # reads the result three times and Catalyst keeps it computed once
+    staged = df.select(*keys, status.alias("status"), error.alias("error"),
+                       F.when(status == "ok", H.tags_to_text(h)).alias("__text"))
+    md = H.finish_text(H.decode_entities(F.col("__text")), finish)
+    return staged.select(*keys, "status", md.alias("md"), "error")
 
 
 def _run_converter(make: Callable[[], Callable], key_col: str, content_col: str):
