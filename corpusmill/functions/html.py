@@ -9,7 +9,8 @@ order (later rules assume the earlier ones ran):
    furniture in text; a comment inside a script goes with the script);
 2. headings ``h1``..``h6`` → ``#`` .. ``######`` on their own line;
 3. list items → ``- `` lines; ``br`` → line break; ``p`` → blank line;
-4. table rows → Markdown pipe rows (tables are kept);
+4. table rows → Markdown pipe rows, with a ``| --- |`` delimiter row after
+   each table's first row (tables are kept);
 5. every other tag is removed, its text kept (images vanish: no graphics);
 6. the entities below are decoded, ``&amp;`` last; those HTML5 accepts
    without the final ``;`` are decoded in that form too;
@@ -57,10 +58,26 @@ def rules() -> list[tuple[str, str]]:
     ]
 
 
+def _table_delimiters(c: Column) -> Column:
+    """After the first row of every table, a generated row of ``---`` cells,
+    as many as that first row has: the rows then render as a Markdown table
+    (header, delimiter, body). Pages without a table skip the array work."""
+    def one(piece: Column) -> Column:
+        first_row = F.regexp_extract(piece, r"(?is)<tr(?:\s[^>]*)?>(.*?)</tr\s*>", 1)
+        n = F.size(F.regexp_extract_all(first_row, F.lit(r"(?i)<t[dh][\s>]"), 0))
+        delim = F.concat(F.lit("$1<tr>"), F.repeat(F.lit("<td>---</td>"), n), F.lit("</tr>"))
+        is_table = F.regexp_like(piece, F.lit(r"(?i)\A<table")) & (n > 0)
+        return F.when(is_table, F.regexp_replace(piece, r"(?is)\A(.*?</tr\s*>)", delim)).otherwise(piece)
+    with_delims = F.array_join(F.transform(F.split(c, r"(?i)(?=<table)", -1), one), "")
+    return F.when(F.regexp_like(c, F.lit(r"(?i)<table")), with_delims).otherwise(c)
+
+
 def tags_to_text(col: Column | str) -> Column:
     """Rules 1–5: the tag rewrites (entities still encoded)."""
     c = F.col(col) if isinstance(col, str) else col
-    for pattern, repl in rules():
+    block_rule, *tag_rules = rules()
+    c = _table_delimiters(F.regexp_replace(c, *block_rule))
+    for pattern, repl in tag_rules:
         c = F.regexp_replace(c, pattern, repl)
     for level in range(1, 7):
         c = F.replace(c, F.lit(f"{_LEVEL_MARK}{level}"), F.lit("#" * level))

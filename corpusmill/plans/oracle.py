@@ -353,10 +353,22 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
 
 
+def _tables(e: str) -> str:
+    # after each table's first row, a row of '---' cells, as many as it has
+    pieces = f"string_split_regex({e}, '(?i)<table')"
+    first = "regexp_extract(p, '(?is)<tr(?:\\s[^>]*)?>(.*?)</tr\\s*>', 1)"
+    n = f"len(regexp_extract_all({first}, '(?i)<t[dh][\\s>]'))"
+    fixed = (f"CASE WHEN i > 1 AND {n} > 0 THEN regexp_replace('<table' || p, '(?is)^(.*?</tr\\s*>)', "
+             f"'\\1<tr>' || repeat('<td>---</td>', {n}) || '</tr>') WHEN i > 1 THEN '<table' || p ELSE p END")
+    return f"array_to_string(list_transform({pieces}, lambda p, i: {fixed}), '')"
+
+
 def _html_expr(col: str) -> str:
     e = col
-    for p, r in _HTML_RULES:
+    for k, (p, r) in enumerate(_HTML_RULES):
         e = f"regexp_replace({e}, {_sql_str(p)}, {_sql_str(r)}, 'g')"
+        if k == 0:
+            e = _tables(e)
     for a, b, optional in _ENTS:
         if optional:
             e = f"regexp_replace({e}, {_sql_str(a[:-1] + ';?')}, {_sql_str(b)}, 'g')"

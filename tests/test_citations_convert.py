@@ -43,7 +43,7 @@ def test_html_rules(spark):
                                "id INT, html STRING")
     out = {r.id: r for r in CV.convert_html(df, "html", ["id"]).collect()}
     assert out[1].status == "ok"
-    assert out[1].md == "## Head & more\n\nOne\ntwo\n\n- i1\n- i2\n| a | b |\n"
+    assert out[1].md == "## Head & more\n\nOne\ntwo\n\n- i1\n- i2\n| a | b |\n| --- | --- |\n"
     assert out[2].status == "error" and out[2].md is None and "incomplete" in out[2].error
     import html as pyhtml
     assert out[3].md == pyhtml.unescape("a &amp b &ampamp; &amp;lt; &lt c") + "\n"   # HTML5 entity rules
@@ -133,3 +133,11 @@ def test_new_version_of_failed_input_wins(spark, tmp_path):
     fixed = spark.createDataFrame([(7, "<html><p>whole</p></html>")], "page_id BIGINT, html STRING")
     run = {r.page_id: (r.status, r.md) for r in INC.convert_run(spark, fixed, _convert, "page_id", state).collect()}
     assert run == {7: ("ok", "whole\n")}
+
+
+def test_tables_get_a_delimiter_row(spark):
+    html = ("<html><body><p>before</p><TABLE class='t'><tr><th>h1</th><th>h2</th></tr>"
+            "<tr><td>a</td><td>b</td></tr></TABLE><p>mid</p><table><tr><td>x</td></tr></table></body></html>")
+    df = spark.createDataFrame([(1, html)], "id INT, html STRING")
+    md = CV.convert_html(df, "html", ["id"]).first().md
+    assert md == "before\n\n| h1 | h2 |\n| --- | --- |\n| a | b |\n\nmid\n\n| x |\n| --- |\n"

@@ -53,3 +53,20 @@ def test_every_query_runs_and_entry_works(spark):
     out = E.entry(spark)
     rows = out.collect()
     assert rows and out.columns == ["pos", "header", "value", "breakdown", "n"]
+
+
+def test_html_oracle_states_the_same_rules(spark):
+    from corpusmill.operators import convert as CV
+    from corpusmill.plans import oracle as OR
+    docs = ["<html><body><p>before</p><TABLE class='t'><tr><th>h1</th><th>h2</th></tr>"
+            "<tr><td>a &amp b</td><td>b</td></tr></TABLE><p>mid</p><table><tr><td>x</td></tr></table></body></html>",
+            "<html><h3>T</h3><ul><li>i &lt; j</li></ul><script>x</script><!-- c --><p>p<br/>q</p></html>"]
+    df = spark.createDataFrame(list(enumerate(docs)), "page_id BIGINT, html STRING")
+    got = {r.page_id: r.md for r in CV.convert_html(df, "html", ["page_id"]).collect()}
+    c = duckdb.connect()
+    c.execute("CREATE TABLE pages AS SELECT * FROM (VALUES " +
+              ", ".join(f"({i}, '{d.replace(chr(39), chr(39) * 2)}')" for i, d in enumerate(docs)) +
+              ") t(page_id, html)")
+    want = dict(c.execute(OR.ORACLE["convert_documents"].replace("SELECT page_id, status, md, error FROM res",
+                                                                  "SELECT page_id, md FROM res")).fetchall())
+    assert got == want
