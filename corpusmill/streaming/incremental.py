@@ -86,15 +86,19 @@ def latest_status(spark: SparkSession, results_path: str, key: str) -> DataFrame
 
 
 def stream_convert(spark: SparkSession, source_dir: str, schema: str, convert: Converter, key: str,
-                   state_dir: str | None = None, glob: str | None = None, retry_pass: bool = True) -> str:
-    """Structured Streaming form: a file stream over ``source_dir`` processed
-    with ``trigger(availableNow=True)`` (all that is new, then stop), each
-    micro-batch through ``run_batch``. The stream checkpoint and the result
-    tables live in ``state_dir`` (default: a new folder below
-    ``spark.checkpoint.dir``). Returns ``state_dir``."""
+                   state_dir: str | None = None, glob: str | None = None, retry_pass: bool = True,
+                   processing_time: str | None = None, max_files_per_trigger: int = 64):
+    """Structured Streaming form: a file stream over ``source_dir``, each
+    micro-batch through ``run_batch``. By default ``trigger(availableNow=True)``
+    (all that is new, then stop; then one retry pass for older failures) and
+    ``state_dir`` is returned. With ``processing_time`` (e.g. ``"1 minute"``)
+    the query keeps running and the ``StreamingQuery`` is returned; every
+    micro-batch retries open failures itself. The stream checkpoint and the
+    result tables live in ``state_dir`` (default: a new folder below
+    ``spark.checkpoint.dir``)."""
     state = state_dir or work_path(spark, "incremental")
     results, retry = f"{state}/results", f"{state}/retry"
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     stream = reader.parquet(source_dir)
@@ -102,9 +106,10 @@ def stream_convert(spark: SparkSession, source_dir: str, schema: str, convert: C
     def each(batch_df: DataFrame, batch_id: int) -> None:
         run_batch(spark, batch_df, convert, key, results, retry, int(batch_id) * STREAM_SEQ_STEP)
 
-    q = (stream.writeStream.foreachBatch(each)
-         .option("checkpointLocation", f"{state}/checkpoint")
-         .trigger(availableNow=True).start())
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{state}/checkpoint")
+    if processing_time:
+        return writer.trigger(processingTime=processing_time).start()
+    q = writer.trigger(availableNow=True).start()
     q.awaitTermination()
     pending = open_retries(spark, results, retry, key) if retry_pass else None
     if pending is not None and not pending.isEmpty():

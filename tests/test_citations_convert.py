@@ -141,3 +141,17 @@ def test_tables_get_a_delimiter_row(spark):
     df = spark.createDataFrame([(1, html)], "id INT, html STRING")
     md = CV.convert_html(df, "html", ["id"]).first().md
     assert md == "before\n\n| h1 | h2 |\n| --- | --- |\n| a | b |\n\nmid\n\n| x |\n| --- |\n"
+
+
+def test_stream_with_processing_time_trigger(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    pd.DataFrame([(1, "u", "<html><p>a</p></html>")], columns=["page_id", "url", "html"]).to_parquet(src / "a.parquet")
+    state = str(tmp_path / "state")
+    q = INC.stream_convert(spark, str(src), "page_id BIGINT, url STRING, html STRING", _convert, "page_id",
+                           state_dir=state, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert INC.latest_status(spark, f"{state}/results", "page_id").count() == 1
