@@ -33,8 +33,8 @@ def label_job(spark: SparkSession, manifest: DataFrame, out_dir: str,
     """Any-depth labelling (JOB-01/02). Without a spec: discover one, write
     it as ``dataset_config.json`` for the user to edit plus the per-folder
     sample as the table ``sample_tree``, stop. With a spec (or the edited
-    file): write ``<stem>_rows`` (CSV, tree order) and ``<stem>_summary``
-    (CSV and parquet)."""
+    file): write ``<stem>_rows`` (CSV, tree order), ``<stem>_summary`` (CSV
+    and parquet) and ``<stem>_widths`` (display width per column)."""
     out_dir = out_dir.rstrip("/")
     if spec is None:
         text = SK.read_text_file(spark, f"{out_dir}/{SPEC_FILE}")
@@ -52,6 +52,8 @@ def label_job(spark: SparkSession, manifest: DataFrame, out_dir: str,
     SK.write_csv(rows, f"{out_dir}/{spec.output_stem}_rows", spec.active_headers())
     SK.write_csv(summary.select("breakdown", "n"), f"{out_dir}/{spec.output_stem}_summary")
     SK.write_table(summary, f"{out_dir}/{spec.output_stem}_summary.parquet")
+    # rows are sorted: limit() takes the first rows in output order
+    SK.write_table(L.column_widths(rows, spec.active_headers()), f"{out_dir}/{spec.output_stem}_widths")
     return LabelOutputs(spec, rows, summary)
 
 
@@ -64,6 +66,7 @@ def label_job_fixed(spark: SparkSession, manifest: DataFrame, out_dir: str,
         return LabelOutputs(spec)
     SK.write_csv(rows, f"{out_dir.rstrip('/')}/{output_stem}_rows", list(headers))
     SK.write_csv(summary.select("breakdown", "n"), f"{out_dir.rstrip('/')}/{output_stem}_summary")
+    SK.write_table(L.column_widths(rows, list(headers)), f"{out_dir.rstrip('/')}/{output_stem}_widths")
     return LabelOutputs(spec, rows, summary)
 
 

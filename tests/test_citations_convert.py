@@ -111,6 +111,8 @@ def test_jobs_end_to_end(spark, tmp_path, tree):
     assert spark.read.parquet(f"{out}/sample_tree").where("folder = 'A'").first().images == [".h.jpg", "_u.jpg", "a1.png"]
     second = jobs.label_job(spark, m, out)
     assert second.rows is not None
+    widths = {r.header: r.width for r in spark.read.parquet(f"{out}/dataset_widths").collect()}
+    assert widths["filename"] == len("deeper.gif") + 4 and widths["level_3"] == len("level_3") + 4
     back = spark.read.option("header", True).csv(f"{out}/dataset_summary")
     assert back.where("breakdown = 'Total images'").first()["n"] == str(second.rows.count())
     pages = spark.createDataFrame([(1, "<html><h1>References</h1><p>[1] A. B. T. V, 2001.</p></html>"),
