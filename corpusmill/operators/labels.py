@@ -104,8 +104,7 @@ def label_rows(manifest: DataFrame, spec: LabelSpec, path_col: str = "path",
     src = F.col(path_col)
     guard = F.when(P.depth(src) > spec.max_depth,
                    F.raise_error(F.concat(F.lit(f"image deeper than max_depth {spec.max_depth}: "), src)))
-    checked = image_files(manifest, path_col).select(F.coalesce(guard, src).alias("__path"))
-    p = F.col("__path")
+    p = F.coalesce(guard, src)  # every label reads the checked path (evaluated once per row)
     cols: list[Column] = []
     if spec.enabled("filename"):
         cols.append(P.file_name(p).alias(spec.columns["filename"]["header"]))
@@ -115,10 +114,10 @@ def label_rows(manifest: DataFrame, spec: LabelSpec, path_col: str = "path",
         slot = f"level_{i}"
         if spec.enabled(slot):
             cols.append(P.level(p, i).alias(spec.columns[slot]["header"]))
-    out = checked.select(*cols, p)
-    if order:
-        out = out.orderBy(P.tree_order_key(p))
-    return out.drop("__path")
+    images = image_files(manifest, path_col)
+    if not order:
+        return images.select(*cols)
+    return images.select(*cols, p.alias("__path")).orderBy(P.tree_order_key(F.col("__path"))).drop("__path")
 
 
 def label_rows_fixed(manifest: DataFrame, headers: tuple[str, ...] | list[str] = FIXED_HEADERS,
@@ -162,14 +161,8 @@ def label_summary(rows: DataFrame, label_headers: list[str], separator: str = SE
          else F.coalesce(F.col(h), F.lit(""))).alias(f"__l{i}")
         for i, h in enumerate(label_headers)])
     keys = [f"__l{i}" for i in range(len(keyed.columns))]
-    if len(keys) <= MAX_GROUPING_SET_LEVELS:
-        out = _summary_grouping_sets(keyed, keys, label_headers)
-    else:
-        out = _summary_exploded(keyed, keys, label_headers)
-    out = out.select("pos", "header", "value",
-                     F.when(F.col("pos") == 0, F.lit(TOTAL_LABEL))
-                     .otherwise(F.concat(F.col("header"), F.lit(separator), F.col("value")))
-                     .alias("breakdown"), "n")
+    summarise = _summary_grouping_sets if len(keys) <= MAX_GROUPING_SET_LEVELS else _summary_exploded
+    out = summarise(keyed, keys, label_headers, separator)
     # GROUPING SETS over no rows gives no total row; the source writes nothing then
     return out.orderBy("pos", "value") if order else out
 
@@ -178,7 +171,12 @@ def label_summary(rows: DataFrame, label_headers: list[str], separator: str = SE
 MAX_GROUPING_SET_LEVELS = 62
 
 
-def _summary_grouping_sets(keyed: DataFrame, keys: list[str], label_headers: list[str]) -> DataFrame:
+def _breakdown(pos: Column, header: Column, value: Column, separator: str) -> Column:
+    return F.when(pos == 0, F.lit(TOTAL_LABEL)).otherwise(F.concat(header, F.lit(separator), value))
+
+
+def _summary_grouping_sets(keyed: DataFrame, keys: list[str], label_headers: list[str],
+                           separator: str = SEP_SPEC) -> DataFrame:
     """One Expand → partial aggregate → exchange → final aggregate."""
     sets = [[]] + [[k] for k in keys]
     agg = keyed.groupingSets(sets, *keys).agg(
@@ -193,10 +191,12 @@ def _summary_grouping_sets(keyed: DataFrame, keys: list[str], label_headers: lis
         pos = F.when(hit, F.lit(i + 1)).otherwise(pos)
         header = F.when(hit, F.lit(h)).otherwise(header)
         value = F.when(hit, F.col(keys[i])).otherwise(value)
-    return agg.select(pos.alias("pos"), header.alias("header"), value.alias("value"), "n")
+    return agg.select(pos.alias("pos"), header.alias("header"), value.alias("value"),
+                      _breakdown(pos, header, value, separator).alias("breakdown"), "n")
 
 
-def _summary_exploded(keyed: DataFrame, keys: list[str], label_headers: list[str]) -> DataFrame:
+def _summary_exploded(keyed: DataFrame, keys: list[str], label_headers: list[str],
+                      separator: str = SEP_SPEC) -> DataFrame:
     """Same result for very deep trees: every row becomes (0, total) plus one
     (level, value) pair per label, then one partial/final aggregation."""
     pairs = [F.struct(F.lit(0).alias("pos"), F.lit(None).cast("string").alias("value"))]
@@ -205,7 +205,8 @@ def _summary_exploded(keyed: DataFrame, keys: list[str], label_headers: list[str
     agg = stacked.groupBy("pos", "value").agg(F.count(F.lit(1)).alias("n"))
     names = F.element_at(F.array(*[F.lit(h) for h in label_headers]), F.greatest(F.col("pos"), F.lit(1)))
     header = F.when(F.col("pos") == 0, F.lit(None).cast("string")).otherwise(names)
-    return agg.select("pos", header.alias("header"), "value", "n")
+    return agg.select("pos", header.alias("header"), "value",
+                      _breakdown(F.col("pos"), header, F.col("value"), separator).alias("breakdown"), "n")
 
 
 def max_depth(manifest: DataFrame, path_col: str = "path") -> DataFrame:

@@ -121,9 +121,16 @@ FX_DEPS: dict[str, tuple[str, ...]] = {
 TEXT_HEAVY = frozenset({"fx_noisy_text", "fx_responses"})
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
-    """One of the given parquet tables."""
-    return read_table(spark, sf_dir, name, balance=balance)
+    """One of the given parquet tables. The given tables are read-only, so a
+    session reuses one DataFrame per table (one listing and footer read)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name, balance)
+    if key not in _TABLES:
+        _TABLES[key] = read_table(spark, sf_dir, name, balance=balance)
+    return _TABLES[key]
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
