@@ -10,8 +10,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusmill.fixed import SPEC_FILE
+from corpusmill.functions import text as T
 from corpusmill.operators import citations as CI
 from corpusmill.operators import convert as CV
 from corpusmill.operators import labels as L
@@ -94,6 +96,10 @@ def convert_job(spark: SparkSession, docs: DataFrame, key: str, state_dir: str,
         return CV.convert_html(df.select(key, html_col), html_col, [key])
 
     run = INC.convert_run(spark, docs.select(key, html_col), convert, key, state_dir)
+    if with_citations:
+        # citations per converted document, from its own Markdown (no join)
+        n = F.size(CI.citation_array(T.references_section(F.col("md"))))
+        run = run.withColumn("citations", F.when(F.col("status") == "ok", n.cast("int")))
     if target == "nested":
         run = PL.nested_target(run, key)
     elif target == "mirrored":

@@ -120,6 +120,7 @@ def test_jobs_end_to_end(spark, tmp_path, tree):
     state = str(tmp_path / "conv")
     r1 = jobs.convert_job(spark, pages, "id", state, with_citations=True)
     assert r1["report"].first()["n_ok"] == 1 and r1["citations"].count() == 1
+    assert {r.id: r.citations for r in r1["run"].collect()} == {1: 1, 2: None}
     r2 = jobs.convert_job(spark, pages, "id", state)
     t = r2["report"].first()
     assert (t.n_ok, t.n_skipped, t.n_error) == (0, 1, 1)
