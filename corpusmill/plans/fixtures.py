@@ -185,7 +185,7 @@ def fixture_tree(spark: SparkSession, sf_dir: str) -> str:
                 full = f"{base}/{rel}"
                 filesystem.create_dir(full.rpartition("/")[0], recursive=True)
                 with filesystem.open_output_stream(full) as out:
-                    out.write(text.encode("utf-8"))
+                    out.write((text or "").encode("utf-8"))
             yield pd.DataFrame({"n": [len(batch)]})
 
     docs.mapInPandas(write, "n long").agg({"n": "sum"}).collect()
