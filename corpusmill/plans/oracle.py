@@ -437,11 +437,12 @@ FROM tgt WHERE suffix(path, '.pdf')"""
 
 # the derived tree: every fx_manifest path holds its document's text
 ORACLE["file_manifest"] = _with("fx_manifest") + """
-SELECT m.path, CAST(strlen(d.text) AS BIGINT) AS length
+SELECT m.path, CAST(strlen(coalesce(d.text, '')) AS BIGINT) AS length
 FROM fx_manifest m JOIN documents d ON d.doc_id = m.doc_id"""
 
 ORACLE["file_contents"] = _with("fx_manifest") + """
-SELECT m.path, CAST(strlen(d.text) AS BIGINT) AS n_bytes, md5(d.text) AS md5, CAST(NULL AS VARCHAR) AS read_error
+SELECT m.path, CAST(strlen(coalesce(d.text, '')) AS BIGINT) AS n_bytes, md5(coalesce(d.text, '')) AS md5,
+       CAST(NULL AS VARCHAR) AS read_error
 FROM fx_manifest m JOIN documents d ON d.doc_id = m.doc_id"""
 
 
