@@ -55,11 +55,13 @@ def open_retries(spark: SparkSession, results_path: str, retry_path: str, key: s
 
 
 def run_batch(spark: SparkSession, inputs: DataFrame, convert: Converter, key: str,
-              results_path: str, retry_path: str, batch_id: int) -> None:
+              results_path: str, retry_path: str, batch_id: int, unique_inputs: bool = True) -> None:
     """One incremental step: (new inputs ∪ open retries) minus finished keys
-    → convert → write this batch's results and retry rows."""
+    → convert → write this batch's results and retry rows. Inputs are taken
+    to have unique keys (paths, ids); ``unique_inputs=False`` removes repeats
+    first, at the price of shuffling every input row."""
     retries = open_retries(spark, results_path, retry_path, key)
-    todo = inputs.dropDuplicates([key])
+    todo = inputs if unique_inputs else inputs.dropDuplicates([key])
     if retries is not None:
         # a failed input offered again in new data: the new version wins
         todo = todo.unionByName(retries.select(*inputs.columns).join(todo.select(key), key, "left_anti"))
@@ -130,7 +132,7 @@ def _next_batch(spark: SparkSession, results_path: str) -> int:
 
 
 def convert_run(spark: SparkSession, inputs: DataFrame, convert: Converter, key: str,
-                state_dir: str) -> DataFrame:
+                state_dir: str, unique_inputs: bool = True) -> DataFrame:
     """Batch form of one incremental run (JON-01, JOB-09): converts the
     inputs not finished before, and returns this run's status per input —
     ``skipped`` for work finished earlier, else the conversion result. The
@@ -139,7 +141,7 @@ def convert_run(spark: SparkSession, inputs: DataFrame, convert: Converter, key:
     results, retry = f"{state_dir}/results", f"{state_dir}/retry"
     before = finished_keys(spark, results, key)
     seq = _next_batch(spark, results)
-    run_batch(spark, inputs, convert, key, results, retry, seq)
+    run_batch(spark, inputs, convert, key, results, retry, seq, unique_inputs)
     this = spark.read.parquet(f"{results}/batch={seq}")
     skipped = (inputs.select(key).join(before, key, "left_semi") if before is not None
                else inputs.select(key).limit(0))
