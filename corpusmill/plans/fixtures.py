@@ -133,13 +133,20 @@ def table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) ->
     return _TABLES[key]
 
 
+_FIXTURES: dict[tuple, DataFrame] = {}
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived view as a DataFrame (Spark SQL with DataFrame parameters)."""
-    args = {}
-    for dep in FX_DEPS[name]:
-        args[dep] = (fixture(spark, sf_dir, dep) if dep in FX_SQL
-                     else table(spark, sf_dir, dep, balance=name in TEXT_HEAVY))
-    return spark.sql(FX_SQL[name], **args)
+    """A derived view as a DataFrame (Spark SQL with DataFrame parameters).
+    Deterministic over read-only tables, so a session builds each plan once."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _FIXTURES:
+        args = {}
+        for dep in FX_DEPS[name]:
+            args[dep] = (fixture(spark, sf_dir, dep) if dep in FX_SQL
+                         else table(spark, sf_dir, dep, balance=name in TEXT_HEAVY))
+        _FIXTURES[key] = spark.sql(FX_SQL[name], **args)
+    return _FIXTURES[key]
 
 
 def duckdb_ctes(*names: str) -> str:
