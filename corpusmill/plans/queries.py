@@ -20,14 +20,13 @@ from corpusmill.operators import labels as L
 from corpusmill.operators import ordering as O
 from corpusmill.operators import planning as PL
 from corpusmill.operators import report as R
-from corpusmill.plans.fixtures import fixture, fixture_tree
+from corpusmill.plans.fixtures import fixture, fixture_tree, table
 from corpusmill.session import work_path
 from corpusmill.sources import catalogue as C
 from corpusmill.sources import content as CT
 from corpusmill.sources import manifest as M
 from corpusmill.sources import select as S
 from corpusmill.sources import sinks as SK
-from corpusmill.sources.tables import read_table
 from corpusmill.streaming import incremental as INC
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,7 +205,7 @@ def _catalogue_present(spark, sf_dir):
     # good (the URL carries the document id)
     rows = C.target_paths(fixture(spark, sf_dir, "fx_catalogue"))
     doc = F.regexp_extract("url", r"/([0-9]+)\.pdf$", 1)
-    labels = read_table(spark, sf_dir, "labels", balance=False).where("quality = 1")
+    labels = table(spark, sf_dir, "labels").where("quality = 1")
     hit = rows.withColumn("doc_id", F.when(doc != "", doc.cast("bigint"))) \
               .join(labels.select("doc_id"), "doc_id", "left_semi")
     return hit.select(F.col("target_path").alias("path"))
@@ -374,7 +373,7 @@ def citations_rules(spark, sf_dir):
 
 
 def _pages(spark, sf_dir):
-    return read_table(spark, sf_dir, "pages")
+    return table(spark, sf_dir, "pages", balance=True)
 
 
 @query
