@@ -70,3 +70,15 @@ def test_html_oracle_states_the_same_rules(spark):
     want = dict(c.execute(OR.ORACLE["convert_documents"].replace("SELECT page_id, status, md, error FROM res",
                                                                   "SELECT page_id, md FROM res")).fetchall())
     assert got == want
+
+
+@pytest.mark.parametrize("name", ["fx_manifest", "fx_shards", "fx_present", "fx_fetch_log", "fx_outputs",
+                                  "fx_catalogue", "fx_noisy_text", "fx_responses"])
+def test_fixture_is_identical_in_both_engines(spark, con, name):
+    from corpusmill.plans.fixtures import duckdb_ctes, fixture
+    df = fixture(spark, SF_SMALL, name)
+    srows = [tuple(r) for r in df.collect()]
+    res = con.execute(duckdb_ctes(name) + f"SELECT * FROM {name}")
+    ocols = [d[0] for d in res.description]
+    assert df.columns == ocols
+    assert _digest(df.columns, srows) == _digest(ocols, res.fetchall())
