@@ -22,8 +22,12 @@ _LOW_MASK = (1 << _LOW_BITS) - 1
 
 def _ranked(df: DataFrame, order_by: list[Column | str]) -> DataFrame:
     checkpoint_dir(df.sparkSession)
-    tagged = df.orderBy(*order_by).withColumn("__rid", F.monotonically_increasing_id())
-    ranked = tagged.checkpoint(eager=True)
+    tagged = df.orderBy(*order_by).withColumn("__rid", F.monotonically_increasing_id()).persist()
+    try:
+        # persisted first, so writing the checkpoint does not sort again
+        ranked = tagged.checkpoint(eager=True)
+    finally:
+        tagged.unpersist()
     return ranked.withColumn("__pid", F.shiftright("__rid", _LOW_BITS)) \
                  .withColumn("__local", F.col("__rid").bitwiseAND(F.lit(_LOW_MASK)))
 
