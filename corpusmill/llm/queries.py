@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import langid, packing, piece_bpe, token_counts
+from corpusmill.llm import jaccard, langid, packing, piece_bpe, repeats, token_counts
 from corpusmill.llm.common import table
 
 
@@ -18,6 +18,11 @@ def op1_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingles agree to 90 %."""
+    return jaccard.join_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op3_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SentencePiece ids and decoded text of every document, as digests."""
     return piece_bpe.encode_decode(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
@@ -33,5 +38,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_filters, op3_piece_bpe, op4_bin_slack_packing, op5_token_counts)}
+def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated 400-byte strings."""
+    return repeats.without_repeats(table(spark, sf_dir, "documents"), length=400, digest=True)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_language_filters, op2_ngram_jaccard, op3_piece_bpe, op4_bin_slack_packing, op5_token_counts,
+    op10_repeated_strings)}
 ORACLE: dict[str, str] = {}
