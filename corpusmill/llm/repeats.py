@@ -118,8 +118,8 @@ def contexts(found: DataFrame, length: int, v: int) -> DataFrame:
     entry = length - v + 1
 
     def run(batches):
-        for batch in batches:
-            for k, copies, known, text in zip(*(c.to_pylist() for c in batch.columns)):
+        for part in (p for batch in batches for p in slices(batch, 3)):
+            for k, copies, known, text in zip(*(c.to_pylist() for c in part.columns)):
                 known = np.sort(np.array(known, np.int64).view(np.uint64))
                 for ranges, at, anchor, first, end in groups(_bytes(text), length, v):
                     h = ranges.hash(anchor, anchor + entry)
@@ -143,8 +143,8 @@ def with_bytes(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
     wanted = asked.groupBy("k").agg(F.collect_list(F.struct("s", "c", "w", "lo", "hi", "t")).alias("asked"))
 
     def run(batches):
-        for batch in batches:
-            for k, text, rows in zip(*(c.to_pylist() for c in batch.columns)):
+        for part in (p for batch in batches for p in slices(batch, 1)):
+            for k, text, rows in zip(*(c.to_pylist() for c in part.columns)):
                 data = (text or "").encode()
                 yield pa.RecordBatch.from_pylist(
                     [{**r, "k": k, "context": data[r["lo"]:r["hi"] - 1 + length]} for r in rows],
@@ -227,7 +227,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, v: int = V) -> tuple[DataFra
     counted = cut(keyed(docs).groupBy("k").agg(F.count("*").alias("copies"), F.sum(F.octet_length("text")).alias("b")),
                   "copies")
     total = counted.agg(F.sum("b")).first()[0] or 0
-    tasks = max(spark.sparkContext.defaultParallelism, int(total // (16 << 20)) + 1)
+    tasks = max(spark.sparkContext.defaultParallelism, int(total // (4 << 20)) + 1)
     entries = cut(dictionary(docs, length, v), "dictionary")
     again = entries.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
     known = entries.join(again, "h", "left_semi").groupBy("k").agg(F.collect_list("h").alias("known"))
@@ -271,9 +271,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, v: int = V, digest: b
     copies, covered = repeated(docs, length, v)
 
     def run(batches):
-        for batch in batches:
+        for part in (p for batch in batches for p in slices(batch, 1)):
             k, n, m, kept = [], [], [], []
-            for key, text, ranges in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, text, ranges in zip(*(c.to_pylist() for c in part.columns)):
                 data, cuts = (text or "").encode(), spans(ranges)
                 left = _kept(data, cuts)
                 k.append(key)
