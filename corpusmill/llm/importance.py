@@ -40,6 +40,7 @@ from corpusmill.llm.hashing import Ranges, combine, mix
 BUCKETS = 1 << 15
 LABELLED = 20_000
 WAYS = 4096
+BROADCAST_ROWS = 1_000_000
 
 _KIND = np.full(256, 3, np.uint8)
 _KIND[[32, *range(9, 14)]] = 0
@@ -179,16 +180,30 @@ def estimate(scored: DataFrame, sample: DataFrame, lower: float) -> int:
     return scored.where(F.col("log_weight") >= least).count()
 
 
-def draw(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 7, lower: float = 0.005) -> DataFrame:
-    """doc_id, log_weight, gumbel_key, selected: one row per row."""
+def scores(docs: DataFrame, labels: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(labelled sample, (doc_id, key, log_weight, gumbel_key) per row)."""
     python_ready(docs.sparkSession)
     sample = cut(labelled(labels), "labelled")
     ratio = model(docs, sample)
-    hashed = docs.withColumn("__u", F.xxhash64(F.lit(seed), "doc_id", "text"))
-    scored = weights(hashed, ratio, ["doc_id", "__u"])
-    uniform = (F.shiftrightunsigned("__u", 12) + 0.5) / float(1 << 52)
-    scored = scored.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(uniform)))
-    scored = cut(scored, "weights")
+    hashed = docs.select("doc_id", "text", F.xxhash64(F.lit(seed), "doc_id", "text").alias("key__"))
+    scored = weights(hashed, ratio, ["doc_id", "key__"])
+    uniform = (F.shiftrightunsigned("key__", 12) + 0.5) / float(1 << 52)
+    return sample, cut(scored.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(uniform))), "weights")
+
+
+def draw(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 7, lower: float = 0.005) -> DataFrame:
+    """doc_id, key__, log_weight, gumbel_key, selected: one row per row."""
+    sample, scored = scores(docs, labels, seed)
     at = threshold(scored, "gumbel_key", estimate(scored, sample, lower) if k is None else k)
-    return scored.select("doc_id", "__u", "log_weight", "gumbel_key",
+    return scored.select("doc_id", "key__", "log_weight", "gumbel_key",
                          F.coalesce(F.col("gumbel_key") >= F.lit(at), F.lit(False)).alias("selected"))
+
+
+def drawn(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 7) -> DataFrame:
+    """The rows of ``docs`` that are drawn. Texts are not shuffled where the
+    keys of those that are not drawn fit a broadcast (at most
+    ``BROADCAST_ROWS``)."""
+    out = cut(draw(docs, labels, k, seed).where("not selected").select("key__").distinct(), "not-drawn")
+    few = out.count() <= BROADCAST_ROWS
+    keyed = docs.withColumn("key__", F.xxhash64(F.lit(seed), "doc_id", "text"))
+    return keyed.join(F.broadcast(out) if few else out, "key__", "left_anti").select(*docs.columns)

@@ -37,7 +37,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import cut, python_ready, slices, text_buffers
@@ -210,3 +210,22 @@ def join_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataF
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
          .alias("component_id"))
+
+
+def representatives(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without all but one document of each component: the one with
+    the smallest doc_id (of several rows with it, the one of smallest text
+    hash). Documents without a word or an id stay. The ids that go are
+    broadcast while they are at most ``BROADCAST_ROWS``."""
+    found = cut(join_components(docs, words, percent).where("n_shingles > 0 and doc_id is not null"), "components")
+    gone = cut(found.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
+    few = gone.count() <= BROADCAST_ROWS
+    left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    twice = cut(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"),
+                "repeated-ids")
+    if twice.isEmpty():
+        return left
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    repeated = left.join(twice, "doc_id", "left_semi").withColumn("n__", F.row_number().over(order)) \
+                   .where("n__ = 1").select(*docs.columns)
+    return left.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(repeated)

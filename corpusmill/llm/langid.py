@@ -162,24 +162,27 @@ def train(docs: DataFrame, train_docs: int = 3000, min_share: float = 2e-5) -> M
                                     for k, g in found.groupby("lang")})
 
 
-def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """``keep`` columns plus ``lang_pred`` and ``score``, one row per row.
-    The model (bounded, see above) is broadcast."""
+def predict(docs: DataFrame, model: Model | None, keep: list[str], with_text: bool = False) -> DataFrame:
+    """``keep`` columns plus ``lang_pred`` and ``score``, one row per row;
+    ``with_text`` keeps the text as well and names the two ``lang_pred__`` and
+    ``score__``, which clash with no column. The model (bounded, see above)
+    is broadcast."""
     spark = docs.sparkSession
     python_ready(spark)
     shared = spark.sparkContext.broadcast(model)
-    schema = docs.select(*keep).schema
+    shown = [*keep, "text"] if with_text else keep
+    names = ["lang_pred__", "score__"] if with_text else ["lang_pred", "score"]
+    schema = docs.select(*shown).schema.add(names[0], "string").add(names[1], "double")
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, len(keep)):
                 lang, score = classify(shared.value, part.column(len(keep)).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:len(keep)], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                    names=[*keep, "lang_pred", "score"])
+                    [*part.columns[:len(shown)], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                    names=[*shown, *names])
 
-    out = schema.add("lang_pred", "string").add("score", "double")
-    return docs.select(*keep, "text").mapInArrow(run, out)
+    return docs.select(*keep, "text").mapInArrow(run, schema)
 
 
 def held_out(doc_id="doc_id"):

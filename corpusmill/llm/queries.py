@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import jaccard, langid, packing, piece_bpe, repeats, token_counts
+from corpusmill.llm import (
+    cover_tree,
+    importance,
+    jaccard,
+    langid,
+    licenses,
+    nn_descent,
+    packing,
+    piece_bpe,
+    repeats,
+    token_counts,
+)
 from corpusmill.llm.common import table
 
 
@@ -38,6 +49,27 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op6_dual_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every 20th vector with all others."""
+    return cover_tree.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20, scale=64)
+
+
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of a label, cosine 0.93 or more."""
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op8_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that every document names."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op9_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight of every document and whether it is drawn."""
+    drawn = importance.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return drawn.select("doc_id", "log_weight", "gumbel_key", "selected")
+
+
 def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its repeated 400-byte strings."""
     return repeats.without_repeats(table(spark, sf_dir, "documents"), length=400, digest=True)
@@ -45,5 +77,5 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_language_filters, op2_ngram_jaccard, op3_piece_bpe, op4_bin_slack_packing, op5_token_counts,
-    op10_repeated_strings)}
-ORACLE: dict[str, str] = {}
+    op6_dual_tree_top_k, op7_nn_descent, op8_license_sentences, op9_importance_resampling, op10_repeated_strings)}
+ORACLE: dict[str, str] = {"op8_license_sentences": licenses.scan_sql()}
