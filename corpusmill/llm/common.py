@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusmill.session import ship_package, work_path
 
 #: Text bytes that one Python step holds at a time (a longer text is one slice).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -38,7 +38,7 @@ from corpusmill.llm.hashing import mix
 
 SIZES = (3, 4, 5)
 HASHES = 2
-_WINDOW = 1 << 21
+_WINDOW = 1 << 19
 _LETTER = regex.compile(r"\p{L}")
 
 
