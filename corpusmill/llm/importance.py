@@ -10,8 +10,8 @@ and the document's id and text, so a repeated run draws the same ones.
 
 Features are words and marks, pairs of neighbours (a word that follows itself
 is one feature whatever the word), and pairs of their shapes. ``k`` is given,
-or estimated: how many documents weigh at least as much as the labelled good
-ones' ``lower`` quantile; where there are labelled bad ones, at least the
+or estimated: how many documents weigh at least as much as the ``lower``
+quantile of labelled good ones that the model has not seen; where there are labelled bad ones, at least the
 middle between them if that is lower.
 
 The k-th largest key is found in a few counting passes over the written keys,
@@ -78,18 +78,21 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def labelled(labels: DataFrame, label: str = "quality") -> DataFrame:
-    """At most about ``LABELLED`` labelled ids: (doc_id, good)."""
+    """At most about ``LABELLED`` labelled ids: (doc_id, good, fit); two thirds
+    are for fitting, the others for estimating ``k``."""
     known = labels.where(f"doc_id is not null and {label} is not null") \
                   .groupBy("doc_id").agg(F.max(label).alias("good"))
     n = known.count()
     spread = 1 << 20
-    return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(spread)) < int(spread * min(1.0, LABELLED / max(n, 1))))
+    return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(spread)) < int(spread * min(1.0, LABELLED / max(n, 1)))) \
+                .withColumn("fit", F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(3)) < 2)
 
 
 def model(docs: DataFrame, sample: DataFrame) -> np.ndarray:
     """Log ratio by bucket. One pass: every document counts as raw text, and
     the good ones of the (broadcast, bounded) sample as target too."""
-    marked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left").select("good", "text")
+    marked = docs.select("doc_id", "text").join(F.broadcast(sample.where("fit").select("doc_id", "good")), "doc_id", "left") \
+                 .select("good", "text")
     shape = pa.schema([("half", pa.int64()), ("counts", pa.binary())])
 
     def count(batches):
@@ -170,8 +173,8 @@ def threshold(keys: DataFrame, column: str, k: int) -> float:
 
 
 def estimate(scored: DataFrame, sample: DataFrame, lower: float) -> int:
-    """How many documents weigh like the labelled good ones."""
-    known = scored.join(F.broadcast(sample), "doc_id").where("log_weight is not null")
+    """How many documents weigh like labelled good ones that were not fitted."""
+    known = scored.join(F.broadcast(sample.where("not fit").select("doc_id", "good")), "doc_id").where("log_weight is not null")
     rows = known.groupBy("good").agg(F.percentile_approx("log_weight", [lower, 0.5, 0.95], 10_000).alias("q")).collect()
     q = {r.good: r.q for r in rows}
     if 1 not in q:
