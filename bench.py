@@ -26,7 +26,7 @@ HEADLINE = [
     "label_summary", "rows_images", "sample_tree", "order_tree", "column_widths",
     "acquisition_plan", "skip_by_size", "run_report", "progress_every_10",
     "clean_markdown", "references_section", "citations_rules", "citations_from_json",
-    "convert_documents", "convert_with_errors",
+    "convert_documents", "incremental_run", "conversion_report", "label_dataset", "csv_round_trip",
 ]
 
 

@@ -16,7 +16,6 @@ TOTAL_LABEL = "Total images"
 SEP_SPEC = "  =  "          # "header  =  value" (any-depth labeller)
 SEP_FIXED = " = "           # "header = value" (fixed-depth labeller)
 NONE_VALUE = "(none)"
-WIDTH_SAMPLE_ROWS = 500
 WIDTH_PADDING = 4
 WIDTH_MAX = 60
 

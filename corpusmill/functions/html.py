@@ -12,13 +12,15 @@ order (later rules assume the earlier ones ran):
 4. table rows → Markdown pipe rows, with a ``| --- |`` delimiter row after
    each table's first row (tables are kept);
 5. every other tag is removed, its text kept (images vanish: no graphics);
-6. the entities below are decoded, ``&amp;`` last; those HTML5 accepts
-   without the final ``;`` are decoded in that form too;
+6. character references are decoded once: numbers, all names of HTML5, and
+   the names it accepts without the final ``;``;
 7. the finish: ``clean`` (line clean-up) or ``strip``.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,11 +28,6 @@ from corpusmill.functions import text as T
 
 # --- Rules of this converter -------------------------------------------------------------
 DROP_BLOCKS = ("head", "script", "style", "nav", "footer")
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", "\xa0"), ("&copy;", "©"), ("&middot;", "·"), ("&mdash;", "—"),
-            ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&"))
-# HTML5 also decodes these without the final ';' (legacy references).
-NO_SEMICOLON_OK = frozenset({"&lt;", "&gt;", "&quot;", "&#39;", "&nbsp;", "&copy;", "&middot;", "&amp;"})
 # --- end of converter rules --------------------------------------------------------
 
 
@@ -100,18 +97,45 @@ def html_to_markdown(col: Column | str, finish: str = "clean") -> Column:
     return finish_text(decode_entities(tags_to_text(col)), finish)
 
 
+def _reference_tables() -> tuple[dict[str, str], list[str], dict[str, str]]:
+    """Named references with ``;``, names that need none (longest first), and
+    what the numbers 128 to 159 stand for: from the standard library's tables
+    of HTML5 and of Windows-1252."""
+    from html.entities import html5
+
+    low = {str(n): bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)}
+    return ({k: v for k, v in html5.items() if k.endswith(";")},
+            sorted((k for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k)), low)
+
+
+def _map(values: dict[str, str]) -> Column:
+    """A constant map (parsed once, when the plan is optimised)."""
+    return F.from_json(F.lit(json.dumps(values)), "map<string,string>")
+
+
 def decode_entities(c: Column) -> Column:
-    """Entities in order, ``&amp;`` last. Pages with a legacy reference (no
-    final ';') take one regex pass per entity; the others — nearly all —
-    only literal replaces. One pass per entity keeps ``&amp;lt;`` → ``&lt;``."""
-    literal, legacy = c, c
-    for entity, char in ENTITIES:
-        literal = F.replace(literal, F.lit(entity), F.lit(char))
-        legacy = (F.regexp_replace(legacy, entity[:-1] + ";?", char) if entity in NO_SEMICOLON_OK
-                  else F.replace(legacy, F.lit(entity), F.lit(char)))
-    names = "|".join(e[1:-1] for e, _ in ENTITIES if e in NO_SEMICOLON_OK)
-    has_legacy = F.regexp_like(c, F.lit("&(?:" + names + ")(?!;)"))
-    return F.when(has_legacy, legacy).otherwise(literal)
+    """Character references, each decoded once (``&amp;lt;`` → ``&lt;``):
+    decimal and hexadecimal ones, all named ones, and those HTML5 accepts
+    without the final ``;``. Texts without ``&`` skip the work."""
+    named, bare, low = _reference_tables()
+    names, numbers = _map(named | {n: named[n + ";"] for n in bare}), _map(low)
+
+    def one(x: Column, i: Column) -> Column:
+        digits = F.regexp_extract(x, r"\A#([0-9]{1,7}(?![0-9])|[xX][0-9a-fA-F]{1,6}(?![0-9a-fA-F]));?", 1)
+        taken = F.length(F.regexp_extract(x, r"\A#(?:[0-9]{1,7}(?![0-9])|[xX][0-9a-fA-F]{1,6}(?![0-9a-fA-F]));?", 0))
+        code = F.when(F.lower(F.substring(digits, 1, 1)) == "x", F.conv(F.substring(digits, 2, 6), 16, 10)) \
+                .otherwise(digits).cast("int")
+        legal = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.coalesce(F.try_element_at(numbers, code.cast("string")),
+                          F.decode(F.unhex(F.lpad(F.hex(F.when(legal, code)), 8, "0")), "UTF-32"), F.lit("\ufffd"))
+        name = F.regexp_extract(x, r"\A[A-Za-z][A-Za-z0-9]{0,31};", 0)
+        short = F.regexp_extract(x, r"\A(?:" + "|".join(bare) + ")", 0)
+        hit = F.when(F.try_element_at(names, name).isNotNull(), name).otherwise(short)
+        return F.when(i == 0, x).when(digits != "", F.concat(char, F.substr(x, taken + 1))) \
+                .when(hit != "", F.concat(F.try_element_at(names, hit), F.substr(x, F.length(hit) + 1))) \
+                .otherwise(F.concat(F.lit("&"), x))
+
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(F.split(c, "&", -1), one), "")).otherwise(c)
 
 
 def is_complete(col: Column | str) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusmill.fixed import BAD_FILENAME_CHARS, REFERENCE_HEADINGS, REFERENCE_TEXT_LIMIT  # noqa: F401
+from corpusmill.fixed import BAD_FILENAME_CHARS, REFERENCE_HEADINGS
 
 # --- Python string behaviour (what str.isspace / str.splitlines accept) -------
 # Every character for which Python's str.isspace() is true (29 characters).
@@ -94,8 +94,9 @@ def references_section(col: Column | str) -> Column:
     return F.regexp_extract(_c(col), REFS, 0)
 
 
-def truncate_chars(col: Column | str, limit: int = REFERENCE_TEXT_LIMIT) -> Column:
-    """First ``limit`` characters (code points) (STR-06)."""
+def truncate_chars(col: Column | str, limit: int) -> Column:
+    """First ``limit`` characters (code points) (STR-06); the caller states the
+    limit, since nothing in this library needs one."""
     return F.substring(_c(col), 1, limit)
 
 

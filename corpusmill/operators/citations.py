@@ -3,9 +3,12 @@
 Citation rows have the six fields ``id, authors, year, title, venue, doi``
 (``year`` is a string, ``""`` when absent). Two producers:
 
-* ``extract_citations`` — rules in column expressions (no model server):
-  every references line that starts with a bracketed key opens an entry,
-  continuation lines join it; fields come from regexes (below).
+* ``extract_citations`` — rules in column expressions (no model server): a
+  section's entries are bracketed (``[key] …``, with or without a list mark),
+  numbered (``1. …`` or ``1) …``), list-marked (``- …``) or author–year lines
+  (``Smith, J. … 2020 …``); the first of these forms that occurs is the
+  section's. An entry opens with its mark, continuation lines join it; fields
+  come from regexes (below).
 * ``parse_citation_responses`` — answers of an external model already in a
   column: fence removal, strict JSON-list parsing, one row per citation.
 """
@@ -19,6 +22,7 @@ from corpusmill.functions import text as T
 
 CITATION_TYPE = ("array<struct<id:string,authors:array<string>,year:string,"
                  "title:string,venue:string,doi:string>>")
+TEXT_FIELDS = ("id", "year", "title", "venue", "doi")
 
 # --- Extraction rules (this library's own, replacing a model call) --------------------------------------
 # An entry: a line starting with "[key]" plus the lines after it that do not
@@ -39,6 +43,12 @@ YEAR = r"(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)"
 SENTENCE_END = r"(?<!\p{Lu})\.|(?<=\p{Lu})\.(?! )"
 AUTHOR_SPLIT = r" *, *| +and +"
 VENUE_TRIM = r"[ ,;:]+$"
+# Forms of a list, in the order in which they are tried: does it occur, and
+# how its marks become a bracketed key ([] where an entry has none).
+BRACKETED = (r"(?md)^(?:[-*+][ \t]+)?\[[^\]\n]*\]", r"(?md)^[-*+][ \t]+(\[)", "$1")
+NUMBERED = (r"(?md)^[0-9]{1,4}[.)][ \t]", r"(?md)^([0-9]{1,4})[.)][ \t]+", "[$1] ")
+LISTED = (r"(?md)^[-*+][ \t]", r"(?md)^[-*+][ \t]+", "[] ")
+AUTHOR_YEAR = (r"(?md)^\p{Lu}[\p{L}'-]+,", r"(?md)^(\p{Lu}[\p{L}'-]+)(,[^\n]*?)((?:19|20)[0-9]{2})", "[$1 $3] $1$2$3")
 # --- end of extraction rules --------------------------------------------------------
 
 
@@ -66,13 +76,22 @@ def _fields(entry: Column) -> Column:
     title = F.coalesce(F.try_element_at(sentences, F.lit(2)), F.lit(""))
     venue_raw = F.coalesce(F.try_element_at(sentences, F.lit(3)), F.lit(""))
     venue = F.regexp_replace(F.regexp_replace(venue_raw, "(?:19|20)[0-9]{2}", ""), VENUE_TRIM, "")
-    return F.struct(key.alias("id"), authors.alias("authors"), year.alias("year"),
+    return F.struct(F.when(key == "[]", "").otherwise(key).alias("id"), authors.alias("authors"), year.alias("year"),
                     title.alias("title"), T.py_strip(venue).alias("venue"), doi.alias("doi"))
 
 
+def with_keys(refs: Column) -> Column:
+    """The section with a bracketed key before every entry, whichever form
+    its list has."""
+    out = refs
+    for occurs, mark, key in reversed((BRACKETED, NUMBERED, LISTED, AUTHOR_YEAR)):
+        out = F.when(F.regexp_like(refs, F.lit(occurs)), F.regexp_replace(refs, mark, key)).otherwise(out)
+    return out
+
+
 def citation_array(refs_col: Column | str) -> Column:
     """All citations of a references text, in order, as an array of structs."""
-    refs = F.col(refs_col) if isinstance(refs_col, str) else refs_col
+    refs = with_keys(F.col(refs_col) if isinstance(refs_col, str) else refs_col)
     pieces = F.filter(F.split(refs, ENTRY_SPLIT, -1), lambda x: F.regexp_like(x, F.lit(ENTRY_HEAD)))
     return F.transform(pieces, lambda x: _fields(F.regexp_replace(x, ENTRY_CUT, "")))
 
@@ -88,15 +107,44 @@ def parse_citation_array(raw_col: Column | str) -> tuple[Column, Column]:
     """(citations, parse_error) from a model answer (STR-07, STR-08).
 
     Contract: after fence removal the answer must be one JSON list of
-    objects; anything else gives ``[]`` and ``parse_error = true``. The list
-    shape is checked explicitly because ``from_json`` alone also accepts a
-    bare object and trailing text.
+    objects whose ``authors`` are lists of strings and whose other fields are
+    strings or numbers; anything else gives ``[]`` and ``parse_error = true``.
+    Absent and null fields become ``""`` (``authors``: no author).
+
+    The answer is read as the only value of an object: text after the list, or
+    a second list, then spoils the object, and a second key shows in the map.
+    Reading every element as a map shows null elements, and reading the text
+    fields as lists and as objects shows those that are, which reading them as
+    a citation would keep as text.
     """
     raw = T.strip_fence(raw_col)
     shaped = F.regexp_like(raw, F.lit(r"(?s)\A" + T.WS + r"*\[.*\]" + T.WS + r"*\z"))
-    parsed = F.from_json(raw, CITATION_TYPE, {"allowSingleQuotes": "false", "mode": "PERMISSIVE"})
-    ok = shaped & parsed.isNotNull()
-    return (F.when(ok, parsed).otherwise(F.array().cast(CITATION_TYPE)), ~ok)
+    boxed = F.concat(F.lit('{"c":'), raw, F.lit("}"))
+
+    def read_as(kind: str) -> Column:
+        return F.from_json(boxed, kind, {"allowSingleQuotes": "false", "mode": "PERMISSIVE"})
+
+    def nested(kind: str) -> Column:
+        fields = ",".join(f"{name}:{kind}" for name in TEXT_FIELDS)
+        return F.coalesce(F.exists(read_as(f"c array<struct<{fields}>>")["c"], lambda c: F.coalesce(
+            *[F.when(c[name].isNotNull(), True) for name in TEXT_FIELDS], F.lit(False))), F.lit(False))
+
+    read, plain = read_as(f"c {CITATION_TYPE}")["c"], read_as("c array<map<string,string>>")["c"]
+
+    def wrong(both: Column) -> Column:
+        given, cit = both["plain"], both["read"]
+        names = F.try_element_at(given, F.lit("authors"))
+        listed = names.isNull() | (cit["authors"].isNotNull() & ~F.exists(cit["authors"], lambda a: a.isNull()))
+        return given.isNull() | cit.isNull() | ~F.coalesce(listed, F.lit(False))
+
+    both = F.zip_with(plain, read, lambda p, r: F.struct(p.alias("plain"), r.alias("read")))
+    ok = F.coalesce(shaped & (F.size(F.map_keys(read_as("map<string,string>"))) == 1) & read.isNotNull()
+                    & plain.isNotNull() & ~F.exists(both, wrong) & ~nested("array<string>")
+                    & ~nested("map<string,string>"), F.lit(False))
+    filled = F.transform(read, lambda c: F.struct(*[
+        F.coalesce(c[name], F.array().cast("array<string>") if name == "authors" else F.lit("")).alias(name)
+        for name in ("id", "authors", *TEXT_FIELDS[1:])]))
+    return (F.when(ok, filled).otherwise(F.array().cast(CITATION_TYPE)), ~ok)
 
 
 def parse_citation_responses(df: DataFrame, raw_col: str = "response",

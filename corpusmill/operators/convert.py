@@ -9,7 +9,7 @@ Two converters:
 * ``convert_html`` — native column expressions (``functions.html``); the
   whole job stays in the JVM.
 * ``convert_with`` — any Python function ``bytes|str -> str`` (a PDF or
-  office-format library, say) run by ``mapInPandas``: the function is
+  office-format library, say) run by ``mapInArrow``: the function is
   created once per Python worker, rows arrive in Arrow batches, an
   exception becomes an ``error`` row. Select only the needed columns
   before calling it (Catalyst cannot prune through a Python operator) and
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -29,47 +29,51 @@ from corpusmill.functions import html as H
 from corpusmill.functions import text as T
 from corpusmill.session import ship_package
 
-# --- Converter messages -------------------------------------------------------------
-INCOMPLETE_ERROR = "incomplete document: no closing </html>"
-# --- end of converter messages --------------------------------------------------------
+#: Characters of converted text that a task holds before it hands them on
+HELD_CHARS = 16 << 20
 
 
 def convert_html(df: DataFrame, html_col: str = "html", key_cols: list[str] | None = None,
-                 finish: str = "clean", require_complete: bool = True) -> DataFrame:
-    """Native HTML converter. Documents cut off before ``</html>`` are
-    ``error`` rows when ``require_complete`` (their text would be partial)."""
+                 finish: str = "clean") -> DataFrame:
+    """Native HTML converter: keys, status, md, error, complete. Every page
+    that is there is converted; ``complete`` says whether it closes its
+    ``html`` element (the end tag is optional, so its absence is no error)."""
     keys = key_cols if key_cols is not None else [c for c in df.columns if c != html_col]
     h = F.col(html_col)
-    bad = (~H.is_complete(h)) if require_complete else F.lit(False)
-    status = F.when(h.isNull(), "error").when(bad, "error").otherwise("ok")
-    error = (F.when(h.isNull(), F.lit("no content"))
-             .when(bad, F.lit(INCOMPLETE_ERROR)))
     # the tag rules once per row, in their own projection: entity decoding
-    # reads the result three times and Catalyst keeps it computed once
-    staged = df.select(*keys, status.alias("status"), error.alias("error"),
-                       F.when(status == "ok", H.tags_to_text(h)).alias("__text"))
+    # reads the result several times and Catalyst keeps it computed once
+    staged = df.select(*keys, F.when(h.isNull(), "error").otherwise("ok").alias("status"),
+                       F.when(h.isNull(), F.lit("no content")).alias("error"),
+                       F.coalesce(H.is_complete(h), F.lit(False)).alias("complete"), H.tags_to_text(h).alias("__text"))
     md = H.finish_text(H.decode_entities(F.col("__text")), finish)
-    return staged.select(*keys, "status", md.alias("md"), "error")
+    return staged.select(*keys, "status", md.alias("md"), "error", "complete")
 
 
-def _run_converter(make: Callable[[], Callable], key_col: str, content_col: str):
+def _run_converter(make: Callable[[], Callable], schema: StructType):
     def run(batches):
         fn = make()  # once per Python worker, outside the batch loop
-        for pdf in batches:
-            status, mds, errors = [], [], []
-            for content in pdf[content_col]:
-                try:
-                    md = fn(content)
-                    if not isinstance(md, str):
-                        raise TypeError(f"converter returned {type(md).__name__}, not str")
-                    status.append("ok")
-                    mds.append(md)
-                    errors.append(None)
-                except Exception as exc:  # noqa: BLE001 - the row records it
-                    status.append("error")
-                    mds.append(None)
-                    errors.append(f"{type(exc).__name__}: {exc}")
-            yield pd.DataFrame({key_col: pdf[key_col], "status": status, "md": mds, "error": errors})
+
+        def outcome(content):
+            try:
+                md = fn(content)
+                if not isinstance(md, str):
+                    raise TypeError(f"converter returned {type(md).__name__}, not str")
+                return "ok", md, None
+            except Exception as exc:  # noqa: BLE001 - the row records it
+                return "error", None, f"{type(exc).__name__}: {exc}"
+
+        for batch in batches:
+            start, held, rows = 0, 0, []
+            for i in range(batch.num_rows):
+                rows.append(outcome(batch.column(1)[i].as_py()))
+                held += len(rows[-1][1] or "")
+                if held >= HELD_CHARS or i + 1 == batch.num_rows:
+                    status, md, error = zip(*rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(start, i + 1 - start), pa.array(status, pa.string()),
+                         pa.array(md, pa.string()), pa.array(error, pa.string())],
+                        names=[schema.names[0], "status", "md", "error"])
+                    start, held, rows = i + 1, 0, []
     return run
 
 
@@ -83,65 +87,7 @@ def convert_with(df: DataFrame, make_converter: Callable[[], Callable], key_col:
     slim = df.select(key_col, content_col)
     schema = StructType([slim.schema[key_col], StructField("status", StringType()),
                          StructField("md", StringType()), StructField("error", StringType())])
-    out = slim.mapInPandas(_run_converter(make_converter, key_col, content_col), schema)
+    out = slim.mapInArrow(_run_converter(make_converter, schema), schema)
     ok = F.col("status") == "ok"
     finished = T.clean_markdown("md") if finish == "clean" else T.strip_only("md")
     return out.withColumn("md", F.when(ok, finished))
-
-
-def stdlib_html_converter() -> Callable[[str], str]:
-    """A small Python converter built on ``html.parser`` (for UDF-01 and its
-    tests): text of the body, headings as ``#``, list items as ``-``.
-    Raises on documents that do not close ``</html>``."""
-    from html.parser import HTMLParser
-
-    class _P(HTMLParser):
-        skip_tags = set(H.DROP_BLOCKS)
-
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.out, self.skip, self.closed = [], 0, False
-
-        def handle_starttag(self, tag, attrs):
-            if tag in self.skip_tags:
-                self.skip += 1
-            elif self.skip:
-                return  # nothing of a dropped block reaches the text
-            elif tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-                self.out.append("\n\n" + "#" * int(tag[1]) + " ")
-            elif tag == "li":
-                self.out.append("\n- ")
-            elif tag == "br":
-                self.out.append("\n")
-            elif tag == "p":
-                self.out.append("\n\n")
-
-        def handle_endtag(self, tag):
-            if tag in self.skip_tags:
-                self.skip = max(0, self.skip - 1)
-            elif tag == "html":
-                self.closed = True
-            elif self.skip:
-                return
-            elif tag == "html":
-                self.closed = True
-            elif tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
-                self.out.append("\n\n")
-
-        def handle_data(self, data):
-            if not self.skip:
-                self.out.append(data)
-
-    def convert(doc):
-        if doc is None:
-            raise ValueError("no content")
-        if isinstance(doc, (bytes, bytearray)):
-            doc = doc.decode("utf-8")
-        p = _P()
-        p.feed(doc)
-        p.close()
-        if not p.closed:
-            raise ValueError(INCOMPLETE_ERROR)
-        return "".join(p.out)
-
-    return convert

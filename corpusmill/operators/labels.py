@@ -2,8 +2,8 @@
 
 Input is a file manifest (``path`` relative to the dataset root, '/'-
 separated). Everything is a lazy DataFrame plan: the summary is one
-``GROUPING SETS`` aggregation (Expand → partial HashAggregate → Exchange →
-final), the sample of every folder is a ``row_number() <= 3`` window that
+aggregation of (level, value) pairs (partial counts → Exchange → final), the
+sample of every folder is a ``row_number() <= 3`` window that
 Spark turns into a partial group limit before the shuffle.
 """
 
@@ -16,29 +16,50 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.fixed import (DEFAULT_OUTPUT_STEM, FIXED_HEADERS, NONE_VALUE, SAMPLE_IMAGES_PER_FOLDER,
-                              SEP_FIXED, SEP_SPEC, TOTAL_LABEL, WIDTH_MAX, WIDTH_PADDING, WIDTH_SAMPLE_ROWS)
+                              SEP_FIXED, SEP_SPEC, TOTAL_LABEL, WIDTH_MAX, WIDTH_PADDING)
 from corpusmill.functions import paths as P
 from corpusmill.functions import text as T
 
 
+@dataclass(frozen=True)
+class Slot:
+    """One possible output column: what it holds, its header, whether it is
+    written. ``level`` is 0 for the two columns that are not labels."""
+
+    name: str
+    level: int
+    header: str
+    enabled: bool
+
+
 @dataclass
 class LabelSpec:
-    """Column spec: slot → (header, enabled), plus depth and output stem.
+    """Column spec: a header and a switch per slot, plus depth and output stem.
 
-    Slots are ``filename``, ``path`` and ``level_1`` .. ``level_<max_depth>``.
+    Slots are ``filename``, ``path`` and ``level_1`` .. ``level_<max_depth>``;
+    ``columns`` holds the entries of the JSON file under these names.
     """
 
     max_depth: int
     columns: dict[str, dict] = field(default_factory=dict)
     output_stem: str = DEFAULT_OUTPUT_STEM
 
-    @staticmethod
-    def slots(max_depth: int) -> list[str]:
-        return ["filename", "path"] + [f"level_{i + 1}" for i in range(max_depth)]
+    def slots(self) -> list[Slot]:
+        """Every slot in output order; one without an entry is off."""
+        names = {"filename": 0, "path": 0}
+        names.update((f"level_{n}", n) for n in range(1, self.max_depth + 1))
+        typed = []
+        for name, level in names.items():
+            entry = self.columns.get(name)
+            typed.append(Slot(name, level, name if entry is None else entry["header"],
+                              entry is not None and bool(entry.get("enabled", True))))
+        return typed
 
     @classmethod
     def default(cls, max_depth: int) -> "LabelSpec":
-        return cls(max_depth, {k: {"header": k, "enabled": True} for k in cls.slots(max_depth)})
+        spec = cls(max_depth)
+        spec.columns = {slot.name: {"header": slot.name, "enabled": True} for slot in spec.slots()}
+        return spec
 
     @classmethod
     def from_json(cls, text: str) -> "LabelSpec":
@@ -50,7 +71,7 @@ class LabelSpec:
                            "output_stem": self.output_stem}, indent=2)
 
     def validate(self) -> None:
-        missing = [k for k in self.slots(self.max_depth) if k not in self.columns]
+        missing = [slot.name for slot in self.slots() if slot.name not in self.columns]
         if missing:
             raise ValueError(f"column spec has no entry for slot(s) {missing}")
         headers = self.active_headers()
@@ -58,18 +79,13 @@ class LabelSpec:
         if dup:
             raise ValueError(f"column spec repeats header(s) {dup}")
 
-    def enabled(self, slot: str) -> bool:
-        return bool(self.columns.get(slot, {}).get("enabled", True))
-
     def active_headers(self) -> list[str]:
-        """Output column order: filename, path, level_1..n; enabled only (PRJ-05)."""
-        return [self.columns[k]["header"] for k in self.slots(self.max_depth)
-                if k in self.columns and self.enabled(k)]
+        """Headers of the columns that are written, in output order (PRJ-05)."""
+        return [slot.header for slot in self.slots() if slot.enabled]
 
     def label_headers(self) -> list[str]:
-        """Enabled level headers only, for the summary (PRJ-06)."""
-        return [self.columns[k]["header"] for k in self.slots(self.max_depth)[2:]
-                if k in self.columns and self.enabled(k)]
+        """The label columns among them, for the summary (PRJ-06)."""
+        return [slot.header for slot in self.slots() if slot.enabled and slot.level]
 
 
 # ----------------------------------------------------------------------------
@@ -105,15 +121,9 @@ def label_rows(manifest: DataFrame, spec: LabelSpec, path_col: str = "path",
     guard = F.when(P.depth(src) > spec.max_depth,
                    F.raise_error(F.concat(F.lit(f"image deeper than max_depth {spec.max_depth}: "), src)))
     p = F.coalesce(guard, src)  # every label reads the checked path (evaluated once per row)
-    cols: list[Column] = []
-    if spec.enabled("filename"):
-        cols.append(P.file_name(p).alias(spec.columns["filename"]["header"]))
-    if spec.enabled("path"):
-        cols.append(p.alias(spec.columns["path"]["header"]))
-    for i in range(1, spec.max_depth + 1):
-        slot = f"level_{i}"
-        if spec.enabled(slot):
-            cols.append(P.level(p, i).alias(spec.columns[slot]["header"]))
+    special = {"filename": P.file_name(p), "path": p}
+    cols: list[Column] = [(P.level(p, slot.level) if slot.level else special[slot.name]).alias(slot.header)
+                          for slot in spec.slots() if slot.enabled]
     images = image_files(manifest, path_col)
     if not order:
         return images.select(*cols)
@@ -146,67 +156,25 @@ def label_rows_fixed(manifest: DataFrame, headers: tuple[str, ...] | list[str] =
 def label_summary(rows: DataFrame, label_headers: list[str], separator: str = SEP_SPEC,
                   none_placeholder: bool = True, order: bool = False) -> DataFrame:
     """Total row plus a count per value of every label column (AGG-01/02,
-    SET-01, PRJ-11, STR-14, SRT-04), in one pass.
+    SET-01, PRJ-11, STR-14, SRT-04), in one pass: every row becomes one
+    (0, total) and one (level, value) pair per label, which are counted with
+    partial sums before the shuffle, whatever the depth. No rows give no
+    summary.
 
     Output: ``pos`` (0 for the total, i for the i-th label header), ``header``,
     ``value``, ``breakdown`` (the summary text), ``n``.
     """
-    if not label_headers:
-        total = rows.agg(F.count(F.lit(1)).alias("n"))
-        return total.select(F.lit(0).alias("pos"), F.lit(None).cast("string").alias("header"),
-                            F.lit(None).cast("string").alias("value"),
-                            F.lit(TOTAL_LABEL).alias("breakdown"), "n")
-    keyed = rows.select(*[
-        (T.placeholder_if_empty(F.col(h), NONE_VALUE) if none_placeholder
-         else F.coalesce(F.col(h), F.lit(""))).alias(f"__l{i}")
-        for i, h in enumerate(label_headers)])
-    keys = [f"__l{i}" for i in range(len(keyed.columns))]
-    summarise = _summary_grouping_sets if len(keys) <= MAX_GROUPING_SET_LEVELS else _summary_exploded
-    out = summarise(keyed, keys, label_headers, separator)
-    # GROUPING SETS over no rows gives no total row; the source writes nothing then
-    return out.orderBy("pos", "value") if order else out
-
-
-# grouping_id() is a 64-bit mask: one bit per grouping column
-MAX_GROUPING_SET_LEVELS = 62
-
-
-def _breakdown(pos: Column, header: Column, value: Column, separator: str) -> Column:
-    return F.when(pos == 0, F.lit(TOTAL_LABEL)).otherwise(F.concat(header, F.lit(separator), value))
-
-
-def _summary_grouping_sets(keyed: DataFrame, keys: list[str], label_headers: list[str],
-                           separator: str = SEP_SPEC) -> DataFrame:
-    """One Expand → partial aggregate → exchange → final aggregate."""
-    sets = [[]] + [[k] for k in keys]
-    agg = keyed.groupingSets(sets, *keys).agg(
-        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("__gid"))
-    full = (1 << len(keys)) - 1
-    # grouping_id has bit (len-1-i) clear when key i is grouped
-    pos = F.lit(0)
-    header = F.lit(None).cast("string")
-    value = F.lit(None).cast("string")
-    for i, h in enumerate(label_headers):
-        hit = F.col("__gid") == (full ^ (1 << (len(keys) - 1 - i)))
-        pos = F.when(hit, F.lit(i + 1)).otherwise(pos)
-        header = F.when(hit, F.lit(h)).otherwise(header)
-        value = F.when(hit, F.col(keys[i])).otherwise(value)
-    return agg.select(pos.alias("pos"), header.alias("header"), value.alias("value"),
-                      _breakdown(pos, header, value, separator).alias("breakdown"), "n")
-
-
-def _summary_exploded(keyed: DataFrame, keys: list[str], label_headers: list[str],
-                      separator: str = SEP_SPEC) -> DataFrame:
-    """Same result for very deep trees: every row becomes (0, total) plus one
-    (level, value) pair per label, then one partial/final aggregation."""
     pairs = [F.struct(F.lit(0).alias("pos"), F.lit(None).cast("string").alias("value"))]
-    pairs += [F.struct(F.lit(i + 1).alias("pos"), F.col(k).alias("value")) for i, k in enumerate(keys)]
-    stacked = keyed.select(F.explode(F.array(*pairs)).alias("p")).select("p.pos", "p.value")
+    for i, h in enumerate(label_headers):
+        value = T.placeholder_if_empty(F.col(h), NONE_VALUE) if none_placeholder else F.coalesce(F.col(h), F.lit(""))
+        pairs.append(F.struct(F.lit(i + 1).alias("pos"), value.alias("value")))
+    stacked = rows.select(F.explode(F.array(*pairs)).alias("p")).select("p.pos", "p.value")
     agg = stacked.groupBy("pos", "value").agg(F.count(F.lit(1)).alias("n"))
-    names = F.element_at(F.array(*[F.lit(h) for h in label_headers]), F.greatest(F.col("pos"), F.lit(1)))
-    header = F.when(F.col("pos") == 0, F.lit(None).cast("string")).otherwise(names)
-    return agg.select("pos", header.alias("header"), "value",
-                      _breakdown(F.col("pos"), header, F.col("value"), separator).alias("breakdown"), "n")
+    names = F.array(F.lit(None).cast("string"), *[F.lit(h) for h in label_headers])
+    header = F.element_at(names, F.col("pos") + 1)
+    text = F.when(F.col("pos") == 0, F.lit(TOTAL_LABEL)).otherwise(F.concat(header, F.lit(separator), F.col("value")))
+    out = agg.select("pos", header.alias("header"), "value", text.alias("breakdown"), "n")
+    return out.orderBy("pos", "value") if order else out
 
 
 def max_depth(manifest: DataFrame, path_col: str = "path") -> DataFrame:
@@ -234,14 +202,15 @@ def sample_tree(manifest: DataFrame, path_col: str = "path",
     return top.groupBy("folder", "depth").agg(F.array_sort(F.collect_list("name")).alias("images"))
 
 
-def column_widths(rows: DataFrame, headers: list[str], order_by: list[Column] | None = None,
-                  sample_rows: int = WIDTH_SAMPLE_ROWS) -> DataFrame:
+def column_widths(rows: DataFrame, headers: list[str], sample_rows: int | None = None,
+                  order_by: list[Column] | None = None) -> DataFrame:
     """Display width per column: longest of the header and the non-empty
-    values of the first ``sample_rows`` rows, plus 4, at most 60 (AGG-06,
-    SRT-06). ``order_by`` defines "first" (TakeOrderedAndProject: each task
-    keeps its own top rows, the driver merges at most ``sample_rows`` per
-    task)."""
-    head = rows.orderBy(*order_by).limit(sample_rows) if order_by else rows.limit(sample_rows)
+    values, plus 4, at most 60 (AGG-06). All rows count, in one partial
+    aggregate without a sort; ``sample_rows`` limits them to the first ones in
+    ``order_by`` (SRT-06) where that is what is asked for."""
+    head = rows
+    if sample_rows is not None:
+        head = (rows.orderBy(*order_by) if order_by else rows).limit(sample_rows)
     aggs = [F.max(F.char_length(F.nullif(F.col(h), F.lit("")))).alias(f"__w{i}")
             for i, h in enumerate(headers)]
     widths = head.agg(*aggs)
@@ -262,15 +231,16 @@ def discover_structure(manifest: DataFrame, path_col: str = "path") -> tuple[Lab
 
 
 def label_dataset(manifest: DataFrame, spec: LabelSpec, path_col: str = "path") -> tuple[DataFrame, DataFrame]:
-    """Any-depth labelling job (JOB-02): ordered rows and the summary."""
-    rows = label_rows(manifest, spec, path_col, order=True)
-    summary = label_summary(rows, spec.label_headers(), SEP_SPEC, none_placeholder=True, order=True)
-    return rows, summary
+    """Any-depth labelling job (JOB-02): ordered rows and the summary, which is
+    counted from unordered rows."""
+    summary = label_summary(label_rows(manifest, spec, path_col, order=False), spec.label_headers(), SEP_SPEC,
+                            none_placeholder=True, order=True)
+    return label_rows(manifest, spec, path_col, order=True), summary
 
 
 def label_dataset_fixed(manifest: DataFrame, headers=FIXED_HEADERS, path_col: str = "path") -> tuple[DataFrame, DataFrame]:
     """Fixed-depth labelling job (JOB-03): ordered rows and the summary
-    (raw values, ``h = v``)."""
-    rows = label_rows_fixed(manifest, headers, path_col, order=True)
-    summary = label_summary(rows, list(headers[2:]), SEP_FIXED, none_placeholder=False, order=True)
-    return rows, summary
+    (raw values, ``h = v``), which is counted from unordered rows."""
+    summary = label_summary(label_rows_fixed(manifest, headers, path_col, order=False), list(headers[2:]), SEP_FIXED,
+                            none_placeholder=False, order=True)
+    return label_rows_fixed(manifest, headers, path_col, order=True), summary

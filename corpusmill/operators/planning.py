@@ -61,18 +61,22 @@ def plan_acquisition(wanted: DataFrame, present: DataFrame, key: str = "path",
 
 
 def apply_outcomes(plan: DataFrame, outcomes: DataFrame, key: str = "path",
-                   outcome_col: str = "outcome", error_col: str | None = "error") -> DataFrame:
-    """Run results (JON-03): every planned row kept; rows planned for fetch
-    take the recorded outcome (``success``/``fail``), others keep their plan
-    status. ``outcomes`` is the fetch log of the run."""
-    cols = [F.col(key).alias("__k"), F.col(outcome_col).alias("__o")]
-    if error_col:
-        cols.append(F.col(error_col).alias("__e"))
-    log = outcomes.select(*cols)
+                   outcome_col: str = "outcome", error_col: str | None = "error",
+                   attempt_col: str | None = None) -> DataFrame:
+    """Run results (JON-03): every planned row kept once; rows planned for
+    fetch take the recorded outcome (``success``/``fail``), others keep their
+    plan status. ``outcomes`` is the fetch log of the run; of several entries
+    for a key the one with the highest ``attempt_col`` counts, and without
+    such a column a success before a failure. The log is reduced to a row per
+    key (with partial maxima) before the join."""
+    error = F.col(error_col) if error_col else F.lit(None).cast("string")
+    order = F.col(attempt_col) if attempt_col else (F.col(outcome_col) == "success").cast("int")
+    last = F.max(F.struct(order.alias("n"), F.col(outcome_col).alias("o"), error.alias("e"))).alias("__last")
+    log = outcomes.groupBy(F.col(key).alias("__k")).agg(last) \
+                  .select("__k", F.col("__last.o").alias("__o"), F.col("__last.e").alias("__e"))
     j = plan.join(log, plan[key] == log["__k"], "left")
     status = F.when(F.col("status") == "fetch", F.coalesce(F.col("__o"), F.lit("fail"))).otherwise(F.col("status"))
-    recorded = F.col("__e") if error_col else F.lit(None).cast("string")
-    err = F.when(status == "fail", F.coalesce(recorded, F.lit("no outcome recorded")))
+    err = F.when(status == "fail", F.coalesce("__e", F.lit("no outcome recorded")))
     return j.select(*[plan[c] for c in plan.columns if c != "status"], status.alias("status"), err.alias("error"))
 
 

@@ -52,52 +52,79 @@ SELECT event_id,
          ELSE concat('data/python/', event_id, '.txt')
        END AS path
 FROM {events}""",
-    # Files already present (path, length); 1,000,000 occurs exactly.
+    # Files already present (path, length); both limits occur exactly, one byte
+    # above and one below.
     "fx_present": """
-SELECT path, CAST(900000 + (event_id % 5) * 50000 AS BIGINT) AS length
+SELECT path, CAST(CASE event_id % 7 WHEN 0 THEN 99999 WHEN 1 THEN 100000 WHEN 2 THEN 100001
+                                    WHEN 3 THEN 999999 WHEN 4 THEN 1000000 WHEN 5 THEN 1000001 ELSE 0 END AS BIGINT) AS length
 FROM {fx_shards}
 WHERE event_id % 3 = 0""",
-    # Recorded outcome of fetching each listed shard (path, outcome, error):
-    # the listing's event failed → the fetch failed.
+    # Log of fetching each listed shard, one to three attempts (path, attempt,
+    # outcome, error): earlier attempts failed, the last has the outcome of the
+    # listing's event; a few shards have no entry.
     "fx_fetch_log": """
-SELECT s.path,
-       CASE WHEN e.event_type = 'error' THEN 'fail' ELSE 'success' END AS outcome,
-       CASE WHEN e.event_type = 'error' THEN concat('fetch failed: event ', e.event_id) END AS error
-FROM {fx_shards} s JOIN {events} e ON s.event_id = e.event_id""",
+SELECT path, attempt,
+       CASE WHEN attempt < 1 + event_id % 3 OR event_type = 'error' THEN 'fail' ELSE 'success' END AS outcome,
+       CASE WHEN attempt < 1 + event_id % 3 OR event_type = 'error'
+            THEN concat('attempt ', attempt, ': event ', event_id) END AS error
+FROM (SELECT s.path, e.event_id, e.event_type, CAST(1 AS INT) AS attempt FROM {fx_shards} s JOIN {events} e ON s.event_id = e.event_id
+      UNION ALL
+      SELECT s.path, e.event_id, e.event_type, 2 FROM {fx_shards} s JOIN {events} e ON s.event_id = e.event_id WHERE e.event_id % 3 >= 1
+      UNION ALL
+      SELECT s.path, e.event_id, e.event_type, 3 FROM {fx_shards} s JOIN {events} e ON s.event_id = e.event_id WHERE e.event_id % 3 = 2) a
+WHERE event_id % 16 <> 8""",
     # Finished outputs (path).
     "fx_outputs": """
 SELECT path FROM {fx_manifest} WHERE doc_id IN (SELECT doc_id FROM {labels} WHERE quality = 1)""",
-    # Flat catalogue (category, pos, title, url).
+    # Flat form of the catalogue (category, pos, title, url): one category per
+    # document with one to three entries; see catalogue_nested.
     "fx_catalogue": """
-SELECT concat('I. ', source, ': "set"') AS category,
-       CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS INT) AS pos,
-       concat('01 ', substring(text, 1, 20), '?: "a/b" <x>|* ') AS title,
-       CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN '  ' WHEN 2 THEN NULL
-            ELSE concat('https://example.org/pdf/', doc_id, '.pdf') END AS url
-FROM {documents}""",
+SELECT concat('I. ', source, ': "', lang, '" ', doc_id) AS category, CAST(1 AS INT) AS pos,
+       concat('01 ', lang, ' ', doc_id, '?: "a/b" <x>|* ') AS title, CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN '  ' WHEN 2 THEN NULL ELSE concat('https://example.org/pdf/', doc_id, '.pdf') END AS url
+FROM {documents}
+UNION ALL
+SELECT concat('I. ', source, ': "', lang, '" ', doc_id) AS category, CAST(2 AS INT) AS pos,
+       concat('02 ', lang, ' ', doc_id, '?: "a/b" <x>|* ') AS title, concat('https://example.org/pdf/', doc_id, '-2.pdf') AS url
+FROM {documents} WHERE doc_id % 3 >= 1
+UNION ALL
+SELECT concat('I. ', source, ': "', lang, '" ', doc_id) AS category, CAST(3 AS INT) AS pos,
+       concat('03 ', lang, ' ', doc_id, '?: "a/b" <x>|* ') AS title, '' AS url
+FROM {documents} WHERE doc_id % 3 = 2""",
     # Noisy Markdown (doc_id, text): blank runs and CR; references with an
-    # appendix; level-4 heading; lower case with trailing blanks; inline
-    # heading then '##Works Cited' before '## References'.
+    # appendix; level-4 heading; lower case with trailing blanks; numbered,
+    # list-marked and author-year entries; inline heading then '##Works Cited'
+    # before '## References'.
     "fx_noisy_text": """
 SELECT doc_id,
-       CASE doc_id % 5
+       CASE doc_id % 8
          WHEN 0 THEN concat('  ', replace(text, '. ', concat('.  ', chr(13), chr(10), chr(10), chr(10), ' ', chr(10))), chr(10), chr(10))
          WHEN 1 THEN concat(text, chr(10), '## References', chr(10), '[1] A. Author and B. Writer. A title ', doc_id, '. Venue, 20', lpad(CAST(doc_id % 25 AS VARCHAR(9)), 2, '0'), '. 10.1234/x', doc_id, chr(10), '[Smith2020] Smith. Other. Press.', chr(10), '# Appendix')
          WHEN 2 THEN concat(text, chr(13), chr(10), '#### References', chr(10), 'x')
          WHEN 3 THEN concat(text, chr(160), chr(10), '# bibliography  ', chr(10), chr(10), chr(10), '[2] B')
+         WHEN 4 THEN concat(text, chr(10), '## References', chr(10), '1. A. Author. First ', doc_id, '. Press, 2001.', chr(10), 'continued', chr(10), '2) B. Writer and C. Third. Second. Venue. 10.1234/y', doc_id)
+         WHEN 5 THEN concat(text, chr(10), '# Bibliography', chr(10), '- A. Author. Listed ', doc_id, '. Press.', chr(10), '* B. Writer. Other. Venue, 1999.', chr(10), '  wrapped')
+         WHEN 6 THEN concat(text, chr(10), '### Works Cited', chr(10), 'Smith, J. and Lee, K. 2020. Work ', doc_id, '. Press.', chr(10), chr(10), 'Doe-Roe, A. Old work. Venue, 1987.')
          ELSE concat(text, chr(10), 'a ## References', chr(10), '##Works Cited', chr(10), '## References')
        END AS text
 FROM {documents}""",
     # Model answers (conv_id, turn, response): JSON, fenced with tag, empty
-    # list, prose, fenced without tag, empty.
+    # list, prose, fenced without tag, empty; then answers that are no list of
+    # citations: text after the list, two lists, a null element, a second key,
+    # authors that are no list; last, a null field and a number.
     "fx_responses": """
 SELECT conv_id, turn,
-       CASE (conv_id * 8 + turn) % 6
+       CASE (conv_id * 8 + turn) % 12
          WHEN 0 THEN concat('[{{"id":"[', turn, ']","authors":["A","B"],"year":"2020","title":"T', conv_id, '","venue":"","doi":""}}]')
          WHEN 1 THEN concat('```json', chr(10), '[{{"id":"[', turn, ']","authors":[],"year":"","title":"T","venue":"V","doi":"10.1/x"}}]', chr(10), '```')
          WHEN 2 THEN '[]'
          WHEN 3 THEN concat('Sorry, ', role)
          WHEN 4 THEN '```[{{"id":"k"}}]```'
+         WHEN 5 THEN '[{{"id":"a"}}] x ]'
+         WHEN 6 THEN '[{{"id":"a"}}][{{"id":"b"}}]'
+         WHEN 7 THEN '[null]'
+         WHEN 8 THEN '[1],"x":[2]'
+         WHEN 9 THEN '[{{"id":"a","authors":"A. Author"}}]'
+         WHEN 10 THEN '[{{"id":null,"authors":["A"],"year":2020,"title":"T"}},{{}}]'
          ELSE ''
        END AS response
 FROM {conversations}""",
@@ -116,20 +143,15 @@ FX_DEPS: dict[str, tuple[str, ...]] = {
 }
 
 
-# Views whose rows feed CPU-heavy text rules: their tables are spread over
-# all cores when the scan is narrow (see sources.tables).
-TEXT_HEAVY = frozenset({"fx_noisy_text", "fx_responses"})
-
-
 _TABLES: dict[tuple, DataFrame] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given parquet tables. The given tables are read-only, so a
     session reuses one DataFrame per table (one listing and footer read)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name, balance)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     if key not in _TABLES:
-        _TABLES[key] = read_table(spark, sf_dir, name, balance=balance)
+        _TABLES[key] = read_table(spark, sf_dir, name)
     return _TABLES[key]
 
 
@@ -144,7 +166,7 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         args = {}
         for dep in FX_DEPS[name]:
             args[dep] = (fixture(spark, sf_dir, dep) if dep in FX_SQL
-                         else table(spark, sf_dir, dep, balance=name in TEXT_HEAVY))
+                         else table(spark, sf_dir, dep))
         _FIXTURES[key] = spark.sql(FX_SQL[name], **args)
     return _FIXTURES[key]
 
@@ -169,31 +191,29 @@ def duckdb_ctes(*names: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-def fixture_tree(spark: SparkSession, sf_dir: str) -> str:
-    """A real folder tree derived from the tables: every ``fx_manifest`` path
-    as a file holding its document's text, written by the tasks that hold the
-    rows, below a fresh folder of the shared checkpoint folder. Returns the
-    root. (Test input for the listing and content readers; the library's own
-    outputs go to tables, never one file per row.)"""
-    import pandas as pd
+def catalogue_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue in its nested form (category, papers): the list position
+    is the entry's number. Built row by row from ``documents``."""
+    from pyspark.sql import functions as F
+
+    doc, lang = F.col("doc_id"), F.col("lang")
+    pdf = F.concat(F.lit("https://example.org/pdf/"), doc, F.lit(".pdf"))
+    urls = [F.when(doc % 7 == 0, "").when(doc % 7 == 1, "  ").when(doc % 7 > 2, pdf),
+            F.concat(F.lit("https://example.org/pdf/"), doc, F.lit("-2.pdf")), F.lit("")]
+    papers = [F.struct(F.concat(F.lit(f"0{n + 1} "), lang, F.lit(" "), doc, F.lit('?: "a/b" <x>|* ')).alias("title"),
+                       url.alias("url")) for n, url in enumerate(urls)]
+    return table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("I. "), "source", F.lit(': "'), lang, F.lit('" '), doc).alias("category"),
+        F.slice(F.array(*papers), F.lit(1), (1 + doc % 3).cast("int")).alias("papers"))
 
-    from corpusmill.session import ship_package, work_path
-    from corpusmill.sources.manifest import _filesystem
+
+def fixture_tree(spark: SparkSession, sf_dir: str) -> str:
+    """A real folder tree: ``documents`` written as a table partitioned by
+    source and language below the shared checkpoint folder, a folder per value
+    and a few files in each however many rows there are. Returns the root."""
+    from corpusmill.session import work_path
 
     root = work_path(spark, "tree")
-    ship_package(spark)
-    docs = fixture(spark, sf_dir, "fx_manifest").join(
-        table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("path", "text")
-
-    def write(batches):
-        filesystem, base = _filesystem(root)
-        for batch in batches:
-            for rel, text in zip(batch["path"], batch["text"]):
-                full = f"{base}/{rel}"
-                filesystem.create_dir(full.rpartition("/")[0], recursive=True)
-                with filesystem.open_output_stream(full) as out:
-                    out.write((text or "").encode("utf-8"))
-            yield pd.DataFrame({"n": [len(batch)]})
-
-    docs.mapInPandas(write, "n long").agg({"n": "sum"}).collect()
+    table(spark, sf_dir, "documents").select("doc_id", "n_chars", "source", "lang") \
+        .write.partitionBy("source", "lang").parquet(root)
     return root

@@ -48,27 +48,30 @@ def label_job(spark: SparkSession, manifest: DataFrame, out_dir: str,
             SK.write_table(sample, f"{out_dir}/sample_tree")
             return LabelOutputs(spec)
         spec = L.LabelSpec.from_json(text)
-    rows, summary = L.label_dataset(manifest, spec)
-    if rows.isEmpty():
+    if L.image_files(manifest).isEmpty():
         return LabelOutputs(spec)
+    rows, summary = L.label_dataset(manifest, spec)
     SK.write_csv(rows, f"{out_dir}/{spec.output_stem}_rows", spec.active_headers())
-    SK.write_csv(summary.select("breakdown", "n"), f"{out_dir}/{spec.output_stem}_summary")
+    # counted once; the CSV is written from the table
     SK.write_table(summary, f"{out_dir}/{spec.output_stem}_summary.parquet")
-    # rows are sorted: limit() takes the first rows in output order
-    SK.write_table(L.column_widths(rows, spec.active_headers()), f"{out_dir}/{spec.output_stem}_widths")
+    summary = spark.read.parquet(f"{out_dir}/{spec.output_stem}_summary.parquet")
+    SK.write_csv(summary.orderBy("pos", "value").select("breakdown", "n"), f"{out_dir}/{spec.output_stem}_summary")
+    unordered = L.label_rows(manifest, spec, order=False)
+    SK.write_table(L.column_widths(unordered, spec.active_headers()), f"{out_dir}/{spec.output_stem}_widths")
     return LabelOutputs(spec, rows, summary)
 
 
 def label_job_fixed(spark: SparkSession, manifest: DataFrame, out_dir: str,
                     headers=L.FIXED_HEADERS, output_stem: str = L.DEFAULT_OUTPUT_STEM) -> LabelOutputs:
     """Fixed-depth labelling (JOB-03)."""
-    rows, summary = L.label_dataset_fixed(manifest, headers)
     spec = L.LabelSpec(len(headers) - 2, {}, output_stem)
-    if rows.isEmpty():
+    if L.files_at_depth(manifest, len(headers) - 2).isEmpty():
         return LabelOutputs(spec)
+    rows, summary = L.label_dataset_fixed(manifest, headers)
     SK.write_csv(rows, f"{out_dir.rstrip('/')}/{output_stem}_rows", list(headers))
     SK.write_csv(summary.select("breakdown", "n"), f"{out_dir.rstrip('/')}/{output_stem}_summary")
-    SK.write_table(L.column_widths(rows, list(headers)), f"{out_dir.rstrip('/')}/{output_stem}_widths")
+    unordered = L.label_rows_fixed(manifest, headers, order=False)
+    SK.write_table(L.column_widths(unordered, list(headers)), f"{out_dir.rstrip('/')}/{output_stem}_widths")
     return LabelOutputs(spec, rows, summary)
 
 
@@ -76,6 +79,8 @@ def acquisition_job(spark: SparkSession, wanted: DataFrame, present: DataFrame,
                     min_bytes: int | None = None, url_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Dry run of a fetch (JOB-04): the plan table and its tally."""
     plan = PL.plan_acquisition(wanted, present, min_bytes=min_bytes, url_col=url_col)
+    if wanted.isEmpty():
+        return plan, plan.groupBy("status").count()
     SK.write_table(plan, f"{out_dir.rstrip('/')}/plan")
     written = spark.read.parquet(f"{out_dir.rstrip('/')}/plan")
     counts = written.groupBy("status").count()
@@ -95,7 +100,8 @@ def convert_job(spark: SparkSession, docs: DataFrame, key: str, state_dir: str,
     def convert(df: DataFrame) -> DataFrame:
         return CV.convert_html(df.select(key, html_col), html_col, [key])
 
-    run = INC.convert_run(spark, docs.select(key, html_col), convert, key, state_dir)
+    inputs = docs.select(key, html_col)
+    run = convert(inputs) if inputs.isEmpty() else INC.convert_run(spark, inputs, convert, key, state_dir)
     if with_citations:
         # citations per converted document, from its own Markdown (no join)
         n = F.size(CI.citation_array(T.references_section(F.col("md"))))

@@ -10,11 +10,12 @@ events conversations`` are the pre-registered views; derived views are CTEs.
 
 from __future__ import annotations
 
+from corpusmill.fixed import IMAGE_EXTENSIONS
 from corpusmill.plans.fixtures import duckdb_ctes
 
 ORACLE: dict[str, str] = {}
 
-IMAGE_EXTS = "('.jpg', '.jpeg', '.png', '.bmp', '.tiff', '.tif', '.webp', '.gif', '.heic', '.heif', '.svg')"
+IMAGE_EXTS = str(IMAGE_EXTENSIONS)
 
 # file name, folders, extension (leading dots are not an extension)
 _FILES = """,
@@ -83,11 +84,9 @@ FROM (SELECT array_to_string(dirs, '/') AS folder, len(dirs) AS depth, fname,
 WHERE rn <= 3
 GROUP BY folder, depth"""
 
-ORACLE["column_widths"] = _with("fx_manifest") + _FILES + _ROWS3 + """,
-head AS (SELECT * FROM rows3 ORDER BY """ + _TREE_KEY + """ LIMIT 500)
-""" + "\nUNION ALL\n".join(
+ORACLE["column_widths"] = _with("fx_manifest") + _FILES + _ROWS3 + "\n" + "\nUNION ALL\n".join(
     f"SELECT {i} AS pos, '{h}' AS header, CAST(least(greatest({len(h)}, "
-    f"coalesce(max(length(nullif({h}, ''))), 0)) + 4, 60) AS INTEGER) AS width FROM head"
+    f"coalesce(max(length(nullif({h}, ''))), 0)) + 4, 60) AS INTEGER) AS width FROM rows3"
     for i, h in enumerate(["filename", "path", "level_1", "level_2", "level_3"]))
 
 ORACLE["discover_structure"] = _with("fx_manifest") + _FILES + """,
@@ -196,14 +195,19 @@ nested AS (SELECT path, array_to_string(list_append(dirs, 'Converted'), '/') ||
 ORACLE["target_nested"] = _with("fx_manifest") + _FILES + _NESTED + """
 SELECT path, target_path FROM nested"""
 
-ORACLE["target_collisions"] = _with("fx_manifest") + _FILES + _NESTED + """
+ORACLE["target_collisions"] = _with("fx_manifest") + _FILES + _NESTED + """,
+named AS (SELECT n.path, n.target_path, m.doc_id FROM nested n JOIN fx_manifest m ON m.path = n.path),
+twins AS (SELECT path, target_path FROM named UNION ALL
+         SELECT string_split(path, '.')[1] || '.pdf',
+                regexp_replace(string_split(path, '.')[1], '([^/]*)$', 'Converted/\\1') || '.md' FROM named WHERE doc_id % 3 = 2)
 SELECT target_path, count(*) AS n_sources, min(path) AS first_source, max(path) AS last_source
-FROM nested GROUP BY target_path HAVING count(*) > 1"""
+FROM twins GROUP BY target_path HAVING count(*) > 1"""
 
 _SHARD_RUN = _SHARD_PLAN + """,
 run AS (SELECT p.path,
                CASE WHEN p.status = 'skip' THEN 'skip' ELSE coalesce(l.outcome, 'fail') END AS status
-        FROM plan p LEFT JOIN fx_fetch_log l ON l.path = p.path)
+        FROM plan p LEFT JOIN (SELECT path, arg_max(outcome, attempt) AS outcome FROM fx_fetch_log GROUP BY path) l
+             ON l.path = p.path)
 """
 
 ORACLE["run_report"] = _with("fx_shards", "fx_present", "fx_fetch_log") + _SHARD_RUN + """
@@ -282,7 +286,13 @@ fenced AS (SELECT conv_id, turn,
 
 _PARSED = _FENCE + """,
 parsed AS (SELECT conv_id, turn, raw,
-                  (regexp_matches(raw, '(?s)^""" + WS + """*\\[.*\\]""" + WS + """*$') AND json_valid(raw)) AS ok
+                  coalesce(CASE WHEN json_valid(raw) THEN json_type(raw) = 'ARRAY' AND len(list_filter(json_extract(raw, '$[*]'),
+                    lambda e: json_type(e) <> 'OBJECT'
+                      OR coalesce(json_type(e, '$.authors'), 'NULL') NOT IN ('ARRAY', 'NULL')
+                      OR len(list_filter(json_extract(e, '$.authors[*]'), lambda a: json_type(a) <> 'VARCHAR')) > 0
+                      OR len(list_filter(['$.id', '$.year', '$.title', '$.venue', '$.doi'],
+                                         lambda f: coalesce(json_type(e, f), 'NULL') IN ('ARRAY', 'OBJECT'))) > 0)) = 0
+                    END, false) AS ok
            FROM fenced),
 items AS (SELECT conv_id, turn, unnest(json_extract(raw, '$[*]')) AS item,
                  generate_subscripts(json_extract(raw, '$[*]'), 1) AS pos
@@ -294,11 +304,11 @@ SELECT conv_id, turn, raw FROM fenced"""
 
 ORACLE["citations_from_json"] = _with("fx_responses") + _PARSED + """
 SELECT conv_id, turn, CAST(pos AS INTEGER) AS pos,
-       json_extract_string(item, '$.id') AS id,
-       array_to_string(CAST(json_extract(item, '$.authors') AS VARCHAR[]), '; ') AS authors,
-       CAST(len(CAST(json_extract(item, '$.authors') AS VARCHAR[])) AS INTEGER) AS n_authors,
-       json_extract_string(item, '$.year') AS year, json_extract_string(item, '$.title') AS title,
-       json_extract_string(item, '$.venue') AS venue, json_extract_string(item, '$.doi') AS doi
+       coalesce(json_extract_string(item, '$.id'), '') AS id,
+       coalesce(array_to_string(CAST(json_extract(item, '$.authors') AS VARCHAR[]), '; '), '') AS authors,
+       CAST(coalesce(len(CAST(json_extract(item, '$.authors') AS VARCHAR[])), 0) AS INTEGER) AS n_authors,
+       coalesce(json_extract_string(item, '$.year'), '') AS year, coalesce(json_extract_string(item, '$.title'), '') AS title,
+       coalesce(json_extract_string(item, '$.venue'), '') AS venue, coalesce(json_extract_string(item, '$.doi'), '') AS doi
 FROM items"""
 
 ORACLE["citation_counts"] = _with("fx_responses") + _PARSED + """
@@ -312,12 +322,18 @@ SELECT conv_id, turn, n AS n_citations FROM (
 WHERE n > 0"""
 
 ORACLE["citations_rules"] = _with("fx_noisy_text") + _CLEAN + """,
-refs AS (SELECT doc_id, """ + _REFS + """ AS r FROM cm),
+refs0 AS (SELECT doc_id, """ + _REFS + """ AS r0 FROM cm),
+refs AS (SELECT doc_id, CASE
+    WHEN regexp_matches(r0, '(?m)^(?:[-*+][ \\t]+)?\\[[^\\]\\n]*\\]') THEN regexp_replace(r0, '(?m)^[-*+][ \\t]+\\[', '[', 'g')
+    WHEN regexp_matches(r0, '(?m)^[0-9]{1,4}[.)][ \\t]') THEN regexp_replace(r0, '(?m)^([0-9]{1,4})[.)][ \\t]+', '[\\1] ', 'g')
+    WHEN regexp_matches(r0, '(?m)^[-*+][ \\t]') THEN regexp_replace(r0, '(?m)^[-*+][ \\t]+', '[] ', 'g')
+    ELSE regexp_replace(r0, '(?m)^(\\p{Lu}[\\p{L}''-]+)(,[^\\n]*?)((?:19|20)[0-9]{2})', '[\\1 \\3] \\1\\2\\3', 'g') END AS r FROM refs0),
 ent AS (SELECT doc_id, unnest(regexp_extract_all(r, '(?m)^\\[[^\\]\\n]*\\][^\\n]*(?:\\n[^\\[#\\n][^\\n]*)*', 0)) AS e,
                generate_subscripts(regexp_extract_all(r, '(?m)^\\[[^\\]\\n]*\\][^\\n]*(?:\\n[^\\[#\\n][^\\n]*)*', 0), 1) AS pos
         FROM refs),
-k AS (SELECT doc_id, pos, e, regexp_extract(e, '^(\\[[^\\]\\n]*\\])', 1) AS id FROM ent),
-b AS (SELECT doc_id, pos, id, """ + pystrip("regexp_replace(substring(e, length(id) + 1), '" + WS + "+', ' ', 'g')") + """ AS body FROM k),
+k AS (SELECT doc_id, pos, e, regexp_extract(e, '^(\\[[^\\]\\n]*\\])', 1) AS key FROM ent),
+b AS (SELECT doc_id, pos, CASE WHEN key = '[]' THEN '' ELSE key END AS id,
+             """ + pystrip("regexp_replace(substring(e, length(key) + 1), '" + WS + "+', ' ', 'g')") + """ AS body FROM k),
 d AS (SELECT doc_id, pos, id, regexp_extract(body, '10\\.[0-9]{4,9}/[^ ]*[^ .,;]', 0) AS doi,
              """ + pystrip("regexp_replace(body, '10\\.[0-9]{4,9}/[^ ]*[^ .,;]', '', 'g')") + """ AS rest FROM b),
 s AS (SELECT doc_id, pos, id, doi, regexp_extract(rest, '(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)', 1) AS year,
@@ -378,33 +394,60 @@ def _html_expr(col: str) -> str:
 
 
 _CONVERTED = """
-conv AS (SELECT page_id, NOT regexp_matches(html, '(?i)</html\\s*>') AS bad, """ + _html_expr("html") + """ AS text
+conv AS (SELECT page_id, regexp_matches(html, '(?i)</html\\s*>') AS complete, """ + _html_expr("html") + """ AS text
          FROM pages),
-lines AS (SELECT page_id, bad, list_transform(string_split_regex(text, '""" + SEP + """'),
-                                              lambda l: regexp_replace(l, '""" + WS + """+$', '')) AS ls FROM conv),
-res AS (SELECT page_id, CASE WHEN bad THEN 'error' ELSE 'ok' END AS status,
-               CASE WHEN bad THEN NULL ELSE """ + pystrip("array_to_string(list_filter(ls, lambda x, i: x <> '' OR i = 1 OR ls[i - 1] <> ''), chr(10))") + """ || chr(10) END AS md,
-               CASE WHEN bad THEN 'incomplete document: no closing </html>' END AS error
+lines AS (SELECT page_id, complete, list_transform(string_split_regex(text, '""" + SEP + """'),
+                                                   lambda l: regexp_replace(l, '""" + WS + """+$', '')) AS ls FROM conv),
+res AS (SELECT page_id, complete, """ + pystrip("array_to_string(list_filter(ls, lambda x, i: x <> '' OR i = 1 OR ls[i - 1] <> ''), chr(10))") + """ || chr(10) AS md
         FROM lines)
 """
 
-ORACLE["convert_documents"] = "WITH" + _CONVERTED + "SELECT page_id, status, md, error FROM res"
+ORACLE["convert_documents"] = "WITH" + _CONVERTED + """
+SELECT page_id, 'ok' AS status, md, CAST(NULL AS VARCHAR) AS error, complete FROM res"""
 
-ORACLE["failures"] = "WITH" + _CONVERTED + "SELECT page_id, error FROM res WHERE status = 'error'"
+# every eleventh page has no content
+ORACLE["failures"] = "SELECT page_id, 'no content' AS error FROM pages WHERE page_id % 11 = 3"
 
 
 # ------------------------------------------------------- sinks / streams --
 
 ORACLE["csv_round_trip"] = ORACLE["rows_images"]
-ORACLE["incremental_run"] = ORACLE["convert_documents"]
+
+ORACLE["incremental_run"] = "WITH" + _CONVERTED + """
+SELECT page_id, CASE WHEN page_id % 11 = 3 THEN 'error' ELSE 'ok' END AS status,
+       CASE WHEN page_id % 11 <> 3 THEN md END AS md, CASE WHEN page_id % 11 = 3 THEN 'no content' END AS error FROM res"""
+
+ORACLE["incremental_replay"] = """
+SELECT page_id, CASE WHEN page_id % 11 = 3 THEN 'error' ELSE 'ok' END AS status,
+       CAST(CASE WHEN page_id % 11 = 3 THEN 0 ELSE 1 END AS BIGINT) AS n_ok,
+       CAST(CASE WHEN page_id % 11 = 3 AND page_id % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_rows FROM pages"""
 
 ORACLE["conversion_report"] = """
-SELECT count(*) AS n_total, CAST(0 AS BIGINT) AS n_ok,
-       count(*) FILTER (WHERE regexp_matches(html, '(?i)</html\\s*>')) AS n_skipped,
-       count(*) FILTER (WHERE NOT regexp_matches(html, '(?i)</html\\s*>')) AS n_error,
-       count(*) FILTER (WHERE NOT regexp_matches(html, '(?i)</html\\s*>')) AS n_attempted
+SELECT count(*) AS n_total, CAST(0 AS BIGINT) AS n_ok, count(*) FILTER (WHERE page_id % 11 <> 3) AS n_skipped,
+       count(*) FILTER (WHERE page_id % 11 = 3) AS n_error, count(*) FILTER (WHERE page_id % 11 = 3) AS n_attempted
 FROM pages"""
 
+ORACLE["conversion_rows"] = """
+SELECT 'site/' || (page_id % 7) || '/p' || page_id || '.html' AS path, 'ok' AS status,
+       'site/' || (page_id % 7) || '/Converted/p' || page_id || '.md' AS target_path, 0 AS citations,
+       regexp_matches(html, '(?i)</html\\s*>') AS complete FROM pages"""
+
+ORACLE["citation_files"] = ORACLE["citations_nonempty"]
+
+ORACLE["report_tables"] = _with("fx_manifest", "fx_shards", "fx_present", "fx_fetch_log") + _FILES + _ROWS3 + _SHARD_RUN + """,
+summary AS (""" + _summary("rows3", ["level_1", "level_2", "level_3"], "  =  ", True) + """),
+tally AS (SELECT count(*) AS n_total, count(*) FILTER (WHERE status = 'success') AS n_success,
+       count(*) FILTER (WHERE status = 'skip') AS n_skip, count(*) FILTER (WHERE status = 'fail') AS n_fail,
+       count(*) FILTER (WHERE status IN ('success', 'fail')) AS n_attempted FROM run)
+SELECT breakdown, n FROM summary
+UNION ALL SELECT 'n_total', n_total FROM tally UNION ALL SELECT 'n_success', n_success FROM tally
+UNION ALL SELECT 'n_skip', n_skip FROM tally UNION ALL SELECT 'n_fail', n_fail FROM tally
+UNION ALL SELECT 'n_attempted', n_attempted FROM tally"""
+
+ORACLE["summary_order"] = _with("fx_manifest") + _FILES + _ROWS3 + """,
+summary AS (""" + _summary("rows3", ["level_1", "level_2", "level_3"], "  =  ", True) + """)
+SELECT pos AS level, value, n, row_number() OVER (ORDER BY pos, value NULLS FIRST) AS place FROM summary"""
+
 ORACLE["spec_json"] = _with("fx_manifest") + _FILES + """,
 d AS (SELECT CAST(coalesce(max(len(dirs)), 0) AS INTEGER) AS m FROM img),
 slots AS (SELECT 'filename' AS slot UNION ALL SELECT 'path'
@@ -419,13 +462,6 @@ WHERE (suffix(w.path, '.parquet') OR suffix(w.path, '.arrow') OR suffix(w.path,
        OR suffix(w.path, '.jsonl') OR suffix(w.path, '.csv'))
   AND NOT starts_with(w.path, '.') AND strpos(w.path, 'README') = 0"""
 
-ORACLE["convert_with_status"] = """
-SELECT page_id,
-       CASE WHEN regexp_matches(html, '(?i)</html\\s*>') THEN 'ok' ELSE 'error' END AS status,
-       CASE WHEN regexp_matches(html, '(?i)</html\\s*>') THEN NULL
-            ELSE 'ValueError: incomplete document: no closing </html>' END AS error
-FROM pages"""
-
 ORACLE["conversion_plan"] = _with("fx_manifest", "fx_outputs") + _FILES + """,
 tgt AS (SELECT path, CASE WHEN len(dirs) > 0 THEN array_to_string(dirs, '/') || '/' ELSE '' END
                      || """ + _STEM.format(n="fname") + """ || '.md' AS target_path FROM f),
@@ -435,18 +471,21 @@ SELECT path, target_path,
 FROM tgt WHERE suffix(path, '.pdf')"""
 
 
-# the derived tree: every fx_manifest path holds its document's text
-ORACLE["file_manifest"] = _with("fx_manifest") + """
-SELECT m.path, CAST(strlen(coalesce(d.text, '')) AS BIGINT) AS length
-FROM fx_manifest m JOIN documents d ON d.doc_id = m.doc_id"""
-
-ORACLE["file_contents"] = _with("fx_manifest") + """
-SELECT m.path, CAST(strlen(coalesce(d.text, '')) AS BIGINT) AS n_bytes, md5(coalesce(d.text, '')) AS md5,
-       CAST(NULL AS VARCHAR) AS read_error
-FROM fx_manifest m JOIN documents d ON d.doc_id = m.doc_id"""
+# the tree of a partitioned table: a folder per source and language
+ORACLE["file_manifest"] = """
+SELECT DISTINCT 'source=' || source || '/lang=' || lang AS folder, 2 AS depth, true AS has_bytes FROM documents"""
 
+ORACLE["file_contents"] = """
+SELECT DISTINCT 'source=' || source || '/lang=' || lang AS folder, true AS whole FROM documents"""
 
-# the Python converter path: same Markdown as the native rules on these pages,
-# the error text carries the exception type
-ORACLE["convert_with_errors"] = "WITH" + _CONVERTED + """SELECT page_id, status, md,
-       CASE WHEN status = 'error' THEN 'ValueError: ' || error END AS error FROM res"""
+ORACLE["download_report"] = _with("fx_catalogue") + _CAT + """,
+present AS (SELECT DISTINCT target_path FROM catp
+            WHERE TRY_CAST(regexp_extract(url, '/([0-9]+)\\.pdf$', 1) AS BIGINT) IN (SELECT doc_id FROM labels WHERE quality = 1)),
+run AS (SELECT CASE WHEN url IS NULL OR """ + pystrip("url") + """ = '' THEN 'unavailable'
+                    WHEN target_path IN (SELECT target_path FROM present) THEN 'skip'
+                    WHEN TRY_CAST(regexp_extract(url, '/([0-9]+)(?:-2)?\\.pdf$', 1) AS BIGINT)
+                         IN (SELECT doc_id FROM labels WHERE toxic = 1) THEN 'fail' ELSE 'success' END AS status FROM catp)
+SELECT count(*) AS n_total, count(*) FILTER (WHERE status = 'success') AS n_success,
+       count(*) FILTER (WHERE status = 'skip') AS n_skip, count(*) FILTER (WHERE status = 'unavailable') AS n_unavailable,
+       count(*) FILTER (WHERE status = 'fail') AS n_fail, count(*) FILTER (WHERE status IN ('success', 'fail')) AS n_attempted
+FROM run"""

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.fixed import REFERENCE_TEXT_LIMIT
 from corpusmill.functions import paths as P
 from corpusmill.functions import text as T
 from corpusmill.operators import citations as CI
@@ -20,7 +21,8 @@ from corpusmill.operators import labels as L
 from corpusmill.operators import ordering as O
 from corpusmill.operators import planning as PL
 from corpusmill.operators import report as R
-from corpusmill.plans.fixtures import fixture, fixture_tree, table
+from corpusmill.plans import jobs as JOBS
+from corpusmill.plans.fixtures import catalogue_nested, fixture, fixture_tree, table
 from corpusmill.session import work_path
 from corpusmill.sources import catalogue as C
 from corpusmill.sources import content as CT
@@ -100,23 +102,33 @@ def sample_tree(spark, sf_dir):
 
 @query
 def column_widths(spark, sf_dir):
-    """AGG-06, SRT-06: widths from the first 500 rows in tree order."""
+    """AGG-06: widths over all rows."""
     spec = L.LabelSpec.default(3)
     rows = L.label_rows(fixture(spark, sf_dir, "fx_manifest"), spec, order=False)
-    return L.column_widths(rows, spec.active_headers(), [P.tree_order_key(F.col("path"))])
+    return L.column_widths(rows, spec.active_headers())
 
 
 @query
 def discover_structure(spark, sf_dir):
     """JOB-01, SNK-05: the default spec as rows (slot, header, enabled, pos)."""
-    d = L.max_depth(fixture(spark, sf_dir, "fx_manifest"))
-    slots = F.concat(F.array(F.lit("filename"), F.lit("path")),
-                     F.transform(F.sequence(F.lit(1), F.greatest(F.col("max_depth"), F.lit(1))),
-                                 lambda i: F.concat(F.lit("level_"), i.cast("string"))))
-    slots = F.slice(slots, 1, F.col("max_depth") + 2)
-    out = d.select(F.posexplode(slots).alias("pos", "slot"))
-    return out.select(F.col("pos").cast("int").alias("pos"), "slot",
-                      F.col("slot").alias("header"), F.lit(True).alias("enabled"))
+    spec, _ = L.discover_structure(fixture(spark, sf_dir, "fx_manifest"))
+    # one row per column of the spec; the table's depth decides how many
+    return spark.createDataFrame([(i, s.name, s.header, s.enabled) for i, s in enumerate(spec.slots())],
+                                 "pos int, slot string, header string, enabled boolean")
+
+
+@query
+def download_report(spark, sf_dir):
+    """AGG-03: the four-way tally of a catalogue run (downloaded, skipped,
+    unavailable, failed) and how many were attempted. The log has the entry of
+    every document whose label is toxic as a failure."""
+    wanted = C.target_paths(C.flatten(catalogue_nested(spark, sf_dir))).select("url", F.col("target_path").alias("path"))
+    plan = PL.plan_acquisition(wanted, _catalogue_present(spark, sf_dir), url_col="url")
+    doc = F.regexp_extract("url", r"/([0-9]+)(?:-2)?\.pdf$", 1)
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id", F.lit(True).alias("toxic"))
+    log = wanted.where(doc != "").withColumn("doc_id", doc.cast("bigint")).join(toxic, "doc_id", "left").select(
+        "path", F.when(F.col("toxic"), "fail").otherwise("success").alias("outcome"))
+    return R.tally(PL.apply_outcomes(plan, log, error_col=None), R.DOWNLOAD_STATUSES)
 
 
 @query
@@ -154,19 +166,24 @@ def order_parts(spark, sf_dir):
 
 @query
 def file_manifest(spark, sf_dir):
-    """SRC-01, FLT-03: list a folder tree derived from the tables (dot and
-    underscore names, Converted folders, ...); every file with its size."""
-    return M.list_files(spark, fixture_tree(spark, sf_dir)).select("path", "length")
+    """SRC-01, FLT-03: list the folder tree of a partitioned table; one row per
+    folder with its depth and whether every file in it has bytes (file names
+    are the writer's own)."""
+    files = M.list_files(spark, fixture_tree(spark, sf_dir)).where(F.col("path").endswith(".parquet"))
+    return files.groupBy(P.folder_path(F.col("path")).alias("folder")).agg(
+        F.max(P.depth(F.col("path"))).cast("int").alias("depth"), (F.min("length") > 0).alias("has_bytes"))
 
 
 @query
 def file_contents(spark, sf_dir):
     """SRC-10: the bytes of every listed file, read by the tasks that hold
-    the manifest rows (digest and size per file)."""
+    the manifest rows: whole (as long as listed) and of the expected format."""
     root = fixture_tree(spark, sf_dir)
-    c = CT.with_content(M.list_files(spark, root), root)
-    return c.select("path", F.octet_length("content").cast("bigint").alias("n_bytes"),
-                    F.md5("content").alias("md5"), "read_error")
+    files = M.list_files(spark, root).where(F.col("path").endswith(".parquet"))
+    whole = (F.octet_length("content") == F.col("length")) \
+        & (F.hex(F.substring("content", -4, 4)) == F.hex(F.lit("PAR1"))) & F.col("read_error").isNull()
+    return CT.with_content(files, root).groupBy(P.folder_path(F.col("path")).alias("folder")).agg(
+        F.every(whole).alias("whole"))
 
 
 @query
@@ -195,15 +212,16 @@ def shards_by_suffix(spark, sf_dir):
 
 @query
 def catalogue_rows(spark, sf_dir):
-    """SRC-08, PRJ-07, STR-09..11, WIN-01."""
-    return C.target_paths(fixture(spark, sf_dir, "fx_catalogue")).select(
+    """SRC-08, PRJ-07, STR-09..11, WIN-01: the nested catalogue as rows; an
+    entry's number is its list position."""
+    return C.target_paths(C.flatten(catalogue_nested(spark, sf_dir))).select(
         "category", "pos", "url", "filename", "target_path")
 
 
 def _catalogue_present(spark, sf_dir):
     # downloaded by an earlier run: the entries whose document was labelled
     # good (the URL carries the document id)
-    rows = C.target_paths(fixture(spark, sf_dir, "fx_catalogue"))
+    rows = C.target_paths(C.flatten(catalogue_nested(spark, sf_dir)))
     doc = F.regexp_extract("url", r"/([0-9]+)\.pdf$", 1)
     labels = table(spark, sf_dir, "labels").where("quality = 1")
     hit = rows.withColumn("doc_id", F.when(doc != "", doc.cast("bigint"))) \
@@ -214,7 +232,7 @@ def _catalogue_present(spark, sf_dir):
 @query
 def acquisition_plan(spark, sf_dir):
     """JOB-04, FLT-06: unavailable / skip / fetch per catalogue entry."""
-    wanted = C.target_paths(fixture(spark, sf_dir, "fx_catalogue")).select(
+    wanted = C.target_paths(C.flatten(catalogue_nested(spark, sf_dir))).select(
         "category", "pos", "url", F.col("target_path").alias("path"))
     plan = PL.plan_acquisition(wanted, _catalogue_present(spark, sf_dir), url_col="url")
     return plan.select("category", "pos", "path", "status")
@@ -254,8 +272,11 @@ def target_nested(spark, sf_dir):
 
 @query
 def target_collisions(spark, sf_dir):
-    """Two sources, one target (edge rule d), on the case-insensitive scan."""
-    t = PL.nested_target(S.pdf_files_pruned(fixture(spark, sf_dir, "fx_manifest")).select("path"))
+    """Two sources, one target (edge rule d), on the case-insensitive scan:
+    every third PDF is there under a lower-case suffix as well."""
+    pdfs = S.pdf_files_pruned(fixture(spark, sf_dir, "fx_manifest"))
+    twins = pdfs.where("doc_id % 3 = 2").select(F.concat(F.substring_index("path", ".", 1), F.lit(".pdf")).alias("path"))
+    t = PL.nested_target(pdfs.select("path").unionByName(twins))
     return PL.target_collisions(t).select("target_path", F.col("n_sources").cast("bigint").alias("n_sources"),
                                           "first_source", "last_source")
 
@@ -263,7 +284,7 @@ def target_collisions(spark, sf_dir):
 def _shard_run(spark, sf_dir):
     wanted = S.shards_by_prefix(fixture(spark, sf_dir, "fx_shards"), "data/python").select("path")
     plan = PL.plan_acquisition(wanted, fixture(spark, sf_dir, "fx_present"), min_bytes=PL.SHARD_MIN_BYTES)
-    return PL.apply_outcomes(plan, fixture(spark, sf_dir, "fx_fetch_log"))
+    return PL.apply_outcomes(plan, fixture(spark, sf_dir, "fx_fetch_log"), attempt_col="attempt")
 
 
 @query
@@ -325,11 +346,12 @@ def references_section(spark, sf_dir):
 
 @query
 def references_truncated(spark, sf_dir):
-    """STR-06: first 8,000 characters (code points) of the section and of
-    the whole cleaned text."""
+    """STR-06: the first 8,000 characters (code points), as asked for by the
+    argument, of the section and of the whole cleaned text. The full lengths
+    come along; nothing else in the library cuts a text."""
     t = fixture(spark, sf_dir, "fx_noisy_text").select("doc_id", T.clean_markdown("text").alias("md"))
-    return t.select("doc_id", T.truncate_chars(T.references_section("md")).alias("references"),
-                    T.truncate_chars("md").alias("md_head"),
+    return t.select("doc_id", T.truncate_chars(T.references_section("md"), REFERENCE_TEXT_LIMIT).alias("references"),
+                    T.truncate_chars("md", REFERENCE_TEXT_LIMIT).alias("md_head"),
                     F.char_length("md").cast("bigint").alias("n_chars"))
 
 
@@ -373,7 +395,7 @@ def citations_rules(spark, sf_dir):
 
 
 def _pages(spark, sf_dir):
-    return table(spark, sf_dir, "pages", balance=True)
+    return table(spark, sf_dir, "pages")
 
 
 @query
@@ -382,20 +404,18 @@ def convert_documents(spark, sf_dir):
     return CV.convert_html(_pages(spark, sf_dir).select("page_id", "html"), "html", ["page_id"])
 
 
+def _with_missing(pages):
+    """Every eleventh page has no content, so that its conversion fails."""
+    return pages.select("page_id", F.when(F.col("page_id") % 11 != 3, F.col("html")).alias("html"))
+
+
 @query
 def failures(spark, sf_dir):
     """FLT-08: the failed conversions and their error text."""
-    res = CV.convert_html(_pages(spark, sf_dir).select("page_id", "html"), "html", ["page_id"])
+    res = CV.convert_html(_with_missing(_pages(spark, sf_dir)), "html", ["page_id"])
     return R.failures(res).select("page_id", "error")
 
 
-@query
-def convert_with_errors(spark, sf_dir):
-    """UDF-01: a Python converter per page through mapInPandas; a page that
-    raises becomes an error row."""
-    return CV.convert_with(_pages(spark, sf_dir), CV.stdlib_html_converter, "page_id", "html")
-
-
 # ------------------------------------------------------- sinks / streams --
 
 
@@ -414,7 +434,7 @@ PAGES_SCHEMA = "page_id BIGINT, url STRING, html STRING"
 
 
 def _convert_pages(df):
-    return CV.convert_html(df.select("page_id", "html"), "html", ["page_id"])
+    return CV.convert_html(_with_missing(df), "html", ["page_id"])
 
 
 @query
@@ -426,13 +446,27 @@ def incremental_run(spark, sf_dir):
     for _ in range(2):
         INC.stream_convert(spark, sf_dir, PAGES_SCHEMA, _convert_pages, "page_id",
                            state_dir=state, glob="pages.parquet")
-    return INC.latest_status(spark, f"{state}/results", "page_id").select("page_id", "status", "md", "error")
+    return INC.latest_status(spark, state, "page_id").select("page_id", "status", "md", "error")
+
+
+@query
+def incremental_replay(spark, sf_dir):
+    """STM-01 after a lost commit: two batches, then both once more under
+    their numbers. The rows of all batches together are those of one run."""
+    state = work_path(spark, "incremental-replay")
+    pages = _pages(spark, sf_dir).select("page_id", "html")
+    halves = [pages.where("page_id % 2 = 0"), pages]
+    for seq in (1, 2, 1, 2):
+        INC.run_batch(spark, halves[seq - 1], _convert_pages, "page_id", state, seq)
+    rows = spark.read.parquet(f"{state}/results")
+    return rows.groupBy("page_id").agg(F.max("status").alias("status"), F.count_if(F.col("status") == "ok").alias("n_ok"),
+                                       F.count("*").alias("n_rows"))
 
 
 @query
 def conversion_report(spark, sf_dir):
     """JOB-09 over an incremental batch run: the second run of the page
-    conversion skips what the first finished and retries the failures."""
+    conversion skips what the first finished and tries the failures again."""
     state = work_path(spark, "convert-runs")
     pages = _pages(spark, sf_dir).select("page_id", "html")
     INC.convert_run(spark, pages, _convert_pages, "page_id", state)
@@ -440,6 +474,51 @@ def conversion_report(spark, sf_dir):
     return R.tally(second, R.CONVERT_STATUSES, ok="ok", fail="error")
 
 
+@query
+def conversion_rows(spark, sf_dir):
+    """JOB-05/06/09, SNK-03: the conversion job over pages named by path: per
+    page its status, the Markdown's target path and its number of citations,
+    read back from the written run table."""
+    pages = _pages(spark, sf_dir).select(
+        F.concat(F.lit("site/"), F.col("page_id") % 7, F.lit("/p"), "page_id", F.lit(".html")).alias("path"), "html")
+    run = JOBS.convert_job(spark, pages, "path", work_path(spark, "convert-job"), with_citations=True, target="nested")["run"]
+    return run.select("path", "status", "target_path", "citations", "complete")
+
+
+@query
+def citation_files(spark, sf_dir):
+    """SNK-04: the citation files written for the answers with at least one
+    citation, read back."""
+    cits, _ = CI.parse_citation_array("response")
+    path = work_path(spark, "citation-files")
+    CI.write_citations(fixture(spark, sf_dir, "fx_responses").select("conv_id", "turn", cits.alias("citations")),
+                       "citations", path, ["conv_id", "turn"])
+    back = spark.read.schema(f"conv_id BIGINT, turn INT, citations {CI.CITATION_TYPE}").json(path)
+    return back.select("conv_id", "turn", F.size("citations").cast("int").alias("n_citations"))
+
+
+@query
+def report_tables(spark, sf_dir):
+    """SNK-02, SNK-06: the label summary and the run report written as tables
+    and read back."""
+    rows = L.label_rows(fixture(spark, sf_dir, "fx_manifest"), L.LabelSpec.default(3), order=False)
+    path = work_path(spark, "reports")
+    SK.write_table(L.label_summary(rows, ["level_1", "level_2", "level_3"]), f"{path}/summary")
+    SK.write_table(R.tally(_shard_run(spark, sf_dir)), f"{path}/run")
+    summary = spark.read.parquet(f"{path}/summary").select("breakdown", "n")
+    run = spark.read.parquet(f"{path}/run")
+    return summary.unionByName(run.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("breakdown"), F.col(c).alias("n")) for c in run.columns])).alias("r")).select("r.*"))
+
+
+@query
+def summary_order(spark, sf_dir):
+    """SRT-04: the order of the summary as positions."""
+    _, summary = L.label_dataset(fixture(spark, sf_dir, "fx_manifest"), L.LabelSpec.default(3))
+    return O.with_position(summary.select(F.col("pos").alias("level"), "value", "n"),
+                           [F.col("level"), F.col("value").asc_nulls_first()], name="place")
+
+
 @query
 def spec_json(spark, sf_dir):
     """SNK-05, SRC-09: the discovered spec written as JSON and read back as
@@ -447,11 +526,9 @@ def spec_json(spark, sf_dir):
     spec, _ = L.discover_structure(fixture(spark, sf_dir, "fx_manifest"))
     path = work_path(spark, "spec") + "/dataset_config.json"
     SK.write_text_file(spark, path, spec.to_json())
-    raw = spark.read.option("multiLine", "true").json(path)
-    cols = raw.select("max_depth", F.posexplode(F.map_entries(F.from_json(
-        F.to_json("columns"), "map<string, struct<header: string, enabled: boolean>>"))).alias("i", "e"))
-    return cols.select(F.col("e.key").alias("slot"), F.col("e.value.header").alias("header"),
-                       F.col("e.value.enabled").alias("enabled"), F.col("max_depth").cast("int").alias("max_depth"))
+    back = L.LabelSpec.from_json(SK.read_text_file(spark, path))
+    return spark.createDataFrame([(s.name, s.header, s.enabled, back.max_depth) for s in back.slots()],
+                                 "slot string, header string, enabled boolean, max_depth int")
 
 
 @query
@@ -462,15 +539,6 @@ def data_files_plan(spark, sf_dir):
     return PL.plan_acquisition(wanted, fixture(spark, sf_dir, "fx_present"), min_bytes=PL.DATA_FILE_MIN_BYTES)
 
 
-@query
-def convert_with_status(spark, sf_dir):
-    """UDF-01: status and error text per page from the Python converter
-    path (the Markdown differs by converter; the per-row error capture does
-    not)."""
-    res = CV.convert_with(_pages(spark, sf_dir), CV.stdlib_html_converter, "page_id", "html")
-    return res.select("page_id", "status", "error")
-
-
 @query
 def conversion_plan(spark, sf_dir):
     """Dry run of the mirrored-tree converter (PRJ-08 + JON-01/04): every

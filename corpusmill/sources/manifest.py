@@ -3,14 +3,13 @@
 ``binaryFile`` and the file sources hide names starting with '.' or '_' and
 zero-byte files; the labelers and converters must see all of them. The
 listing is therefore its own distributed job, breadth first: each level is
-one ``mapInPandas`` over the folders found so far, spread round-robin over
+one ``mapInArrow`` over the folders found so far, spread round-robin over
 tasks, each folder listed without recursion. A subtree holding a third of all
 files is thus listed by many tasks, level by level; only one single folder's
-direct entries are one call. With ``split_levels=k`` the remaining subtrees
-are listed recursively after ``k`` levels (fewer jobs for very deep trees).
-The driver never holds the file list, only the size of each frontier; each
-level is checkpointed to the shared folder so that the files and the next
-frontier come from one listing.
+direct entries are one call, and they leave the task in batches of
+``CHUNK`` entries. The driver never holds the file list, only the size of each
+frontier; each level is written to the shared checkpoint folder, so that the
+files and the next frontier come from one listing.
 """
 
 from __future__ import annotations
@@ -18,14 +17,16 @@ from __future__ import annotations
 import os
 from urllib.parse import urlparse
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.session import checkpoint_dir, ship_package
 
 MANIFEST_SCHEMA = "path STRING, length BIGINT, modification_time TIMESTAMP"
+CHUNK = 8192
 _ENTRY_SCHEMA = "kind STRING, path STRING, length BIGINT, mtime_us BIGINT"
+_ENTRY_ARROW = pa.schema([("kind", pa.string()), ("path", pa.string()), ("length", pa.int64()), ("mtime_us", pa.int64())])
 
 
 def _filesystem(root: str):
@@ -39,38 +40,57 @@ def _filesystem(root: str):
     return filesystem, base.rstrip("/")
 
 
-def _keep_dir(name: str, prune: frozenset[str], prune_dot: bool) -> bool:
-    return name not in prune and not (prune_dot and name.startswith("."))
-
-
-def _entries(root: str, recursive: bool, prune: frozenset[str], prune_dot: bool):
+def _folder(filesystem, start: str):
+    """(name, is folder, is file, size, mtime_us) of a folder's entries. Local
+    folders are read entry by entry and links are not followed: a link to a
+    folder is neither a folder nor a file, a link to a file is a file."""
+    from pyarrow import fs as pafs
+    if isinstance(filesystem, pafs.LocalFileSystem):
+        if not os.path.isdir(start):
+            return
+        with os.scandir(start) as entries:
+            for e in entries:
+                if e.is_dir(follow_symlinks=False):
+                    yield e.name, True, False, None, None
+                elif e.is_file():
+                    stat = e.stat()
+                    yield e.name, False, True, stat.st_size, stat.st_mtime_ns // 1000
+        return
+    for info in filesystem.get_file_info(pafs.FileSelector(start, recursive=False, allow_not_found=True)):
+        yield (info.base_name, info.type == pafs.FileType.Directory, info.type == pafs.FileType.File, info.size,
+               info.mtime_ns // 1000 if info.mtime_ns is not None else None)
+
+
+def _entries(root: str, prune: frozenset[str], prune_dot: bool):
     def run(batches):
-        from pyarrow import fs as pafs
         filesystem, base = _filesystem(root)
-        cut = len(base) + 1
-        for batch in batches:
-            rows = []
-            for rel_dir in batch["dir"]:
-                start = f"{base}/{rel_dir}" if rel_dir else base
-                sel = pafs.FileSelector(start, recursive=recursive, allow_not_found=True)
-                for info in filesystem.get_file_info(sel):
-                    rel = info.path[cut:]
-                    comps = rel.split("/")
-                    if recursive and not all(_keep_dir(c, prune, prune_dot) for c in comps[:-1]):
-                        continue
-                    if info.type == pafs.FileType.Directory:
-                        if not recursive and _keep_dir(comps[-1], prune, prune_dot):
-                            rows.append(("dir", rel, None, None))
-                    elif info.type == pafs.FileType.File:
-                        mt = info.mtime_ns // 1000 if info.mtime_ns is not None else None
-                        rows.append(("file", rel, info.size, mt))
-            yield pd.DataFrame(rows, columns=["kind", "path", "length", "mtime_us"]).astype(
-                {"length": "Int64", "mtime_us": "Int64"})
+
+        def rows():
+            for batch in batches:
+                for rel_dir in batch.column(0).to_pylist():
+                    start = f"{base}/{rel_dir}" if rel_dir else base
+                    for name, is_dir, is_file, size, mtime in _folder(filesystem, start):
+                        rel = f"{rel_dir}/{name}" if rel_dir else name
+                        if is_dir and not (name in prune or prune_dot and name.startswith(".")):
+                            yield "dir", rel, None, None
+                        elif is_file:
+                            yield "file", rel, size, mtime
+
+        held = []
+        for row in rows():
+            held.append(row)
+            if len(held) == CHUNK:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), _ENTRY_ARROW)],
+                                                 schema=_ENTRY_ARROW)
+                held = []
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), _ENTRY_ARROW)],
+                                             schema=_ENTRY_ARROW)
     return run
 
 
 def list_files(spark: SparkSession, root: str, prune_dirs=(), prune_dot_dirs: bool = False,
-               split_levels: int | None = None, tasks: int | None = None) -> DataFrame:
+               tasks: int | None = None) -> DataFrame:
     """Every regular file below ``root``: ``path`` relative to the root
     ('/'-separated), ``length``, ``modification_time``. Dot files, '_' names
     and empty files are kept. Folders named in ``prune_dirs`` (and dot
@@ -81,22 +101,15 @@ def list_files(spark: SparkSession, root: str, prune_dirs=(), prune_dot_dirs: bo
     prune = frozenset(prune_dirs)
     n = tasks or spark.sparkContext.defaultParallelism
     frontier = spark.range(1).select(F.lit("").alias("dir"))
-    pieces = []
-    level = 0
-    while split_levels is None or level < split_levels:
-        listed = frontier.repartition(n).mapInPandas(
-            _entries(root, False, prune, prune_dot_dirs), _ENTRY_SCHEMA).checkpoint(eager=True)
-        pieces.append(listed.where(F.col("kind") == "file"))
+    out = None
+    while True:
+        listed = frontier.repartition(n).mapInArrow(
+            _entries(root, prune, prune_dot_dirs), _ENTRY_SCHEMA).checkpoint(eager=True)
+        files = listed.where(F.col("kind") == "file")
+        out = files if out is None else out.unionByName(files)
         frontier = listed.where(F.col("kind") == "dir").select(F.col("path").alias("dir"))
-        level += 1
         if frontier.isEmpty():
             break
-    else:
-        pieces.append(frontier.repartition(n).mapInPandas(
-            _entries(root, True, prune, prune_dot_dirs), _ENTRY_SCHEMA))
-    out = pieces[0]
-    for p in pieces[1:]:
-        out = out.unionByName(p)
     return out.select("path", "length", F.timestamp_micros("mtime_us").alias("modification_time"))
 
 

@@ -1,41 +1,10 @@
-"""Reading input tables.
-
-A scan runs one task per file split; a table stored as a few large files
-with one row group each (as the test tables are) gives one busy task and
-idle cores, and CPU-heavy text rules then run on a single core. When the
-scan has fewer partitions than the session's parallelism, the rows are
-hash-partitioned on the table key so that the text work spreads over every
-core. A table with at least that many splits — the normal case for a large
-corpus — is read as is: no extra shuffle at scale.
-"""
+"""Reading input tables, through Spark and as the files are split."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Key of each given table, used to spread rows of a narrow scan.
-TABLE_KEYS = {
-    "documents": "doc_id",
-    "pages": "page_id",
-    "labels": "doc_id",
-    "events": "event_id",
-    "conversations": "conv_id",
-    "benchmark": "item_id",
-}
-
-
-def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
-    """``df`` unchanged when its scan already has ``min_partitions`` splits
-    (default: the session's parallelism); otherwise hash-partitioned on
-    ``key`` (round-robin without a key) into that many partitions."""
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, key) if key else df.repartition(want)
-
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
-    """One of the given parquet tables, spread when its scan is narrow."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, TABLE_KEYS.get(name)) if balance else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given parquet tables."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -1,18 +1,26 @@
 """Incremental conversion (STM-01): each run converts only what is new.
 
-Result table layout (parquet, below a shared folder):
-``<results>/batch=<seq>/`` holds the result rows of one run or micro-batch
-(key, status, md, error) and ``<retry>/batch=<seq>/`` the inputs whose
-conversion failed in it. Micro-batch ``b`` of the stream has
-``seq = b * STREAM_SEQ_STEP``; retry passes between two micro-batches take
-the following numbers. A batch folder is written with ``overwrite``, so a
-micro-batch that is replayed after a lost executor or driver rewrites the
-same folder (idempotent sink).
-
-*Skip* means: a key with an ``ok`` row in the results (not merely "some
-row", so a conversion that failed is tried again). A failed input has no
-output, so a later run must retry it even though a file stream will not
-offer that file again: each batch unions the open retry rows into its input.
+Layout below one shared folder::
+
+    results/batch=<seq>/   key, status, md, error of one run or micro-batch
+    keys/batch=<seq>/      the same rows without texts: key, status, attempts
+    base/upto=<seq>/       one row per key over all batches <= seq
+
+A batch's folders are written with ``overwrite`` and every decision reads
+only batches with a *smaller* number, never a folder that is being written.
+A micro-batch that is replayed, after a lost driver or commit marker,
+therefore makes the same decisions again and writes the same rows.
+
+State is keys only: what is finished (``ok``) and how often a key failed.
+Every ``COMPACT_EVERY`` batches it is folded into one table, so a batch reads
+one base and a few small tables. Decisions are made on the input's keys; its
+documents are read once, by the converter, and cross the network only where
+the keys to leave out are too many to broadcast (``BROADCAST_KEYS``).
+
+Failed inputs are not copied. They are read again from where they came in a
+retry pass of their own, up to ``max_attempts`` times; a newer version of a
+failed input is converted when it arrives. Of several versions of a key in one
+batch the newest counts, by ``version`` (or any one, without such a column).
 """
 
 from __future__ import annotations
@@ -25,126 +33,176 @@ from pyspark.sql import functions as F
 from corpusmill.session import work_path
 
 Converter = Callable[[DataFrame], DataFrame]
-STREAM_SEQ_STEP = 1_000_000
+STREAM_SEQ_STEP = 1_000
+COMPACT_EVERY = 16
+BROADCAST_KEYS = 1_000_000
+MAX_ATTEMPTS = 3
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    """Batch numbers of the finished folders ``<name>=<n>`` below ``folder``
+    (one folder listing)."""
     jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath) or len(fs.listStatus(hpath)) == 0:
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    found = []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+        if "=" in name and fs.exists(done):
+            found.append(int(name.partition("=")[2]))
+    return sorted(found)
+
+
+def _folded(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key: finished or not, attempts, its last batch."""
+    return rows.groupBy(key).agg(F.max("done").alias("done"), F.sum("attempts").alias("attempts"),
+                                 F.max("batch").alias("batch"))
+
+
+def key_state(spark: SparkSession, state_dir: str, key: str, before: int) -> DataFrame | None:
+    """(key, done, attempts, batch) over the batches with a number below
+    ``before``; None if there are none."""
+    bases = [n for n in _numbers(spark, f"{state_dir}/base") if n < before]
+    base = bases[-1] if bases else None
+    tables = [] if base is None else [spark.read.parquet(f"{state_dir}/base/upto={base}")]
+    for n in _numbers(spark, f"{state_dir}/keys"):
+        if (base is None or n > base) and n < before:
+            rows = spark.read.parquet(f"{state_dir}/keys/batch={n}")
+            tables.append(rows.select(key, (F.col("status") == "ok").alias("done"),
+                                      F.lit(1).cast("long").alias("attempts"), F.lit(n).cast("long").alias("batch")))
+    if not tables:
         return None
-    return spark.read.option("basePath", path).parquet(path)
-
-
-def finished_keys(spark: SparkSession, results_path: str, key: str) -> DataFrame | None:
-    res = _read_or_none(spark, results_path)
-    return None if res is None else res.where(F.col("status") == "ok").select(key).distinct()
-
-
-def open_retries(spark: SparkSession, results_path: str, retry_path: str, key: str) -> DataFrame | None:
-    """Failed inputs that have not succeeded since (latest copy per key)."""
-    retry = _read_or_none(spark, retry_path)
-    if retry is None:
-        return None
-    done = finished_keys(spark, results_path, key)
-    if done is not None:
-        retry = retry.join(done, key, "left_anti")
-    latest = retry.groupBy(key).agg(F.max("batch").alias("batch"))
-    return retry.join(latest, [key, "batch"], "left_semi").drop("batch")
-
-
-def run_batch(spark: SparkSession, inputs: DataFrame, convert: Converter, key: str,
-              results_path: str, retry_path: str, batch_id: int, unique_inputs: bool = True) -> None:
-    """One incremental step: (new inputs ∪ open retries) minus finished keys
-    → convert → write this batch's results and retry rows. Inputs are taken
-    to have unique keys (paths, ids); ``unique_inputs=False`` removes repeats
-    first, at the price of shuffling every input row."""
-    retries = open_retries(spark, results_path, retry_path, key)
-    todo = inputs if unique_inputs else inputs.dropDuplicates([key])
-    if retries is not None:
-        # a failed input offered again in new data: the new version wins
-        todo = todo.unionByName(retries.select(*inputs.columns).join(todo.select(key), key, "left_anti"))
-    done = finished_keys(spark, results_path, key)
-    if done is not None:
-        todo = todo.join(done, key, "left_anti")  # skip before converting
-    todo = todo.persist()
-    try:
-        res = convert(todo)
-        res.write.mode("overwrite").parquet(f"{results_path}/batch={batch_id}")
-        failed = todo.join(
-            spark.read.parquet(f"{results_path}/batch={batch_id}").where("status = 'error'").select(key),
-            key, "left_semi")
-        failed.write.mode("overwrite").parquet(f"{retry_path}/batch={batch_id}")
-    finally:
-        todo.unpersist()
-
-
-def latest_status(spark: SparkSession, results_path: str, key: str) -> DataFrame:
-    """Current state per key: the row of its latest batch."""
-    res = spark.read.option("basePath", results_path).parquet(results_path)
-    last = res.groupBy(key).agg(F.max("batch").alias("batch"))
-    return res.join(last, [key, "batch"], "left_semi")
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return _folded(out, key) if len(tables) > 1 or base is None else out
+
+
+def _without(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of other keys. The rows are not shuffled while ``keys`` fits a
+    broadcast, which is counted first."""
+    n = keys.count()
+    if n == 0:
+        return rows
+    return rows.join(F.broadcast(keys) if n <= BROADCAST_KEYS else keys, key, "left_anti")
+
+
+def newest_versions(rows: DataFrame, key: str, version: str | None) -> DataFrame:
+    """One row per key. Only the rows of repeated keys are grouped."""
+    repeated = rows.groupBy(key).count().where("count > 1").select(key)
+    n = repeated.count()
+    if n == 0:
+        return rows
+    hint = F.broadcast(repeated) if n <= BROADCAST_KEYS else repeated
+    order = [F.col(version)] if version else []
+    several = rows.join(hint, key, "left_semi")
+    one = several.groupBy(key).agg(F.max(F.struct(*order, *[F.col(c).alias(f"v{i}") for i, c in enumerate(rows.columns)]))
+                                   .alias("last"))
+    one = one.select(*[F.col(f"last.v{i}").alias(c) for i, c in enumerate(rows.columns)])
+    return rows.join(hint, key, "left_anti").unionByName(one)
+
+
+def run_batch(spark: SparkSession, inputs: DataFrame, convert: Converter, key: str, state_dir: str,
+              seq: int, version: str | None = None) -> None:
+    """One step: the newest version of every input key that is not finished
+    is converted, and the results and their keys are written as batch
+    ``seq``. Null keys are left out."""
+    inputs = inputs.where(F.col(key).isNotNull())
+    state = key_state(spark, state_dir, key, seq)
+    todo = inputs
+    if state is not None:
+        finished = state.where("done").select(key).join(inputs.select(key).distinct(), key, "left_semi")
+        todo = _without(inputs, finished, key)
+    convert(newest_versions(todo, key, version)).write.mode("overwrite").parquet(f"{state_dir}/results/batch={seq}")
+    spark.read.parquet(f"{state_dir}/results/batch={seq}").select(key, "status") \
+        .write.mode("overwrite").parquet(f"{state_dir}/keys/batch={seq}")
+    bases = _numbers(spark, f"{state_dir}/base")
+    since = [n for n in _numbers(spark, f"{state_dir}/keys") if n <= seq and (not bases or n > bases[-1])]
+    if len(since) >= COMPACT_EVERY:
+        # the batch before this one is the last that cannot be replayed any more
+        key_state(spark, state_dir, key, seq).write.mode("overwrite").parquet(f"{state_dir}/base/upto={since[-2]}")
+
+
+def failed_keys(spark: SparkSession, state_dir: str, key: str, before: int, max_attempts: int = MAX_ATTEMPTS) -> DataFrame | None:
+    """Keys that failed, fewer than ``max_attempts`` times, and were never
+    finished."""
+    state = key_state(spark, state_dir, key, before)
+    return None if state is None else state.where(~F.col("done") & (F.col("attempts") < max_attempts)).select(key)
+
+
+def retry_failed(spark: SparkSession, source: DataFrame, convert: Converter, key: str, state_dir: str, seq: int,
+                 max_attempts: int = MAX_ATTEMPTS, version: str | None = None) -> bool:
+    """A retry pass as batch ``seq``: reads the failed keys' rows from the
+    source once more. False if there is nothing to retry."""
+    failed = failed_keys(spark, state_dir, key, seq, max_attempts)
+    n = 0 if failed is None else failed.count()
+    if n == 0:
+        return False
+    again = source.join(F.broadcast(failed) if n <= BROADCAST_KEYS else failed, key, "left_semi").select(*source.columns)
+    run_batch(spark, again, convert, key, state_dir, seq, version)
+    return True
+
+
+def latest_status(spark: SparkSession, state_dir: str, key: str) -> DataFrame:
+    """Current row per key: that of its latest batch."""
+    last = key_state(spark, state_dir, key, 1 << 62).select(key, F.col("batch"))
+    res = spark.read.option("basePath", f"{state_dir}/results").parquet(f"{state_dir}/results")
+    return res.withColumn("batch", F.col("batch").cast("long")).join(last, [key, "batch"], "left_semi")
 
 
 def stream_convert(spark: SparkSession, source_dir: str, schema: str, convert: Converter, key: str,
                    state_dir: str | None = None, glob: str | None = None, retry_pass: bool = True,
-                   processing_time: str | None = None, max_files_per_trigger: int = 64):
+                   processing_time: str | None = None, max_files_per_trigger: int | None = None,
+                   max_attempts: int = MAX_ATTEMPTS, version: str | None = None):
     """Structured Streaming form: a file stream over ``source_dir``, each
-    micro-batch through ``run_batch``. By default ``trigger(availableNow=True)``
-    (all that is new, then stop; then one retry pass for older failures) and
-    ``state_dir`` is returned. With ``processing_time`` (e.g. ``"1 minute"``)
-    the query keeps running and the ``StreamingQuery`` is returned; every
-    micro-batch retries open failures itself. The stream checkpoint and the
-    result tables live in ``state_dir`` (default: a new folder below
-    ``spark.checkpoint.dir``)."""
+    micro-batch through ``run_batch`` (batch ``b`` has number
+    ``(b + 1) * STREAM_SEQ_STEP``). By default ``trigger(availableNow=True)``
+    (all that is new, then stop; then one retry pass for what failed, numbered
+    after the last batch) and ``state_dir`` is returned. With
+    ``processing_time`` (e.g. ``"1 minute"``) the query keeps running and the
+    ``StreamingQuery`` is returned; call ``retry_failed`` from time to time.
+    ``max_files_per_trigger`` bounds a micro-batch where the caller wants
+    that. The stream checkpoint and the state live in ``state_dir`` (default:
+    a new folder below ``spark.checkpoint.dir``)."""
     state = state_dir or work_path(spark, "incremental")
-    results, retry = f"{state}/results", f"{state}/retry"
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = spark.readStream.schema(schema)
+    files = spark.read.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    stream = reader.parquet(source_dir)
+        reader, files = reader.option("pathGlobFilter", glob), files.option("pathGlobFilter", glob)
 
     def each(batch_df: DataFrame, batch_id: int) -> None:
-        run_batch(spark, batch_df, convert, key, results, retry, int(batch_id) * STREAM_SEQ_STEP)
+        run_batch(batch_df.sparkSession, batch_df, convert, key, state, (int(batch_id) + 1) * STREAM_SEQ_STEP, version)
 
-    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{state}/checkpoint")
+    writer = reader.parquet(source_dir).writeStream.foreachBatch(each).option("checkpointLocation", f"{state}/checkpoint")
     if processing_time:
         return writer.trigger(processingTime=processing_time).start()
-    q = writer.trigger(availableNow=True).start()
-    q.awaitTermination()
-    pending = open_retries(spark, results, retry, key) if retry_pass else None
-    if pending is not None and not pending.isEmpty():
-        # failed inputs of earlier runs, whose files the stream will not offer again
-        nxt = _next_batch(spark, results)
-        empty = spark.createDataFrame([], schema)
-        run_batch(spark, empty, convert, key, results, retry, nxt)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    if retry_pass:
+        retry_failed(spark, files.parquet(source_dir), convert, key, state, next_batch(spark, state), max_attempts, version)
     return state
 
 
-def _next_batch(spark: SparkSession, results_path: str) -> int:
-    """Sequence number of a retry pass: right after the latest batch."""
-    res = _read_or_none(spark, results_path)
-    if res is None:
-        return 1
-    m = res.agg(F.max("batch")).first()[0]
-    return (m + 1) if m is not None else 1
+def next_batch(spark: SparkSession, state_dir: str) -> int:
+    """The number after the latest batch."""
+    return max([0, *_numbers(spark, f"{state_dir}/keys")]) + 1
 
 
 def convert_run(spark: SparkSession, inputs: DataFrame, convert: Converter, key: str,
-                state_dir: str, unique_inputs: bool = True) -> DataFrame:
+                state_dir: str, version: str | None = None) -> DataFrame:
     """Batch form of one incremental run (JON-01, JOB-09): converts the
-    inputs not finished before, and returns this run's status per input —
+    inputs not finished before, and returns this run's status per input key —
     ``skipped`` for work finished earlier, else the conversion result. The
     returned rows are read back from the written batch, so later actions do
     not convert again."""
-    results, retry = f"{state_dir}/results", f"{state_dir}/retry"
-    before = finished_keys(spark, results, key)
-    seq = _next_batch(spark, results)
-    run_batch(spark, inputs, convert, key, results, retry, seq, unique_inputs)
-    this = spark.read.parquet(f"{results}/batch={seq}")
-    skipped = (inputs.select(key).join(before, key, "left_semi") if before is not None
-               else inputs.select(key).limit(0))
-    skipped = skipped.select(key, F.lit("skipped").alias("status"),
-                             F.lit(None).cast("string").alias("md"), F.lit(None).cast("string").alias("error"))
-    return this.select(key, "status", "md", "error").unionByName(skipped)
+    seq = next_batch(spark, state_dir)
+    run_batch(spark, inputs, convert, key, state_dir, seq, version)
+    this = spark.read.parquet(f"{state_dir}/results/batch={seq}")
+    before = key_state(spark, state_dir, key, seq)
+    keys = inputs.where(F.col(key).isNotNull()).select(key).distinct()
+    skipped = keys.join(before.where("done").select(key), key, "left_semi") if before is not None else keys.limit(0)
+    return this.unionByName(skipped.withColumn("status", F.lit("skipped")), allowMissingColumns=True)

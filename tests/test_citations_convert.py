@@ -1,7 +1,9 @@
 """Citation rules, JSON answers, HTML conversion, error isolation, streams."""
 
 import pandas as pd
+from pyspark.sql import functions as F
 
+from corpusmill.functions import html as H
 from corpusmill.operators import citations as CI
 from corpusmill.operators import convert as CV
 from corpusmill.streaming import incremental as INC
@@ -15,6 +17,15 @@ def test_parse_contract(spark):
         ('{"id":"lone object"}', 0, True),
         ('[{"id":"a"}] trailing', 0, True),
         ("Sorry", 0, True),
+        ('[{"id":"a"}] x ]', 0, True),
+        ('[{"id":"a"}][{"id":"b"}]', 0, True),
+        ("[null]", 0, True),
+        ('[1],"x":[2]', 0, True),
+        ('[{"id":"a"}],"x":[{"id":"b"}]', 0, True),
+        ('[{"id":"a","authors":"A"}]', 0, True),
+        ('[{"id":"a","authors":[null]}]', 0, True),
+        ('[{"id":["a"]}]', 0, True),
+        ('[{"id":null,"authors":null,"year":2020},{}]', 2, False),
         ("", 0, True),
     ]
     df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i INT, response STRING")
@@ -35,6 +46,38 @@ def test_rule_citations(spark):
     assert r2.authors == ["Smith", "Jones", "Lee"] and r2.title == "Other work continued" and r2.venue == "Press"
 
 
+def test_absent_fields_are_empty(spark):
+    df = spark.createDataFrame([(1, '[{"id":null,"year":2020,"title":"T"},{}]')], "d INT, response STRING")
+    rows = [tuple(r) for r in CI.parse_citation_responses(df, "response", ["d"]).orderBy("pos").collect()]
+    assert rows == [(1, 1, "", [], "2020", "T", "", ""), (1, 2, "", [], "", "", "", "")]
+
+
+def test_every_list_form_gives_its_citations(spark):
+    forms = {
+        "numbered": ("## References\n1. A. Author. First. Press, 2001.\nmore\n2) B. Writer. Second. Venue.", ["[1]", "[2]"]),
+        "listed": ("## References\n- A. Author. First. Press.\n* B. Writer. Second.\n  wrapped", ["", ""]),
+        "marked keys": ("## References\n- [1] A. Author. First.\n- [b] B. Writer. Second.", ["[1]", "[b]"]),
+        "author-year": ("## References\nSmith, J. and Lee, K. 2020. Work. Press.\n\nDoe-Roe, A. Old. Venue, 1987.",
+                        ["[Smith 2020]", "[Doe-Roe 1987]"]),
+        "bracketed wins": ("## References\n[1] A. 1. One.\n2. not an entry\n[2] B. Two.", ["[1]", "[2]"]),
+        "nothing": ("## References\nno list here", []),
+    }
+    df = spark.createDataFrame([(k, v[0]) for k, v in forms.items()], "d STRING, references STRING")
+    got = {k: [] for k in forms}
+    for r in CI.extract_citations(df, "references", ["d"]).orderBy("d", "pos").collect():
+        got[r.d].append(r.id)
+    assert got == {k: v[1] for k, v in forms.items()}
+
+
+def test_character_references(spark):
+    import html as pyhtml
+    texts = ["&#8217;&#x27;&#X1F600; &eacute;&NotEqualTilde;", "&amp;#65; &amp;amp; &ampx &copy2 &nbsp", "a & b &; &#; &#x; &zzz;",
+             "&#128;&#0;&#xD800;&#1114112; &notin; &notit;", "plain", "&lt;p&gt; &Aacute &Aacutes", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i INT, t STRING")
+    got = [r[0] for r in df.orderBy("i").select(H.decode_entities(F.col("t"))).collect()]
+    assert got == [pyhtml.unescape(t) for t in texts]
+
+
 def test_html_rules(spark):
     html = ("<html><head><title>T</title></head><body><nav>menu</nav><!-- c --><script>x='</p>'</script>"
             "<h2 class='a'>Head &amp; more</h2><p>One<br>two</p><ul><li>i1</li><li>i2</li></ul>"
@@ -44,7 +87,8 @@ def test_html_rules(spark):
     out = {r.id: r for r in CV.convert_html(df, "html", ["id"]).collect()}
     assert out[1].status == "ok"
     assert out[1].md == "## Head & more\n\nOne\ntwo\n\n- i1\n- i2\n| a | b |\n| --- | --- |\n"
-    assert out[2].status == "error" and out[2].md is None and "incomplete" in out[2].error
+    assert out[1].complete
+    assert (out[2].status, out[2].md, out[2].error, out[2].complete) == ("ok", "cut\n", None, False)
     import html as pyhtml
     assert out[3].md == pyhtml.unescape("a &amp b &ampamp; &amp;lt; &lt c") + "\n"   # HTML5 entity rules
 
@@ -69,27 +113,70 @@ def _convert(df):
     return CV.convert_html(df.select("page_id", "html"), "html", ["page_id"])
 
 
+def _states(spark, state):
+    return {r.page_id: (r.status, r.md) for r in INC.latest_status(spark, state, "page_id").collect()}
+
+
+def _add(src, name, rows):
+    pd.DataFrame(rows, columns=["page_id", "url", "html"]).to_parquet(src / name)
+
+
+PAGES = "page_id BIGINT, url STRING, html STRING"
+
+
 def test_stream_is_incremental_and_retries(spark, tmp_path):
     src = tmp_path / "src"
     src.mkdir()
-    schema = "page_id BIGINT, url STRING, html STRING"
+    _add(src, "p1.parquet", [(1, "u", "<html><p>a</p></html>")])
+    state = str(tmp_path / "state")
+    INC.stream_convert(spark, str(src), PAGES, _convert, "page_id", state_dir=state)
+    assert _states(spark, state) == {1: ("ok", "a\n")}
+    _add(src, "p2.parquet", [(2, "u", "<html><p>b</p></html>"), (3, "u", None)])
+    for _ in range(4):
+        INC.stream_convert(spark, str(src), PAGES, _convert, "page_id", state_dir=state)
+    assert _states(spark, state) == {1: ("ok", "a\n"), 2: ("ok", "b\n"), 3: ("error", None)}
+    res = spark.read.parquet(f"{state}/results")
+    assert res.where("page_id = 3").count() == INC.MAX_ATTEMPTS  # tried again, but not for ever
+    assert res.where("page_id < 3").count() == 2  # finished work is never redone
 
-    def add(name, rows):
-        pd.DataFrame(rows, columns=["page_id", "url", "html"]).to_parquet(src / name)
 
-    add("p1.parquet", [(1, "u", "<html><p>a</p></html>")])
+def test_replayed_batch_keeps_finished_rows(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    _add(src, "p.parquet", [(1, "u", "<p>a"), (2, "u", "<p>b"), (3, "u", None)])
     state = str(tmp_path / "state")
-    INC.stream_convert(spark, str(src), schema, _convert, "page_id", state_dir=state)
-    assert INC.latest_status(spark, f"{state}/results", "page_id").count() == 1
-    add("p2.parquet", [(2, "u", "<html><p>b</p></html>"), (3, "u", "<p>cut")])
-    INC.stream_convert(spark, str(src), schema, _convert, "page_id", state_dir=state)
-    st = {r.page_id: r.status for r in INC.latest_status(spark, f"{state}/results", "page_id").collect()}
-    assert st == {1: "ok", 2: "ok", 3: "error"}
-    # the failed page is retried on the next run, although its file is old
-    INC.stream_convert(spark, str(src), schema, _convert, "page_id", state_dir=state)
-    res = spark.read.parquet(f"{state}/results")
-    assert res.where("page_id = 3").count() >= 2
-    assert res.where("page_id = 1").count() == 1  # finished work is never redone
+    INC.stream_convert(spark, str(src), PAGES, _convert, "page_id", state_dir=state, retry_pass=False)
+    want = {1: ("ok", "a\n"), 2: ("ok", "b\n"), 3: ("error", None)}
+    assert _states(spark, state) == want
+    commits = tmp_path / "state" / "checkpoint" / "commits"
+    for f in [*commits.glob("0"), *commits.glob(".0.crc")]:
+        f.unlink()  # the driver was lost before the commit
+    INC.stream_convert(spark, str(src), PAGES, _convert, "page_id", state_dir=state, retry_pass=False)
+    assert _states(spark, state) == want
+    assert spark.read.parquet(f"{state}/results").count() == 3
+
+
+def test_newest_version_of_a_key_in_one_batch(spark, tmp_path):
+    state = str(tmp_path / "state")
+    rows = spark.createDataFrame([(1, "<p>old", 1), (1, "<p>new", 2), (2, "<p>b", 1), (None, "<p>x", 1)],
+                                 "page_id BIGINT, html STRING, version INT")
+    INC.run_batch(spark, rows, _convert, "page_id", state, 1, version="version")
+    assert _states(spark, state) == {1: ("ok", "new\n"), 2: ("ok", "b\n")}
+    assert spark.read.parquet(f"{state}/results").count() == 2
+
+
+def test_state_is_compacted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(INC, "COMPACT_EVERY", 3)
+    state = str(tmp_path / "state")
+    for seq in range(1, 6):
+        rows = spark.createDataFrame([(k, None if k == 2 else f"<p>{k}") for k in range(1, seq + 1)],
+                                     "page_id BIGINT, html STRING")
+        INC.run_batch(spark, rows, _convert, "page_id", state, seq)
+    assert INC._numbers(spark, f"{state}/base")
+    got = {r.page_id: (r.done, r.attempts) for r in INC.key_state(spark, state, "page_id", 99).collect()}
+    assert got == {1: (True, 1), 2: (False, 4), 3: (True, 1), 4: (True, 1), 5: (True, 1)}
+    assert INC.failed_keys(spark, state, "page_id", 99).count() == 0
+    assert INC.failed_keys(spark, state, "page_id", 99, max_attempts=5).count() == 1
 
 
 def test_write_citations_only_nonempty(spark, tmp_path):
@@ -116,7 +203,7 @@ def test_jobs_end_to_end(spark, tmp_path, tree):
     back = spark.read.option("header", True).csv(f"{out}/dataset_summary")
     assert back.where("breakdown = 'Total images'").first()["n"] == str(second.rows.count())
     pages = spark.createDataFrame([(1, "<html><h1>References</h1><p>[1] A. B. T. V, 2001.</p></html>"),
-                                   (2, "<p>cut")], "id BIGINT, html STRING")
+                                   (2, None)], "id BIGINT, html STRING")
     state = str(tmp_path / "conv")
     r1 = jobs.convert_job(spark, pages, "id", state, with_citations=True)
     assert r1["report"].first()["n_ok"] == 1 and r1["citations"].count() == 1
@@ -131,7 +218,7 @@ def test_jobs_end_to_end(spark, tmp_path, tree):
 
 def test_new_version_of_failed_input_wins(spark, tmp_path):
     state = str(tmp_path / "state")
-    bad = spark.createDataFrame([(7, "<p>cut")], "page_id BIGINT, html STRING")
+    bad = spark.createDataFrame([(7, None)], "page_id BIGINT, html STRING")
     INC.convert_run(spark, bad, _convert, "page_id", state)
     fixed = spark.createDataFrame([(7, "<html><p>whole</p></html>")], "page_id BIGINT, html STRING")
     run = {r.page_id: (r.status, r.md) for r in INC.convert_run(spark, fixed, _convert, "page_id", state).collect()}
@@ -149,12 +236,22 @@ def test_tables_get_a_delimiter_row(spark):
 def test_stream_with_processing_time_trigger(spark, tmp_path):
     src = tmp_path / "src"
     src.mkdir()
-    pd.DataFrame([(1, "u", "<html><p>a</p></html>")], columns=["page_id", "url", "html"]).to_parquet(src / "a.parquet")
+    _add(src, "a.parquet", [(1, "u", "<html><p>a</p></html>")])
     state = str(tmp_path / "state")
-    q = INC.stream_convert(spark, str(src), "page_id BIGINT, url STRING, html STRING", _convert, "page_id",
-                           state_dir=state, processing_time="1 second")
+    q = INC.stream_convert(spark, str(src), PAGES, _convert, "page_id", state_dir=state, processing_time="1 second")
     try:
         q.processAllAvailable()
     finally:
         q.stop()
-    assert INC.latest_status(spark, f"{state}/results", "page_id").count() == 1
+    assert _states(spark, state) == {1: ("ok", "a\n")}
+
+
+def test_jobs_write_nothing_for_empty_input(spark, tmp_path):
+    from corpusmill.plans import jobs
+    empty = spark.createDataFrame([], "path STRING, length BIGINT")
+    jobs.acquisition_job(spark, empty, empty, str(tmp_path / "acq"))
+    jobs.label_job(spark, empty, str(tmp_path / "lab"), spec=jobs.L.LabelSpec.default(2))
+    jobs.label_job_fixed(spark, empty, str(tmp_path / "fix"))
+    run = jobs.convert_job(spark, spark.createDataFrame([], "id BIGINT, html STRING"), "id", str(tmp_path / "conv"))
+    assert run["run"].count() == 0 and run["report"].first().n_total == 0
+    assert list(tmp_path.iterdir()) == []

@@ -116,6 +116,17 @@ def test_apply_outcomes_and_jobs(spark, tmp_path):
     assert {r.status: r["count"] for r in counts.collect()} == {"skip": 1, "fetch": 5}
 
 
+def test_last_attempt_counts(spark):
+    plan = spark.createDataFrame([(p, "fetch") for p in "abc"], "path STRING, status STRING")
+    log = spark.createDataFrame([("a", 1, "fail", "x"), ("a", 2, "success", None), ("b", 2, "fail", "second"),
+                                 ("b", 1, "fail", "first"), ("c", 1, "success", None), ("c", 2, "fail", "late")],
+                                "path STRING, attempt INT, outcome STRING, error STRING")
+    res = sorted(tuple(r) for r in PL.apply_outcomes(plan, log, attempt_col="attempt").collect())
+    assert res == [("a", "success", None), ("b", "fail", "second"), ("c", "fail", "late")]
+    unnumbered = PL.apply_outcomes(plan, log.drop("attempt")).collect()
+    assert len(unnumbered) == 3 and {r.path: r.status for r in unnumbered} == {"a": "success", "b": "fail", "c": "success"}
+
+
 def test_label_job_fixed(spark, tmp_path):
     from corpusmill.plans import jobs
     m = spark.createDataFrame([(p,) for p in ["A/a/1.jpg", "A/b/2.jpg", "B/a/3.txt", "top.jpg", "A/a/x/4.jpg"]],
