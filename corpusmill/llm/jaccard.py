@@ -8,10 +8,10 @@
    ``n - ceil(t n) + 1`` shingles in that order) and a signature (how many
    shingles fall in each of ``PARTS`` ranges of the hash). Equal sets become
    one class, represented from here on by one row, however many copies.
-3. Prefix join: classes meet on a prefix shingle, under the length filter,
-   the positional filter (what can still be common after the two positions)
-   and the suffix filter (the sum of the smaller counts of two signatures
-   bounds the overlap). First every class meets one pivot of each of its
+3. Prefix join: classes meet on a prefix shingle that several hold, under the
+   length filter, the positional filter (what can still be common after the
+   two positions) and, once per pair, the suffix filter (the sum of the
+   smaller counts of two signatures bounds the overlap). First every class meets one pivot of each of its
    shingles, the class that holds it at the smallest position; the links found
    are joined to components. Then only classes in different components meet:
    those outside a shingle's largest component against all of that shingle's.
@@ -114,12 +114,18 @@ def sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def could_link(x: str, y: str, percent: int) -> Column:
-    """Length, positional and suffix filter for two postings of one shingle."""
+    """Length and positional filter for two postings of one shingle."""
     return F.expr(f"""
         100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n)
-        and {100 + percent} * (1 + least({x}.n - {x}.pos - 1, {y}.n - {y}.pos - 1)) >= {percent} * ({x}.n + {y}.n)
-        and {100 + percent} * aggregate(zip_with({x}.sig, {y}.sig, (p, q) -> least(p, q)), 0, (s, v) -> s + v)
-            >= {percent} * ({x}.n + {y}.n)""")
+        and {100 + percent} * (1 + least({x}.n - {x}.pos - 1, {y}.n - {y}.pos - 1)) >= {percent} * ({x}.n + {y}.n)""")
+
+
+def suffix_filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose signatures leave room for the overlap they need."""
+    of = {c: classes.select(F.col("h1").alias(c), F.struct("n", "sig").alias(f"of_{c}")) for c in "ab"}
+    return pairs.join(of["a"], "a").join(of["b"], "b").where(F.expr(f"""
+        {100 + percent} * aggregate(zip_with(of_a.sig, of_b.sig, (p, q) -> least(p, q)), 0, (s, v) -> s + v)
+            >= {percent} * (of_a.n + of_b.n)""")).select("a", "b")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -169,28 +175,30 @@ def linked_classes(docs: DataFrame, made: DataFrame, words: int, percent: int) -
     classes = cut(made.where("n > 0 and doc_id is not null").groupBy("h1").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
         F.first("sig").alias("sig")), "classes")
-    postings = classes.select("h1", "n", "sig", F.posexplode("prefix").alias("pos", "token"))
-    pivots = postings.groupBy("token").agg(
-        F.count("*").alias("rows"), F.min(F.struct("pos", "h1", "n", "sig")).alias("pivot")).where("rows > 1")
-    shared = cut(postings.join(pivots, "token"), "postings")
-    x = shared.select(F.struct("h1", "n", "pos", "sig").alias("x"), "pivot")
-    star = cut(ordered(x.where("x.h1 <> pivot.h1").where(could_link("x", "pivot", percent))
-                       .select(F.col("x.h1").alias("p"), F.col("pivot.h1").alias("q"))), "star-pairs")
+    postings = classes.select("h1", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    several = postings.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").select("token")
+    shared = cut(postings.join(several, "token", "left_semi"), "postings")
+    pivots = shared.groupBy("token").agg(F.min(F.struct("pos", "h1", "n")).alias("pivot"))
+    x = shared.select("token", F.struct("h1", "n", "pos").alias("x")).join(pivots, "token")
+    star = ordered(x.where("x.h1 <> pivot.h1").where(could_link("x", "pivot", percent))
+                   .select(F.col("x.h1").alias("p"), F.col("pivot.h1").alias("q")))
+    star = cut(suffix_filtered(star, classes, percent), "star-pairs")
     links = cut(verified(docs, star, classes, words, percent), "star-links")
     near = components(links)
-    rows = shared.drop("pivot").join(near.withColumnRenamed("node", "h1"), "h1", "left") \
+    rows = shared.join(near.withColumnRenamed("node", "h1"), "h1", "left") \
                  .withColumn("component", F.coalesce("component", "h1"))
     rows = cut(rows, "component-postings")
     main = rows.groupBy("token", "component").agg(F.count("*").alias("k")) \
                .groupBy("token").agg(F.max(F.struct("k", "component")).alias("m"), F.count("*").alias("parts")) \
                .where("parts > 1").select("token", F.col("m.component").alias("main"))
     mixed = rows.join(main, "token")
-    record = F.struct("h1", "n", "pos", "sig", "component")
+    record = F.struct("h1", "n", "pos", "component")
     outside = mixed.where("component <> main").select("token", record.alias("x"))
     others = mixed.select("token", record.alias("y"))
     more = outside.join(others, "token").where("x.component <> y.component").where(could_link("x", "y", percent)) \
                   .select(F.col("x.h1").alias("p"), F.col("y.h1").alias("q"))
-    more = cut(ordered(more).join(star, ["a", "b"], "left_anti"), "more-pairs")
+    more = suffix_filtered(ordered(more).join(star, ["a", "b"], "left_anti"), classes, percent)
+    more = cut(more, "more-pairs")
     if not more.isEmpty():
         extra = verified(docs, more, classes, words, percent)
         near = components(links.unionByName(extra))
