@@ -14,22 +14,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.session import checkpoint_dir
+from corpusmill.session import work_path
 
 _LOW_BITS = 33
 _LOW_MASK = (1 << _LOW_BITS) - 1
 
 
-def _ranked(df: DataFrame, order_by: list[Column | str]) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    tagged = df.orderBy(*order_by).withColumn("__rid", F.monotonically_increasing_id()).persist()
-    try:
-        # persisted first, so writing the checkpoint does not sort again
-        ranked = tagged.checkpoint(eager=True)
-    finally:
-        tagged.unpersist()
-    return ranked.withColumn("__pid", F.shiftright("__rid", _LOW_BITS)) \
-                 .withColumn("__local", F.col("__rid").bitwiseAND(F.lit(_LOW_MASK)))
+def _ranked(df: DataFrame, order_by: list[Column | str], keep: list[str]) -> DataFrame:
+    """The kept columns in order, written once below the checkpoint folder."""
+    path = work_path(df.sparkSession, "ranked")
+    out = df.orderBy(*order_by).select(*keep, F.monotonically_increasing_id().alias("__rid"))
+    out.write.parquet(path)
+    return df.sparkSession.read.schema(out.schema).parquet(path) \
+             .withColumn("__pid", F.shiftright("__rid", _LOW_BITS)) \
+             .withColumn("__local", F.col("__rid").bitwiseAND(F.lit(_LOW_MASK)))
 
 
 def _offsets(ranked: DataFrame, sums: dict[str, Column]) -> DataFrame:
@@ -47,18 +45,20 @@ def with_position(df: DataFrame, order_by: list[Column | str], name: str = "pos"
     Keys should be unique (paths are); ties get distinct positions in an
     unspecified order.
     """
-    ranked = _ranked(df, order_by)
+    ranked = _ranked(df, order_by, df.columns)
     offs = _offsets(ranked, {"n": F.count(F.lit(1))})
     out = ranked.join(F.broadcast(offs), "__pid")
     return out.select(*df.columns, (F.col("__off_n") + F.col("__local") + 1).alias(name))
 
 
 def running_counts(df: DataFrame, order_by: list[Column | str], flags: dict[str, Column],
-                   name: str = "pos") -> DataFrame:
+                   name: str = "pos", keep: list[str] | None = None) -> DataFrame:
     """Position plus, for every flag, the number of rows up to and including
-    this one where the flag holds (a global running ``count_if``)."""
+    this one where the flag holds (a global running ``count_if``). Only the
+    columns in ``keep`` (default: all) are carried along."""
+    keep = df.columns if keep is None else keep
     flagged = df.select("*", *[F.when(c, 1).otherwise(0).alias(f"__f_{k}") for k, c in flags.items()])
-    ranked = _ranked(flagged, order_by)
+    ranked = _ranked(flagged, order_by, [*keep, *[f"__f_{k}" for k in flags]])
     sums = {"n": F.count(F.lit(1))}
     sums.update({k: F.sum(f"__f_{k}") for k in flags})
     offs = _offsets(ranked, sums)
@@ -67,7 +67,7 @@ def running_counts(df: DataFrame, order_by: list[Column | str], flags: dict[str,
     w = Window.partitionBy("__pid").orderBy("__local").rowsBetween(Window.unboundedPreceding, 0)
     local = ranked.select("*", *[F.sum(f"__f_{k}").over(w).alias(f"__run_{k}") for k in flags])
     out = local.join(F.broadcast(offs), "__pid")
-    return out.select(*df.columns, (F.col("__off_n") + F.col("__local") + 1).alias(name),
+    return out.select(*keep, (F.col("__off_n") + F.col("__local") + 1).alias(name),
                       *[(F.col(f"__off_{k}") + F.col(f"__run_{k}")).cast("long").alias(k) for k in flags])
 
 

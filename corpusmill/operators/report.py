@@ -45,5 +45,5 @@ def progress(results: DataFrame, order_by, every: int = PROGRESS_EVERY,
     order (WIN-03), without moving all rows into one task (see
     ``ordering.running_counts``)."""
     flags = {st: F.col(status_col) == st for st in statuses}
-    run = O.running_counts(results, order_by, flags)
+    run = O.running_counts(results, order_by, flags, keep=[])
     return run.where(F.col("pos") % every == 0).select("pos", *statuses)
