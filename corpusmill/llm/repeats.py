@@ -20,8 +20,8 @@ distance, which lets phrases stand for all positions:
    and their windows are put in order; the corpus order is needed only as far
    as ``LENGTH`` bytes, so windows are ordered by the hash of those bytes, and
    neighbours that are equal are repeated. Entries with at most
-   ``IN_TASK`` contexts are settled many to a task; a larger one is split,
-   with one row per window, counted by a shuffle with partial sums.
+   ``IN_TASK`` contexts are settled many to a task; a larger one is split and
+   counted by shuffles with partial sums, first by blocks of windows.
 
 Strings are judged on the input; copies of a text count as occurrences but
 are worked on once. Hashes have 64 bits. Broadcasts: the keys of the texts to
@@ -50,6 +50,7 @@ V = 256
 TRIGGER = 8
 SEGMENT = 1 << 22
 IN_TASK = 2000
+BLOCK = 16
 BROADCAST_ROWS = 1_000_000
 
 
@@ -201,22 +202,64 @@ def settle(found: DataFrame, length: int, tasks: int) -> DataFrame:
     small = found.where(f"members <= {IN_TASK}") \
         .groupBy(F.pmod(F.xxhash64("s"), F.lit(tasks)).alias("part")).applyInArrow(in_order, "k long, lo long, hi long")
 
+    return small.unionByName(_settle_large(found.where(f"members > {IN_TASK}"), length))
+
+
+def _settle_large(found: DataFrame, length: int) -> DataFrame:
+    """The same for entries of many contexts, without a task for an entry.
+    Windows are taken in blocks of ``BLOCK`` by their distance to the anchor.
+    Where a block's bytes from its first to its last window occur again, all
+    its windows do; where the bytes that all of them share do not, none does.
+    Only what is left, one context for each content, is counted window by
+    window."""
+    def in_blocks(batches):
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                ranges = Ranges(np.frombuffer(r["context"], np.uint8))
+                place = np.arange(r["lo"], r["hi"])
+                block = (r["t"] - place) // BLOCK
+                first = np.flatnonzero(np.append(True, np.diff(block) != 0))
+                last = np.append(first[1:], len(place)) - 1
+                shared = r["t"] - block[first] * BLOCK - r["lo"]
+                n = len(first)
+                out.append([np.full(n, r[x]) for x in ("s", "c", "k", "w")] + [
+                    block[first], place[first], place[last] + 1,
+                    ranges.hash(shared, shared - BLOCK + 1 + length).view(np.int64),
+                    ranges.hash(first, last + length).view(np.int64)])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)],
+                                                 names=["s", "c", "k", "w", "b", "lo", "hi", "core", "full"])
+
+    shape = "s long, c long, k long, w long, b long, lo long, hi long, core long, full long"
+    blocks = cut(found.mapInArrow(in_blocks, shape), "blocks")
+    alike = cut(blocks.groupBy("s", "b", "core", "full").agg(F.sum("w").alias("times"), F.min("c").alias("c")), "alike-blocks")
+    whole = blocks.where("w < 2").join(alike.where("times > 1").select("s", "b", "core", "full"),
+                                       ["s", "b", "core", "full"], "left_semi").select("k", "lo", "hi")
+    left = alike.groupBy("s", "b", "core").agg(F.sum("times").alias("n"), F.min("times").alias("least")) \
+                .where("n > 1 and least < 2").select("s", "b", "core")
+    asked = alike.join(left, ["s", "b", "core"], "left_semi").groupBy("s", "c").agg(
+        F.collect_list(F.struct("b", F.least("times", F.lit(2)).alias("w"))).alias("asked"))
+
     def single(batches):
         for batch in batches:
-            rows = batch.to_pylist()
-            if rows:
-                owner, h = _windows(rows, length)
-                begin = np.searchsorted(owner, np.arange(len(rows) + 1))
-                lo = np.array([r["lo"] for r in rows])[owner] + np.arange(len(owner)) - begin[owner]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(np.array([r["w"] for r in rows])[owner]),
-                     pa.array(np.array([r["k"] for r in rows])[owner]), pa.array(lo)], names=["h", "w", "k", "lo"])
-
-    large = found.where(f"members > {IN_TASK}").mapInArrow(single, "h long, w long, k long, lo long")
-    large = cut(large, "windows")
-    again = large.groupBy("h").agg(F.sum("w").alias("w")).where("w > 1").select("h")
-    large = large.where("w < 2").join(again, "h", "left_semi").select("k", "lo", (F.col("lo") + 1).alias("hi"))
-    return small.unionByName(large)
+            out = []
+            for r in batch.to_pylist():
+                ranges = Ranges(np.frombuffer(r["context"], np.uint8))
+                place = np.arange(r["lo"], r["hi"])
+                block = (r["t"] - place) // BLOCK
+                weight = np.zeros(len(place), np.int64)
+                for x in r["asked"]:
+                    weight[block == x["b"]] = x["w"]
+                at = np.flatnonzero(weight)
+                out.append([ranges.hash(at, at + length).view(np.int64), weight[at], np.full(len(at), r["k"]), place[at]])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["h", "w", "k", "lo"])
+
+    windows = cut(found.join(asked, ["s", "c"]).mapInArrow(single, "h long, w long, k long, lo long"), "windows")
+    again = windows.groupBy("h").agg(F.sum("w").alias("w")).where("w > 1").select("h")
+    ones = windows.where("w < 2").join(again, "h", "left_semi").select("k", "lo", (F.col("lo") + 1).alias("hi"))
+    return whole.unionByName(ones)
 
 
 def repeated(docs: DataFrame, length: int = LENGTH, v: int = V) -> tuple[DataFrame, DataFrame]:
