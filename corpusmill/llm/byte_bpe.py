@@ -20,7 +20,7 @@ from array import array
 
 from corpusmill.llm.recent import Recent
 
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 200_000
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[.,;:!?&$%*#]+|\n(?!\n)")
 
 
