@@ -8,7 +8,8 @@ most ``CENTRES`` centres (points taken by hash); a block of more than
 Every chunk, of data as of queries, is indexed by a cover tree: a node covers
 its points within its radius, its children are points of it more than half
 that radius apart which cover it within half. A subtree of at most ``LEAF``
-points is not divided further.
+points is not divided further, and one whose points do not gather (sixteen
+children with fewer than four points each) is cut into runs of ``LEAF``.
 
 Search of a query chunk against a data chunk descends both trees at once. A
 pair of nodes with centres q and d and radii r and s has no inner product
@@ -69,8 +70,9 @@ def cover_tree(x: np.ndarray, leaf: int = LEAF) -> Node:
             near = np.linalg.norm(x[free] - x[free[0]], axis=1) <= at.radius / 2
             groups.append(free[near])
             free = free[~near]
-            if len(groups) * 4 > len(at.points):  # nothing to gain from dividing further
-                groups.extend(np.array_split(free, max(1, len(free) // leaf)) if len(free) else [])
+            if len(groups) >= 16 and len(at.points) - len(free) < 4 * len(groups):
+                # the points do not gather at this scale: runs of them will do
+                groups = np.array_split(at.points, -(-len(at.points) // leaf))
                 break
         if len(groups) > 1:
             at.children = [node(g, g[0]) for g in groups if len(g)]
