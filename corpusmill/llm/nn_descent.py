@@ -9,13 +9,15 @@ list the node meet each other (neighbours of neighbours), in parts of at most
 ``PART`` members, so a node that many list is split too. Rounds go on while
 more than ``quiet`` of the entries change.
 
-Recall is audited: the links of a sample of nodes are counted against every
-node of their label. Below ``target``, lists are widened to double and further
-hyperplane groups and rounds follow. A saturated list (full of links) shows a
-dense region: its component's members are compared block by block, which is
-the list widened to the whole component, so that no link inside is missed.
-Only links of at least ``threshold`` count; the cosine is computed in double
-precision for each.
+The lists are not the result: a list holds ``width`` entries however many links
+a node has, and a link may never be met. They tell which nodes lie together.
+The members of a component of listed links are dealt into blocks of at most
+about ``BLOCK``, the others of the label are dealt by hash. Every block is then
+compared with every block of its label, except where the angle between their
+centres exceeds their radii and the threshold's angle together, so that no link
+can be between them. All links are counted; of those that connect, a spanning
+forest per block and chunk goes on to the components. Only links of at least
+``threshold`` count; the cosine is computed in double precision for each.
 
 Defined results: a vector that is null, zero, or holds a null or non-finite
 component, and one with a null label, has no link and is its own component.
@@ -36,9 +38,14 @@ from pyspark.sql import functions as F
 from corpusmill.llm.common import cut, python_ready
 from corpusmill.llm.components import components
 from corpusmill.llm.vectors import blobs, dense, matrix
+from corpusmill.session import work_path
 
 PART = 64
 BLOCK = 1024
+#: Members from which a component of listed links has blocks of its own.
+GROUP = 128
+#: Bytes of vectors that are broadcast at a time.
+CHUNK = 32 << 20
 EDGES = "a long, b long, sim double"
 
 
@@ -149,53 +156,143 @@ def descent(lists: DataFrame, nodes: DataFrame, dim: int, width: int, rounds: in
     return lists
 
 
-def pair_links(left: DataFrame, right: DataFrame, key: str, dim: int, threshold: float) -> DataFrame:
-    """Links between blocks that share ``key``: per node of the left block
-    the counted links (node, n) to the right one."""
+def _roots(linked: np.ndarray) -> np.ndarray:
+    """Smallest row that each row of a symmetric link matrix is connected to."""
+    root = np.arange(len(linked))
+    while True:
+        low = np.minimum(root, np.where(linked, root[None, :], len(root)).min(axis=1, initial=len(root)))
+        low = low[low]
+        if (low == root).all():
+            return root
+        root = low
+
+
+def _centre(x: np.ndarray) -> tuple[np.ndarray, float]:
+    """Direction of the middle of unit vectors and the largest angle to it."""
+    middle = x.sum(axis=0)
+    length = np.linalg.norm(middle)
+    middle = middle / length if length > 1e-9 else x[0]
+    return middle, float(np.arccos(np.clip(x @ middle, -1, 1)).max())
+
+
+def packed_blocks(nodes: DataFrame, near: DataFrame, dim: int, threshold: float, parts: int) -> DataFrame:
+    """One row per block: id, label, n, its nodes, units and copies, the node
+    that each is connected to inside the block, centre and radius."""
+    label = nodes.schema["label"].dataType.simpleString()
+    large = near.groupBy("component").agg(F.count("*").alias("size")).where(F.col("size") >= GROUP).select("component")
+    grouped = nodes.join(near.join(large, "component", "left_semi"), "node", "left")
+    blocks = grouped.groupBy("label", "component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    same = (F.col("g.label") == F.col("s.label")) & F.col("g.component").eqNullSafe(F.col("s.component"))
+    dealt = grouped.alias("g").join(blocks.alias("s"), same).select("g.*", F.pmod(F.xxhash64("g.node"), F.col("blocks")).alias("block"))
+    gathered = dealt.groupBy("label", "component", "block").agg(F.collect_list(F.struct("node", "unit", "copies")).alias("members"))
+
     def run(batches):
         for batch in batches:
-            for mine, theirs in zip(*(c.to_pylist() for c in batch.columns)):
-                x, y = (matrix([m["unit"] for m in side], dim, "<f8") for side in (mine, theirs))
-                ids, others = (np.array([m["node"] for m in side]) for side in (mine, theirs))
-                weight = np.array([m["copies"] for m in theirs])
-                linked = (x @ y.T >= threshold) & (ids[:, None] != others[None, :])
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array((linked @ weight).astype(np.int64))],
-                                                 names=["node", "n"])
-
-    return left.join(right, key).select("mine", "theirs").mapInArrow(run, "node long, n long")
-
-
-def recall(nodes: DataFrame, lists: DataFrame, dim: int, threshold: float, sample: int) -> float:
-    """Share of a sample's links that the lists hold (one way or the other).
-    The sample is broadcast."""
-    picked = nodes.orderBy(F.xxhash64("node")).limit(sample).select("node", "label", "unit").collect()
-    if not picked:
-        return 1.0
-    shared = nodes.sparkSession.sparkContext.broadcast(
-        (np.array([r.node for r in picked]), np.array([hash(r.label) for r in picked]),
-         matrix([bytes(r.unit) for r in picked], dim, "<f8")))
+            for i in range(batch.num_rows):
+                members = batch.column(1)[i].as_py()
+                x = matrix([m["unit"] for m in members], dim, "<f8")
+                ids = np.array([m["node"] for m in members], "<i8")
+                copies = np.array([m["copies"] for m in members], "<i8")
+                middle, radius = _centre(x)
+                root = ids[_roots(x @ x.T >= threshold)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, 1), pa.array([len(ids)]),
+                     *(pa.array([v.tobytes()], pa.binary()) for v in (ids, x, copies, root, middle)), pa.array([radius])],
+                    names=["label", "n", "ids", "x", "copies", "root", "centre", "radius"])
+
+    made = gathered.select("label", "members").mapInArrow(
+        run, f"label {label}, n long, ids binary, x binary, copies binary, root binary, centre binary, radius double")
+    return cut(made.repartition(parts).withColumn("id", F.monotonically_increasing_id()), "blocks")
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Those of the pairs that connect what the pairs before them did not."""
+    up: dict[int, int] = {}
+
+    def top(v):
+        while up.setdefault(v, v) != v:
+            up[v] = up[up[v]]
+            v = up[v]
+        return v
+
+    kept = []
+    for p, q in zip(a.tolist(), b.tolist()):
+        s, t = top(p), top(q)
+        if s != t:
+            up[max(s, t)] = min(s, t)
+            kept.append((p, q))
+    return kept
+
+
+def chunk_links(blocks: DataFrame, chunk: list, dim: int, threshold: float) -> DataFrame:
+    """Links of every block to the blocks of a broadcast chunk: (node, n, null)
+    counts a node's, (node, null, other) connects two."""
+    theirs = {}
+    for r in chunk:
+        theirs.setdefault(r.label, []).append((
+            np.frombuffer(r.ids, "<i8"), np.frombuffer(r.x, "<f8").reshape(-1, dim), np.frombuffer(r.copies, "<i8"),
+            np.frombuffer(r.root, "<i8"), np.frombuffer(r.centre, "<f8"), r.radius))
+    shared = blocks.sparkSession.sparkContext.broadcast(theirs)
+    angle = math.acos(max(-1.0, min(1.0, threshold))) + 1e-6
 
     def run(batches):
-        ids, labels, x = shared.value
+        of_label = shared.value
         for batch in batches:
-            y = matrix(batch.column(2), dim, "<f8")
-            other = np.array(batch.column(0).to_pylist())
-            same = labels[:, None] == np.array([hash(v) for v in batch.column(1).to_pylist()])[None, :]
-            i, j = np.nonzero((x @ y.T >= threshold) & same & (ids[:, None] != other[None, :]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(other[j])], names=["a", "b"])
-
-    true = cut(nodes.select("node", "label", "unit").mapInArrow(run, "a long, b long"), "audit")
-    edges = unfolded(lists).select("a", "b")
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    # a full list cannot hold more; what it lacks is found in its dense component
-    full = lists.where(F.element_at("list", -1)["sim"] >= threshold).select("a")
-    wanted = true.join(full, "a", "left_anti")
-    n = wanted.count()
-    return 1.0 if not n else wanted.join(both, ["a", "b"], "left_semi").count() / n
+            for i in range(batch.num_rows):
+                label, raw = batch.column(0)[i].as_py(), [batch.column(k)[i].as_py() for k in range(1, 7)]
+                others = of_label.get(label, [])
+                if not others:
+                    continue
+                ids, root, weights = (np.frombuffer(raw[k], "<i8") for k in (0, 2, 3))
+                x, centre, radius = np.frombuffer(raw[1], "<f8").reshape(-1, dim), np.frombuffer(raw[4], "<f8"), raw[5]
+                apart = np.arccos(np.clip(np.array([o[4] for o in others]) @ centre, -1, 1))
+                n = np.zeros(len(ids), np.int64)
+                ends = [np.stack([ids, root])[:, ids != root]]
+                for k in np.flatnonzero(apart <= angle + radius + np.array([o[5] for o in others])):
+                    theirs, y, copies, top = others[k][:4]
+                    linked = x @ y.T >= threshold
+                    if theirs[0] == ids[0]:  # the block itself
+                        np.fill_diagonal(linked, False)
+                        n += linked @ copies
+                        continue
+                    if not linked.any():
+                        continue
+                    n += linked @ copies
+                    p, q = np.nonzero(linked)
+                    ends.append(np.unique(np.stack([root[p], top[q]]), axis=1))
+                some = n > 0
+                pairs = np.concatenate(ends, axis=1)
+                pairs = np.array(_forest(pairs[0], pairs[1]), np.int64).reshape(-1, 2)
+                count, joined = int(some.sum()), len(pairs)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([ids[some], pairs[:, 0]])),
+                     pa.array([*n[some].tolist(), *[None] * joined], pa.int64()),
+                     pa.array([*[None] * count, *pairs[:, 1].tolist()], pa.int64())], names=["node", "n", "other"])
+
+    return blocks.select("label", "ids", "x", "root", "copies", "centre", "radius") \
+        .mapInArrow(run, "node long, n long, other long")
+
+
+def all_links(blocks: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """``chunk_links`` of all chunks, written one after the other. The driver
+    holds one chunk (``CHUNK`` bytes of vectors) and a number per block."""
+    spark = blocks.sparkSession
+    path = work_path(spark, "block-links")
+    spark.createDataFrame([], "node long, n long, other long").write.parquet(path)
+    waiting: list = []
+    known = blocks.select("id", "label", "n").orderBy("label", "id").collect()
+    for k, r in enumerate(known):
+        waiting.append(r)
+        if k + 1 == len(known) or (sum(w.n for w in waiting) + known[k + 1].n) * dim * 8 > CHUNK:
+            chunk = blocks.where(F.col("id").isin([w.id for w in waiting])).collect()
+            mine = blocks.where(F.col("label").isin(list({w.label for w in waiting})))
+            chunk_links(mine, chunk, dim, threshold).write.mode("append").parquet(path)
+            waiting = []
+    return spark.read.schema("node long, n long, other long").parquet(path)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, width: int = 10, tables: int = 6, rounds: int = 4,
-                    quiet: float = 0.01, target: float = 0.98, sample: int = 500, seed: int = 11) -> DataFrame:
+                    quiet: float = 0.01, seed: int = 11) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row."""
     spark = vectors.sparkSession
     python_ready(spark)
@@ -206,36 +303,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, width: int = 10
     sizes = {r.label: r.n for r in nodes.groupBy("label").agg(F.count("*").alias("n")).collect()}
     edges = hyperplanes(nodes, dim, sizes, tables, seed, width)
     lists = descent(cut(kept_lists(edges, width), "lists"), nodes, dim, width, rounds, quiet, seed)
-    for again in range(3):
-        if recall(nodes, lists, dim, threshold, sample) >= target:
-            break
-        width, seed = 2 * width, seed + 101
-        more = unfolded(lists).unionByName(hyperplanes(nodes, dim, sizes, tables * 2 ** again, seed, width))
-        lists = descent(cut(kept_lists(more, width), "lists"), nodes, dim, width, rounds, quiet, seed)
-
-    edges = unfolded(lists).where(F.col("sim") >= threshold)
-    links = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    near = cut(components(links), "node-components")
-    copies = nodes.select("node", "copies")
-    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    listed = ends.join(copies.select(F.col("node").alias("b"), "copies"), "b") \
-                 .groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("n"))
-
-    # components with a saturated list: all their members meet, block by block
-    full = lists.where((F.size("list") >= width) & (F.element_at("list", -1)["sim"] >= threshold))
-    dense_parts = near.join(full.select(F.col("a").alias("node")), "node").select("component").distinct()
-    members = near.join(dense_parts, "component").join(nodes.select("node", "unit", "copies"), "node")
-    blocks = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    members = members.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    packed = cut(members.groupBy("component", "block").agg(
-        F.collect_list(F.struct("node", "unit", "copies")).alias("mine")), "blocks")
-    counted = pair_links(packed.select("component", "mine"),
-                         packed.select("component", F.col("mine").alias("theirs")), "component", dim, threshold) \
-        .groupBy("node").agg(F.sum("n").alias("n_exact"))
-    of_node = nodes.select("node", "label", "unit", "copies").join(near, "node", "left") \
-        .join(listed, "node", "left").join(counted, "node", "left") \
+    listed = unfolded(lists).where(F.col("sim") >= threshold).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    parts = max(1, sum(sizes.values()) // (2 * BLOCK))
+    blocks = packed_blocks(nodes, components(listed), dim, threshold, parts)
+    links = all_links(blocks, dim, threshold)
+    near = components(links.where("other is not null"), "node", "other")
+    counted = links.where("n is not null").groupBy("node").agg(F.sum("n").alias("n"))
+    of_node = nodes.select("node", "label", "unit", "copies").join(near, "node", "left").join(counted, "node", "left") \
         .select("label", "unit", "copies", F.coalesce("component", "node").alias("component_id"),
-                (F.coalesce("n_exact", "n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+                (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     found = rows.join(of_node, ["label", "unit"]).groupBy("vec_id").agg(
         F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))

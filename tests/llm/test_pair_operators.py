@@ -1,6 +1,7 @@
 """Joins, repeats, searches and the pipeline against brute force."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -220,6 +221,38 @@ def test_near_duplicate_vectors_against_all_pairs(spark):
     assert nn_descent.near_duplicates(_vectors(spark, [])).count() == 0
 
 
+def _exact_links(spark, rows, **how):
+    """Result rows and what all pairs give, for usable rows of distinct ids."""
+    got = {r.vec_id: r for r in nn_descent.near_duplicates(_vectors(spark, rows), 0.93, **how).collect()}
+    x = np.array([v for _, v, _ in rows], np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    label = np.array([c for _, _, c in rows])
+    linked = (x @ x.T >= 0.93) & (label[:, None] == label[None, :])
+    np.fill_diagonal(linked, False)
+    ids = [i for i, _, _ in rows]
+    want = _merge(ids, [(ids[a], ids[b]) for a, b in np.argwhere(linked).tolist()])
+    return got, {i: (int(n), want[i]) for i, n in zip(ids, linked.sum(axis=1))}
+
+
+def _around(rng, centre, n, spread=0.1):
+    noise = rng.normal(size=(n, len(centre)))
+    noise /= np.linalg.norm(noise, axis=1)[:, None]
+    return centre + spread * noise
+
+
+def test_links_between_two_dense_groups(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "BLOCK", 16)
+    monkeypatch.setattr(nn_descent, "GROUP", 8)
+    rng = np.random.default_rng(5)
+    a, b = np.eye(64)[0], np.eye(64)[0] * 0.955 + np.eye(64)[1] * math.sqrt(1 - 0.955 ** 2)
+    far = np.eye(64)[2]
+    x = np.concatenate([_around(rng, a, 40), _around(rng, b, 40), _around(rng, far, 40)])
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] + [(200, x[0].tolist(), 1)]
+    got, want = _exact_links(spark, rows)
+    assert {i: (r.n_links, r.component_id) for i, r in got.items()} == want
+    assert {want[i][1] for i in range(80)} == {0} and want[0][0] > 70 and want[200] == (0, 200)
+
+
 def test_pipeline_stages_keep_the_columns_and_empty_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES][:2] == ["language", "quality"]
