@@ -253,6 +253,17 @@ def test_links_between_two_dense_groups(spark, monkeypatch):
     assert {want[i][1] for i in range(80)} == {0} and want[0][0] > 70 and want[200] == (0, 200)
 
 
+def test_links_that_the_lists_miss_are_found(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1500, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    for k in range(0, 300, 2):
+        x[k + 1] = _around(rng, x[k], 1, 0.385)[0]
+    got, want = _exact_links(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)], tables=1, rounds=1)
+    assert {i: (r.n_links, r.component_id) for i, r in got.items()} == want
+    assert 100 < sum(n for n, _ in want.values())
+
+
 def test_pipeline_stages_keep_the_columns_and_empty_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES][:2] == ["language", "quality"]
