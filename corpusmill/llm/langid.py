@@ -3,7 +3,7 @@
 Training counts byte n-grams of lower-cased text (runs of non-letters become
 one space) per language, over at most ``train_docs`` texts of each language
 (a documented bound: texts are taken by a hash of their content, so the
-sample is the same wherever it is drawn). An n-gram belongs to a language
+sample is the same wherever it is drawn, and copies count once). An n-gram belongs to a language
 when its share of that language's n-grams is at least ``min_share``; a
 language therefore has at most ``len(SIZES) / min_share`` n-grams, which
 bounds what the driver collects and what is broadcast.
@@ -126,11 +126,12 @@ def classify(model: Model | None, texts: list[str | None]) -> tuple[list[str], l
 
 def train(docs: DataFrame, train_docs: int = 3000, min_share: float = 2e-5) -> Model | None:
     """Fit on rows with non-null ``text`` and ``lang`` (the caller selects
-    them). One aggregate over languages, then one pass over the sample."""
+    them). One aggregate over distinct texts, then one pass over the sample."""
     spark = docs.sparkSession
     python_ready(spark)
     rows = docs.where("text is not null and lang is not null").select("lang", "text")
-    per_lang = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    texts = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
+    per_lang = {r.lang: r.n for r in texts.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not per_lang:
         return None
     spread = 1 << 20

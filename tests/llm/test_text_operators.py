@@ -156,6 +156,15 @@ def test_language_edge_cases(spark, docs, empty):
     assert langid.identify(empty).count() == 0
 
 
+def test_copies_do_not_shrink_the_language_sample(spark):
+    rng = random.Random(4)
+    rows = [(" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(20)), "xx") for _ in range(300)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    copies = spark.range(5000).select(F.lit(rows[0][0]).alias("text"), F.lit("xx").alias("lang"))
+    plain, skewed = (langid.train(d, train_docs=200) for d in (docs, docs.unionByName(copies)))
+    assert plain.masks.any() and np.array_equal(plain.masks, skewed.masks)
+
+
 def _brute_weights(rows, good, buckets):
     """Counts and log ratios with plain dictionaries over the same features."""
     raw, target, per = {}, {}, {}
