@@ -20,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ANCHORS = ("licen[cs]e", "rights reserved", "permission", "warranty", "redistribut", "copyright", "public domain")
+#: Single words only: no white space or mark that normalising takes out can part them.
+ANCHORS = ("licen[cs]e", "reserved", "permission", "warranty", "redistribut", "copyright", "domain")
 
 #: normalised sentence -> identifier
 SENTENCES = {

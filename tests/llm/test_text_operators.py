@@ -250,6 +250,16 @@ def test_license_rules(spark, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def _scanned(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    return [(r.sentence_ids, r.licenses, r.status) for r in licenses.scan(docs).orderBy("doc_id").collect()]
+
+
+def test_license_anchors_ignore_white_space_and_marks(spark):
+    texts = ["All rights\nreserved.", "All  rights  reserved", "This work is in the public\ndomain.", "This work is in the public-domain."]
+    assert [g[:2] for g in _scanned(spark, texts)] == [("AllRights", "Proprietary")] * 2 + [("PublicDomain", "Public-Domain")] * 2
+
+
 def test_license_sentences_hold_an_anchor_and_are_normal():
     import re
     for sentence in licenses.SENTENCES:
