@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Single words only: no white space or mark that normalising takes out can part them.
-ANCHORS = ("licen[cs]e", "reserved", "permission", "warranty", "redistribut", "copyright", "domain")
+ANCHORS = ("licen[cs]e", "reserved", "permission", "warranty", "redistribut", "copyright", "domain",
+           "provided", "neither")
 
 #: normalised sentence -> identifier
 SENTENCES = {
@@ -57,8 +58,46 @@ SENTENCES = {
     "all rights reserved": "AllRights",
 }
 
+#: Sentences of whole licence texts: (the words that have to be there, the rest, identifier). A line that does not go
+#: on in lower case, as of upper-case or commented text, cuts a sentence at any word of the rest.
+WHOLE = [
+    ("permission is hereby granted free of charge",
+     "to any person obtaining a copy of this software and associated documentation files the software to deal in the"
+     " software without restriction including without limitation the rights to use copy modify merge publish distribute"
+     " sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so"
+     " subject to the following conditions", "MitGrant"),
+    ("the above copyright notice and this permission notice shall",
+     "be included in all copies or substantial portions of the software", "MitNotice"),
+    ("the software is provided as is",
+     "without warranty of any kind express or implied including but not limited to the warranties of merchantability"
+     " fitness for a particular purpose and noninfringement", "NoWarranty"),
+    ("redistribution and use in source and binary forms",
+     "with or without modification are permitted provided that the following conditions are met", "BsdGrant"),
+    ("neither the name of the copyright holder nor",
+     "the names of its contributors may be used to endorse or promote products derived from this software without"
+     " specific prior written permission", "BsdNames"),
+    ("this software is provided by the copyright holders and",
+     "contributors as is and any express or implied warranties including but not limited to the implied warranties of"
+     " merchantability and fitness for a particular purpose are disclaimed", "BsdAsIs"),
+    ("permission to use copy modify and or distribute this software",
+     "for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission"
+     " notice appear in all copies", "IscGrant"),
+    ("the software is provided as is and the author",
+     "disclaims all warranties with regard to this software including all implied warranties of merchantability and"
+     " fitness", "IscAsIs"),
+]
+for _head, _rest, _id in WHOLE:
+    _words = _rest.split()
+    SENTENCES.update({" ".join([_head, *_words[:k]]): _id for k in range(len(_words) + 1)})
+
 #: licence -> identifiers in order; the first rule that fits takes them
 RULES = [
+    ("BSD-3-Clause", "AllRights BsdGrant BsdNames BsdAsIs"),
+    ("BSD-3-Clause", "BsdGrant BsdNames BsdAsIs"),
+    ("BSD-2-Clause", "AllRights BsdGrant BsdAsIs"),
+    ("BSD-2-Clause", "BsdGrant BsdAsIs"),
+    ("ISC", "IscGrant IscAsIs"),
+    ("ISC", "IscGrant NoWarranty"),
     ("MIT", "MitGrant MitNotice NoWarranty"),
     ("MIT", "MitGrant MitNotice"),
     ("MIT", "MitRef"),

@@ -260,6 +260,62 @@ def test_license_anchors_ignore_white_space_and_marks(spark):
     assert [g[:2] for g in _scanned(spark, texts)] == [("AllRights", "Proprietary")] * 2 + [("PublicDomain", "Public-Domain")] * 2
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.
+"""
+BSD_HEAD = """Copyright (c) 2020, Jane Doe
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice.
+2. Redistributions in binary form must reproduce the above copyright notice.
+"""
+BSD_NAMES = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+BSD_AS_IS = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER BE LIABLE.
+"""
+ISC_TEXT = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE.
+"""
+
+
+def test_whole_license_texts_wrapped_unwrapped_and_commented(spark):
+    whole = {"MIT": MIT_TEXT, "BSD-2-Clause": BSD_HEAD + BSD_AS_IS, "BSD-3-Clause": BSD_HEAD + BSD_NAMES + BSD_AS_IS, "ISC": ISC_TEXT}
+    forms = [lambda t: t, lambda t: "\n\n".join(" ".join(p.split()) for p in t.split("\n\n")),
+             lambda t: "\n".join(" * " + line for line in t.split("\n"))]
+    got = _scanned(spark, [form(t) for form in forms for t in whole.values()])
+    assert [g[1:] for g in got] == [(name, "known") for _ in forms for name in whole]
+
+
 def test_license_sentences_hold_an_anchor_and_are_normal():
     import re
     for sentence in licenses.SENTENCES:
