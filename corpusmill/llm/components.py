@@ -1,9 +1,11 @@
 """Connected components of a link table, as DataFrame joins.
 
-Each round maps a node to the smallest of itself and its neighbours and
-rewrites the links through that map; of any linked nodes at least half are
-replaced, so the number of rounds grows with the logarithm of the largest
-component and the links shrink with each. Every round's map is written to the
+Each round orders the nodes anew by a hash salted with the round's number, maps
+a node to the first of itself and its neighbours and rewrites the links through
+that map. No numbering of the nodes can make long runs of ever smaller
+neighbours, so a constant share of the linked nodes is expected to go each round,
+the rounds to grow with the logarithm of the largest component, and the links to
+shrink with each. At the end a component takes its smallest node's name. Every round's map is written to the
 checkpoint folder. A node with very many links is one key of a partially
 aggregated minimum and of a join that Spark splits where it is skewed.
 """
@@ -24,7 +26,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     maps: list[DataFrame] = []
     while not rest.isEmpty():
         both = rest.unionAll(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        step = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("to"))
+        salt = F.lit(len(maps))
+        own = F.struct(F.xxhash64("node", salt).alias("h"), F.col("node").alias("v"))
+        first = F.min(F.struct(F.xxhash64("b", salt).alias("h"), F.col("b").alias("v")))
+        step = both.groupBy(F.col("a").alias("node")).agg(first.alias("first")) \
+                   .select("node", F.least(own, F.col("first"))["v"].alias("to"))
         maps.append(cut(step, "component-map"))
         step = maps[-1]
         rest = cut(
@@ -38,4 +44,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     for step in maps[1:]:
         out = out.join(step.select(F.col("node").alias("component"), "to"), "component", "left") \
                  .select("node", F.coalesce("to", "component").alias("component"))
-    return out
+    out = cut(out, "component-ends")
+    names = out.groupBy("component").agg(F.min("node").alias("name"))
+    return out.join(names, "component").select("node", F.col("name").alias("component"))

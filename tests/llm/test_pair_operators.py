@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpusmill.llm import cover_tree, jaccard, nn_descent, repeats
+from corpusmill.llm.common import cut
 from corpusmill.llm.components import components
 from corpusmill.llm.shingles import shingle_sets
 
@@ -50,6 +52,16 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_component_rounds_of_a_rising_chain(spark, monkeypatch):
+    rounds = []
+    module = sys.modules[components.__module__]
+    monkeypatch.setattr(module, "cut", lambda df, name: rounds.append(name) or cut(df, name))
+    chain = spark.range(1, 65).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    got = components(chain).collect()
+    assert len(got) == 65 and {r.component for r in got} == {1}
+    assert rounds.count("component-map") <= 12
+
+
 def _near_rows(rng):
     rows, i = [(0, None), (1, ""), (2, " \t\n "), (3, "One two"), (4, "one TWO"), (5, "one two three"), (6, "x")], 10
     for n in (4, 12, 20, 60, 200, 200, 900):
