@@ -12,6 +12,7 @@ from corpusmill.llm import (
     licenses,
     nn_descent,
     packing,
+    periodic_runs,
     piece_bpe,
     repeats,
     token_counts,
@@ -75,7 +76,14 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents"), length=400, digest=True)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document and what is left without them."""
+    docs = periodic_runs.with_periodic_tails(table(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.find_runs(docs))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_filters, op2_ngram_jaccard, op3_piece_bpe, op4_bin_slack_packing, op5_token_counts,
-    op6_dual_tree_top_k, op7_nn_descent, op8_license_sentences, op9_importance_resampling, op10_repeated_strings)}
+    op6_dual_tree_top_k, op7_nn_descent, op8_license_sentences, op9_importance_resampling, op10_repeated_strings,
+    op11_periodic_runs)}
 ORACLE: dict[str, str] = {"op8_license_sentences": licenses.scan_sql()}
