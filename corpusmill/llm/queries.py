@@ -10,6 +10,7 @@ from corpusmill.llm import (
     jaccard,
     langid,
     licenses,
+    lm_scoring,
     merkle,
     nn_descent,
     packing,
@@ -83,6 +84,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(periodic_runs.find_runs(docs))
 
 
+def op12_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and recurrent language-model score of every document."""
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_butterfly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle manifest of all documents by source, and whether each row as
     offered folds to its root."""
@@ -92,5 +98,5 @@ def op13_merkle_butterfly(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_language_filters, op2_ngram_jaccard, op3_piece_bpe, op4_bin_slack_packing, op5_token_counts,
     op6_dual_tree_top_k, op7_nn_descent, op8_license_sentences, op9_importance_resampling, op10_repeated_strings,
-    op11_periodic_runs, op13_merkle_butterfly)}
+    op11_periodic_runs, op12_recurrent_scores, op13_merkle_butterfly)}
 ORACLE: dict[str, str] = {"op8_license_sentences": licenses.scan_sql()}
