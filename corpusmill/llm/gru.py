@@ -20,7 +20,7 @@ import numpy as np
 
 HIDDEN = 16
 SLOTS = 64
-CLASSES = 32
+CLASSES = 24
 _NONE = np.float32(-1e4)  # bias of a slot without a word
 Params = dict[str, np.ndarray]
 
@@ -74,98 +74,141 @@ def lanes(texts: list[np.ndarray], widest: int) -> tuple[np.ndarray, np.ndarray,
     return np.ascontiguousarray(ids.T), np.ascontiguousarray(ins.T), np.ascontiguousarray(owner.T)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.tanh(x * np.float32(0.5)) * np.float32(0.5) + np.float32(0.5)
-
-
 def states(p: Params, ins: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
-    """Hidden states after each step. A start (-1) sets the state to zero."""
-    x = p["x"][ins]
-    out = np.empty((*ins.shape, HIDDEN), np.float32)
+    """Hidden states (steps x HIDDEN x lanes) after each step, from ``h``
+    (HIDDEN x lanes). A start (-1) sets the state to zero."""
+    n = HIDDEN
+    x = np.ascontiguousarray(p["x"][ins].transpose(0, 2, 1))
+    w, bias = np.ascontiguousarray(p["h"].T), p["hn"][:, None]
+    goes_on = (ins >= 0).astype(x.dtype)
+    starts = (ins < 0).any(axis=1).tolist()
+    out = np.empty((len(ins), n, ins.shape[1]), x.dtype)
     for t in range(len(ins)):
-        h = h * (ins[t] >= 0)[:, None]
-        a = h @ p["h"]
-        gates = _sigmoid(x[t, :, :2 * HIDDEN] + a[:, :2 * HIDDEN])
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        an = a[:, 2 * HIDDEN:] + p["hn"]
-        c = np.tanh(x[t, :, 2 * HIDDEN:] + r * an)
-        out[t] = c + z * (h - c)
+        if starts[t]:
+            h = h * goes_on[t]
+        a = w @ h
+        gates = x[t, :2 * n] + a[:2 * n]  # the sigmoid of u is (1 + tanh(u / 2)) / 2
+        gates *= 0.5
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
+        z, r = gates[:n], gates[n:]
+        an = a[2 * n:]
+        an += bias
+        c = r * an
+        c += x[t, 2 * n:]
+        np.tanh(c, out=c)
+        to = out[t]
+        np.subtract(h, c, out=to)
+        to *= z
+        to += c
         if keep is not None:
             keep.append((h, z, r, an, c))
-        h = out[t]
+        h = to
     return out
 
 
-def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(probabilities, log of their sum's denominator)."""
-    top = logits.max(axis=1, keepdims=True)
-    e = np.exp(logits - top)
-    s = e.sum(axis=1, keepdims=True)
-    return e / s, (np.log(s) + top)[:, 0]
+def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(exponentials, their sums, logs of the denominators), by columns."""
+    top = logits.max(axis=0)
+    e = logits - top
+    np.exp(e, out=e)
+    s = e.sum(axis=0)
+    return e, s, np.log(s) + top
 
 
 def output(p: Params, hidden: np.ndarray, ids: np.ndarray, grad: Params | None = None):
     """(natural log probability of every id, gradient of the mean loss by the
-    hidden states). ``grad`` receives the output layer's."""
-    n, rows = len(ids), np.arange(len(ids))
+    hidden states), for states in columns. ``grad`` receives the output
+    layer's."""
+    n, at = len(ids), np.arange(len(ids))
     other = len(p["x"]) - 2
-    cls = np.where(ids == other, CLASSES, ids // SLOTS)
-    logits = hidden @ p["class_w"] + p["class_b"]
-    prob, norm = _softmax(logits)
-    out = (logits[rows, cls] - norm).astype(np.float64)
+    cls = np.where(ids == other, CLASSES, ids // SLOTS).astype(np.int16)
+    order = np.argsort(cls, kind="stable")
+    hidden, ids, cls = np.take(hidden, order, axis=1), ids[order], cls[order]
+    logits = p["class_w"].T @ hidden
+    logits += p["class_b"][:, None]
+    prob, total, norm = _softmax(logits)
+    out = (logits[cls, at] - norm).astype(np.float64)
     if grad is not None:
-        prob[rows, cls] -= 1
-        prob /= n
-        grad["class_w"], grad["class_b"] = hidden.T @ prob, prob.sum(axis=0)
-        d = prob @ p["class_w"].T
+        total *= n
+        prob /= total
+        prob[cls, at] -= logits.dtype.type(1 / n)
+        grad["class_w"], grad["class_b"] = hidden @ prob.T, prob.sum(axis=1)
+        d = p["class_w"] @ prob
         grad["word_w"], grad["word_b"] = np.zeros_like(p["word_w"]), np.zeros_like(p["word_b"])
-    order = np.argsort(cls, kind="stable")
-    bounds = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        at = order[bounds[c]:bounds[c + 1]]
-        if not len(at):
+    bounds = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+    for c, (i, j) in enumerate(zip(bounds[:-1], bounds[1:])):
+        if i == j:
             continue
-        h, slot, k = hidden[at], ids[at] - c * SLOTS, np.arange(len(at))
-        logits = h @ p["word_w"][c] + p["word_b"][c]
-        prob, norm = _softmax(logits)
-        out[at] += logits[k, slot] - norm
+        h, slot, k = hidden[:, i:j], ids[i:j] - c * SLOTS, at[:j - i]
+        logits = p["word_w"][c].T @ h
+        logits += p["word_b"][c][:, None]
+        prob, total, norm = _softmax(logits)
+        out[i:j] += logits[slot, k] - norm
         if grad is not None:
-            prob[k, slot] -= 1
-            prob /= n
-            grad["word_w"][c], grad["word_b"][c] = h.T @ prob, prob.sum(axis=0)
-            d[at] += prob @ p["word_w"][c].T
-    return out, d if grad is not None else None
+            total *= n
+            prob /= total
+            prob[slot, k] -= logits.dtype.type(1 / n)
+            np.matmul(h, prob.T, out=grad["word_w"][c])
+            prob.sum(axis=1, out=grad["word_b"][c])
+            d[:, i:j] += p["word_w"][c] @ prob
+    back = np.empty_like(out)
+    back[order] = out
+    if grad is None:
+        return back, None
+    dh = np.empty_like(d)
+    dh[:, order] = d
+    return back, dh
+
+
+def columns(hidden: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """The states (steps x HIDDEN x lanes) of the steps in ``mask``, as columns."""
+    flat = hidden.transpose(1, 0, 2).reshape(HIDDEN, -1)
+    return flat if mask.all() else np.compress(mask.ravel(), flat, axis=1)
 
 
 def gradient(p: Params, ins: np.ndarray, ids: np.ndarray, mask: np.ndarray, h: np.ndarray):
-    """(gradients of the window's mean loss, state after the window). ``x`` is
-    given for the ids of the window only: (ids, rows)."""
+    """(gradients of the window's mean loss, those of ``x`` for the ids of the
+    window only as (ids, rows), state after the window)."""
     keep: list = []
-    hidden = states(p, ins, h, keep)
+    n, hidden = HIDDEN, states(p, ins, h, keep)
     grad: Params = {}
-    dh_out = np.zeros_like(hidden)
-    _, dh_out[mask] = output(p, hidden[mask], ids[mask], grad)
-    dx = np.empty((*ins.shape, 3 * HIDDEN), np.float32)
-    back = np.zeros_like(h)
-    w_t = np.ascontiguousarray(p["h"].T)
-    da_all = np.empty_like(dx)
+    _, d = output(p, columns(hidden, mask), ids[mask], grad)
+    from_output = np.zeros((n, mask.size), hidden.dtype)
+    from_output[:, mask.ravel()] = d
+    from_output = np.ascontiguousarray(from_output.reshape(n, *mask.shape).transpose(1, 0, 2))
+    dx = np.empty((len(ins), 3 * n, ins.shape[1]), hidden.dtype)
+    da = np.empty_like(dx)
+    goes_on, back = (ins >= 0).astype(hidden.dtype), np.zeros_like(h)
     for t in range(len(ins) - 1, -1, -1):
         before, z, r, an, c = keep[t]
-        d = dh_out[t] + back
-        dc = d * (1 - z) * (1 - c * c)
-        dz = d * (before - c) * z * (1 - z)
-        dr = dc * an * r * (1 - r)
-        dx[t, :, :HIDDEN], dx[t, :, HIDDEN:2 * HIDDEN], dx[t, :, 2 * HIDDEN:] = dz, dr, dc
-        da = da_all[t]
-        da[:, :HIDDEN], da[:, HIDDEN:2 * HIDDEN], da[:, 2 * HIDDEN:] = dz, dr, dc * r
-        back = (da @ w_t + d * z) * (ins[t] >= 0)[:, None]
-    flat = da_all.reshape(-1, 3 * HIDDEN)
-    grad["h"] = np.concatenate([k[0] for k in keep]).T @ flat
-    grad["hn"] = flat[:, 2 * HIDDEN:].sum(axis=0)
-    which = ins.ravel() % len(p["x"])
+        d = from_output[t]
+        d += back
+        dz, dr, dc = dx[t, :n], dx[t, n:2 * n], dx[t, 2 * n:]
+        np.subtract(before, c, out=dz)
+        dz *= d
+        one = 1 - z
+        np.multiply(d, one, out=dc)
+        one *= z
+        dz *= one
+        dc *= 1 - c * c
+        np.multiply(dc, an, out=dr)
+        dr *= r
+        dr *= 1 - r
+        da[t, :2 * n] = dx[t, :2 * n]
+        np.multiply(dc, r, out=da[t, 2 * n:])
+        d *= z
+        back = p["h"] @ da[t]
+        back += d
+        back *= goes_on[t]
+    flat = da.transpose(1, 0, 2).reshape(3 * n, -1)
+    grad["h"] = np.stack([k[0] for k in keep], axis=1).reshape(n, -1) @ flat.T
+    grad["hn"] = flat[2 * n:].sum(axis=1)
+    which = (ins.ravel() % len(p["x"])).astype(np.int16)  # CLASSES * SLOTS and a few
     order = np.argsort(which, kind="stable")
     first = np.flatnonzero(np.append(True, which[order][1:] != which[order][:-1]))
-    rows = np.add.reduceat(dx.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+    rows = np.add.reduceat(dx.transpose(0, 2, 1).reshape(-1, 3 * n)[order], first, axis=0)
     return grad, (which[order][first], rows), hidden[-1]
 
 
@@ -184,7 +227,7 @@ def train(p: Params, second: Params, texts: list[np.ndarray], rate: float, windo
     if not texts:
         return 0
     ids, ins, owner = lanes(texts, widest)
-    h = np.zeros((ids.shape[1], HIDDEN), np.float32)
+    h = np.zeros((HIDDEN, ids.shape[1]), np.float32)
     for t in range(0, len(ids), window):
         mask = owner[t:t + window] >= 0
         grad, rows, h = gradient(p, ins[t:t + window], ids[t:t + window], mask, h)
@@ -198,10 +241,10 @@ def score(p: Params, texts: list[np.ndarray], window: int, widest: int) -> np.nd
     if not texts:
         return out
     ids, ins, owner = lanes(texts, widest)
-    h = np.zeros((ids.shape[1], HIDDEN), np.float32)
+    h = np.zeros((HIDDEN, ids.shape[1]), np.float32)
     for t in range(0, len(ids), window):
         hidden = states(p, ins[t:t + window], h)
         h, mask = hidden[-1], owner[t:t + window] >= 0
-        logp, _ = output(p, hidden[mask], ids[t:t + window][mask])
+        logp, _ = output(p, columns(hidden, mask), ids[t:t + window][mask])
         out += np.bincount(owner[t:t + window][mask], weights=logp, minlength=len(texts))
     return out

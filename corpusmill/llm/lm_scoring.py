@@ -43,11 +43,11 @@ ROUNDS = (4, 20, 64)
 FAN = 64
 SLICES = 32
 RATE = 0.2
-WINDOW = 32
+WINDOW, SCORE_WINDOW = 48, 96
 #: Texts side by side when learning and when scoring.
-LEARN_LANES, SCORE_LANES = 64, 256
+LEARN_LANES, SCORE_LANES = 128, 256
 #: Text bytes of which one step holds the ids.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 16 << 20
 _LN10 = float(np.log(10))
 
 
@@ -56,8 +56,23 @@ def remainder() -> Column:
 
 
 class _Places(dict):
+    """Numbers of words, and one for all words that it does not hold."""
+
+    def __init__(self, places: dict[bytes, int], absent: int):
+        super().__init__(places)
+        self.absent = absent
+
     def __missing__(self, word):
-        return -1
+        return self.absent
+
+    def __reduce__(self):
+        return _Places, (dict(self), self.absent)
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """The words' numbers, and 0 for the end."""
+        out = np.zeros(len(words) + 1, np.int32)
+        out[:-1] = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        return out
 
 
 class Words:
@@ -65,7 +80,8 @@ class Words:
 
     def __init__(self, found: Corpus):
         model = min(len(found.head), gru.CLASSES * gru.SLOTS - 1)
-        self.place = _Places((w, i + 1) for i, w in enumerate(found.head))
+        self.model_place = _Places({w: i + 1 for i, w in enumerate(found.head[:model])}, model + 1)
+        self.place = _Places({w: i + 1 for i, w in enumerate(found.head)}, -1)
         self.counts = np.array([found.texts, *found.head_n], np.int64)
         self.mass, self.other = found.mass, model + 1
         self.known = found.mass - int((self.counts[:self.other] + 1).sum())  # the other words' and the unknown's
@@ -74,14 +90,8 @@ class Words:
     def model(self) -> gru.Params:
         return gru.fresh(self.counts[:self.other] + 1.0, float(max(1, self.known)))
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        """Places in the head, -1 for words outside it, the end last."""
-        out = np.zeros(len(words) + 1, np.int64)
-        out[:-1] = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        return out
-
     def model_ids(self, places: np.ndarray) -> np.ndarray:
-        return np.where((places < 0) | (places >= self.other), self.other, places).astype(np.int32)
+        return np.where((places < 0) | (places >= self.other), np.int32(self.other), places)
 
 
 def _pack(p: gru.Params) -> np.ndarray:
@@ -131,7 +141,7 @@ def learn(docs: DataFrame, words: Words) -> gru.Params:
             seen = 0
             for batch in batches:
                 for part in slices(batch, 0, STEP_BYTES):
-                    texts = [words.model_ids(words.ids(w)) for w in tokens(part, 0)]
+                    texts = [words.model_place.of(w) for w in tokens(part, 0)]
                     seen += gru.train(p, s, texts, RATE, WINDOW, LEARN_LANES)
             if seen:
                 flat = np.concatenate([_pack(p), _pack(s)])
@@ -163,9 +173,9 @@ def scores(docs: DataFrame, found: Corpus, words: Words, model: gru.Params) -> D
         inside = words.base + np.log10(words.mass) - np.log10(max(1, words.known))
         for batch in batches:
             for part in slices(batch, 1, STEP_BYTES):
-                texts, rare, known, base, extra, ids = tokens(part, 1), [], [], [], [], []
-                for w in texts:
-                    at = words.ids(w)
+                rare, known, base, extra, ids = [], [], [], [], []
+                for w in tokens(part, 1):
+                    at = words.place.of(w)
                     out = np.flatnonzero(at < 0).tolist()
                     rare.append(list(Counter([w[k] for k in out]).items()))
                     at_head = at[at >= 0]
@@ -173,16 +183,16 @@ def scores(docs: DataFrame, found: Corpus, words: Words, model: gru.Params) -> D
                     base.append(float(words.base[at_head].sum()))
                     extra.append(float(inside[at_head[at_head >= words.other]].sum()))
                     ids.append(words.model_ids(at))
-                logp = gru.score(model, ids, WINDOW, SCORE_LANES) / _LN10
+                logp = gru.score(model, ids, SCORE_WINDOW, SCORE_LANES) / _LN10
                 ends = np.cumsum([0, *map(len, rare)]).astype(np.int32)
                 flat = [x for r in rare for x in r]
                 items = pa.StructArray.from_arrays([pa.array([x[0] for x in flat], pa.binary()), pa.array([x[1] for x in flat], pa.int32())],
                                                    names=["word", "n"])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array(np.arange(row, row + len(texts))), pa.array([len(i) for i in ids], pa.int64()),
+                    [part.column(0), part.column(2), pa.array(np.arange(row, row + len(ids))), pa.array([len(i) for i in ids], pa.int64()),
                      pa.array(known, pa.int64()), pa.array(base), pa.array(logp + extra), pa.ListArray.from_arrays(pa.array(ends), items)],
                     names=["doc_id", "held_out", "row", "n_tokens", "n_known", "base", "score", "rare"])
-                row += len(texts)
+                row += len(ids)
 
     made = cut(docs.select("doc_id", "text", (remainder() == 2).alias("held_out")).mapInArrow(run, shape), "scored")
     rare = made.select("row", F.explode("rare").alias("w")).select("row", "w.word", F.col("w.n").alias("times"))

@@ -8,6 +8,7 @@ text is one row per task and flush.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -23,12 +24,12 @@ HEAD = 1 << 18
 HEAD_BYTES = 64
 
 
-def tokens(batch: pa.RecordBatch, column: int) -> list[list[bytes]]:
-    """The words of every text of a slice (without the end)."""
+def tokens(batch: pa.RecordBatch, column: int) -> Iterator[list[bytes]]:
+    """The words of every text of a slice (without the end), one after the other."""
     data, offsets = text_buffers(batch.column(column))
     ends = offsets.tolist()
     raw = data.tobytes().lower()  # of bytes: A-Z only
-    return [raw[a:b].split() for a, b in zip(ends[:-1], ends[1:])]  # of bytes: at \x20 and \x09-\x0D
+    return (raw[a:b].split() for a, b in zip(ends[:-1], ends[1:]))  # of bytes: at \x20 and \x09-\x0D
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
