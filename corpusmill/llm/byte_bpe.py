@@ -18,6 +18,7 @@ import os
 import re
 from array import array
 
+from corpusmill.llm.common import holds
 from corpusmill.llm.recent import Recent
 
 CACHE_ENTRIES = 200_000
@@ -79,4 +80,5 @@ _LOADED: dict[str, ByteBpe] = {}
 def load(tokenizer_file: str) -> ByteBpe:
     if tokenizer_file not in _LOADED:
         _LOADED[tokenizer_file] = ByteBpe(tokenizer_file)
+    holds("byte_bpe", _LOADED.clear)
     return _LOADED[tokenizer_file]

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +34,30 @@ def python_ready(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def holds(owner: str, release: Callable[[], None]) -> None:
+    """``owner``'s tasks keep something in this worker for their next ones."""
+    _HELD[owner] = release
+
+
+def start_task(owner: str = "") -> None:
+    """Where a task's Python work begins: Spark reuses its Python workers, and
+    what other operators' tasks keep in this one (tokenizers, word memories)
+    would take its memory from all later stages, so it goes back."""
+    others = [k for k in _HELD if k != owner]
+    for k in others:
+        _HELD.pop(k)()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library: it decides itself
+            pass
+
+
 def slices(batch: pa.RecordBatch, text_col: int, limit: int = SLICE_BYTES):
     """Cut an Arrow batch into runs of rows with at most ``limit`` bytes of
     text each (always at least one row)."""

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import batch_of, cut, python_ready, slices, text_buffers
+from corpusmill.llm.common import batch_of, cut, python_ready, slices, start_task, text_buffers
 from corpusmill.llm.hashing import Ranges, combine, mix
 
 BUCKETS = 1 << 15
@@ -96,6 +96,7 @@ def model(docs: DataFrame, sample: DataFrame) -> np.ndarray:
     shape = pa.schema([("half", pa.int64()), ("counts", pa.binary())])
 
     def count(batches):
+        start_task()
         total = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
             for part in slices(batch, 1):
@@ -134,6 +135,7 @@ def weights(docs: DataFrame, ratio: np.ndarray, keep: list[str]) -> DataFrame:
     schema = docs.select(*keep).schema.add("log_weight", "double").add("n_features", "long")
 
     def run(batches):
+        start_task()
         for batch in batches:
             for part in slices(batch, len(keep)):
                 bucket, owner = features(*text_buffers(part.column(len(keep))))

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import cut, python_ready, slices, text_buffers
+from corpusmill.llm.common import cut, python_ready, slices, start_task, text_buffers
 from corpusmill.llm.components import components
 from corpusmill.llm.shingles import set_hash, shingle_sets
 
@@ -59,6 +59,7 @@ def counters(docs: DataFrame, words: int) -> np.ndarray:
     each = SLOTS // SLICES
 
     def count(batches):
+        start_task()
         total = np.zeros(SLOTS, np.int64)
         for batch in batches:
             for part in slices(batch, 0):
@@ -90,10 +91,11 @@ def counters(docs: DataFrame, words: int) -> np.ndarray:
 def sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Per row: doc_id, n_shingles, two set hashes, prefix, signature."""
     spark = docs.sparkSession
-    order = spark.sparkContext.broadcast(counters(docs, words).astype(np.int32))
+    order = spark.sparkContext.broadcast(np.minimum(counters(docs, words), np.iinfo(np.int32).max).astype(np.int32))
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
+        start_task()
         for batch in batches:
             for part in slices(batch, 1):
                 n, h1, h2, prefix, sig = [], [], [], [], []
@@ -137,6 +139,7 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int,
     few = wanted.count() <= BROADCAST_ROWS
 
     def run(batches):
+        start_task()
         for batch in batches:
             for part in slices(batch, 0):
                 got = shingle_sets(*text_buffers(part.column(0)), words)
@@ -152,6 +155,7 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int,
                 .join(members.select(F.col("h1").alias("b"), F.col("members").alias("y")), "b")
 
     def check(batches):
+        start_task()
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x"), batch.column("y")):

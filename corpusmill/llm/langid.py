@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import batch_of, python_ready, slices, text_buffers
+from corpusmill.llm.common import batch_of, python_ready, slices, start_task, text_buffers
 from corpusmill.llm.hashing import mix
 
 SIZES = (3, 4, 5)
@@ -142,6 +142,7 @@ def train(docs: DataFrame, train_docs: int = 3000, min_share: float = 2e-5) -> M
     schema = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("gram", pa.int64()), ("n", pa.int64())])
 
     def count(batches):
+        start_task()
         for batch in batches:
             for part in slices(batch, 1):
                 langs, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
@@ -176,6 +177,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str], with_text: bo
     schema = docs.select(*shown).schema.add(names[0], "string").add(names[1], "double")
 
     def run(batches):
+        start_task()
         for batch in batches:
             for part in slices(batch, len(keep)):
                 lang, score = classify(shared.value, part.column(len(keep)).to_pylist())

@@ -1,7 +1,8 @@
 """Near-duplicate vectors by NN-descent (operator 7).
 
-Vectors that are equal under one label are one node with a count. Neighbour
-lists of ``width`` entries start from random hyperplanes: nodes of a label
+Vectors that are equal under one label are one node with a count, named by a
+hash of label and vector; rows get their results through label and vector, so
+rows of one vec_id may hold different vectors. Neighbour lists of ``width`` entries start from random hyperplanes: nodes of a label
 with the same signs form a group, which is split by hash where it is large;
 each node takes its best neighbours of the group. A round then joins every
 list with the lists it appears in: the members of a node's list and those that
@@ -22,8 +23,10 @@ forest per block and chunk goes on to the components. Only links of at least
 Defined results: a vector that is null, zero, or holds a null or non-finite
 component, and one with a null label, has no link and is its own component.
 Equal vectors of one label link with each other. A repeated row counts as a
-vector of its own in the number of links; a null vec_id takes no part and has
-null results. Other columns are not read.
+vector of its own in the number of links, and so does a row that shares its
+vec_id with another vector: each has its own links and component, named after
+the smallest vec_id in it. A null vec_id takes no part and has null results.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -49,8 +52,9 @@ CHUNK = 32 << 20
 EDGES = "a long, b long, sim double"
 
 
-def usable(vectors: DataFrame, width: int) -> DataFrame:
-    """(vec_id, label, unit): unit vectors in double precision."""
+def units(vectors: DataFrame, width: int) -> DataFrame:
+    """(vec_id, label, unit) of every row: its unit vector in double precision,
+    null where the row takes no part."""
     label = vectors.schema["label"].dataType.simpleString()
 
     def run(batches):
@@ -59,12 +63,13 @@ def usable(vectors: DataFrame, width: int) -> DataFrame:
             top = np.abs(x).max(axis=1, initial=0)
             rows, x = rows[top > 0], x[top > 0] / top[top > 0][:, None]
             x = x / np.linalg.norm(x, axis=1)[:, None]
-            at = pa.array(rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), blobs(x)],
+            at = np.full(batch.num_rows, -1)
+            at[rows] = np.arange(len(rows))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), blobs(x).take(pa.array(at, mask=at < 0))],
                                              names=["vec_id", "label", "unit"])
 
-    return vectors.where("vec_id is not null and label is not null and embedding is not null") \
-        .select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding") \
+    takes_part = F.col("vec_id").isNotNull() & F.col("label").isNotNull()
+    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.when(takes_part, F.col("embedding")).alias("embedding")) \
         .mapInArrow(run, f"vec_id long, label {label}, unit binary")
 
 
@@ -297,9 +302,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, width: int = 10
     spark = vectors.sparkSession
     python_ready(spark)
     dim = max(1, vectors.agg(F.max(F.size("embedding"))).first()[0] or 0)
-    rows = cut(usable(vectors, dim), "units")
-    classes = cut(rows.groupBy("label", "unit").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "nodes")
-    nodes = cut(classes.dropDuplicates(["node"]), "distinct-nodes")
+    rows = cut(units(vectors, dim), "units")
+    nodes = cut(rows.where("unit is not null").groupBy("label", "unit").agg(F.count("*").alias("copies"))
+                .withColumn("node", F.xxhash64("label", "unit")), "nodes")
     sizes = {r.label: r.n for r in nodes.groupBy("label").agg(F.count("*").alias("n")).collect()}
     edges = hyperplanes(nodes, dim, sizes, tables, seed, width)
     lists = descent(cut(kept_lists(edges, width), "lists"), nodes, dim, width, rounds, quiet, seed)
@@ -310,12 +315,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, width: int = 10
     near = components(links.where("other is not null"), "node", "other")
     counted = links.where("n is not null").groupBy("node").agg(F.sum("n").alias("n"))
     of_node = nodes.select("node", "label", "unit", "copies").join(near, "node", "left").join(counted, "node", "left") \
-        .select("label", "unit", "copies", F.coalesce("component", "node").alias("component_id"),
+        .select("label", "unit", F.coalesce("component", "node").alias("component"),
                 (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    found = rows.join(of_node, ["label", "unit"]).groupBy("vec_id").agg(
-        F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
-    every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
-    return every.join(found, "vec_id", "left").select(
+    found = cut(rows.join(of_node, ["label", "unit"], "left").select("vec_id", "component", "n_links"), "members")
+    names = found.where("component is not null").groupBy("component").agg(F.min("vec_id").alias("name"))
+    component_id = F.coalesce("name", "vec_id")
+    return found.join(names, "component", "left").select(
         "vec_id", F.when(F.col("vec_id").isNotNull(), F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"),
-        (F.coalesce("component_id", "vec_id") == F.col("vec_id")).alias("kept"))
+        component_id.alias("component_id"), (component_id == F.col("vec_id")).alias("kept"))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm import byte_bpe
-from corpusmill.llm.common import cut, python_ready, slices
+from corpusmill.llm.common import cut, python_ready, slices, start_task
 
 Pattern = tuple[list[tuple[int, int]], int]
 
@@ -87,6 +87,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, end_id: int) ->
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
+        start_task("byte_bpe")
         bpe, task, seen = byte_bpe.load(tokenizer_file), TaskContext.get().partitionId(), Counter()
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import cut, python_ready, slices
+from corpusmill.llm.common import cut, python_ready, slices, start_task
 from corpusmill.llm.hashing import Ranges
 
 LENGTH = 400
@@ -87,6 +87,7 @@ def dictionary(docs: DataFrame, length: int, v: int) -> DataFrame:
     entry = length - v + 1
 
     def run(batches):
+        start_task()
         for batch in batches:
             for part in slices(batch, 1):
                 hs, ks, ns = [], [], []
@@ -119,6 +120,7 @@ def contexts(found: DataFrame, length: int, v: int) -> DataFrame:
     entry = length - v + 1
 
     def run(batches):
+        start_task()
         for part in (p for batch in batches for p in slices(batch, 3)):
             for k, copies, known, text in zip(*(c.to_pylist() for c in part.columns)):
                 known = np.sort(np.array(known, np.int64).view(np.uint64))
@@ -144,6 +146,7 @@ def with_bytes(docs: DataFrame, asked: DataFrame, length: int) -> DataFrame:
     wanted = asked.groupBy("k").agg(F.collect_list(F.struct("s", "c", "w", "lo", "hi", "t")).alias("asked"))
 
     def run(batches):
+        start_task()
         for part in (p for batch in batches for p in slices(batch, 1)):
             for k, text, rows in zip(*(c.to_pylist() for c in part.columns)):
                 data = (text or "").encode()
@@ -314,6 +317,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, v: int = V, digest: b
     copies, covered = repeated(docs, length, v)
 
     def run(batches):
+        start_task()
         for part in (p for batch in batches for p in slices(batch, 1)):
             k, n, m, kept = [], [], [], []
             for key, text, ranges in zip(*(c.to_pylist() for c in part.columns)):
