@@ -4,11 +4,11 @@ Citation rows have the six fields ``id, authors, year, title, venue, doi``
 (``year`` is a string, ``""`` when absent). Two producers:
 
 * ``extract_citations`` — rules in column expressions (no model server): a
-  section's entries are bracketed (``[key] …``, with or without a list mark),
-  numbered (``1. …`` or ``1) …``), list-marked (``- …``) or author–year lines
-  (``Smith, J. … 2020 …``); the first of these forms that occurs is the
-  section's. An entry opens with its mark, continuation lines join it; fields
-  come from regexes (below).
+  fold over the section's lines opens an entry at a line's own mark, which is
+  a bracketed key (``[key] …``, with or without a list mark), a number
+  (``1. …`` or ``1) …``), a list mark (``- …``) or an author and a year
+  (``Smith, J. … 2020 …``); forms may mix in one section. Fields come from
+  regexes (below).
 * ``parse_citation_responses`` — answers of an external model already in a
   column: fence removal, strict JSON-list parsing, one row per citation.
 """
@@ -25,16 +25,17 @@ CITATION_TYPE = ("array<struct<id:string,authors:array<string>,year:string,"
 TEXT_FIELDS = ("id", "year", "title", "venue", "doi")
 
 # --- Extraction rules (this library's own, replacing a model call) --------------------------------------
-# An entry: a line starting with "[key]" plus the lines after it that do not
-# start with "[", "#" or a line break. (As one regex:
-# (?md)^\[[^\]\n]*\][^\n]*(?:\n[^\[#\n][^\n]*)* ; applied below as a split
-# at every line that starts with "[", a head test and a cut, because Java
-# evaluates a repeated group recursively and overflows the stack on long
-# texts.)
-ENTRY_SPLIT = r"\n(?=\[)"
-ENTRY_HEAD = r"\A\[[^\]\n]*\]"
-ENTRY_CUT = r"\n(?:[#\n]|\z)(?s:.*)"
-ENTRY_KEY = r"^(\[[^\]\n]*\])"
+# Marks, at the start of a line without its indentation.
+KEY_MARK = r"\A(?:[-*+][ \t]+)?\[([^\]]+)\](?!\()"  # a bracket before "(" is a link
+NUMBER_MARK = r"\A([0-9]{1,4})[.)](?:[ \t]|\z)"
+LIST_MARK = r"\A[-*+][ \t]+"
+NAME_MARK = r"\A(\p{Lu}[\p{L}'-]+),"
+NAME_AND_INITIAL = r"\A\p{Lu}[\p{L}'-]+,[ \t]*\p{Lu}\."
+# Bracketed words that describe a copy and are no key.
+MEDIUM = (r"(?i)\A(?:[-*+][ \t]+)?\[(?:online|on-line|internet|web|website|pdf|html|video|audio|film|software|dataset|data set|"
+          r"electronic|e-?book|preprint|abstract|accessed|available|cited|retrieved|doi|url)\b")
+# What is read of an entry may be its end: a period that follows no initial, or an address.
+FINISHED = r"(?:(?<!\b\p{Lu})[.!?][)\]\"'\x{2019}\x{201d}]*|(?:https?://|10\.[0-9]{4,9}/)\S+)\s*\z"
 DOI = r"10\.[0-9]{4,9}/[^ ]*[^ .,;]"
 YEAR = r"(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)"
 # A sentence: the maximal runs of (?:\p{Lu}\. |[^.])+ , i.e. text between
@@ -43,12 +44,6 @@ YEAR = r"(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)"
 SENTENCE_END = r"(?<!\p{Lu})\.|(?<=\p{Lu})\.(?! )"
 AUTHOR_SPLIT = r" *, *| +and +"
 VENUE_TRIM = r"[ ,;:]+$"
-# Forms of a list, in the order in which they are tried: does it occur, and
-# how its marks become a bracketed key ([] where an entry has none).
-BRACKETED = (r"(?md)^(?:[-*+][ \t]+)?\[[^\]\n]*\]", r"(?md)^[-*+][ \t]+(\[)", "$1")
-NUMBERED = (r"(?md)^[0-9]{1,4}[.)][ \t]", r"(?md)^([0-9]{1,4})[.)][ \t]+", "[$1] ")
-LISTED = (r"(?md)^[-*+][ \t]", r"(?md)^[-*+][ \t]+", "[] ")
-AUTHOR_YEAR = (r"(?md)^\p{Lu}[\p{L}'-]+,", r"(?md)^(\p{Lu}[\p{L}'-]+)(,[^\n]*?)((?:19|20)[0-9]{2})", "[$1 $3] $1$2$3")
 # --- end of extraction rules --------------------------------------------------------
 
 
@@ -63,9 +58,8 @@ def references(df: DataFrame, md_col: str = "md", clean: bool = True,
     return df.withColumn("references", refs)
 
 
-def _fields(entry: Column) -> Column:
-    key = F.regexp_extract(entry, ENTRY_KEY, 1)
-    body = T.py_strip(F.regexp_replace(F.substring(entry, F.length(key) + 1, 1 << 30), T.WS + "+", " "))
+def _fields(key: Column, text: Column) -> Column:
+    body = T.py_strip(F.regexp_replace(text, T.WS + "+", " "))
     doi = F.regexp_extract(body, DOI, 0)
     rest = T.py_strip(F.regexp_replace(body, DOI, ""))
     year = F.regexp_extract(rest, YEAR, 1)
@@ -76,24 +70,111 @@ def _fields(entry: Column) -> Column:
     title = F.coalesce(F.try_element_at(sentences, F.lit(2)), F.lit(""))
     venue_raw = F.coalesce(F.try_element_at(sentences, F.lit(3)), F.lit(""))
     venue = F.regexp_replace(F.regexp_replace(venue_raw, "(?:19|20)[0-9]{2}", ""), VENUE_TRIM, "")
-    return F.struct(F.when(key == "[]", "").otherwise(key).alias("id"), authors.alias("authors"), year.alias("year"),
-                    title.alias("title"), T.py_strip(venue).alias("venue"), doi.alias("doi"))
-
-
-def with_keys(refs: Column) -> Column:
-    """The section with a bracketed key before every entry, whichever form
-    its list has."""
-    out = refs
-    for occurs, mark, key in reversed((BRACKETED, NUMBERED, LISTED, AUTHOR_YEAR)):
-        out = F.when(F.regexp_like(refs, F.lit(occurs)), F.regexp_replace(refs, mark, key)).otherwise(out)
-    return out
+    named = F.concat(F.lit("["), F.concat_ws(" ", F.substr(key, F.lit(2)), F.when(year != "", year)), F.lit("]"))
+    return F.struct(F.when(F.startswith(key, F.lit("@")), named).otherwise(key).alias("id"), authors.alias("authors"),
+                    year.alias("year"), title.alias("title"), T.py_strip(venue).alias("venue"), doi.alias("doi"))
+
+
+def _marked_lines(refs: Column) -> Column:
+    """Per line: the line, its indentation, its mark's form (``text`` without
+    one, ``blank``, ``head``), key, text after the mark, number, heading level,
+    and whether an entry may end with it. A key with ``@`` is a name that the
+    entry's year is still to be added to."""
+    def one(line: Column) -> Column:
+        b = F.ltrim(line, F.lit(" \t"))
+        number, name = F.regexp_extract(b, NUMBER_MARK, 1), F.regexp_extract(b, NAME_MARK, 1)
+        keyed = F.regexp_like(b, F.lit(KEY_MARK)) & ~F.regexp_like(b, F.lit(MEDIUM))
+        form = F.when(b == "", "blank").when(F.startswith(line, F.lit("#")), "head").when(keyed, "key").when(number != "", "number") \
+            .when(F.regexp_like(b, F.lit(LIST_MARK)), "list").when(F.regexp_like(b, F.lit(NAME_AND_INITIAL)), "name") \
+            .when((name != "") & (F.regexp_extract(b, YEAR, 1) != ""), "maybe name").otherwise("text")
+        key = F.when(keyed, F.concat(F.lit("["), F.regexp_extract(b, KEY_MARK, 1), F.lit("]"))) \
+            .when(number != "", F.concat(F.lit("["), number, F.lit("]"))) \
+            .when(F.regexp_like(b, F.lit(LIST_MARK)), "").otherwise(F.concat(F.lit("@"), name))
+        rest = F.when(keyed, F.regexp_replace(b, KEY_MARK, "")).when(number != "", F.regexp_replace(b, NUMBER_MARK, "")) \
+            .otherwise(F.regexp_replace(b, LIST_MARK, ""))
+        return F.struct(
+            line.alias("line"), (F.char_length(line) - F.char_length(b)).alias("indent"), form.alias("form"), key.alias("key"), rest.alias("rest"),
+            F.coalesce(number.try_cast("int"), F.lit(-1)).alias("number"),
+            F.length(F.regexp_extract(line, r"\A#+", 0)).alias("level"),
+            F.regexp_like(F.right(line, F.lit(300)), F.lit(FINISHED)).alias("done"))
+
+    return F.transform(F.split(refs, "\n", -1), one)
+
+
+#: Lines that are folded before their turns are added to the section's.
+FOLD_LINES = 256
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _turn(s: Column, x: Column) -> Column:
+    """What line ``x`` does in state ``s``: open an entry (o), continue it (c),
+    or drop out (d). An entry goes on over lines indented deeper than its mark.
+    At its own depth, the next mark of its form opens the next entry (a number
+    that looks like a year only if it is the next one; a name only after a
+    finished entry); a mark of another form does after a finished entry, if
+    it is clear, which a bare name with a year is not."""
+    form, again = x["form"], x["form"] == s["form"]
+    year_like = x["number"].between(1900, 2099)
+    next_one = F.when(again & form.isin("key", "list"), True) \
+        .when(again & (form == "number"), ~year_like | (x["number"] == s["number"] + 1)) \
+        .when(form.isin("name", "maybe name") & (s["form"] == "name"), s["done"]) \
+        .when((form == "maybe name") | ((form == "number") & year_like), False).otherwise(s["done"])
+    opens = (form != "text") & (~s["open"] | ((x["indent"] <= s["indent"]) & next_one))
+    return F.when(s["ended"] | form.isin("blank", "head"), "d").when(opens, "o").when(s["open"], "c").otherwise("d")
+
+
+def _step(s: Column, x: Column) -> Column:
+    def after(t: Column) -> Column:
+        new = t == "o"
+        return F.struct(
+            (new | (t == "c")).alias("open"),
+            F.when(new, F.when(x["form"] == "maybe name", "name").otherwise(x["form"])).otherwise(s["form"]).alias("form"),
+            F.when(new, x["indent"]).otherwise(s["indent"]).alias("indent"),
+            F.when(new, x["number"]).otherwise(s["number"]).alias("number"),
+            x["done"].alias("done"),
+            F.when(s["level"] == 0, x["level"]).otherwise(s["level"]).alias("level"),
+            (s["ended"] | ((s["level"] > 0) & (x["form"] == "head") & (x["level"] <= s["level"]))).alias("ended"),
+            F.concat(s["out"], t).alias("out"))
+    return _let(_turn(s, x), after)
+
+
+def _with_out(s: Column, out: Column) -> Column:
+    return F.struct(*[s[k].alias(k) for k in ("open", "form", "indent", "number", "done", "level", "ended")], out.alias("out"))
+
+
+def _turns(lines: Column) -> Column:
+    """One letter per line: a fold over runs of lines, each folded line by
+    line, so that a long section's letters are not copied once per line."""
+    start = F.struct(F.lit(False).alias("open"), F.lit("").alias("form"), F.lit(0).alias("indent"), F.lit(-1).alias("number"),
+                     F.lit(False).alias("done"), F.lit(0).alias("level"), F.lit(False).alias("ended"), F.lit("").alias("out"))
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(lines), F.lit(1)), F.lit(FOLD_LINES)),
+                       lambda i: F.slice(lines, i, F.lit(FOLD_LINES)))
+
+    def over(s: Column, run: Column) -> Column:
+        return _let(F.aggregate(run, _with_out(s, F.lit("")), _step), lambda r: _with_out(r, F.concat(s["out"], r["out"])))
+
+    return F.aggregate(runs, start, over)["out"]
 
 
 def citation_array(refs_col: Column | str) -> Column:
-    """All citations of a references text, in order, as an array of structs."""
-    refs = with_keys(F.col(refs_col) if isinstance(refs_col, str) else refs_col)
-    pieces = F.filter(F.split(refs, ENTRY_SPLIT, -1), lambda x: F.regexp_like(x, F.lit(ENTRY_HEAD)))
-    return F.transform(pieces, lambda x: _fields(F.regexp_replace(x, ENTRY_CUT, "")))
+    """All citations of a references text, in order, as an array of structs.
+    Blank lines and headings end an entry; a heading as high as the section's
+    own ends the list; lines outside entries are dropped."""
+    refs = F.col(refs_col) if isinstance(refs_col, str) else refs_col
+
+    def entries(lines: Column) -> Column:
+        texts = F.zip_with(lines, F.split(_turns(lines), ""), lambda x, t: F.when(
+            t == "o", F.concat(F.lit("\x01"), x["key"], F.lit("\x02"), x["rest"])).when(
+            t == "c", F.concat(F.lit("\n"), x["line"])).otherwise(""))
+        return F.split(F.array_join(texts, ""), "\x01", -1)
+
+    found = _let(_marked_lines(F.translate(refs, "\x01\x02", "")), entries)
+    return F.transform(F.filter(found, lambda e: F.contains(e, F.lit("\x02"))),
+                       lambda e: _fields(F.split_part(e, F.lit("\x02"), F.lit(1)), F.split_part(e, F.lit("\x02"), F.lit(2))))
 
 
 def extract_citations(df: DataFrame, refs_col: str = "references", key_cols: list[str] | None = None) -> DataFrame:

@@ -107,6 +107,24 @@ SELECT doc_id,
          ELSE concat(text, chr(10), 'a ## References', chr(10), '##Works Cited', chr(10), '## References')
        END AS text
 FROM {documents}""",
+    # References of mixed forms (page_id, refs), see MIXED_CITATIONS for what
+    # each holds: copies' descriptions in brackets; a number, then names;
+    # wrapped names; every form; a year that opens a line; a higher heading;
+    # brackets that are no keys; no entry at all.
+    "fx_mixed_refs": """
+SELECT page_id, concat('## References', chr(10), CASE page_id % 8
+         WHEN 0 THEN concat(chr(10), '1. A. Author and B. Writer. First ', page_id, '. Journal, 2019.', chr(10), '[Online]. Available: https://example.org/a', chr(10),
+                            '2. C. Third. Second. Venue, 2020.', chr(10), '[Online]. Available: https://example.org/b', chr(10), '3. D. Fourth. Third. Press, 2021.', chr(10), '[PDF] https://example.org/c.pdf')
+         WHEN 1 THEN concat('1. A. Author. Numbered ', page_id, '. Press, 2001.', chr(10), 'Smith, J. 2020. Dated. Press.', chr(10), 'Doe-Roe, A. 1987. Old work. Venue.')
+         WHEN 2 THEN concat('Smith, J. 2018. A long title', chr(10), '    that wraps ', page_id, '. Press.', chr(10), 'Doe, A. 2019. Other. Venue,', chr(10), '    Cambridge, MA.')
+         WHEN 3 THEN concat(chr(10), '[Knu97] D. Knuth. The art ', page_id, '. Press, 1997.', chr(10), chr(10), '- [2] B. Writer. Second. Venue, 2002.', chr(10), '  [PDF] https://example.org/x.pdf', chr(10), chr(10),
+                            '3) C. Third. Numbered. Press, 2003.', chr(10), '* D. Fourth. Listed. Press, 2004. 10.1234/z', page_id)
+         WHEN 4 THEN concat('7. A. Author. Wrapped ', page_id, '. Journal of Things, volume', chr(10), '2019. Springer.', chr(10), '8. B. Writer. Next. Press, 2020.')
+         WHEN 5 THEN concat('[1] A. Author. One ', page_id, '. Press, 2005.', chr(10), chr(10), 'Notes of the editor.', chr(10), '### Books', chr(10), '[2] B. Writer. Two. Press, 2006.', chr(10), '# Appendix', chr(10), '1. Not a citation. 2000.')
+         WHEN 6 THEN concat('[1] A. Author. First ', page_id, '. Press, 2001.', chr(10), '[Online] https://example.org/1', chr(10), '[2] B. Writer. Second. Press, 2002.', chr(10), '[Accessed 3 May 2004]', chr(10),
+                            '[3](https://example.org) is a link.', chr(10), '[3] C. Third. Last. Press, 2003.')
+         ELSE concat('None of these lines is an entry.', chr(10), 'Nor this.') END) AS refs
+FROM {pages}""",
     # Model answers (conv_id, turn, response): JSON, fenced with tag, empty
     # list, prose, fenced without tag, empty; then answers that are no list of
     # citations: text after the list, two lists, a null element, a second key,
@@ -139,9 +157,34 @@ FX_DEPS: dict[str, tuple[str, ...]] = {
     "fx_outputs": ("fx_manifest", "labels"),
     "fx_catalogue": ("documents",),
     "fx_noisy_text": ("documents",),
+    "fx_mixed_refs": ("pages",),
     "fx_responses": ("conversations",),
 }
 
+# The citations of fx_mixed_refs, written by hand: case, position, id, authors, how many, year, title (@ is the
+# page's number), venue, doi.
+MIXED_CITATIONS = [
+    (0, 1, "[1]", "A. Author; B. Writer", 2, "2019", "First @", "Journal", ""),
+    (0, 2, "[2]", "C. Third", 1, "2020", "Second", "Venue", ""),
+    (0, 3, "[3]", "D. Fourth", 1, "2021", "Third", "Press", ""),
+    (1, 1, "[1]", "A. Author", 1, "2001", "Numbered @", "Press", ""),
+    (1, 2, "[Smith 2020]", "Smith; J. 2020", 2, "2020", "Dated", "Press", ""),
+    (1, 3, "[Doe-Roe 1987]", "Doe-Roe; A. 1987", 2, "1987", "Old work", "Venue", ""),
+    (2, 1, "[Smith 2018]", "Smith; J. 2018", 2, "2018", "A long title that wraps @", "Press", ""),
+    (2, 2, "[Doe 2019]", "Doe; A. 2019", 2, "2019", "Other", "Venue, Cambridge, MA", ""),
+    (3, 1, "[Knu97]", "D. Knuth", 1, "1997", "The art @", "Press", ""),
+    (3, 2, "[2]", "B. Writer", 1, "2002", "Second", "Venue", ""),
+    (3, 3, "[3]", "C. Third", 1, "2003", "Numbered", "Press", ""),
+    (3, 4, "", "D. Fourth", 1, "2004", "Listed", "Press", "10.1234/z@"),
+    (4, 1, "[7]", "A. Author", 1, "2019", "Wrapped @", "Journal of Things, volume", ""),
+    (4, 2, "[8]", "B. Writer", 1, "2020", "Next", "Press", ""),
+    (5, 1, "[1]", "A. Author", 1, "2005", "One @", "Press", ""),
+    (5, 2, "[2]", "B. Writer", 1, "2006", "Two", "Press", ""),
+    (6, 1, "[1]", "A. Author", 1, "2001", "First @", "Press", ""),
+    (6, 2, "[2]", "B. Writer", 1, "2002", "Second", "Press", ""),
+    (6, 3, "[3]", "C. Third", 1, "2003", "Last", "Press", ""),
+]
+
 
 _TABLES: dict[tuple, DataFrame] = {}
 

@@ -11,7 +11,7 @@ events conversations`` are the pre-registered views; derived views are CTEs.
 from __future__ import annotations
 
 from corpusmill.fixed import IMAGE_EXTENSIONS
-from corpusmill.plans.fixtures import duckdb_ctes
+from corpusmill.plans.fixtures import MIXED_CITATIONS, duckdb_ctes
 
 ORACLE: dict[str, str] = {}
 
@@ -346,6 +346,13 @@ SELECT doc_id, CAST(pos AS INTEGER) AS pos, id, array_to_string(au, '; ') AS aut
        doi
 FROM a"""
 
+# what each kind of section holds is written out by hand
+ORACLE["citations_mixed"] = """
+SELECT p.page_id, CAST(pos AS INTEGER) AS pos, id, authors, CAST(n_authors AS INTEGER) AS n_authors, year,
+       replace(title, '@', CAST(page_id AS VARCHAR)) AS title, venue, replace(doi, '@', CAST(page_id AS VARCHAR)) AS doi
+FROM pages p JOIN (VALUES """ + ",\n".join(map(str, MIXED_CITATIONS)) + """
+) AS v(kind, pos, id, authors, n_authors, year, title, venue, doi) ON p.page_id % 8 = v.kind"""
+
 # HTML → Markdown, rule by rule
 _HTML_RULES = [
     ("(?is)<!--.*?-->|<head(?:\\s[^>]*)?>.*?</head\\s*>|<script(?:\\s[^>]*)?>.*?</script\\s*>"

@@ -394,6 +394,13 @@ def citations_rules(spark, sf_dir):
     return _flat_citations(CI.extract_citations(t, "references", ["doc_id"]), ["doc_id"])
 
 
+@query
+def citations_mixed(spark, sf_dir):
+    """JOB-07: citations of sections that mix the forms of entries."""
+    t = fixture(spark, sf_dir, "fx_mixed_refs")
+    return _flat_citations(CI.extract_citations(t, "refs", ["page_id"]), ["page_id"])
+
+
 def _pages(spark, sf_dir):
     return table(spark, sf_dir, "pages")
 
