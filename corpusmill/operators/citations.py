@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as T
+from corpusmill.functions.folds import fold_text, let
 
 CITATION_TYPE = ("array<struct<id:string,authors:array<string>,year:string,"
                  "title:string,venue:string,doi:string>>")
@@ -101,15 +102,6 @@ def _marked_lines(refs: Column) -> Column:
     return F.transform(F.split(refs, "\n", -1), one)
 
 
-#: Lines that are folded before their turns are added to the section's.
-FOLD_LINES = 256
-
-
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _turn(s: Column, x: Column) -> Column:
     """What line ``x`` does in state ``s``: open an entry (o), continue it (c),
     or drop out (d). An entry goes on over lines indented deeper than its mark.
@@ -119,60 +111,48 @@ def _turn(s: Column, x: Column) -> Column:
     it is clear, which a bare name with a year is not."""
     form, again = x["form"], x["form"] == s["form"]
     year_like = x["number"].between(1900, 2099)
-    next_one = F.when(again & form.isin("key", "list"), True) \
+    next_one = F.when(again & form.isin("key", "list"), True).when((form == "number") & (s["form"] == "key"), False) \
         .when(again & (form == "number"), ~year_like | (x["number"] == s["number"] + 1)) \
         .when(form.isin("name", "maybe name") & (s["form"] == "name"), s["done"]) \
         .when((form == "maybe name") | ((form == "number") & year_like), False).otherwise(s["done"])
-    opens = (form != "text") & (~s["open"] | ((x["indent"] <= s["indent"]) & next_one))
-    return F.when(s["ended"] | form.isin("blank", "head"), "d").when(opens, "o").when(s["open"], "c").otherwise("d")
+    opens = (form != "text") & (~s["ended"] | (form == "key")) & (~s["open"] | ((x["indent"] <= s["indent"]) & next_one))
+    return F.when(form.isin("blank", "head"), "d").when(opens, "o").when(s["open"], "c").otherwise("d")
 
 
-def _step(s: Column, x: Column) -> Column:
-    def after(t: Column) -> Column:
-        new = t == "o"
-        return F.struct(
-            (new | (t == "c")).alias("open"),
-            F.when(new, F.when(x["form"] == "maybe name", "name").otherwise(x["form"])).otherwise(s["form"]).alias("form"),
-            F.when(new, x["indent"]).otherwise(s["indent"]).alias("indent"),
-            F.when(new, x["number"]).otherwise(s["number"]).alias("number"),
-            x["done"].alias("done"),
-            F.when(s["level"] == 0, x["level"]).otherwise(s["level"]).alias("level"),
-            (s["ended"] | ((s["level"] > 0) & (x["form"] == "head") & (x["level"] <= s["level"]))).alias("ended"),
-            F.concat(s["out"], t).alias("out"))
-    return _let(_turn(s, x), after)
-
-
-def _with_out(s: Column, out: Column) -> Column:
-    return F.struct(*[s[k].alias(k) for k in ("open", "form", "indent", "number", "done", "level", "ended")], out.alias("out"))
+def _after(s: Column, x: Column, t: Column) -> Column:
+    """The state after line ``x`` has done ``t``."""
+    new = t == "o"
+    return F.struct(
+        (new | (t == "c")).alias("open"),
+        F.when(new, F.when(x["form"] == "maybe name", "name").otherwise(x["form"])).otherwise(s["form"]).alias("form"),
+        F.when(new, x["indent"]).otherwise(s["indent"]).alias("indent"),
+        F.when(new, x["number"]).otherwise(s["number"]).alias("number"),
+        x["done"].alias("done"),
+        F.when(s["level"] == 0, x["level"]).otherwise(s["level"]).alias("level"),
+        (s["ended"] | ((s["level"] > 0) & (x["form"] == "head") & (x["level"] <= s["level"]))).alias("ended"))
 
 
 def _turns(lines: Column) -> Column:
-    """One letter per line: a fold over runs of lines, each folded line by
-    line, so that a long section's letters are not copied once per line."""
+    """What each line does."""
     start = F.struct(F.lit(False).alias("open"), F.lit("").alias("form"), F.lit(0).alias("indent"), F.lit(-1).alias("number"),
-                     F.lit(False).alias("done"), F.lit(0).alias("level"), F.lit(False).alias("ended"), F.lit("").alias("out"))
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(lines), F.lit(1)), F.lit(FOLD_LINES)),
-                       lambda i: F.slice(lines, i, F.lit(FOLD_LINES)))
-
-    def over(s: Column, run: Column) -> Column:
-        return _let(F.aggregate(run, _with_out(s, F.lit("")), _step), lambda r: _with_out(r, F.concat(s["out"], r["out"])))
-
-    return F.aggregate(runs, start, over)["out"]
+                     F.lit(False).alias("done"), F.lit(0).alias("level"), F.lit(False).alias("ended"))
+    return F.split(fold_text(lines, start, lambda s, x: (_turn(s, x), lambda t: _after(s, x, t), lambda t: t)), "")
 
 
 def citation_array(refs_col: Column | str) -> Column:
     """All citations of a references text, in order, as an array of structs.
     Blank lines and headings end an entry; a heading as high as the section's
-    own ends the list; lines outside entries are dropped."""
+    own ends the list, but for bracketed keys; lines outside entries are
+    dropped."""
     refs = F.col(refs_col) if isinstance(refs_col, str) else refs_col
 
     def entries(lines: Column) -> Column:
-        texts = F.zip_with(lines, F.split(_turns(lines), ""), lambda x, t: F.when(
+        texts = F.zip_with(lines, _turns(lines), lambda x, t: F.when(
             t == "o", F.concat(F.lit("\x01"), x["key"], F.lit("\x02"), x["rest"])).when(
             t == "c", F.concat(F.lit("\n"), x["line"])).otherwise(""))
         return F.split(F.array_join(texts, ""), "\x01", -1)
 
-    found = _let(_marked_lines(F.translate(refs, "\x01\x02", "")), entries)
+    found = let(_marked_lines(F.translate(refs, "\x01\x02", "")), entries)
     return F.transform(F.filter(found, lambda e: F.contains(e, F.lit("\x02"))),
                        lambda e: _fields(F.split_part(e, F.lit("\x02"), F.lit(1)), F.split_part(e, F.lit("\x02"), F.lit(2))))
 

@@ -16,6 +16,33 @@ from corpusmill.sources.tables import read_table
 
 TABLES = ("documents", "pages", "labels", "events", "conversations")
 
+
+def sql_text(s: str) -> str:
+    """A text as an SQL expression that Spark and DuckDB read alike."""
+    parts = ["'" + line.replace("'", "', chr(39), '") + "'" for line in s.split("\n")]
+    return "concat(" + ", chr(10), ".join(parts) + ")"
+
+
+# Pages and the Markdown they should give, written by hand (@ is the page's number).
+HOSTILE_PAGES = [
+    ("<p>if a < b and c > d then @</p>", "if a < b and c > d then @\n"),
+    ("one<img alt='a>b'> two @", "one two @\n"),
+    ('<a title="x<y>z" href=u>link @</a> after', "link @ after\n"),
+    ("kept @<script>if (a < b) document.write('<p>gone</p>')", "kept @\n"),
+    ("<style>p > a { color: '</p>' }</style>text @<script>var t = 1 < 2;</script> more", "text @ more\n"),
+    ("a<!-- gone > gone <b>gone</b> -->b @", "ab @\n"),
+    ("a <!-- never closed @", "a <!-- never closed @\n"),
+    ('<p class="open>kept @ <b>bold</b> end', "kept @ bold end\n"),
+    ("<ul><li>one @<ul><li>two<ol><li>three</ol></ul><li>four</ul>", "- one @\n  - two\n    - three\n- four\n"),
+    ("text<pre>  def f(@):\n      return <b>1</b> &lt; 2</pre>end", "text\n\n```\n  def f(@):\n      return 1 < 2\n```\n\nend\n"),
+    ("<table><tr><th>a|b<th>c @<tr><td>d<br>e</td><td>f</table>after", "| a\\|b | c @ |\n| --- | --- |\n| d e | f |\n\nafter\n"),
+    ("<table><tr><td>x<table><tr><td>in</td><td>ner</table></td><td>@</td></tr></table>", "| x in ner | @ |\n| --- | --- |\n"),
+    ("<nav>never closed, so kept @<p>next", "never closed, so kept @\n\nnext\n"),
+    ("<nav>a<nav>b</nav>gone</nav>kept @<footer>gone</footer>", "kept @\n"),
+    ("<head><title>gone</title><body>body @ 1 <2 and 3<4", "body @ 1 <2 and 3<4\n"),
+    ("&amp;lt; &amp;amp; @ &lt;b&gt; &copy &#x41;<h2 id='x>y'>Head</h2>t", "&lt; &amp; @ <b> © A\n\n## Head\n\nt\n"),
+]
+
 FX_SQL: dict[str, str] = {
     # File manifest (path, length): root image; one/three-level images; dot
     # folder; extensionless dot file; .PDF; dotted stem; PDF inside Converted;
@@ -125,6 +152,11 @@ SELECT page_id, concat('## References', chr(10), CASE page_id % 8
                             '[3](https://example.org) is a link.', chr(10), '[3] C. Third. Last. Press, 2003.')
          ELSE concat('None of these lines is an entry.', chr(10), 'Nor this.') END) AS refs
 FROM {pages}""",
+    # Pages that break simple rules (page_id, html), one kind each, with the
+    # page's number in the text: see HOSTILE_PAGES.
+    "fx_hostile_pages": "SELECT page_id, replace(html, '@', CAST(page_id AS VARCHAR(20))) AS html FROM (SELECT page_id, CASE page_id % 16\n"
+                        + "\n".join(f"WHEN {k} THEN " + sql_text(html).replace("{", "{{").replace("}", "}}") for k, (html, _) in enumerate(HOSTILE_PAGES))
+                        + " END AS html FROM {pages}) p",
     # Model answers (conv_id, turn, response): JSON, fenced with tag, empty
     # list, prose, fenced without tag, empty; then answers that are no list of
     # citations: text after the list, two lists, a null element, a second key,
@@ -158,6 +190,7 @@ FX_DEPS: dict[str, tuple[str, ...]] = {
     "fx_catalogue": ("documents",),
     "fx_noisy_text": ("documents",),
     "fx_mixed_refs": ("pages",),
+    "fx_hostile_pages": ("pages",),
     "fx_responses": ("conversations",),
 }
 

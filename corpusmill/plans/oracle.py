@@ -11,7 +11,7 @@ events conversations`` are the pre-registered views; derived views are CTEs.
 from __future__ import annotations
 
 from corpusmill.fixed import IMAGE_EXTENSIONS
-from corpusmill.plans.fixtures import MIXED_CITATIONS, duckdb_ctes
+from corpusmill.plans.fixtures import HOSTILE_PAGES, MIXED_CITATIONS, duckdb_ctes, sql_text
 
 ORACLE: dict[str, str] = {}
 
@@ -412,6 +412,11 @@ res AS (SELECT page_id, complete, """ + pystrip("array_to_string(list_filter(ls,
 ORACLE["convert_documents"] = "WITH" + _CONVERTED + """
 SELECT page_id, 'ok' AS status, md, CAST(NULL AS VARCHAR) AS error, complete FROM res"""
 
+ORACLE["convert_hostile"] = """
+SELECT page_id, 'ok' AS status, replace(md, '@', CAST(page_id AS VARCHAR)) AS md
+FROM pages p JOIN (VALUES """ + ",\n".join(f"({k}, {sql_text(md)})" for k, (_, md) in enumerate(HOSTILE_PAGES)) + """
+) AS v(kind, md) ON p.page_id % 16 = v.kind"""
+
 # every eleventh page has no content
 ORACLE["failures"] = "SELECT page_id, 'no content' AS error FROM pages WHERE page_id % 11 = 3"
 

@@ -411,6 +411,13 @@ def convert_documents(spark, sf_dir):
     return CV.convert_html(_pages(spark, sf_dir).select("page_id", "html"), "html", ["page_id"])
 
 
+@query
+def convert_hostile(spark, sf_dir):
+    """JOB-05: pages with quoted brackets, stray signs, unclosed elements and
+    comments, nested lists, tables and code, against Markdown written by hand."""
+    return CV.convert_html(fixture(spark, sf_dir, "fx_hostile_pages"), "html", ["page_id"]).select("page_id", "status", "md")
+
+
 def _with_missing(pages):
     """Every eleventh page has no content, so that its conversion fails."""
     return pages.select("page_id", F.when(F.col("page_id") % 11 != 3, F.col("html")).alias("html"))
