@@ -157,6 +157,13 @@ FROM {pages}""",
     "fx_hostile_pages": "SELECT page_id, replace(html, '@', CAST(page_id AS VARCHAR(20))) AS html FROM (SELECT page_id, CASE page_id % 16\n"
                         + "\n".join(f"WHEN {k} THEN " + sql_text(html).replace("{", "{{").replace("}", "}}") for k, (html, _) in enumerate(HOSTILE_PAGES))
                         + " END AS html FROM {pages}) p",
+    # All pages, and documents (numbered below zero) that take a converter down:
+    # one ends its process, one never returns, one takes all memory.
+    "fx_fatal_pages": """
+SELECT page_id, html FROM {pages}
+UNION ALL
+SELECT -1 - page_id AS page_id, CASE page_id % 100 WHEN 1 THEN 'exit' WHEN 2 THEN 'sleep' ELSE 'hog' END AS html
+FROM {pages} WHERE page_id % 100 BETWEEN 1 AND 3""",
     # Model answers (conv_id, turn, response): JSON, fenced with tag, empty
     # list, prose, fenced without tag, empty; then answers that are no list of
     # citations: text after the list, two lists, a null element, a second key,
@@ -191,6 +198,7 @@ FX_DEPS: dict[str, tuple[str, ...]] = {
     "fx_noisy_text": ("documents",),
     "fx_mixed_refs": ("pages",),
     "fx_hostile_pages": ("pages",),
+    "fx_fatal_pages": ("pages",),
     "fx_responses": ("conversations",),
 }
 

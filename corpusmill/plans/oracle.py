@@ -417,6 +417,13 @@ SELECT page_id, 'ok' AS status, replace(md, '@', CAST(page_id AS VARCHAR)) AS md
 FROM pages p JOIN (VALUES """ + ",\n".join(f"({k}, {sql_text(md)})" for k, (_, md) in enumerate(HOSTILE_PAGES)) + """
 ) AS v(kind, md) ON p.page_id % 16 = v.kind"""
 
+ORACLE["convert_quarantine"] = _with("fx_fatal_pages") + """
+SELECT page_id, CASE WHEN page_id < 0 THEN 'error' ELSE 'ok' END AS status,
+       CASE WHEN page_id >= 0 THEN length(html) || ' characters' || chr(10) END AS md,
+       CASE WHEN page_id < 0 THEN CASE html WHEN 'exit' THEN 'converter ended with code 3' WHEN 'sleep' THEN 'stopped after 1 seconds'
+                                            ELSE 'MemoryError: more than 512 MB' END END AS error
+FROM fx_fatal_pages"""
+
 # every eleventh page has no content
 ORACLE["failures"] = "SELECT page_id, 'no content' AS error FROM pages WHERE page_id % 11 = 3"
 

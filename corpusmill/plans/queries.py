@@ -20,6 +20,7 @@ from corpusmill.operators import convert as CV
 from corpusmill.operators import labels as L
 from corpusmill.operators import ordering as O
 from corpusmill.operators import planning as PL
+from corpusmill.operators import quarantine as Q
 from corpusmill.operators import report as R
 from corpusmill.plans import jobs as JOBS
 from corpusmill.plans.fixtures import catalogue_nested, fixture, fixture_tree, table
@@ -418,6 +419,30 @@ def convert_hostile(spark, sf_dir):
     return CV.convert_html(fixture(spark, sf_dir, "fx_hostile_pages"), "html", ["page_id"]).select("page_id", "status", "md")
 
 
+def _fragile_converter():
+    """Makes a converter that some documents take down."""
+    import os
+    import time
+
+    def convert(html):
+        if html == "exit":
+            os._exit(3)
+        if html == "sleep":
+            time.sleep(600)
+        if html == "hog":
+            return "x" * (1 << 34)
+        return f"{len(html)} characters"
+    return convert
+
+
+@query
+def convert_quarantine(spark, sf_dir):
+    """UDF-01: a plugged-in converter in a process of its own; documents that
+    end it, hang it or exhaust its memory are error rows, all others are ok."""
+    done = Q.convert_quarantined(fixture(spark, sf_dir, "fx_fatal_pages"), _fragile_converter, "page_id", "html", seconds=1.0, memory_mb=512)
+    return done.select("page_id", "status", "md", "error")
+
+
 def _with_missing(pages):
     """Every eleventh page has no content, so that its conversion fails."""
     return pages.select("page_id", F.when(F.col("page_id") % 11 != 3, F.col("html")).alias("html"))
