@@ -13,6 +13,8 @@ from corpusmill.session import ship_package, work_path
 
 #: Text bytes that one Python step holds at a time (a longer text is one slice).
 SLICE_BYTES = 1 << 20
+#: Bytes of an Arrow batch between the JVM and a Python worker.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +31,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def python_ready(spark: SparkSession) -> None:
-    """Make the package importable in the Python workers."""
+def python_ready(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
+    """Make the package importable in the Python workers, and keep the batches
+    that go to them and back within ``batch_bytes`` (Spark's own bound, 64 MB
+    and 10,000 rows, is held several times over by a task's two processes)."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
 
 
 _HELD: dict[str, Callable[[], None]] = {}

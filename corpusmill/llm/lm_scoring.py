@@ -39,7 +39,7 @@ from corpusmill.llm.common import cut, python_ready, slices
 from corpusmill.llm.word_counts import HEAD, Corpus, corpus, tokens
 
 #: Ends of the shares of texts (of 64) that the rounds learn from.
-ROUNDS = (4, 20, 64)
+ROUNDS = (8, 64)
 FAN = 64
 SLICES = 32
 RATE = 0.2
@@ -130,7 +130,7 @@ def learn(docs: DataFrame, words: Words) -> gru.Params:
     spark = docs.sparkSession
     model = words.model()
     second = {k: np.full(v.shape, 1e-4, np.float32) for k, v in model.items()}
-    share = F.pmod(F.xxhash64("text", "doc_id"), F.lit(64))
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(64))
     shared_words = spark.sparkContext.broadcast(words)
     for low, high in zip((0, *ROUNDS), ROUNDS):
         start = spark.sparkContext.broadcast((model, second))
@@ -170,27 +170,29 @@ def scores(docs: DataFrame, found: Corpus, words: Words, model: gru.Params) -> D
     def run(batches):
         words, model = shared.value
         row = TaskContext.get().partitionId() << 40
-        inside = words.base + np.log10(words.mass) - np.log10(max(1, words.known))
+        # by place in the head, the last for words outside it
+        base_of, seen = np.append(words.base, 0), np.append(words.counts > 0, False)
+        extra = np.append(words.base + np.log10(words.mass) - np.log10(max(1, words.known)), 0)
+        extra[:words.other] = 0
         for batch in batches:
             for part in slices(batch, 1, STEP_BYTES):
-                rare, known, base, extra, ids = [], [], [], [], []
+                places, rare = [], []
                 for w in tokens(part, 1):
-                    at = words.place.of(w)
-                    out = np.flatnonzero(at < 0).tolist()
-                    rare.append(list(Counter([w[k] for k in out]).items()))
-                    at_head = at[at >= 0]
-                    known.append(int(np.count_nonzero(words.counts[at_head])))
-                    base.append(float(words.base[at_head].sum()))
-                    extra.append(float(inside[at_head[at_head >= words.other]].sum()))
-                    ids.append(words.model_ids(at))
+                    places.append(words.place.of(w))
+                    out = np.flatnonzero(places[-1] < 0).tolist()
+                    rare.append(list(Counter([w[k] for k in out]).items()) if out else [])
+                every, sizes = np.concatenate(places), np.array(list(map(len, places)))
+                first = np.cumsum(sizes) - sizes
+                known, base = np.add.reduceat(seen[every].astype(np.int64), first), np.add.reduceat(base_of[every], first)
+                extras, ids = np.add.reduceat(extra[every], first), np.split(words.model_ids(every), first[1:])
                 logp = gru.score(model, ids, SCORE_WINDOW, SCORE_LANES) / _LN10
                 ends = np.cumsum([0, *map(len, rare)]).astype(np.int32)
                 flat = [x for r in rare for x in r]
                 items = pa.StructArray.from_arrays([pa.array([x[0] for x in flat], pa.binary()), pa.array([x[1] for x in flat], pa.int32())],
                                                    names=["word", "n"])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array(np.arange(row, row + len(ids))), pa.array([len(i) for i in ids], pa.int64()),
-                     pa.array(known, pa.int64()), pa.array(base), pa.array(logp + extra), pa.ListArray.from_arrays(pa.array(ends), items)],
+                    [part.column(0), part.column(2), pa.array(np.arange(row, row + len(ids))), pa.array(sizes),
+                     pa.array(known), pa.array(base), pa.array(logp + extras), pa.ListArray.from_arrays(pa.array(ends), items)],
                     names=["doc_id", "held_out", "row", "n_tokens", "n_known", "base", "score", "rare"])
                 row += len(ids)
 
@@ -211,7 +213,7 @@ def scores(docs: DataFrame, found: Corpus, words: Words, model: gru.Params) -> D
 def score_documents(docs: DataFrame, head: int = HEAD) -> DataFrame:
     """Scores of all ``docs``, learnt from those that are not held out. Tasks
     hold at most ``head`` words, the others are looked up by a join."""
-    python_ready(docs.sparkSession)
+    python_ready(docs.sparkSession, 2 * STEP_BYTES)  # long lanes need many texts at a time
     training = docs.where(remainder() != 2).select("doc_id", "text")
     found = corpus(training, head)
     words = Words(found)
