@@ -110,11 +110,12 @@ def files_at_depth(manifest: DataFrame, depth: int, path_col: str = "path") -> D
 # ----------------------------------------------------------------------------
 
 def label_rows(manifest: DataFrame, spec: LabelSpec, path_col: str = "path",
-               order: bool = True) -> DataFrame:
+               order: bool = True, path_as: str | None = None) -> DataFrame:
     """Labelled image rows for an any-depth tree (PRJ-01..05, SRT-01).
 
     Missing levels are ``""``. An image deeper than ``spec.max_depth`` raises
-    (the spec is stale) instead of producing a ragged row.
+    (the spec is stale) instead of producing a ragged row. ``path_as`` names a
+    further column with the path, to order by later.
     """
     spec.validate()
     src = F.col(path_col)
@@ -125,16 +126,18 @@ def label_rows(manifest: DataFrame, spec: LabelSpec, path_col: str = "path",
     cols: list[Column] = [(P.level(p, slot.level) if slot.level else special[slot.name]).alias(slot.header)
                           for slot in spec.slots() if slot.enabled]
     images = image_files(manifest, path_col)
+    if path_as is not None:
+        cols.append(p.alias(path_as))
     if not order:
         return images.select(*cols)
     return images.select(*cols, p.alias("__path")).orderBy(P.tree_order_key(F.col("__path"))).drop("__path")
 
 
 def label_rows_fixed(manifest: DataFrame, headers: tuple[str, ...] | list[str] = FIXED_HEADERS,
-                     path_col: str = "path", order: bool = True) -> DataFrame:
+                     path_col: str = "path", order: bool = True, path_as: str | None = None) -> DataFrame:
     """Rows of a fixed-depth tree: depth = ``len(headers) - 2``; every file at
     that depth, headers[2:] take the folder names in order (SRC-02, PRJ-02,
-    SRT-02)."""
+    SRT-02). ``path_as`` names a further column with the path."""
     headers = list(headers)
     if len(headers) < 2 or len(set(headers)) != len(headers):
         raise ValueError("headers: two fixed names plus one per level, no repeats")
@@ -143,6 +146,8 @@ def label_rows_fixed(manifest: DataFrame, headers: tuple[str, ...] | list[str] =
     rows = files_at_depth(manifest, depth, path_col)
     cols = [P.file_name(p).alias(headers[0]), p.alias(headers[1])]
     cols += [F.get(P.folders(p), i).alias(h) for i, h in enumerate(headers[2:])]
+    if path_as is not None:
+        cols.append(p.alias(path_as))
     out = rows.select(*cols, p.alias("__path"))
     if order:
         out = out.orderBy(P.component_order_key(F.col("__path")))
@@ -211,9 +216,16 @@ def column_widths(rows: DataFrame, headers: list[str], sample_rows: int | None =
     head = rows
     if sample_rows is not None:
         head = (rows.orderBy(*order_by) if order_by else rows).limit(sample_rows)
-    aggs = [F.max(F.char_length(F.nullif(F.col(h), F.lit("")))).alias(f"__w{i}")
-            for i, h in enumerate(headers)]
-    widths = head.agg(*aggs)
+    return shown_widths(head.agg(*width_metrics(headers)), headers)
+
+
+def width_metrics(headers: list[str]) -> list[Column]:
+    """Longest non-empty value of every column, as aggregates ``__w<i>``."""
+    return [F.max(F.char_length(F.nullif(F.col(h), F.lit("")))).alias(f"__w{i}") for i, h in enumerate(headers)]
+
+
+def shown_widths(widths: DataFrame, headers: list[str]) -> DataFrame:
+    """One row of ``width_metrics`` → the display width per column."""
     stacked = F.explode(F.array(*[
         F.struct(F.lit(i).alias("pos"), F.lit(h).alias("header"),
                  F.least(F.greatest(F.lit(len(h)), F.coalesce(F.col(f"__w{i}"), F.lit(0)))

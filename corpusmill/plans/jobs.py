@@ -9,16 +9,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.fixed import SPEC_FILE
+from corpusmill.functions import paths as P
 from corpusmill.functions import text as T
 from corpusmill.operators import citations as CI
 from corpusmill.operators import convert as CV
 from corpusmill.operators import labels as L
 from corpusmill.operators import planning as PL
 from corpusmill.operators import report as R
+from corpusmill.session import work_path
 from corpusmill.sources import sinks as SK
 from corpusmill.streaming import incremental as INC
 
@@ -30,13 +32,44 @@ class LabelOutputs:
     summary: DataFrame | None = None
 
 
+PATH = "__tree_path"  # column of the labelled table that the rows are ordered by
+
+
+def _label_outputs(spark: SparkSession, labelled: DataFrame, out: str, spec: L.LabelSpec, headers: list[str],
+                   order: Column, summarise) -> LabelOutputs:
+    """Writes the labelled rows (with their path) once, unordered, to a work
+    table; row count and column widths come out of that write as observed
+    metrics. The manifest, which may be a listing of the whole tree, is read
+    by this write alone: rows in order and summary are read from the table.
+    No rows: no output is written (FLT-09)."""
+    seen = Observation()
+    metrics = [F.count(F.lit(1)).alias("n"), *L.width_metrics(headers)]
+    work = work_path(spark, "labelled")
+    SK.write_table(labelled.observe(seen, *metrics), work)
+    got = seen.get
+    if not got.get("n"):
+        return LabelOutputs(spec)
+    table = spark.read.parquet(work)
+    rows = table.orderBy(order).select(*headers)
+    SK.write_csv(rows, f"{out}_rows")
+    # counted once; the CSV is written from the table
+    SK.write_table(summarise(table), f"{out}_summary.parquet")
+    summary = spark.read.parquet(f"{out}_summary.parquet")
+    SK.write_csv(summary.orderBy("pos", "value").select("breakdown", "n"), f"{out}_summary")
+    names = [f"__w{i}" for i in range(len(headers))]
+    widths = spark.createDataFrame([tuple(got[c] for c in names)], ", ".join(f"{c} INT" for c in names))
+    SK.write_table(L.shown_widths(widths, headers), f"{out}_widths")
+    return LabelOutputs(spec, rows, summary.orderBy("pos", "value"))
+
+
 def label_job(spark: SparkSession, manifest: DataFrame, out_dir: str,
               spec: L.LabelSpec | None = None) -> LabelOutputs:
     """Any-depth labelling (JOB-01/02). Without a spec: discover one, write
     it as ``dataset_config.json`` for the user to edit plus the per-folder
     sample as the table ``sample_tree``, stop. With a spec (or the edited
-    file): write ``<stem>_rows`` (CSV, tree order), ``<stem>_summary`` (CSV
-    and parquet) and ``<stem>_widths`` (display width per column)."""
+    file): scan the manifest once and write ``<stem>_rows`` (CSV, tree order),
+    ``<stem>_summary`` (CSV and parquet) and ``<stem>_widths`` (display width
+    per column). Without an image nothing is written."""
     out_dir = out_dir.rstrip("/")
     if spec is None:
         text = SK.read_text_file(spark, f"{out_dir}/{SPEC_FILE}")
@@ -48,31 +81,21 @@ def label_job(spark: SparkSession, manifest: DataFrame, out_dir: str,
             SK.write_table(sample, f"{out_dir}/sample_tree")
             return LabelOutputs(spec)
         spec = L.LabelSpec.from_json(text)
-    if L.image_files(manifest).isEmpty():
-        return LabelOutputs(spec)
-    rows, summary = L.label_dataset(manifest, spec)
-    SK.write_csv(rows, f"{out_dir}/{spec.output_stem}_rows", spec.active_headers())
-    # counted once; the CSV is written from the table
-    SK.write_table(summary, f"{out_dir}/{spec.output_stem}_summary.parquet")
-    summary = spark.read.parquet(f"{out_dir}/{spec.output_stem}_summary.parquet")
-    SK.write_csv(summary.orderBy("pos", "value").select("breakdown", "n"), f"{out_dir}/{spec.output_stem}_summary")
-    unordered = L.label_rows(manifest, spec, order=False)
-    SK.write_table(L.column_widths(unordered, spec.active_headers()), f"{out_dir}/{spec.output_stem}_widths")
-    return LabelOutputs(spec, rows, summary)
+    return _label_outputs(
+        spark, L.label_rows(manifest, spec, order=False, path_as=PATH), f"{out_dir}/{spec.output_stem}", spec,
+        spec.active_headers(), P.tree_order_key(F.col(PATH)),
+        lambda table: L.label_summary(table, spec.label_headers(), L.SEP_SPEC, none_placeholder=True))
 
 
 def label_job_fixed(spark: SparkSession, manifest: DataFrame, out_dir: str,
                     headers=L.FIXED_HEADERS, output_stem: str = L.DEFAULT_OUTPUT_STEM) -> LabelOutputs:
-    """Fixed-depth labelling (JOB-03)."""
+    """Fixed-depth labelling (JOB-03): the outputs of ``label_job``."""
+    headers = list(headers)
     spec = L.LabelSpec(len(headers) - 2, {}, output_stem)
-    if L.files_at_depth(manifest, len(headers) - 2).isEmpty():
-        return LabelOutputs(spec)
-    rows, summary = L.label_dataset_fixed(manifest, headers)
-    SK.write_csv(rows, f"{out_dir.rstrip('/')}/{output_stem}_rows", list(headers))
-    SK.write_csv(summary.select("breakdown", "n"), f"{out_dir.rstrip('/')}/{output_stem}_summary")
-    unordered = L.label_rows_fixed(manifest, headers, order=False)
-    SK.write_table(L.column_widths(unordered, list(headers)), f"{out_dir.rstrip('/')}/{output_stem}_widths")
-    return LabelOutputs(spec, rows, summary)
+    return _label_outputs(
+        spark, L.label_rows_fixed(manifest, headers, order=False, path_as=PATH), f"{out_dir.rstrip('/')}/{output_stem}",
+        spec, headers, P.component_order_key(F.col(PATH)),
+        lambda table: L.label_summary(table, headers[2:], L.SEP_FIXED, none_placeholder=False))
 
 
 def acquisition_job(spark: SparkSession, wanted: DataFrame, present: DataFrame, out_dir: str,

@@ -508,3 +508,43 @@ SELECT count(*) AS n_total, count(*) FILTER (WHERE status = 'success') AS n_succ
        count(*) FILTER (WHERE status = 'skip') AS n_skip, count(*) FILTER (WHERE status = 'unavailable') AS n_unavailable,
        count(*) FILTER (WHERE status = 'fail') AS n_fail, count(*) FILTER (WHERE status IN ('success', 'fail')) AS n_attempted
 FROM run"""
+
+
+# ------------------------------------ one pass, stored keys, timed retries --
+
+ORACLE["label_job_widths"] = ORACLE["column_widths"]
+
+ORACLE["label_job_rows"] = ORACLE["rows_exact_depth"]
+
+ORACLE["empty_runs"] = _with("fx_manifest") + _FILES + """
+SELECT 'all' AS run, unnest(['dataset_rows', 'dataset_summary', 'dataset_summary.parquet', 'dataset_widths']) AS output
+FROM (SELECT count(*) AS n FROM img) WHERE n > 0"""
+
+ORACLE["sample_widths"] = _with("fx_manifest") + _FILES + _ROWS3 + """,
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY """ + _TREE_KEY + """) AS rn FROM rows3) WHERE rn <= 500)
+""" + "\nUNION ALL\n".join(
+    f"SELECT {i} AS pos, '{h}' AS header, CAST(least(greatest({len(h)}, "
+    f"coalesce(max(length(nullif({h}, ''))), 0)) + 4, 60) AS INTEGER) AS width FROM firsts"
+    for i, h in enumerate(["filename", "path", "level_1", "level_2", "level_3"]))
+
+ORACLE["csv_split_read"] = _with("fx_noisy_text") + "\nSELECT doc_id, coalesce(text, '') AS text FROM fx_noisy_text"
+
+ORACLE["csv_one_header"] = ORACLE["rows_images"]
+
+ORACLE["stored_skip"] = ORACLE["skip_by_size"]
+
+ORACLE["stored_pending"] = ORACLE["pending_anti"]
+
+ORACLE["timed_retries"] = """
+SELECT page_id, 'ok' AS status, 1 AS attempts FROM pages
+UNION ALL
+SELECT -page_id - 1, if(page_id % 2 = 1, 'ok', 'error'), if(page_id % 2 = 1, 2, 4) FROM pages WHERE page_id % 11 = 3"""
+
+ORACLE["flat_folder"] = "SELECT DISTINCT 'part=' || doc_id % 200 AS folder, 1 AS n_files, true AS has_bytes FROM documents"
+
+ORACLE["live_progress"] = """
+WITH n AS (SELECT count(*) AS pages, count(*) FILTER (WHERE page_id % 2 = 0) AS even,
+                  count(*) FILTER (WHERE page_id % 11 = 3) AS bad FROM pages)
+SELECT 1 AS batch, even AS n_items, even AS n_ok, 0 AS n_error FROM n WHERE even > 0
+UNION ALL SELECT 2, pages - even + bad, pages, bad FROM n
+UNION ALL SELECT 3, bad, pages, 2 * bad FROM n WHERE bad > 0"""

@@ -27,10 +27,13 @@ from corpusmill.plans.fixtures import catalogue_nested, fixture, fixture_tree, t
 from corpusmill.session import work_path
 from corpusmill.sources import catalogue as C
 from corpusmill.sources import content as CT
+from corpusmill.sources import csv_split as CS
 from corpusmill.sources import manifest as M
 from corpusmill.sources import select as S
 from corpusmill.sources import sinks as SK
+from corpusmill.sources.stored import KeyStore
 from corpusmill.streaming import incremental as INC
+from corpusmill.streaming import retries as RT
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -590,3 +593,137 @@ def conversion_plan(spark, sf_dir):
     plan = PL.plan_acquisition(pdfs, existing)
     return plan.select(F.col("source").alias("path"), F.col("path").alias("target_path"),
                        F.when(F.col("status") == "skip", "skipped").otherwise("convert").alias("status"))
+
+
+# ------------------------------------ one pass, stored keys, timed retries --
+
+
+@query
+def label_job_widths(spark, sf_dir):
+    """JOB-02, AGG-06, SNK-01/02: the labelling job, whose one scan of the
+    manifest also carries the column widths out; they are read back."""
+    out = work_path(spark, "label-job")
+    JOBS.label_job(spark, fixture(spark, sf_dir, "fx_manifest"), out, L.LabelSpec.default(3))
+    return spark.read.parquet(f"{out}/{L.DEFAULT_OUTPUT_STEM}_widths")
+
+
+@query
+def label_job_rows(spark, sf_dir):
+    """JOB-03, SNK-01: the rows written by the fixed-depth labelling job, read
+    back."""
+    out = work_path(spark, "label-job-fixed")
+    JOBS.label_job_fixed(spark, fixture(spark, sf_dir, "fx_manifest"), out, FIXED_DEPTH2)
+    return SK.read_csv(spark, f"{out}/{L.DEFAULT_OUTPUT_STEM}_rows", list(FIXED_DEPTH2))
+
+
+@query
+def empty_runs(spark, sf_dir):
+    """FLT-09: the outputs that the labelling job writes for the whole
+    manifest and for its PDF files alone (no image: none)."""
+    manifest = fixture(spark, sf_dir, "fx_manifest")
+    found = None
+    for name, part in (("all", manifest), ("no image", S.pdf_files_pruned(manifest))):
+        out = work_path(spark, "guarded")
+        JOBS.label_job(spark, part, out, L.LabelSpec.default(3))
+        outputs = M.list_files(spark, out).select(F.lit(name).alias("run"), P.level(F.col("path"), 1).alias("output")).distinct()
+        found = outputs if found is None else found.unionByName(outputs)
+    return found
+
+
+@query
+def sample_widths(spark, sf_dir):
+    """SRT-06: column widths over the first 500 rows in tree order."""
+    spec = L.LabelSpec.default(3)
+    rows = L.label_rows(fixture(spark, sf_dir, "fx_manifest"), spec, order=False)
+    return L.column_widths(rows, spec.active_headers(), sample_rows=500, order_by=[P.tree_order_key(F.col("path"))])
+
+
+@query
+def csv_split_read(spark, sf_dir):
+    """SNK-01: texts with quotes and line breaks written as CSV and read back
+    by byte ranges, many tasks a file."""
+    path = work_path(spark, "csv-split")
+    texts = fixture(spark, sf_dir, "fx_noisy_text").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    SK.write_csv(texts, path)
+    back = CS.read_csv_split(spark, path, ["doc_id", "text"], glob="*.csv")
+    return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+
+
+@query
+def csv_one_header(spark, sf_dir):
+    """SNK-01: rows in tree order as parts below one header, read back."""
+    spec = L.LabelSpec.default(3)
+    path = work_path(spark, "csv-ordered")
+    CS.write_csv_ordered(L.label_rows(fixture(spark, sf_dir, "fx_manifest"), spec), path, spec.active_headers())
+    return CS.read_csv_split(spark, path, spec.active_headers(), glob="part-*", header=False)
+
+
+@query
+def stored_skip(spark, sf_dir):
+    """JON-02: the present files kept as a bucketed table, appended by two
+    runs; wanted shards against it."""
+    store = KeyStore(work_path(spark, "present"), buckets=8)
+    present = fixture(spark, sf_dir, "fx_present").select("path", "length")
+    for run in (0, 1):
+        store.append(present.where(F.col("length") % 2 == run))
+    wanted = S.shards_by_prefix(fixture(spark, sf_dir, "fx_shards"), "data/python").select("path")
+    return PL.plan_acquisition(wanted, store.read(spark), min_bytes=PL.SHARD_MIN_BYTES)
+
+
+@query
+def stored_pending(spark, sf_dir):
+    """JON-01: what is not finished, against the bucketed table of finished
+    paths."""
+    store = KeyStore(work_path(spark, "finished"), schema="path STRING", buckets=8)
+    store.append(fixture(spark, sf_dir, "fx_outputs"))
+    return PL.pending(fixture(spark, sf_dir, "fx_manifest").select("path"), store.read(spark))
+
+
+@query
+def timed_retries(spark, sf_dir):
+    """STM-01: pages without content fail and are tried again after 2, 4 and 8
+    units; half of them have content by then. Status and attempts per page."""
+    state = work_path(spark, "retries")
+    pages = _pages(spark, sf_dir).select("page_id", "html")
+    broken = pages.where("page_id % 11 = 3").select((-F.col("page_id") - 1).alias("page_id"), "html")
+    now = pages.unionByName(broken.withColumn("html", F.lit(None).cast("string")))
+    later = pages.unionByName(broken.withColumn("html", F.when(F.col("page_id") % 2 == 0, F.col("html"))))
+
+    def convert(df):
+        return CV.convert_html(df, "html", ["page_id"])
+    RT.log_attempts(convert(now), "page_id", 1, state, 0)
+    stream = RT.start_retries(spark, lambda: later, convert, "page_id", state, unit_seconds=0.25, poll="250 milliseconds")
+    if not RT.run_until_settled(stream, 300):
+        raise TimeoutError("the retries did not settle")
+    return RT.outcome(spark, state, "page_id")
+
+
+@query
+def flat_folder(spark, sf_dir):
+    """SRC-01: a folder with more entries than one task takes, listed in
+    shares by several tasks."""
+    root = work_path(spark, "flat")
+    table(spark, sf_dir, "documents").select((F.col("doc_id") % 200).alias("part"), "n_chars") \
+        .repartition("part").write.partitionBy("part").parquet(root)
+    files = M.list_files(spark, root, split_at=50).where(F.col("path").endswith(".parquet"))
+    return files.groupBy(P.folder_path(F.col("path")).alias("folder")).agg(
+        F.count("*").alias("n_files"), (F.min("length") > 0).alias("has_bytes"))
+
+
+@query
+def live_progress(spark, sf_dir):
+    """WIN-03, SNK-06: the progress of an incremental conversion after each of
+    its batches; the second brings failures, the third tries them again."""
+    state = work_path(spark, "live")
+    pages = _pages(spark, sf_dir).select("page_id", "html")
+    empty = pages.where("page_id % 11 = 3").select((-F.col("page_id") - 1).alias("page_id"), F.lit(None).cast("string").alias("html"))
+    batches = [pages.where("page_id % 2 = 0"), pages.unionByName(empty), empty]
+
+    def convert(df):
+        return CV.convert_html(df, "html", ["page_id"])
+    seen = None
+    for seq, batch in enumerate(batches, start=1):
+        INC.run_batch(spark, batch, convert, "page_id", state, seq)
+        now = INC.live_progress(spark, state).where(F.col("batch") == seq)
+        seen = now if seen is None else seen.unionByName(now)
+    return seen

@@ -5,9 +5,13 @@ zero-byte files; the labelers and converters must see all of them. The
 listing is therefore its own distributed job, breadth first: each level is
 one ``mapInArrow`` over the folders found so far, spread round-robin over
 tasks, each folder listed without recursion. A subtree holding a third of all
-files is thus listed by many tasks, level by level; only one single folder's
-direct entries are one call, and they leave the task in batches of
-``CHUNK`` entries. The driver never holds the file list, only the size of each
+files is thus listed by many tasks, level by level. A task that meets more than
+``SPLIT_AT`` entries in one folder gives the folder back: on the next round it
+is listed in shares by many tasks. Each of them streams through the names,
+which is cheap, and asks for size and time, which is not, of its own share
+alone (those whose name's hash falls to it). Entries leave a task in batches
+of ``CHUNK``. Remote folders have no such stream here: one folder's direct
+entries are one call and one list in memory. The driver never holds the file list, only the size of each
 frontier; each level is written to the shared checkpoint folder, so that the
 files and the next frontier come from one listing.
 """
@@ -15,6 +19,7 @@ files and the next frontier come from one listing.
 from __future__ import annotations
 
 import os
+import zlib
 from urllib.parse import urlparse
 
 import pyarrow as pa
@@ -25,6 +30,7 @@ from corpusmill.session import checkpoint_dir, ship_package
 
 MANIFEST_SCHEMA = "path STRING, length BIGINT, modification_time TIMESTAMP"
 CHUNK = 8192
+SPLIT_AT = 65_536  # entries of one folder that one task lists by itself
 _ENTRY_SCHEMA = "kind STRING, path STRING, length BIGINT, mtime_us BIGINT"
 _ENTRY_ARROW = pa.schema([("kind", pa.string()), ("path", pa.string()), ("length", pa.int64()), ("mtime_us", pa.int64())])
 
@@ -40,36 +46,58 @@ def _filesystem(root: str):
     return filesystem, base.rstrip("/")
 
 
-def _folder(filesystem, start: str):
-    """(name, is folder, is file, size, mtime_us) of a folder's entries. Local
-    folders are read entry by entry and links are not followed: a link to a
-    folder is neither a folder nor a file, a link to a file is a file."""
+def _local_entry(e):
+    """(name, is folder, is file, size, mtime_us). Links are not followed: a
+    link to a folder is neither a folder nor a file, a link to a file is a
+    file."""
+    if e.is_dir(follow_symlinks=False):
+        return e.name, True, False, None, None
+    if e.is_file():
+        stat = e.stat()
+        return e.name, False, True, stat.st_size, stat.st_mtime_ns // 1000
+    return e.name, False, False, None, None
+
+
+def _folder(filesystem, start: str, share: int, shares: int, split_at: int):
+    """The entries of a folder, or of one share of them (``share`` below 0:
+    all). None instead of the entries of a whole folder that has more than
+    ``split_at``."""
     from pyarrow import fs as pafs
     if isinstance(filesystem, pafs.LocalFileSystem):
         if not os.path.isdir(start):
             return
         with os.scandir(start) as entries:
+            if share >= 0:
+                for e in entries:
+                    if zlib.crc32(os.fsencode(e.name)) % shares == share:
+                        yield _local_entry(e)
+                return
+            found = []
             for e in entries:
-                if e.is_dir(follow_symlinks=False):
-                    yield e.name, True, False, None, None
-                elif e.is_file():
-                    stat = e.stat()
-                    yield e.name, False, True, stat.st_size, stat.st_mtime_ns // 1000
+                found.append(e)
+                if len(found) > split_at:
+                    yield None
+                    return
+            yield from map(_local_entry, found)
         return
     for info in filesystem.get_file_info(pafs.FileSelector(start, recursive=False, allow_not_found=True)):
         yield (info.base_name, info.type == pafs.FileType.Directory, info.type == pafs.FileType.File, info.size,
                info.mtime_ns // 1000 if info.mtime_ns is not None else None)
 
 
-def _entries(root: str, prune: frozenset[str], prune_dot: bool):
+def _entries(root: str, prune: frozenset[str], prune_dot: bool, shares: int, split_at: int):
     def run(batches):
         filesystem, base = _filesystem(root)
 
         def rows():
             for batch in batches:
-                for rel_dir in batch.column(0).to_pylist():
+                for rel_dir, share in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     start = f"{base}/{rel_dir}" if rel_dir else base
-                    for name, is_dir, is_file, size, mtime in _folder(filesystem, start):
+                    for entry in _folder(filesystem, start, share, shares, split_at):
+                        if entry is None:
+                            yield "large", rel_dir, None, None
+                            continue
+                        name, is_dir, is_file, size, mtime = entry
                         rel = f"{rel_dir}/{name}" if rel_dir else name
                         if is_dir and not (name in prune or prune_dot and name.startswith(".")):
                             yield "dir", rel, None, None
@@ -90,24 +118,29 @@ def _entries(root: str, prune: frozenset[str], prune_dot: bool):
 
 
 def list_files(spark: SparkSession, root: str, prune_dirs=(), prune_dot_dirs: bool = False,
-               tasks: int | None = None) -> DataFrame:
+               tasks: int | None = None, split_at: int = SPLIT_AT) -> DataFrame:
     """Every regular file below ``root``: ``path`` relative to the root
     ('/'-separated), ``length``, ``modification_time``. Dot files, '_' names
     and empty files are kept. Folders named in ``prune_dirs`` (and dot
     folders when ``prune_dot_dirs``) are not entered. Symbolic links to
-    folders are not followed."""
+    folders are not followed. A local or mounted folder of more than
+    ``split_at`` entries is listed by ``tasks`` tasks together."""
     checkpoint_dir(spark)
     ship_package(spark)
     prune = frozenset(prune_dirs)
     n = tasks or spark.sparkContext.defaultParallelism
-    frontier = spark.range(1).select(F.lit("").alias("dir"))
+    whole = F.lit(-1).alias("share")
+    frontier = spark.range(1).select(F.lit("").alias("dir"), whole)
     out = None
     while True:
         listed = frontier.repartition(n).mapInArrow(
-            _entries(root, prune, prune_dot_dirs), _ENTRY_SCHEMA).checkpoint(eager=True)
+            _entries(root, prune, prune_dot_dirs, n, split_at), _ENTRY_SCHEMA).checkpoint(eager=True)
         files = listed.where(F.col("kind") == "file")
         out = files if out is None else out.unionByName(files)
-        frontier = listed.where(F.col("kind") == "dir").select(F.col("path").alias("dir"))
+        folders = listed.where(F.col("kind") == "dir").select(F.col("path").alias("dir"), whole)
+        large = listed.where(F.col("kind") == "large").select(
+            F.col("path").alias("dir"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("share"))
+        frontier = folders.unionByName(large)
         if frontier.isEmpty():
             break
     return out.select("path", "length", F.timestamp_micros("mtime_us").alias("modification_time"))

@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.session import work_path
@@ -187,6 +187,20 @@ def stream_convert(spark: SparkSession, source_dir: str, schema: str, convert: C
     return state
 
 
+def live_progress(spark: SparkSession, state_dir: str) -> DataFrame:
+    """Progress while a stream runs (WIN-03, SNK-06): per finished batch its
+    number, how many items it tried, and the tallies of all batches up to it.
+    Reads the key tables of batches that are written, no texts; ask again for
+    later figures."""
+    done = _numbers(spark, f"{state_dir}/keys")
+    rows = spark.read.option("basePath", f"{state_dir}/keys").schema("status STRING, batch BIGINT").parquet(
+        *[f"{state_dir}/keys/batch={n}" for n in done])
+    per = rows.groupBy("batch").agg(F.count("*").alias("n_items"), F.count_if(F.col("status") == "ok").alias("ok"),
+                                    F.count_if(F.col("status") == "error").alias("error"))
+    so_far = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)  # one row per batch
+    return per.select("batch", "n_items", F.sum("ok").over(so_far).alias("n_ok"), F.sum("error").over(so_far).alias("n_error"))
+
+
 def next_batch(spark: SparkSession, state_dir: str) -> int:
     """The number after the latest batch."""
     return max([0, *_numbers(spark, f"{state_dir}/keys")]) + 1

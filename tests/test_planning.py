@@ -135,3 +135,24 @@ def test_label_job_fixed(spark, tmp_path):
     assert [r.image_name for r in out.rows.collect()] == ["1.jpg", "2.jpg", "3.txt"]
     s = {r.breakdown: r.n for r in out.summary.collect()}
     assert s == {"Total images": 3, "l1 = A": 2, "l1 = B": 1, "l2 = a": 2, "l2 = b": 1}
+
+
+def test_label_jobs_read_the_manifest_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from corpusmill.plans import jobs
+    paths = [f"A/{i % 7}/{i}.jpg" for i in range(50)]
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def listed(path):
+        read.add(1)
+        return path
+
+    m = spark.createDataFrame([(p,) for p in paths], "p STRING").select(listed.asNondeterministic()("p").alias("path"))
+    out = jobs.label_job(spark, m, str(tmp_path / "any"), jobs.L.LabelSpec.default(2))
+    assert read.value == 50 and out.rows.count() == 50
+    out = jobs.label_job_fixed(spark, m, str(tmp_path / "fixed"), ("a", "b", "c", "d"))
+    assert read.value == 100 and out.rows.first().d == "0"
+    widths = {r.header: r.width for r in spark.read.parquet(str(tmp_path / "any" / "dataset_widths")).collect()}
+    assert widths == {"filename": 12, "path": 14, "level_1": 11, "level_2": 11}
