@@ -23,7 +23,10 @@ are rounded up, and equality is never pruned, so results and ties are exact.
 Defined results: a vector that is null or holds a null or non-finite
 component takes no part; a shorter one is filled up with zeros; fewer than k
 candidates give fewer rows; a repeated id counts once per vector; a null id
-takes no part. Other columns are not read.
+takes no part. Other columns are not read. Scores are 64-bit integers, so a
+vector whose quantised length is ``MAX_LENGTH`` or more fails the query, which
+names its id: below that, no score and no sum on the way to it can overflow.
+Ids are cast to long; one that is no number is null and takes no part.
 """
 
 from __future__ import annotations
@@ -133,17 +136,25 @@ def dual_search(queries: Node, q: np.ndarray, data: Node, d: np.ndarray, owners:
     visit(queries, [data])
 
 
+MAX_LENGTH = 2.0 ** 31  # of a quantised vector; |q.d| <= |q||d| < 2^62
+
+
 def quantised(vectors: DataFrame, scale: int, width: int) -> DataFrame:
     """(vec_id, point): usable vectors as little-endian 64-bit integers."""
     def run(batches):
         for batch in batches:
             rows, x = dense(batch.column(1), width)
+            x = np.floor(scale * x)
+            with np.errstate(over="ignore"):
+                long = np.flatnonzero((x * x).sum(axis=1) >= MAX_LENGTH ** 2)
+            if len(long):
+                raise ValueError(f"vector {batch.column(0)[int(rows[long[0]])]} is too long for 64-bit scores")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows)), blobs(np.floor(scale * x).astype("<i8"))],
-                names=["vec_id", "point"])
+                [batch.column(0).take(pa.array(rows)), blobs(x.astype("<i8"))], names=["vec_id", "point"])
 
     return vectors.where("vec_id is not null and embedding is not null") \
-        .select(F.col("vec_id").cast("long"), "embedding").mapInArrow(run, "vec_id long, point binary")
+        .select(F.expr("try_cast(vec_id as long)").alias("vec_id"), "embedding").where("vec_id is not null") \
+        .mapInArrow(run, "vec_id long, point binary")
 
 
 def points(rows: DataFrame, k: int) -> DataFrame:

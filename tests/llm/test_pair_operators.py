@@ -204,6 +204,31 @@ def test_top_k_few_rows(spark):
     assert cover_tree.top_k(_vectors(spark, [(1, [1.0], 0)]), "vec_id % 20 = 0").count() == 0
 
 
+def test_top_k_over_several_blocks_and_chunks(spark, monkeypatch):
+    monkeypatch.setattr(cover_tree, "CHUNK", 64)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=(12, 6))[rng.integers(0, 12, 600)] + 0.05 * rng.normal(size=(600, 6)),
+                        rng.normal(size=(300, 6))])
+    x[100:160] = x[7]  # copies: ties beyond k
+    points = np.floor(64 * x.astype(np.float32).astype(float)).astype(int)
+    got = {}
+    for r in cover_tree.top_k(_vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)]), "vec_id % 20 = 0", k=20).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert len(got) == 45
+    for q, rows in got.items():
+        best = sorted((-int(points[q] @ points[i]), i) for i in range(900) if i != q)[:20]
+        assert sorted(rows) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+
+
+def test_top_k_range_of_scores_and_ids(spark):
+    schema = "vec_id STRING, embedding ARRAY<DOUBLE>"
+    large = spark.createDataFrame([("0", [2.0 ** 24, 2.0 ** 20]), ("1", [-(2.0 ** 24), 1.0]), ("x", [1.0, 1.0])], schema)
+    assert [tuple(r) for r in cover_tree.top_k(large, "vec_id = 0").collect()] == [(0, 1, 1, -(2 ** 60) + 2 ** 32)]
+    beyond = spark.createDataFrame([("0", [1e20, 0.0]), ("1", [1.0, 0.0])], schema)
+    with pytest.raises(Exception, match="vector 0 is too long"):
+        cover_tree.top_k(beyond, "vec_id = 0").collect()
+
+
 def test_cover_tree_covers_and_separates():
     x = np.random.default_rng(1).normal(size=(700, 2))
     todo = [cover_tree.cover_tree(x, leaf=8)]
