@@ -540,11 +540,11 @@ SELECT page_id, 'ok' AS status, 1 AS attempts FROM pages
 UNION ALL
 SELECT -page_id - 1, if(page_id % 2 = 1, 'ok', 'error'), if(page_id % 2 = 1, 2, 4) FROM pages WHERE page_id % 11 = 3"""
 
-ORACLE["flat_folder"] = "SELECT DISTINCT 'part=' || doc_id % 200 AS folder, 1 AS n_files, true AS has_bytes FROM documents"
+ORACLE["flat_folder"] = "SELECT DISTINCT 'part=' || doc_id % 200 AS folder, CAST(1 AS BIGINT) AS n_files, true AS has_bytes FROM documents"
 
 ORACLE["live_progress"] = """
 WITH n AS (SELECT count(*) AS pages, count(*) FILTER (WHERE page_id % 2 = 0) AS even,
                   count(*) FILTER (WHERE page_id % 11 = 3) AS bad FROM pages)
-SELECT 1 AS batch, even AS n_items, even AS n_ok, 0 AS n_error FROM n WHERE even > 0
+SELECT CAST(1 AS BIGINT) AS batch, even AS n_items, even AS n_ok, CAST(0 AS BIGINT) AS n_error FROM n WHERE even > 0
 UNION ALL SELECT 2, pages - even + bad, pages, bad FROM n
 UNION ALL SELECT 3, bad, pages, 2 * bad FROM n WHERE bad > 0"""
