@@ -485,9 +485,9 @@ def incremental_run(spark, sf_dir):
     the second finds nothing new and retries the failures. The end state
     per page equals a one-shot conversion."""
     state = work_path(spark, "incremental")
+    source, glob = INC.table_source(spark, f"{sf_dir.rstrip('/')}/pages.parquet")
     for _ in range(2):
-        INC.stream_convert(spark, sf_dir, PAGES_SCHEMA, _convert_pages, "page_id",
-                           state_dir=state, glob="pages.parquet")
+        INC.stream_convert(spark, source, PAGES_SCHEMA, _convert_pages, "page_id", state_dir=state, glob=glob)
     return INC.latest_status(spark, state, "page_id").select("page_id", "status", "md", "error")
 
 

@@ -153,6 +153,17 @@ def latest_status(spark: SparkSession, state_dir: str, key: str) -> DataFrame:
     return res.withColumn("batch", F.col("batch").cast("long")).join(last, [key, "batch"], "left_semi")
 
 
+def table_source(spark: SparkSession, path: str) -> tuple[str, str | None]:
+    """(source_dir, glob) of a table for ``stream_convert``. A stream lists
+    folders and its glob holds for the files in them: a table that is a folder
+    of files is the folder itself, one that is a single file is named in its
+    folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory():
+        return path, None
+    return p.getParent().toString(), p.getName()
+
+
 def stream_convert(spark: SparkSession, source_dir: str, schema: str, convert: Converter, key: str,
                    state_dir: str | None = None, glob: str | None = None, retry_pass: bool = True,
                    processing_time: str | None = None, max_files_per_trigger: int | None = None,

@@ -140,6 +140,22 @@ def test_stream_is_incremental_and_retries(spark, tmp_path):
     assert res.where("page_id < 3").count() == 2  # finished work is never redone
 
 
+def test_stream_over_a_table_of_one_file_or_a_folder(spark, tmp_path):
+    from corpusmill.plans.queries import QUERIES
+    rows = [(i, "u", f"<p>page {i}") for i in range(1, 31)]
+    for form in ("file", "folder"):
+        sf = tmp_path / form
+        sf.mkdir()
+        if form == "folder":
+            (sf / "pages.parquet").mkdir()
+            _add(sf, "pages.parquet/part-0.parquet", rows[:20])
+            _add(sf, "pages.parquet/part-1.parquet", rows[20:])
+        else:
+            _add(sf, "pages.parquet", rows)
+        got = {r.page_id: (r.status, r.md) for r in QUERIES["incremental_run"](spark, str(sf)).collect()}
+        assert got == {i: ("error", None) if i % 11 == 3 else ("ok", f"page {i}\n") for i in range(1, 31)}
+
+
 def test_replayed_batch_keeps_finished_rows(spark, tmp_path):
     src = tmp_path / "src"
     src.mkdir()
