@@ -130,26 +130,36 @@ def suffix_filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataF
             >= {percent} * (of_a.n + of_b.n)""")).select("a", "b")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose whole sets reach the similarity, each looked at once."""
+def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, twice: DataFrame, words: int,
+             percent: int) -> DataFrame:
+    """The pairs whose whole sets reach the similarity, each looked at once.
+    ``twice``: the (doc_id, h1) that several rows have; only their sets are
+    grouped, all others stay where they are read."""
     spark = docs.sparkSession
     needed = pairs.select(F.col("a").alias("h1")).union(pairs.select(F.col("b").alias("h1"))).distinct()
     wanted = cut(classes.select("h1", "doc_id").join(needed, "h1", "left_semi"), "to-verify")
-    ids = wanted.select("doc_id").distinct()
     few = wanted.count() <= BROADCAST_ROWS
+    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         start_task()
         for batch in batches:
-            for part in slices(batch, 0):
-                got = shingle_sets(*text_buffers(part.column(0)), words)
+            for part in slices(batch, 1):
+                got = shingle_sets(*text_buffers(part.column(1)), words)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_hash(s, 1) for s in got], pa.int64()),
-                     pa.array([s.tobytes() for s in got], pa.binary())], names=["h1", "members"])
-
-    members = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi") \
-                  .select("text").mapInArrow(run, "h1 long, members binary")
-    members = members.join(wanted.select("h1"), "h1", "left_semi").dropDuplicates(["h1"])
+                    [part.column(0), pa.array([set_hash(s, 1) for s in got], pa.int64()),
+                     pa.array([s.tobytes() for s in got], pa.binary())], names=["doc_id", "h1", "members"])
+
+    def sets_of(chosen: DataFrame) -> DataFrame:
+        ids, keys = chosen.select("doc_id").distinct(), chosen.select("doc_id", "h1")
+        return docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi") \
+                   .mapInArrow(run, f"doc_id {id_type}, h1 long, members binary") \
+                   .join(F.broadcast(keys) if few else keys, ["doc_id", "h1"], "left_semi").select("h1", "members")
+
+    repeated = cut(wanted.join(twice, ["doc_id", "h1"], "left_semi"), "repeated-to-verify")
+    members = sets_of(wanted.join(repeated, ["doc_id", "h1"], "left_anti"))
+    if not repeated.isEmpty():
+        members = members.unionByName(sets_of(repeated).dropDuplicates(["h1"]))
     members = cut(members, "members")
     both = pairs.join(members.select(F.col("h1").alias("a"), F.col("members").alias("x")), "a") \
                 .join(members.select(F.col("h1").alias("b"), F.col("members").alias("y")), "b")
@@ -176,9 +186,11 @@ def ordered(found: DataFrame) -> DataFrame:
 
 def linked_classes(docs: DataFrame, made: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(classes, (node, component) of linked classes by set hash)."""
-    classes = cut(made.where("n > 0 and doc_id is not null").groupBy("h1").agg(
+    named = made.where("n > 0 and doc_id is not null")
+    classes = cut(named.groupBy("h1").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
         F.first("sig").alias("sig")), "classes")
+    twice = cut(named.groupBy("doc_id", "h1").count().where("count > 1").select("doc_id", "h1"), "repeated-rows")
     postings = classes.select("h1", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
     several = postings.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").select("token")
     shared = cut(postings.join(several, "token", "left_semi"), "postings")
@@ -187,7 +199,7 @@ def linked_classes(docs: DataFrame, made: DataFrame, words: int, percent: int) -
     star = ordered(x.where("x.h1 <> pivot.h1").where(could_link("x", "pivot", percent))
                    .select(F.col("x.h1").alias("p"), F.col("pivot.h1").alias("q")))
     star = cut(suffix_filtered(star, classes, percent), "star-pairs")
-    links = cut(verified(docs, star, classes, words, percent), "star-links")
+    links = cut(verified(docs, star, classes, twice, words, percent), "star-links")
     near = components(links)
     rows = shared.join(near.withColumnRenamed("node", "h1"), "h1", "left") \
                  .withColumn("component", F.coalesce("component", "h1"))
@@ -204,7 +216,7 @@ def linked_classes(docs: DataFrame, made: DataFrame, words: int, percent: int) -
     more = suffix_filtered(ordered(more).join(star, ["a", "b"], "left_anti"), classes, percent)
     more = cut(more, "more-pairs")
     if not more.isEmpty():
-        extra = verified(docs, more, classes, words, percent)
+        extra = verified(docs, more, classes, twice, words, percent)
         near = components(links.unionByName(extra))
     return classes, near
 

@@ -109,6 +109,22 @@ def test_jaccard_empty_and_representatives(spark):
     assert sorted((r.doc_id for r in left.collect()), key=str) == [1, 3, 4, 5, None]
 
 
+def test_jaccard_sets_to_verify_are_not_shuffled_by_rows_that_occur_once(spark, monkeypatch):
+    plans, rows = [], _near_rows(random.Random(3))
+
+    def watched(df, name):
+        if name == "members":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, name)
+    monkeypatch.setattr(jaccard, "cut", watched)
+    once = {r.doc_id: r.component_id for r in jaccard.join_components(_frame(spark, rows)).collect()}
+    assert plans and not any("first(members" in p for p in plans)
+    plans.clear()
+    again = jaccard.join_components(_frame(spark, rows + rows[:40] * 3)).collect()
+    assert plans and any("first(members" in p for p in plans)  # only sets of repeated rows
+    assert len(again) == len(rows) + 120 and {r.doc_id: r.component_id for r in again} == once
+
+
 def test_shingles_of_short_and_mixed_texts():
     texts = [b"A b\tc", b"", b"a b", b"a  b ", "É é a".encode(), b"x y z x y z"]
     data = np.frombuffer(b"".join(texts), np.uint8)
