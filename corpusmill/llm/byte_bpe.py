@@ -21,7 +21,8 @@ from array import array
 from corpusmill.llm.common import holds
 from corpusmill.llm.recent import Recent
 
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 400_000
+_LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[.,;:!?&$%*#]+|\n(?!\n)")
 
 
@@ -59,6 +60,8 @@ class ByteBpe:
         return array("I", self.ranks.encode_ordinary(text)).tobytes()
 
     def word(self, text: str) -> bytes:
+        if self.ranks is not None and _LETTERS.fullmatch(text):  # the most common word is one part
+            return self.part(text)
         parts = _PLAIN.findall(text) if self.ranks is not None else ()
         if sum(map(len, parts)) != len(text):  # something else in between
             return self.whole(text)

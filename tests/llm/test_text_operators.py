@@ -91,6 +91,17 @@ def test_resynchronised_counts(chunk, overlap):
     assert counter.long(alone, chunk, overlap) == len(counter.library.encode(alone, add_special_tokens=False))
 
 
+def test_words_of_letters_are_encoded_without_looking_for_parts(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from corpusmill.llm import byte_bpe
+    path = P.path("byte_bpe_50k.json")
+    lib, mine = Tokenizer.from_file(path), byte_bpe.ByteBpe(path)
+    monkeypatch.setattr(byte_bpe, "_PLAIN", None)
+    for text in ("word", "Thhaen anblewh sttible", "Éaux émentrèlle SSÜ straße", "a b c"):
+        assert mine.encode(text) == np.array(lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_packing_places_every_token(docs, empty):
     from tokenizers import Tokenizer
     lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
