@@ -166,6 +166,39 @@ def test_repeated_strings_against_brute_force(spark, monkeypatch, in_task):
     assert sum(w[1] > 0 for w in want) > 20
 
 
+def test_common_phrases_do_not_look_up_their_counts(spark, monkeypatch):
+    """However many texts hold a phrase, no join deals its rows out by it; a
+    context that occurs once counts only where its windows occur elsewhere."""
+    plans, rng = {}, random.Random(12)
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return cut(df, name)
+    monkeypatch.setattr(repeats, "cut", watched)
+    common = " ".join(_words(rng, 90))
+    texts = [" ".join(_words(rng, 12)) + common + " ".join(_words(rng, 12)) for _ in range(40)] + [common, common, "ab" * 400]
+    for at in range(150, 350, 20):  # every window of x occurs again, in two parts
+        x = " ".join(_words(rng, 120))[:500]
+        texts += [x, "<" + x[:at + 100] + ">", "[" + x[at + 1:] + "]"]
+    got = repeats.without_repeats(_frame(spark, list(enumerate(texts))), length=100, v=64, digest=True).collect()
+    want = _brute_repeats([t.encode() for t in texts], 100)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == dict(enumerate(want))
+    assert all(w[1] == 500 for w in want[43::3])
+    assert "Aggregate" in plans["covered"] and not re.search(r"Join \[s#\w+, c#\w+\]", plans["covered"])
+
+
+def test_repeats_of_400_bytes_go_and_shorter_passages_stay(spark):
+    """A passage of over 50 words that has less than 400 bytes is no repeated
+    string of 400 bytes, in how many texts it may stand."""
+    rng = random.Random(13)
+    short, long = ("word " + " ".join(f"{rng.randrange(10 ** 5):06d}" for _ in range(57)))[:394], "".join(_words(rng, 200))[:400]
+    texts = [f"{i}<{passage}>{i}" for passage in (short, long) for i in range(10, 15)]
+    got = repeats.without_repeats(_frame(spark, list(enumerate(texts))), digest=True).collect()
+    want = _brute_repeats([t.encode() for t in texts], 400)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == dict(enumerate(want))
+    assert len(short.split()) > 50 and [w[1] > 0 for w in want] == [False] * 5 + [True] * 5
+
+
 def test_repeats_small_segments_and_edge_rows(spark):
     rng = random.Random(9)
     text = ("".join(_words(rng, 120)) + "".join(_words(rng, 120)) * 2).encode()
