@@ -187,6 +187,28 @@ def test_common_phrases_do_not_look_up_their_counts(spark, monkeypatch):
     assert "Aggregate" in plans["covered"] and not re.search(r"Join \[s#\w+, c#\w+\]", plans["covered"])
 
 
+def test_common_phrases_have_no_row_in_each_text(spark, monkeypatch):
+    """A phrase that stands again and again in every text is counted in the
+    tasks; places are told by run, and single contexts and edges come off."""
+    made, rng = {}, random.Random(14)
+
+    def watched(df, name):
+        made[name] = cut(df, name)
+        return made[name]
+    monkeypatch.setattr(repeats, "cut", watched)
+    monkeypatch.setattr(repeats, "HELD", 500)
+    common = " ".join(_words(rng, 90))
+    texts = [" ".join(_words(rng, 20)) + common + str(i) + "-" * 300 + common[i:] + " ".join(_words(rng, 20)) for i in range(60)]
+    texts += ["-" * 900, "-" * 900, "-" * 99, None, texts[0]]
+    got = repeats.without_repeats(_frame(spark, list(enumerate(texts))), length=100, v=64, digest=True).collect()
+    want = _brute_repeats([(t or "").encode() for t in texts], 100)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == dict(enumerate(want))
+    phrases = made["parse"].where("runs is null").agg(F.count("*").alias("n"), F.sum("w").alias("w")).first()
+    assert phrases.w > 60 * 200 and phrases.n < 4000
+    runs = made["parse"].where("runs is not null").select("k", F.size("runs").alias("n")).collect()
+    assert len(runs) == len({r.k for r in runs}) == 59 and max(r.n for r in runs) < 8
+
+
 def test_repeats_of_400_bytes_go_and_shorter_passages_stay(spark):
     """A passage of over 50 words that has less than 400 bytes is no repeated
     string of 400 bytes, in how many texts it may stand."""
